@@ -1,0 +1,23 @@
+"""Registry of named queries: a Spark callable and, where one exists, SQL.
+
+Every query takes ``(spark, sf_dir)``, reads whole tables from ``sf_dir``
+and returns a DataFrame; the SQL twin runs in DuckDB over the same files.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+QUERIES: dict[str, Callable] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def wrap(fn):
+        if name in QUERIES:
+            raise ValueError(f"duplicate query {name}")
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLES[name] = sql
+        return fn
+    return wrap
