@@ -93,3 +93,7 @@ def merge_b_sql(select: str = "SELECT * FROM m") -> str:
 feed AS ({FEED_B}),
 {merge_ctes("m", "base", "feed", order=ORDER_B)}
 {select}"""
+
+
+def feed_a_where(cond: str) -> str:
+    return f"SELECT * FROM ({FEED_A}) WHERE {cond}"
