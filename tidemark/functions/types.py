@@ -150,11 +150,11 @@ def rejects(events: DataFrame, columns: list[dict], row_col: str = "row",
             keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per (event, column) whose text did not parse.
 
-    Output: ``keep`` columns, ``column``, ``raw``.  Built with one
+    Output: ``keep`` columns, ``column_name``, ``raw``.  Built with one
     ``inline`` of a filtered array, so the events are read once.
     """
     checks = F.array(*[
-        F.struct(F.lit(c["name"]).alias("column"),
+        F.struct(F.lit(c["name"]).alias("column_name"),
                  F.element_at(F.col(row_col), c["name"]).alias("raw"),
                  (F.element_at(F.col(row_col), c["name"]).isNotNull()
                   & coerce(F.element_at(F.col(row_col), c["name"]), c["pg_type"]).isNull())

@@ -1,3 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
 from tidemark.plans import core_queries  # noqa: F401
+from tidemark.plans import event_queries  # noqa: F401

@@ -23,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.constants import DELETED_AT, EPOCH, LSN, OP, SEQ, TS
+from tidemark.constants import DELETED_AT, EPOCH, LSN, OP, SEQ
+from tidemark.functions.lsn import long_to_lsn
 
 # Fixed values of the fixtures.
 EPOCH_ORIGIN = "2024-01-01"          # day 1 of the events table = epoch 1
@@ -114,8 +115,7 @@ def text_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     row = F.when(op == "D", F.create_map(F.lit("o_orderkey"), key.cast("string"))) \
         .otherwise(row)
-    n = lsn_number(F.col("event_id"))
-    lsn = F.format_string("%X/%X", (n / 4294967296).cast("bigint"), n % 4294967296)
+    lsn = long_to_lsn(lsn_number(F.col("event_id")))
     return ev.select(
         F.lit(ORDERS_TABLE).alias("table"),
         op.alias("op"),
@@ -127,7 +127,32 @@ def text_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_lsn(df: DataFrame) -> DataFrame:
-    """Add ``__lsn`` text and ``__ts`` to feed A (for ledgers and lag)."""
-    n = lsn_number(F.col(SEQ))
-    return df.withColumn(LSN, F.format_string(
-        "%X/%X", (n / 4294967296).cast("bigint"), n % 4294967296))
+    """Add the ``__lsn`` text of feed A (for ledgers and lag)."""
+    return df.withColumn(LSN, long_to_lsn(lsn_number(F.col(SEQ))))
+
+
+# The text feed's manifest columns.
+ORDERS_TEXT_COLUMNS = [
+    {"name": "o_orderkey", "pg_type": "bigint", "nullable": False},
+    {"name": "o_orderstatus", "pg_type": "text", "nullable": True},
+    {"name": "o_totalprice", "pg_type": "numeric(12,2)", "nullable": True},
+    {"name": "o_orderdate", "pg_type": "timestamp without time zone", "nullable": True},
+    {"name": "o_urgent", "pg_type": "boolean", "nullable": True},
+    {"name": "o_quantity", "pg_type": "integer", "nullable": True},
+]
+
+# Routed stream: every event row goes to one source table; page views are
+# not replicated (absent from the manifest) and must be skipped.
+ACTIVE_TABLES = ["public.orders", "public.payments"]
+
+
+def routed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    t = (F.when(F.col("event_type").isin("view", "click"), "public.page_views")
+          .when(F.col("event_type") == "purchase", "public.payments")
+          .otherwise("public.orders"))
+    return ev.select(
+        t.alias("table"),
+        (F.datediff(F.to_date("ts"), F.lit(EPOCH_ORIGIN)) + 1).cast("bigint").alias(EPOCH),
+        F.col("event_id").alias(SEQ),
+        long_to_lsn(lsn_number(F.col("event_id"))).alias(LSN))

@@ -97,3 +97,40 @@ feed AS ({FEED_B}),
 
 def feed_a_where(cond: str) -> str:
     return f"SELECT * FROM ({FEED_A}) WHERE {cond}"
+
+
+def lsn_text(n: str) -> str:
+    return f"format('{{:X}}/{{:X}}', ({n}) >> 32, ({n}) & 4294967295)"
+
+
+LSN_N = "(16 * 4294967296 - 536870912 + event_id * 1048576)"
+
+# Text feed: the raw strings of every field (NULL outside the key on D).
+TEXT_FEED = f"""SELECT {_OP_A} AS op, event_id AS seq, {lsn_text(LSN_N)} AS lsn, ts,
+  'public.orders' AS "table",
+  CAST({_KEY_A} AS VARCHAR) AS o_orderkey,
+  CASE WHEN event_type <> 'error' THEN event_type END AS o_orderstatus,
+  CASE WHEN event_type = 'error' THEN NULL
+       WHEN event_id % 97 = 0 AND (event_id // 97) % 4 = 0 THEN 'bad'
+       ELSE printf('%.2f', value) END AS o_totalprice,
+  CASE WHEN event_type = 'error' THEN NULL
+       WHEN event_id % 97 = 0 AND (event_id // 97) % 4 = 1 THEN 'bad'
+       ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS o_orderdate,
+  CASE WHEN event_type = 'error' THEN NULL
+       WHEN event_id % 97 = 0 AND (event_id // 97) % 4 = 2 THEN 'bad'
+       WHEN value > 50 THEN 't' ELSE 'f' END AS o_urgent,
+  CASE WHEN event_type = 'error' THEN NULL
+       WHEN event_id % 97 = 0 AND (event_id // 97) % 4 = 3 THEN 'bad'
+       ELSE CAST(user_id AS VARCHAR) END AS o_quantity
+FROM events"""
+
+TEXT_TYPES = [("o_orderkey", "BIGINT"), ("o_orderstatus", "VARCHAR"),
+              ("o_totalprice", "DECIMAL(12,2)"), ("o_orderdate", "TIMESTAMP"),
+              ("o_urgent", "BOOLEAN"), ("o_quantity", "INTEGER")]
+
+ROUTED = f"""SELECT CASE WHEN event_type IN ('view', 'click') THEN 'public.page_views'
+            WHEN event_type = 'purchase' THEN 'public.payments'
+            ELSE 'public.orders' END AS "table",
+       {_EPOCH_A} AS __epoch, event_id AS __seq, {lsn_text(LSN_N)} AS __lsn,
+       {LSN_N} AS __pos
+FROM events"""
