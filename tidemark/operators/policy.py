@@ -50,8 +50,8 @@ def resolve_policy(tables: DataFrame, exclude: list[str] | None = None,
     explicit = explicit_exclusion(t, exclude)
     tagged = tables.withColumn("__tags", tag_array(t, tags))
     excluding = sorted(k for k, v in policy.items() if v == "exclude" and k != "untagged")
-    ex_tag = F.element_at(F.filter(F.col("__tags"), lambda x: x.isin(*excluding))
-                          if excluding else F.array().cast("array<string>"), 1)
+    ex_tag = F.try_element_at(F.filter(F.col("__tags"), lambda x: x.isin(*excluding))
+                              if excluding else F.array().cast("array<string>"), F.lit(1))
     untagged_out = policy.get("untagged") == "exclude"
     no_tags = F.size(F.col("__tags")) == 0
     reason = (F.when(explicit, F.lit("explicit exclude"))
