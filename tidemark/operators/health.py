@@ -9,16 +9,25 @@ from tidemark.constants import DELETED_AT, EPOCH, LSN, SEQ
 from tidemark.functions.lsn import long_to_lsn, lsn_to_long
 
 
-def status(tables: DataFrame, roles: int | None = None) -> DataFrame:
-    """One row: active / excluded tables, latest epoch over active tables."""
+def status(tables: DataFrame, roles: int | None = None, detail: bool = False) -> DataFrame:
+    """One row: active / excluded tables, latest epoch over active tables.
+
+    ``detail`` adds tables needing compaction (latest > base) and active
+    tables without a schema, in the same single aggregate.
+    """
     active = F.col("status") == "active"
-    out = tables.agg(
-        F.count_if(active).alias("active_tables"),
-        F.count_if(~active).alias("excluded_tables"),
-        F.coalesce(F.max(F.when(active, F.col("latest_delta_epoch"))), F.lit(0))
-         .cast("bigint").alias("latest_epoch"),
-        F.coalesce(F.sum(F.when(active, F.col("row_count"))), F.lit(0))
-         .cast("bigint").alias("active_rows"))
+    aggs = [F.count_if(active).alias("active_tables"),
+            F.count_if(~active).alias("excluded_tables"),
+            F.coalesce(F.max(F.when(active, F.col("latest_delta_epoch"))), F.lit(0))
+             .cast("bigint").alias("latest_epoch"),
+            F.coalesce(F.sum(F.when(active, F.col("row_count"))), F.lit(0))
+             .cast("bigint").alias("active_rows")]
+    if detail:
+        aggs += [F.count_if(active & (F.col("latest_delta_epoch")
+                                      > F.coalesce("base_epoch", F.lit(0))))
+                 .alias("needs_compaction"),
+                 F.count_if(active & F.col("columns").isNull()).alias("missing_schema")]
+    out = tables.agg(*aggs)
     if roles is not None:
         out = out.withColumn("role_profiles", F.lit(roles))
     return out

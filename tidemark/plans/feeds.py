@@ -34,6 +34,7 @@ ORDERS_PK = ["o_orderkey"]
 ORDERS_TABLE = "public.orders"
 ORDER_A = (EPOCH, SEQ)
 ORDER_B = (EPOCH, "__shipdate", "__line", "__part", "__supp", "__price")
+NOTE_FROM_EPOCH = 3                  # evolved feeds gain a column here
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,18 +48,22 @@ def orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias(DELETED_AT))
 
 
-def feed_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feed_a(spark: SparkSession, sf_dir: str, with_note: bool = False) -> DataFrame:
+    """Feed A; ``with_note`` adds a nullable ``note`` (props) from epoch 3."""
     ev = table(spark, sf_dir, "events")
     op = (F.when(F.col("event_type") == "error", "D")
            .when(F.col("event_type") == "signup", "I").otherwise("U"))
     live = op != "D"
+    epoch = (F.datediff(F.to_date("ts"), F.lit(EPOCH_ORIGIN)) + 1).cast("bigint")
+    extra = [F.when(epoch >= NOTE_FROM_EPOCH, F.col("props")).alias("note")] if with_note else []
     return ev.select(
         (F.col("user_id") * 110 + (F.col("event_id") % 10) * 11).alias("o_orderkey"),
         op.alias(OP),
         F.when(live, F.col("event_type")).alias("o_orderstatus"),
         F.when(live, F.col("value")).alias("o_totalprice"),
         F.col("event_id").alias(SEQ),
-        (F.datediff(F.to_date("ts"), F.lit(EPOCH_ORIGIN)) + 1).cast("bigint").alias(EPOCH),
+        epoch.alias(EPOCH),
+        *extra,
     )
 
 
@@ -89,11 +94,12 @@ def lsn_number(event_id) -> F.Column:
             + event_id.cast("bigint") * F.lit(1048576))
 
 
-def text_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def text_feed(spark: SparkSession, sf_dir: str, with_note: bool = False) -> DataFrame:
     """Feed A as source text events: (table, op, row map, lsn, ts).
 
     Every 97th event carries the word ``bad`` in one typed field, cycling
     through price, date, flag and quantity, so decoding has rejects.
+    ``with_note``: live row images gain a ``note`` key from epoch 3 on.
     """
     ev = table(spark, sf_dir, "events")
     op = (F.when(F.col("event_type") == "error", "D")
@@ -113,6 +119,11 @@ def text_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("o_urgent"), field(F.when(F.col("value") > 50, "t").otherwise("f"), 2),
         F.lit("o_quantity"), field(F.col("user_id").cast("string"), 3),
     )
+    if with_note:
+        epoch = F.datediff(F.to_date("ts"), F.lit(EPOCH_ORIGIN)) + 1
+        row = F.when(epoch >= NOTE_FROM_EPOCH,
+                     F.map_concat(row, F.create_map(F.lit("note"), F.col("props")))) \
+               .otherwise(row)
     row = F.when(op == "D", F.create_map(F.lit("o_orderkey"), key.cast("string"))) \
         .otherwise(row)
     lsn = long_to_lsn(lsn_number(F.col("event_id")))
@@ -156,3 +167,4 @@ def routed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.datediff(F.to_date("ts"), F.lit(EPOCH_ORIGIN)) + 1).cast("bigint").alias(EPOCH),
         F.col("event_id").alias(SEQ),
         long_to_lsn(lsn_number(F.col("event_id"))).alias(LSN))
+
