@@ -4,3 +4,4 @@ from tidemark.plans import core_queries  # noqa: F401
 from tidemark.plans import event_queries  # noqa: F401
 from tidemark.plans import governance_queries  # noqa: F401
 from tidemark.plans import storage_queries  # noqa: F401
+from tidemark.plans import stream_queries  # noqa: F401
