@@ -21,6 +21,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.constants import (ALL_META, DEFAULT_BROADCAST_ROWS, DELETED_AT,
                                 EPOCH, LIVE_OPS, OP, OPS, SEQ)
@@ -72,41 +73,79 @@ def fold(deltas: DataFrame, pk: list[str], data_cols: list[str],
     )
 
 
+def _key_match(left: DataFrame, right: DataFrame, pk: list[str],
+               right_prefix: str = _ZK) -> Column:
+    """Null-safe equality on every key column (no text concatenation)."""
+    return reduce(lambda a, b: a & b,
+                  [left[k].eqNullSafe(right[right_prefix + k]) for k in pk])
+
+
 def _with_deleted_at(base: DataFrame) -> DataFrame:
     if DELETED_AT in base.columns:
         return base
     return base.withColumn(DELETED_AT, F.lit(None).cast("timestamp_ntz"))
 
 
-def _key_match(left: DataFrame, right: DataFrame, pk: list[str],
-               right_prefix: str = _ZK) -> Column:
-    """Null-safe equality on every key column (no text concatenation)."""
-    return reduce(lambda a, b: a & b,
-                  [left[k].eqNullSafe(right[right_prefix + k]) for k in pk])
+def _zero(dt: T.DataType) -> Column | None:
+    """A non-NULL stand-in of the key type (paired with an is-null flag)."""
+    if isinstance(dt, T.NumericType):
+        return F.lit(0).cast(dt)
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(dt)
+    if isinstance(dt, T.BinaryType):
+        return F.lit("").cast(dt)
+    return None
 
 
-def _rename_keys(z: DataFrame, pk: list[str]) -> DataFrame:
-    return z.select(*[F.col(k).alias(_ZK + k) for k in pk],
-                    *[c for c in z.columns if c not in pk])
+def _encode_keys(df: DataFrame, pk: list[str], types: dict[str, T.DataType]):
+    """Null-safe key as plain columns: (coalesce(k, zero), k IS NULL) per part.
+
+    Grouping and joining on the same plain columns lets the aggregate's hash
+    partitioning satisfy the join: the folded side is shuffled once, not
+    again for a ``<=>`` join (which Spark hashes on a different expression).
+    """
+    enc = []
+    for i, k in enumerate(pk):
+        z = _zero(types[k])
+        if z is None:
+            raise TypeError(f"unsupported key type {types[k]} for {k}")
+        enc += [F.coalesce(F.col(k), z).alias(f"__kc{i}"), F.col(k).isNull().alias(f"__kn{i}")]
+    names = [c for i in range(len(pk)) for c in (f"__kc{i}", f"__kn{i}")]
+    return df.select("*", *enc), names
+
+
+def _decode_keys(pk: list[str], types: dict[str, T.DataType]) -> list[Column]:
+    return [F.when(F.col(f"__kn{i}"), F.lit(None).cast(types[k]))
+             .otherwise(F.col(f"__kc{i}")).alias(k) for i, k in enumerate(pk)]
+
+
+def _fold_encoded(deltas, pk, kcols, data_cols, order):
+    ordc = order_struct(order)
+    live = F.col(OP).isin(*LIVE_OPS)
+    d = deltas.filter(F.col(OP).isin(*OPS))
+    return d.groupBy(*kcols).agg(
+        F.max_by(F.col(OP), ordc).alias(LAST_OP),
+        F.max_by(F.struct(*[F.col(c) for c in data_cols]), F.when(live, ordc)).alias(IMG),
+        F.count_if(live).alias(N_IU),
+    )
 
 
-def _merged_columns(pk, data_cols, compacted_at: Column, base_present):
-    """Output columns; ``base_present`` is a Column, or a bool for one side."""
+def _merged_columns(pk, types, data_cols, stamp: Column, base_present: Column | bool):
     changed = F.coalesce(F.col(N_IU), F.lit(0)) > 0
-    if base_present is True:
-        keys = [F.col(k) for k in pk]
-    elif base_present is False:
-        keys = [F.col(_ZK + k).alias(k) for k in pk]
+    if base_present is False:
+        data = [F.col(f"{IMG}.{c}").alias(c) for c in data_cols]
     else:
-        keys = [F.when(base_present, F.col(k)).otherwise(F.col(_ZK + k)).alias(k)
-                for k in pk]
-    data = [F.when(changed, F.col(f"{IMG}.{c}")).otherwise(F.col(c)).alias(c)
-            for c in data_cols]
-    deleted = (F.when(F.col(LAST_OP) == "D", compacted_at)
+        data = [F.when(changed, F.col(f"{IMG}.{c}")).otherwise(F.col(c)).alias(c)
+                for c in data_cols]
+    prev = F.lit(None).cast("timestamp_ntz") if base_present is False else F.col(DELETED_AT)
+    deleted = (F.when(F.col(LAST_OP) == "D", stamp)
                 .when(changed, F.lit(None).cast("timestamp_ntz"))
-                .otherwise(F.col(DELETED_AT))).alias(DELETED_AT)
-    keep = base_present | changed if isinstance(base_present, Column) else None
-    return keys + data + [deleted], keep
+                .otherwise(prev)).alias(DELETED_AT)
+    return _decode_keys(pk, types) + data + [deleted]
 
 
 def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
@@ -116,55 +155,41 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
 
     ``strategy``:
 
-    * ``"full"`` — ``base FULL OUTER JOIN fold(deltas)``: both sides shuffled
-      on the key once (sort-merge or shuffled hash, AQE decides).
+    * ``"full"`` — ``base FULL OUTER JOIN fold(deltas)``: the base is shuffled
+      once on the key, the fold only by its own aggregation.
     * ``"broadcast"`` — ``base LEFT JOIN broadcast(fold)`` plus the new keys;
-      the base is never shuffled.  Only for a fold of bounded size.
+      the base is never shuffled.  The fold is written once with
+      ``checkpoint()`` (shared folder) and reused by both branches.
     * ``"auto"`` — counts the delta rows (an upper bound on the folded rows;
       a footer-only scan for Parquet deltas) and broadcasts only under
       ``broadcast_rows``; otherwise ``"full"``.
     """
     base = _with_deleted_at(base)
     data_cols = data_columns(base, pk)
-    missing = [c for c in data_cols if c not in deltas.columns]
-    for c in missing:
-        deltas = deltas.withColumn(c, F.lit(None).cast(base.schema[c].dataType))
-    z = fold(deltas, pk, data_cols, order)
+    types = {f.name: f.dataType for f in base.schema.fields}
+    for c in [c for c in data_cols if c not in deltas.columns]:
+        deltas = deltas.withColumn(c, F.lit(None).cast(types[c]))
     stamp = ts_literal(compacted_at)
     if strategy == "auto":
         strategy = "broadcast" if deltas.count() <= broadcast_rows else "full"
+    if strategy not in ("full", "broadcast"):
+        raise ValueError(f"unknown merge strategy {strategy!r}")
+    d_enc, kcols = _encode_keys(deltas, pk, types)
+    b_enc, _ = _encode_keys(base.drop(*[c for c in base.columns if c.startswith("__k")]),
+                            pk, types)
+    z = _fold_encoded(d_enc, pk, kcols, data_cols, order)
     if strategy == "full":
-        return _merge_full(base, z, pk, data_cols, stamp)
-    if strategy == "broadcast":
-        return _merge_broadcast(base, z, pk, data_cols, stamp)
-    raise ValueError(f"unknown merge strategy {strategy!r}")
-
-
-def _merge_full(base, z, pk, data_cols, stamp):
-    b = base.withColumn(_IN_BASE, F.lit(True))
-    zr = _rename_keys(z, pk)
-    j = b.join(zr, _key_match(b, zr, pk), "full")
-    cols, keep = _merged_columns(pk, data_cols, stamp, F.col(_IN_BASE).isNotNull())
-    return j.filter(keep).select(*cols)
-
-
-def _merge_broadcast(base, z, pk, data_cols, stamp):
-    zr = _rename_keys(z, pk)
-    # 1. every base row, with its folded changes if any (base not shuffled)
-    b = base.withColumn(_IN_BASE, F.lit(True))
-    left = b.join(F.broadcast(zr), _key_match(b, zr, pk), "left")
-    cols, _ = _merged_columns(pk, data_cols, stamp, True)
-    part1 = left.select(*cols)
-    # 2. keys that the base lacks and that received a live image
-    zkeys = zr.select(*[_ZK + k for k in pk])
-    hit = base.select(*pk).join(F.broadcast(zkeys), _key_match(base, zkeys, pk),
-                                "left_semi")
-    fresh = zr.filter(F.col(N_IU) > 0).join(hit, _key_match(hit, zr, pk),
-                                              "left_anti")
-    for c in data_cols + [DELETED_AT]:
-        fresh = fresh.withColumn(c, F.lit(None).cast(base.schema[c].dataType))
-    cols2, _ = _merged_columns(pk, data_cols, stamp, False)
-    part2 = fresh.select(*cols2)
+        j = b_enc.withColumn(_IN_BASE, F.lit(True)).join(z, kcols, "full")
+        present = F.col(_IN_BASE).isNotNull()
+        keep = present | (F.coalesce(F.col(N_IU), F.lit(0)) > 0)
+        return j.filter(keep).select(*_merged_columns(pk, types, data_cols, stamp, present))
+    # broadcast split; z is bounded by the row check, so writing it is cheap
+    z = z.checkpoint(eager=True)
+    part1 = b_enc.join(F.broadcast(z), kcols, "left") \
+        .select(*_merged_columns(pk, types, data_cols, stamp, True))
+    hit = b_enc.select(*kcols).join(F.broadcast(z.select(*kcols)), kcols, "left_semi")
+    fresh = z.filter(F.col(N_IU) > 0).join(hit, kcols, "left_anti")
+    part2 = fresh.select(*_merged_columns(pk, types, data_cols, stamp, False))
     return part1.unionByName(part2)
 
 
