@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.constants import EPOCH, LSN
 from tidemark.functions.lsn import lsn_to_long
+from tidemark.functions.names import epoch_name
 from tidemark.functions.types import coerce
 from tidemark.operators import events as EV
 from tidemark.operators import health as H
@@ -56,11 +57,21 @@ def decode_zero_policy(spark, d):
 
 
 @query("epoch_ledger", f"""WITH r AS ({O.ROUTED})
-SELECT __epoch, {O.lsn_text("min(__pos)")} AS start_lsn, {O.lsn_text("max(__pos)")} AS end_lsn,
+SELECT __epoch, printf('epoch=%06d', __epoch) AS file_name,
+       {O.lsn_text("min(__pos)")} AS start_lsn, {O.lsn_text("max(__pos)")} AS end_lsn,
        max(__pos) - min(__pos) AS span_bytes, count(*) AS rows, 'committed' AS status
 FROM r GROUP BY __epoch""")
 def epoch_ledger(spark, d):
-    return H.epoch_ledger(routed_events(spark, d))
+    led = H.epoch_ledger(routed_events(spark, d))
+    return led.withColumn("file_name", epoch_name("epoch=", F.col(EPOCH)))
+
+
+@query("latest_epoch", f"""WITH r AS ({O.ROUTED}),
+l AS (SELECT __epoch, max(__pos) AS p FROM r GROUP BY __epoch)
+SELECT __epoch, {O.lsn_text("p")} AS end_lsn FROM l ORDER BY __epoch DESC LIMIT 1""")
+def latest_epoch(spark, d):
+    """O3: the newest committed epoch and where it ended (arg-max, no sort)."""
+    return H.latest_epoch(H.epoch_ledger(routed_events(spark, d)))
 
 
 @query("lsn_lag", f"""WITH r AS ({O.ROUTED}),

@@ -131,6 +131,18 @@ def catalog_columns(spark, d):
 
 
 CATALOG_ROOT = "warehouse/cdc"
+LISTED_SCHEMAS = ["building", "machinery"]
+
+
+@query("catalog_tables", f"""WITH t AS ({S.TENANT_TABLES})
+SELECT "table" FROM t
+WHERE kind <> 'tbl_cache' AND schema_name IN ({", ".join(f"'{x}'" for x in LISTED_SCHEMAS)})""")
+def catalog_tables(spark, d):
+    """Base tables of the listed schemas (caches are views), ordered."""
+    t = T.tenant_tables(spark, d).select(
+        "schema_name", "table_name",
+        F.when(F.col("kind") == "tbl_cache", "VIEW").otherwise("BASE TABLE").alias("table_type"))
+    return C.list_tables(t, LISTED_SCHEMAS)
 
 
 @query("catalog_names", f"""WITH t AS ({S.TENANT_TABLES})

@@ -206,3 +206,39 @@ def manifest_status(spark, d):
                      source={"name": "tenants", "postgres_version": "16.2"})
     tables = manifest.read_tables(spark, root)
     return H.status(tables, detail=True)
+
+
+AS_OF_AFTER_COMPACTION = 25
+
+
+@query("as_of_after_compaction", f"""WITH base AS ({O.ORDERS_BASE}),
+feed AS ({O.feed_a_where(f"__epoch <= {AS_OF_AFTER_COMPACTION}")}),
+{O.merge_ctes("m", "base", "feed")}
+SELECT * FROM m""")
+def as_of_after_compaction(spark, d):
+    """K1 on storage: base 20 (compacted) + deltas 21..25 = the state at 25."""
+    from tidemark.plans.consumer import as_of
+    root = fresh_dir(spark, "as_of")
+    _setup_table(spark, d, root)
+    compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    try:
+        as_of(spark, root, ORDERS_TABLE, 10, COMPACTED_AT)
+        raise AssertionError("epoch 10 must not be addressable after compaction")
+    except ValueError:
+        pass
+    return as_of(spark, root, ORDERS_TABLE, AS_OF_AFTER_COMPACTION, COMPACTED_AT)
+
+
+@query("live_view", f"""WITH base AS ({O.ORDERS_BASE}),
+feed AS ({O.FEED_A}),
+{O.merge_ctes("m", "base", "feed")}
+SELECT * FROM m WHERE __deleted_at IS NULL""")
+def live_view_q(spark, d):
+    """K4: a temp view over the compacted base and the uncompacted deltas."""
+    from tidemark.plans.consumer import live_view
+    root = fresh_dir(spark, "live_view")
+    _setup_table(spark, d, root)
+    compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    change = spark.createDataFrame([(ORDERS_TABLE, 30)], "table string, latest_delta_epoch bigint")
+    manifest.update_tables(spark, root, change)       # the streamer flushed up to 30
+    return live_view(spark, root, ORDERS_TABLE, "orders_live", COMPACTED_AT)
