@@ -134,7 +134,8 @@ def _fold_encoded(deltas, pk, kcols, data_cols, order):
     )
 
 
-def _merged_columns(pk, types, data_cols, stamp: Column, base_present: Column | bool):
+def _merged_columns(keys: list[Column], data_cols, stamp: Column,
+                    base_present: Column | bool):
     changed = F.coalesce(F.col(N_IU), F.lit(0)) > 0
     if base_present is False:
         data = [F.col(f"{IMG}.{c}").alias(c) for c in data_cols]
@@ -145,12 +146,13 @@ def _merged_columns(pk, types, data_cols, stamp: Column, base_present: Column |
     deleted = (F.when(F.col(LAST_OP) == "D", stamp)
                 .when(changed, F.lit(None).cast("timestamp_ntz"))
                 .otherwise(prev)).alias(DELETED_AT)
-    return _decode_keys(pk, types) + data + [deleted]
+    return keys + data + [deleted]
 
 
 def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
           order=(EPOCH, SEQ), strategy: str = "auto",
-          broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+          broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+          null_safe: bool = True) -> DataFrame:
     """Apply ordered deltas to a base; returns base columns + ``__deleted_at``.
 
     ``strategy``:
@@ -163,6 +165,11 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
     * ``"auto"`` — counts the delta rows (an upper bound on the folded rows;
       a footer-only scan for Parquet deltas) and broadcasts only under
       ``broadcast_rows``; otherwise ``"full"``.
+
+    ``null_safe=False`` groups and joins on the raw key columns (source
+    primary keys are NOT NULL).  Then a base bucketed by the key keeps its
+    bucketing through the join: with ``spark.sql.shuffle.partitions`` equal
+    to the bucket count, only the folded deltas are shuffled.
     """
     base = _with_deleted_at(base)
     data_cols = data_columns(base, pk)
@@ -174,22 +181,25 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
         strategy = "broadcast" if deltas.count() <= broadcast_rows else "full"
     if strategy not in ("full", "broadcast"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
-    d_enc, kcols = _encode_keys(deltas, pk, types)
-    b_enc, _ = _encode_keys(base.drop(*[c for c in base.columns if c.startswith("__k")]),
-                            pk, types)
+    if null_safe:
+        d_enc, kcols = _encode_keys(deltas, pk, types)
+        b_enc, _ = _encode_keys(base, pk, types)
+        keys = _decode_keys(pk, types)
+    else:
+        d_enc, b_enc, kcols, keys = deltas, base, list(pk), [F.col(k) for k in pk]
     z = _fold_encoded(d_enc, pk, kcols, data_cols, order)
     if strategy == "full":
         j = b_enc.withColumn(_IN_BASE, F.lit(True)).join(z, kcols, "full")
         present = F.col(_IN_BASE).isNotNull()
         keep = present | (F.coalesce(F.col(N_IU), F.lit(0)) > 0)
-        return j.filter(keep).select(*_merged_columns(pk, types, data_cols, stamp, present))
+        return j.filter(keep).select(*_merged_columns(keys, data_cols, stamp, present))
     # broadcast split; z is bounded by the row check, so writing it is cheap
     z = z.checkpoint(eager=True)
     part1 = b_enc.join(F.broadcast(z), kcols, "left") \
-        .select(*_merged_columns(pk, types, data_cols, stamp, True))
+        .select(*_merged_columns(keys, data_cols, stamp, True))
     hit = b_enc.select(*kcols).join(F.broadcast(z.select(*kcols)), kcols, "left_semi")
     fresh = z.filter(F.col(N_IU) > 0).join(hit, kcols, "left_anti")
-    part2 = fresh.select(*_merged_columns(pk, types, data_cols, stamp, False))
+    part2 = fresh.select(*_merged_columns(keys, data_cols, stamp, False))
     return part1.unionByName(part2)
 
 

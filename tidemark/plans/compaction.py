@@ -11,6 +11,8 @@ never costs another its deltas.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 from tidemark.functions.types import struct_for
@@ -23,6 +25,23 @@ def _columns(entry: dict) -> list[dict]:
             for c in entry.get("columns") or []]
 
 
+@contextmanager
+def _conf(spark: SparkSession, key: str, value: str | None):
+    """Set a session conf for one job, restoring the previous value."""
+    if value is None:
+        yield
+        return
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
                   now=None, retention_days: int = 30, strategy: str = "auto") -> dict:
     e = manifest.entry(spark, root, table)
@@ -39,13 +58,20 @@ def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
     if latest <= base_e:
         return {"table": table, "status": "up to date", "base_epoch": base_e}
     data = struct_for(cols)
-    base, _ = storage.read_base(spark, root, table, storage.base_schema(data), upto=base_e)
-    deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data),
-                                 after=base_e, upto=latest)
-    out = merge(base, deltas, pk, compacted_at, strategy=strategy)
-    if now is not None:
-        out = purge(out, now, retention_days)
-    rows = storage.write_base(out, root, table, latest)
+    buckets = int(e["buckets"]) if e.get("buckets") else None
+    # Bucketed base: fold shuffle partitions = bucket count, so the fold's
+    # exchange matches the base's bucketing and the base is never shuffled;
+    # keys are primary keys (NOT NULL), joined as plain columns.
+    with _conf(spark, "spark.sql.shuffle.partitions", str(buckets) if buckets else None):
+        base, _ = storage.read_base(spark, root, table, storage.base_schema(data),
+                                    upto=base_e, buckets=buckets, pk=pk)
+        deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data),
+                                     after=base_e, upto=latest)
+        out = merge(base, deltas, pk, compacted_at,
+                    strategy="full" if buckets else strategy, null_safe=not buckets)
+        if now is not None:
+            out = purge(out, now, retention_days)
+        rows = storage.write_base(out, root, table, latest, buckets=buckets, pk=pk)
     change = spark.createDataFrame([(table, latest, rows)],
                                    "table string, base_epoch bigint, row_count bigint")
     manifest.update_tables(spark, root, change, last_compacted_at=str(compacted_at))

@@ -101,14 +101,15 @@ def schema_drift(spark, d):
 COMPACT_UPTO = 20
 
 
-def _setup_table(spark, d, root):
+def _setup_table(spark, d, root, buckets=None):
     """Base at epoch 0 (all orders), deltas for every epoch, manifest saying
     epochs up to 20 are flushed (later ones still in flight)."""
-    storage.write_base(orders_base(spark, d), root, ORDERS_TABLE, 0)
+    storage.write_base(orders_base(spark, d), root, ORDERS_TABLE, 0, buckets=buckets,
+                       pk=ORDERS_PK)
     _write_feed(spark, d, root)
     entry = spark.createDataFrame(
         [(ORDERS_TABLE, "active", [], ORDERS_PK, 1, ORDERS_COLUMNS, 0, COMPACT_UPTO, None,
-          f"{root}/{ORDERS_TABLE}", "")],
+          f"{root}/{ORDERS_TABLE}", "", buckets)],
         manifest.TABLE_ENTRY)
     manifest.publish(spark, root, entry, source={"name": "orders-db"})
 
@@ -143,6 +144,21 @@ def compact_job(spark, d):
     return df
 
 
+COMPACT_BUCKETS = 8
+
+
+@query("compact_bucketed", _AT_20)
+def compact_bucketed(spark, d):
+    """Compaction over a key-bucketed base: only the folded deltas shuffle."""
+    root = fresh_dir(spark, "compact_bucketed")
+    _setup_table(spark, d, root, buckets=COMPACT_BUCKETS)
+    res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    assert res["base_epoch"] == COMPACT_UPTO, res
+    df, _ = storage.read_base(spark, root, ORDERS_TABLE, storage.base_schema(ORDERS_DATA),
+                              buckets=COMPACT_BUCKETS, pk=ORDERS_PK)
+    return df
+
+
 @query("catalog_register", _AT_20)
 def catalog_register(spark, d):
     """Register the current base as an external table and query it by name."""

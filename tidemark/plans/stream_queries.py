@@ -29,7 +29,7 @@ def _init_manifest(spark, root):
             for c in ORDERS_TEXT_COLUMNS]
     entry = spark.createDataFrame(
         [(ORDERS_TABLE, "active", [], ORDERS_PK, 1, cols, 0, 0, 0,
-          f"{root}/{ORDERS_TABLE}", "")], manifest.TABLE_ENTRY)
+          f"{root}/{ORDERS_TABLE}", "", None)], manifest.TABLE_ENTRY)
     manifest.publish(spark, root, entry, source={"name": "orders-db"})
 
 

@@ -40,6 +40,7 @@ TABLE_ENTRY = T.StructType([
     T.StructField("row_count", T.LongType()),
     T.StructField("path", T.StringType()),
     T.StructField("reason", T.StringType()),
+    T.StructField("buckets", T.LongType()),     # NULL: plain base layout
 ])
 
 

@@ -10,6 +10,8 @@ being read).  Reads always pass an explicit schema, so partition values are
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,13 +77,37 @@ def read_deltas(spark: SparkSession, root: str, table: str, schema: T.StructType
     return df
 
 
-def write_base(df: DataFrame, root: str, table: str, epoch: int) -> int:
+STORE_DB = "tidemark_store"
+
+
+def bucket_table_name(table: str, epoch: int) -> str:
+    """Catalog name that carries the bucket spec of one bucketed base."""
+    flat = re.sub(r"[^0-9A-Za-z_]", "_", table)
+    return f"`{STORE_DB}`.`{flat}__base_{epoch}`"
+
+
+def write_base(df: DataFrame, root: str, table: str, epoch: int,
+               buckets: int | None = None, pk: list[str] | None = None) -> int:
     """Write a new base at ``epoch``; returns its row count (observed during
-    the write, no second pass)."""
-    obs = Observation(f"base_{table}_{epoch}")
-    (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-       .write.mode("errorifexists")
-       .parquet(f"{table_root(root, table)}/base/{BASE_EPOCH}={epoch}"))
+    the write, no second pass).
+
+    With ``buckets`` the base is bucketed and sorted by the key
+    (``bucketBy``): later merges read it already hash-partitioned by the key,
+    so the base is never shuffled.  Input that is already partitioned by the
+    key into ``buckets`` partitions (a merge's output) is written without an
+    exchange.
+    """
+    path = f"{table_root(root, table)}/base/{BASE_EPOCH}={epoch}"
+    obs = Observation(f"base_{re.sub(r'[^0-9A-Za-z_]', '_', table)}_{epoch}")
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
+    if buckets:
+        if not pk:
+            raise ValueError("a bucketed base needs its primary key")
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{STORE_DB}`")
+        w.bucketBy(buckets, *pk).sortBy(*pk).option("path", path) \
+         .saveAsTable(bucket_table_name(table, epoch))
+    else:
+        w.parquet(path)
     return int(obs.get["rows"])
 
 
@@ -94,14 +120,28 @@ def base_epochs(spark: SparkSession, root: str, table: str) -> list[int]:
 
 
 def read_base(spark: SparkSession, root: str, table: str, schema: T.StructType,
-              upto: int | None = None) -> tuple[DataFrame, int | None]:
-    """Newest base at or before ``upto``; (empty frame, None) when none."""
+              upto: int | None = None, buckets: int | None = None,
+              pk: list[str] | None = None) -> tuple[DataFrame, int | None]:
+    """Newest base at or before ``upto``; (empty frame, None) when none.
+
+    A bucketed base is read through its catalog table (re-registered over
+    the files when the catalog lost it), so the scan reports its bucketing.
+    """
     eps = [e for e in base_epochs(spark, root, table) if upto is None or e <= upto]
     if not eps:
         return spark.createDataFrame([], schema), None
     e = eps[-1]
     path = f"{table_root(root, table)}/base/{BASE_EPOCH}={e}"
-    return spark.read.schema(schema).parquet(path), e
+    if not buckets:
+        return spark.read.schema(schema).parquet(path), e
+    name = bucket_table_name(table, e)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    keys = ", ".join(f"`{k}`" for k in pk)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{STORE_DB}`")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+              f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS "
+              f"LOCATION '{path}'")
+    return spark.table(name).select(*schema.fieldNames()), e
 
 
 def drop_deltas(spark: SparkSession, root: str, table: str, upto: int) -> list[int]:
