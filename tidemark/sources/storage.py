@@ -10,6 +10,7 @@ being read).  Reads always pass an explicit schema, so partition values are
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -80,10 +81,12 @@ def read_deltas(spark: SparkSession, root: str, table: str, schema: T.StructType
 STORE_DB = "tidemark_store"
 
 
-def bucket_table_name(table: str, epoch: int) -> str:
-    """Catalog name that carries the bucket spec of one bucketed base."""
+def bucket_table_name(root: str, table: str, epoch: int) -> str:
+    """Catalog name that carries the bucket spec of one bucketed base
+    (unique per storage root, table and epoch)."""
     flat = re.sub(r"[^0-9A-Za-z_]", "_", table)
-    return f"`{STORE_DB}`.`{flat}__base_{epoch}`"
+    tag = hashlib.sha1(root.rstrip("/").encode()).hexdigest()[:10]
+    return f"`{STORE_DB}`.`{flat}__{tag}__base_{epoch}`"
 
 
 def write_base(df: DataFrame, root: str, table: str, epoch: int,
@@ -105,7 +108,7 @@ def write_base(df: DataFrame, root: str, table: str, epoch: int,
             raise ValueError("a bucketed base needs its primary key")
         df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{STORE_DB}`")
         w.bucketBy(buckets, *pk).sortBy(*pk).option("path", path) \
-         .saveAsTable(bucket_table_name(table, epoch))
+         .saveAsTable(bucket_table_name(root, table, epoch))
     else:
         w.parquet(path)
     return int(obs.get["rows"])
@@ -134,7 +137,7 @@ def read_base(spark: SparkSession, root: str, table: str, schema: T.StructType,
     path = f"{table_root(root, table)}/base/{BASE_EPOCH}={e}"
     if not buckets:
         return spark.read.schema(schema).parquet(path), e
-    name = bucket_table_name(table, e)
+    name = bucket_table_name(root, table, e)
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     keys = ", ".join(f"`{k}`" for k in pk)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{STORE_DB}`")
