@@ -123,3 +123,33 @@ def test_auto_strategy_plans(spark):
     plan_full = M.merge(base, d, ["k"], STAMP, strategy="auto", broadcast_rows=0) \
         ._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" in plan_full
+
+
+def test_partial_images_keep_known_values(spark):
+    base = spark.createDataFrame([(1, "a", 10.0)], "k bigint, s string, p double")
+    d = spark.createDataFrame(
+        [(1, "U", "b", None, ["p"], 1, 1),      # price not sent: keep 10.0
+         (2, "I", "n", 5.0, [], 1, 2),
+         (2, "U", "m", None, ["p"], 1, 3)],     # keep 5.0 from the insert
+        "k bigint, __op string, s string, p double, __unchanged array<string>, "
+        "__epoch bigint, __seq bigint")
+    for strategy in ("full", "broadcast"):
+        got = {r["k"]: (r["s"], r["p"]) for r in
+               M.merge(base, d, ["k"], STAMP, strategy=strategy, partial=True).collect()}
+        assert got == {1: ("b", 10.0), 2: ("m", 5.0)}
+    plain = {r["k"]: r["p"] for r in M.merge(base, d, ["k"], STAMP).collect()}
+    assert plain == {1: None, 2: None}          # the source writer's behaviour
+
+
+def test_key_change_splits(spark):
+    from tidemark.operators.events import decode_events, split_key_changes
+    ev = spark.createDataFrame(
+        [("t", "U", {"id": "2", "v": "x"}, {"id": "1"}, 5),
+         ("t", "U", {"id": "3", "v": "y"}, None, 6),
+         ("t", "U", {"id": "4", "v": "z"}, {"id": "4"}, 7)],
+        "table string, op string, row map<string,string>, old_row map<string,string>, seq bigint")
+    out = decode_events(split_key_changes(ev, ["id"]).withColumn("lsn", F.lit(None).cast("string"))
+                        .withColumn("ts", F.lit(None).cast("timestamp_ntz")),
+                        [{"name": "id", "pg_type": "bigint"}, {"name": "v", "pg_type": "text"}])
+    got = sorted((r["__op"], r["id"], r["v"]) for r in out.collect())
+    assert got == [("D", 1, None), ("U", 2, "x"), ("U", 3, "y"), ("U", 4, "z")]

@@ -24,6 +24,26 @@ def decode_events(events: DataFrame, columns: list[dict], on_error: str = "null"
     return events.select(*meta, *decode_row(F.col("row"), columns, on_error))
 
 
+def split_key_changes(events: DataFrame, pk: list[str], old_row: str = "old_row") -> DataFrame:
+    """An update that changed its primary key becomes ``D(old key)`` followed
+    by the update under the new key (same sequence number: the two touch
+    different keys, so their relative order does not matter).
+
+    ``old_row`` is the old key image the source sends when a key changes
+    (NULL otherwise).  One ``inline`` per event: no join, no shuffle.
+    """
+    if old_row not in events.columns:
+        return events
+    moved = F.col(old_row).isNotNull() & F.exists(
+        F.array(*[F.lit(k) for k in pk]),
+        lambda k: ~F.element_at(F.col(old_row), k).eqNullSafe(F.element_at(F.col("row"), k)))
+    rest = [c for c in events.columns if c not in ("op", "row", old_row)]
+    new = F.struct(F.col("op").alias("op"), F.col("row").alias("row"))
+    gone = F.struct(F.lit("D").alias("op"), F.col(old_row).alias("row"))
+    return events.select(*rest, F.inline(F.when(moved, F.array(gone, new))
+                                          .otherwise(F.array(new))))
+
+
 def decode_rejects(events: DataFrame, columns: list[dict]) -> DataFrame:
     """(seq, table, column, raw) for every value that failed to parse."""
     return rejects(events, columns, keep=("seq", "table"))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.constants import (ALL_META, DEFAULT_BROADCAST_ROWS, DELETED_AT,
-                                EPOCH, LIVE_OPS, OP, OPS, SEQ)
+                                EPOCH, LIVE_OPS, OP, OPS, SEQ, UNCHANGED)
 
 LAST_OP = "__last_op"
 IMG = "__img"
@@ -123,24 +123,43 @@ def _decode_keys(pk: list[str], types: dict[str, T.DataType]) -> list[Column]:
              .otherwise(F.col(f"__kc{i}")).alias(k) for i, k in enumerate(pk)]
 
 
-def _fold_encoded(deltas, pk, kcols, data_cols, order):
+def _fold_encoded(deltas, pk, kcols, data_cols, order, partial: bool = False):
+    """Per key: last op, last live image, live-op count.
+
+    ``partial``: events list columns they did not send in ``__unchanged``;
+    each column then takes its own last *sent* value (``__has_<c>`` counts
+    the sends), so an unsent value never overwrites a known one.
+    """
     ordc = order_struct(order)
     live = F.col(OP).isin(*LIVE_OPS)
     d = deltas.filter(F.col(OP).isin(*OPS))
-    return d.groupBy(*kcols).agg(
-        F.max_by(F.col(OP), ordc).alias(LAST_OP),
-        F.max_by(F.struct(*[F.col(c) for c in data_cols]), F.when(live, ordc)).alias(IMG),
-        F.count_if(live).alias(N_IU),
-    )
+    if not partial:
+        return d.groupBy(*kcols).agg(
+            F.max_by(F.col(OP), ordc).alias(LAST_OP),
+            F.max_by(F.struct(*[F.col(c) for c in data_cols]), F.when(live, ordc)).alias(IMG),
+            F.count_if(live).alias(N_IU),
+        )
+    aggs = [F.max_by(F.col(OP), ordc).alias(LAST_OP), F.count_if(live).alias(N_IU)]
+    for c in data_cols:
+        sent = live & ~F.coalesce(F.array_contains(F.col(UNCHANGED), F.lit(c)), F.lit(False))
+        aggs += [F.max_by(F.col(c), F.when(sent, ordc)).alias(f"__v_{c}"),
+                 F.count_if(sent).alias(f"__has_{c}")]
+    z = d.groupBy(*kcols).agg(*aggs)
+    return z.select(*kcols, LAST_OP, N_IU,
+                    F.struct(*[F.col(f"__v_{c}").alias(c) for c in data_cols]).alias(IMG),
+                    *[F.col(f"__has_{c}") for c in data_cols])
 
 
 def _merged_columns(keys: list[Column], data_cols, stamp: Column,
-                    base_present: Column | bool):
+                    base_present: Column | bool, partial: bool = False):
     changed = F.coalesce(F.col(N_IU), F.lit(0)) > 0
+
+    def taken(c):
+        return changed & (F.coalesce(F.col(f"__has_{c}"), F.lit(0)) > 0) if partial else changed
     if base_present is False:
-        data = [F.col(f"{IMG}.{c}").alias(c) for c in data_cols]
+        data = [F.when(taken(c), F.col(f"{IMG}.{c}")).alias(c) for c in data_cols]
     else:
-        data = [F.when(changed, F.col(f"{IMG}.{c}")).otherwise(F.col(c)).alias(c)
+        data = [F.when(taken(c), F.col(f"{IMG}.{c}")).otherwise(F.col(c)).alias(c)
                 for c in data_cols]
     prev = F.lit(None).cast("timestamp_ntz") if base_present is False else F.col(DELETED_AT)
     deleted = (F.when(F.col(LAST_OP) == "D", stamp)
@@ -152,7 +171,7 @@ def _merged_columns(keys: list[Column], data_cols, stamp: Column,
 def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
           order=(EPOCH, SEQ), strategy: str = "auto",
           broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-          null_safe: bool = True) -> DataFrame:
+          null_safe: bool = True, partial: bool = False) -> DataFrame:
     """Apply ordered deltas to a base; returns base columns + ``__deleted_at``.
 
     ``strategy``:
@@ -170,6 +189,9 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
     primary keys are NOT NULL).  Then a base bucketed by the key keeps its
     bucketing through the join: with ``spark.sql.shuffle.partitions`` equal
     to the bucket count, only the folded deltas are shuffled.
+
+    ``partial=True`` honours an ``__unchanged`` array column on the deltas
+    (columns an update did not send): such values keep the last known one.
     """
     base = _with_deleted_at(base)
     data_cols = data_columns(base, pk)
@@ -187,19 +209,20 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
         keys = _decode_keys(pk, types)
     else:
         d_enc, b_enc, kcols, keys = deltas, base, list(pk), [F.col(k) for k in pk]
-    z = _fold_encoded(d_enc, pk, kcols, data_cols, order)
+    partial = partial and UNCHANGED in deltas.columns
+    z = _fold_encoded(d_enc, pk, kcols, data_cols, order, partial)
     if strategy == "full":
         j = b_enc.withColumn(_IN_BASE, F.lit(True)).join(z, kcols, "full")
         present = F.col(_IN_BASE).isNotNull()
         keep = present | (F.coalesce(F.col(N_IU), F.lit(0)) > 0)
-        return j.filter(keep).select(*_merged_columns(keys, data_cols, stamp, present))
+        return j.filter(keep).select(*_merged_columns(keys, data_cols, stamp, present, partial))
     # broadcast split; z is bounded by the row check, so writing it is cheap
     z = z.checkpoint(eager=True)
     part1 = b_enc.join(F.broadcast(z), kcols, "left") \
-        .select(*_merged_columns(keys, data_cols, stamp, True))
+        .select(*_merged_columns(keys, data_cols, stamp, True, partial))
     hit = b_enc.select(*kcols).join(F.broadcast(z.select(*kcols)), kcols, "left_semi")
     fresh = z.filter(F.col(N_IU) > 0).join(hit, kcols, "left_anti")
-    part2 = fresh.select(*_merged_columns(keys, data_cols, stamp, False))
+    part2 = fresh.select(*_merged_columns(keys, data_cols, stamp, False, partial))
     return part1.unionByName(part2)
 
 

@@ -189,3 +189,37 @@ def merge_two_column_key(spark, d):
                     F.year("o_orderdate").cast("bigint").alias("__epoch"),
                     F.col("o_orderkey").alias("__seq")))
     return M.merge(base, feed, _KEY2, COMPACTED_AT, strategy="full")
+
+
+_STAMP = COMPACTED_AT
+
+
+@query("merge_partial_images", f"""WITH base AS ({O.ORDERS_BASE}),
+ev AS (
+  SELECT o_orderkey, __op, o_orderstatus, __epoch, __seq,
+         __op = 'U' AND __seq % 3 = 0 AS unsent,
+         CASE WHEN __op = 'U' AND __seq % 3 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice
+  FROM ({O.FEED_A}) WHERE __op IN ('I', 'U', 'D')),
+l AS (SELECT o_orderkey, __op AS last_op FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY __epoch DESC, __seq DESC) rn
+        FROM ev) WHERE rn = 1),
+s AS (SELECT o_orderkey, o_orderstatus FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY __epoch DESC, __seq DESC) rn
+        FROM ev WHERE __op IN ('I', 'U')) WHERE rn = 1),
+p AS (SELECT o_orderkey, o_totalprice FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY __epoch DESC, __seq DESC) rn
+        FROM ev WHERE __op IN ('I', 'U') AND NOT unsent) WHERE rn = 1),
+z AS (SELECT l.o_orderkey, l.last_op, s.o_orderkey IS NOT NULL AS changed, s.o_orderstatus,
+             p.o_orderkey IS NOT NULL AS has_price, p.o_totalprice
+      FROM l LEFT JOIN s ON s.o_orderkey = l.o_orderkey LEFT JOIN p ON p.o_orderkey = l.o_orderkey)
+SELECT coalesce(b.o_orderkey, z.o_orderkey) AS o_orderkey,
+       CASE WHEN z.changed THEN z.o_orderstatus ELSE b.o_orderstatus END AS o_orderstatus,
+       CASE WHEN z.changed AND z.has_price THEN z.o_totalprice ELSE b.o_totalprice END AS o_totalprice,
+       CASE WHEN z.last_op = 'D' THEN TIMESTAMP '{_STAMP}' WHEN z.changed THEN NULL
+            ELSE b.__deleted_at END AS __deleted_at
+FROM (SELECT *, TRUE AS in_base FROM base) b FULL OUTER JOIN z ON b.o_orderkey = z.o_orderkey
+WHERE b.in_base OR coalesce(z.changed, FALSE)""")
+def merge_partial_images(spark, d):
+    """Updates that did not send the price keep the last known price."""
+    return M.merge(orders_base(spark, d), feed_a(spark, d, partial=True), ORDERS_PK,
+                   COMPACTED_AT, partial=True)

@@ -157,3 +157,24 @@ def compaction_ledger(spark, d):
             .unionByName(tag(base, "public.orders_b", 0))
             .unionByName(tag(mb, "public.orders_b", 90)))
     return H.compaction_ledger(allb).withColumn("base_epoch", F.col("base_epoch").cast("int"))
+
+
+_typed_null = ",\n       ".join(
+    f"CAST(NULL AS {t}) AS {c}" for c, t in O.TEXT_TYPES if c != "o_orderkey")
+
+
+@query("decode_key_change", f"""WITH t AS (
+  SELECT *, {O._KEY_A.replace("user_id", "x.user_id").replace("event_id", "x.event_id")} AS k
+  FROM (SELECT x.*, e.user_id, e.event_id, e.event_type AS et
+        FROM ({O.TEXT_FEED}) x JOIN events e ON e.event_id = x.seq) x)
+SELECT 'D' AS __op, seq AS __seq, lsn AS __lsn, ts AS __ts, k + 1 AS o_orderkey,
+       {_typed_null}
+FROM t WHERE et = 'purchase' AND event_id % 5 = 0
+UNION ALL
+SELECT op AS __op, seq AS __seq, lsn AS __lsn, ts AS __ts,
+       {_typed}
+FROM t""")
+def decode_key_change(spark, d):
+    """A moved primary key decodes as D(old key) + U(new key)."""
+    ev = EV.split_key_changes(text_feed(spark, d, with_key_change=True), ["o_orderkey"])
+    return EV.decode_events(ev, ORDERS_TEXT_COLUMNS)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.constants import DELETED_AT, EPOCH, LSN, OP, SEQ
+from tidemark.constants import DELETED_AT, EPOCH, LSN, OP, SEQ, UNCHANGED
 from tidemark.functions.lsn import long_to_lsn
 
 # Fixed values of the fixtures.
@@ -48,19 +48,29 @@ def orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias(DELETED_AT))
 
 
-def feed_a(spark: SparkSession, sf_dir: str, with_note: bool = False) -> DataFrame:
-    """Feed A; ``with_note`` adds a nullable ``note`` (props) from epoch 3."""
+def feed_a(spark: SparkSession, sf_dir: str, with_note: bool = False,
+           partial: bool = False) -> DataFrame:
+    """Feed A; ``with_note`` adds a nullable ``note`` (props) from epoch 3.
+
+    ``partial``: every 3rd update does not send its price (NULL, listed in
+    ``__unchanged``), as a source does for unchanged out-of-line values.
+    """
     ev = table(spark, sf_dir, "events")
     op = (F.when(F.col("event_type") == "error", "D")
            .when(F.col("event_type") == "signup", "I").otherwise("U"))
     live = op != "D"
     epoch = (F.datediff(F.to_date("ts"), F.lit(EPOCH_ORIGIN)) + 1).cast("bigint")
     extra = [F.when(epoch >= NOTE_FROM_EPOCH, F.col("props")).alias("note")] if with_note else []
+    unsent = (op == "U") & ((F.col("event_id") % 3) == 0)
+    if partial:
+        extra.append(F.when(unsent, F.array(F.lit("o_totalprice")))
+                     .otherwise(F.array().cast("array<string>")).alias(UNCHANGED))
+    price = F.when(live & ~unsent, F.col("value")) if partial else F.when(live, F.col("value"))
     return ev.select(
         (F.col("user_id") * 110 + (F.col("event_id") % 10) * 11).alias("o_orderkey"),
         op.alias(OP),
         F.when(live, F.col("event_type")).alias("o_orderstatus"),
-        F.when(live, F.col("value")).alias("o_totalprice"),
+        price.alias("o_totalprice"),
         F.col("event_id").alias(SEQ),
         epoch.alias(EPOCH),
         *extra,
@@ -94,12 +104,15 @@ def lsn_number(event_id) -> F.Column:
             + event_id.cast("bigint") * F.lit(1048576))
 
 
-def text_feed(spark: SparkSession, sf_dir: str, with_note: bool = False) -> DataFrame:
+def text_feed(spark: SparkSession, sf_dir: str, with_note: bool = False,
+              with_key_change: bool = False) -> DataFrame:
     """Feed A as source text events: (table, op, row map, lsn, ts).
 
     Every 97th event carries the word ``bad`` in one typed field, cycling
     through price, date, flag and quantity, so decoding has rejects.
     ``with_note``: live row images gain a ``note`` key from epoch 3 on.
+    ``with_key_change``: every 5th purchase moved its row from key + 1 to
+    key; ``old_row`` then holds the old key image.
     """
     ev = table(spark, sf_dir, "events")
     op = (F.when(F.col("event_type") == "error", "D")
@@ -127,6 +140,11 @@ def text_feed(spark: SparkSession, sf_dir: str, with_note: bool = False) -> Data
     row = F.when(op == "D", F.create_map(F.lit("o_orderkey"), key.cast("string"))) \
         .otherwise(row)
     lsn = long_to_lsn(lsn_number(F.col("event_id")))
+    extra = []
+    if with_key_change:
+        moved = (F.col("event_type") == "purchase") & ((F.col("event_id") % 5) == 0)
+        extra = [F.when(moved, F.create_map(F.lit("o_orderkey"), (key + 1).cast("string")))
+                 .alias("old_row")]
     return ev.select(
         F.lit(ORDERS_TABLE).alias("table"),
         op.alias("op"),
@@ -134,6 +152,7 @@ def text_feed(spark: SparkSession, sf_dir: str, with_note: bool = False) -> Data
         lsn.alias("lsn"),
         F.col("ts").alias("ts"),
         F.col("event_id").alias("seq"),
+        *extra,
     )
 
 
