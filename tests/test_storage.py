@@ -83,3 +83,21 @@ def test_purge_in_compaction(spark):
                              now="2024-03-10 00:00:00", retention_days=30)
     df, _ = storage.read_base(spark, root, ORDERS_TABLE, storage.base_schema(SQ.ORDERS_DATA))
     assert df.filter(F.col("__deleted_at").isNotNull()).count() == 0
+
+
+def test_concurrent_publish_is_detected_and_retried(spark):
+    root = fresh_dir(spark, "t_race")
+    SQ._setup_table(spark, SF, root)
+    stale = manifest.read_header(spark, root)
+    change = spark.createDataFrame([(ORDERS_TABLE, 25)], "table string, latest_delta_epoch bigint")
+    manifest.update_tables(spark, root, change)                 # writer 1 publishes v2
+    manifest.write_header(spark, root, stale)                   # writer 2 still sees v1
+    try:
+        manifest.publish(spark, root, manifest.read_tables(spark, root))
+        raise AssertionError("expected ConcurrentPublish")
+    except manifest.ConcurrentPublish:
+        pass
+    manifest.write_header(spark, root, {**stale, "tables_version": 2})
+    v = manifest.update_tables(spark, root, spark.createDataFrame(
+        [(ORDERS_TABLE, 26)], "table string, latest_delta_epoch bigint"))
+    assert v == 3 and manifest.entry(spark, root, ORDERS_TABLE)["latest_delta_epoch"] == 26

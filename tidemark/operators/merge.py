@@ -238,25 +238,32 @@ def purge(df: DataFrame, now, retention_days: int = 30) -> DataFrame:
 
 
 def delete_audit(base: DataFrame, deltas: DataFrame, pk: list[str],
-                 order=(EPOCH, SEQ)) -> DataFrame:
+                 order=(EPOCH, SEQ), broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Every delete event with ``__applied``: did it hit a present key?
 
     A delete applies when its key is in the base or received an ``I``/``U``
     earlier in the change order; otherwise the fold ignores it.  Base keys
     and live events are reduced to one row per key (key columns only, partial
-    aggregation) before they meet the deletes in one equi-join.
+    aggregation) before they meet the deletes in one equi-join.  When the
+    deletes are few (count under ``broadcast_rows``), the base keys are first
+    semi-joined with the broadcast delete keys, so only base keys that some
+    delete names are shuffled, not the whole base.
     """
     ordc = order_struct(order)
     otype = deltas.select(ordc.alias("o")).schema["o"].dataType
-    marks = base.select(*pk, F.lit(1).alias("__b"),
-                        F.lit(None).cast(otype).alias("__o")).unionByName(
+    dels = deltas.filter(F.col(OP) == "D").withColumn("__ord", ordc)
+    base_keys = base.select(*pk)
+    if dels.count() <= broadcast_rows:
+        dk = dels.select(*[F.col(k).alias(_ZK + k) for k in pk]).distinct()
+        base_keys = base_keys.join(F.broadcast(dk), _key_match(base_keys, dk, pk), "left_semi")
+    marks = base_keys.select(*pk, F.lit(1).alias("__b"),
+                             F.lit(None).cast(otype).alias("__o")).unionByName(
         deltas.filter(F.col(OP).isin(*LIVE_OPS))
               .select(*pk, F.lit(0).alias("__b"), ordc.alias("__o")))
     per_key = marks.groupBy(*pk).agg(F.max("__b").alias("__in_base"),
                                      F.min("__o").alias("__first_live"))
     per_key = per_key.select(*[F.col(k).alias(_ZK + k) for k in pk],
                              "__in_base", "__first_live")
-    dels = deltas.filter(F.col(OP) == "D").withColumn("__ord", ordc)
     j = dels.join(per_key, _key_match(dels, per_key, pk), "left")
     applied = (F.coalesce(F.col("__in_base"), F.lit(0)) == 1) | \
         F.coalesce(F.col("__first_live") < F.col("__ord"), F.lit(False))

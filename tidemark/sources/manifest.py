@@ -68,15 +68,27 @@ def read_tables(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(TABLE_ENTRY).json(f"{_dir(root)}/tables/v={v}")
 
 
+class ConcurrentPublish(RuntimeError):
+    """Another writer published the same manifest version first."""
+
+
 def publish(spark: SparkSession, root: str, tables: DataFrame, **header_updates) -> int:
-    """Write ``tables`` as a new version, then switch the header to it."""
+    """Write ``tables`` as a new version, then switch the header to it.
+
+    The version directory is created with ``errorifexists``: of two writers
+    that read the same version, the second fails instead of overwriting the
+    first (optimistic concurrency; ``update_tables`` re-reads and retries).
+    """
     header = read_header(spark, root)
     v = int(header.get("tables_version", 0)) + 1
     out = tables.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
                           if f.name in tables.columns else
                           F.lit(None).cast(f.dataType).alias(f.name)
                           for f in TABLE_ENTRY.fields])
-    out.write.mode("overwrite").json(f"{_dir(root)}/tables/v={v}")
+    target = f"{_dir(root)}/tables/v={v}"
+    if fs.exists(spark, target):
+        raise ConcurrentPublish(target)
+    out.write.mode("errorifexists").json(target)
     header.update(header_updates)
     header["tables_version"] = v
     header.pop("updated_at", None)
@@ -85,12 +97,24 @@ def publish(spark: SparkSession, root: str, tables: DataFrame, **header_updates)
     return v
 
 
-def update_tables(spark: SparkSession, root: str, changes: DataFrame, **header_updates) -> int:
+def update_tables(spark: SparkSession, root: str, changes: DataFrame,
+                  retries: int = 5, **header_updates) -> int:
     """Replace the entries named in ``changes`` (by ``table``) and publish.
 
     ``changes`` holds the table name plus the fields to set; other fields
     keep their values.  One join of the (small) changes with the entries.
+    A concurrent publish is retried on the newer version.
     """
+    for attempt in range(retries):
+        try:
+            return _update_once(spark, root, changes, **header_updates)
+        except ConcurrentPublish:
+            if attempt == retries - 1:
+                raise
+    raise AssertionError("unreachable")
+
+
+def _update_once(spark: SparkSession, root: str, changes: DataFrame, **header_updates) -> int:
     cur = read_tables(spark, root)
     chg = changes.select([F.col(c).alias("__n_" + c) if c != "table" else F.col(c)
                           for c in changes.columns])
