@@ -42,22 +42,54 @@ def net_changes_since(deltas: DataFrame, pk: list[str], epoch: int,
 
 
 def latest(deltas: DataFrame, pk: list[str], order=(EPOCH, SEQ)) -> DataFrame:
-    """Latest change row per key, whole row kept (window, rank 1)."""
-    w = Window.partitionBy(*pk).orderBy(*[F.col(c).desc() for c in order])
-    return (deltas.withColumn("__rn", F.row_number().over(w))
-                  .filter(F.col("__rn") == 1).drop("__rn"))
+    """Latest change row per key, whole row kept.
+
+    An arg-max aggregate, not a window: partial aggregation keeps one row per
+    key and task before the shuffle, so a key holding a third of all changes
+    never lands whole in one task.
+    """
+    rest = [c for c in deltas.columns if c not in pk]
+    best = F.max_by(F.struct(*[F.col(c) for c in rest]), M.order_struct(order))
+    return deltas.groupBy(*pk).agg(best.alias("__r")).select(*pk, "__r.*") \
+                 .select(*deltas.columns)
 
 
 def history(deltas: DataFrame, pk: list[str], order=(EPOCH, SEQ)) -> DataFrame:
     """Version history per key: each change with its validity interval.
 
-    ``valid_from`` is the change's epoch, ``valid_to`` the next change's
-    epoch (NULL while current); ``version`` numbers changes from 1.
+    ``version`` numbers a key's changes from 1 in change order,
+    ``valid_from`` is the change's epoch and ``valid_to`` the next change's
+    epoch (NULL while current).
+
+    Skew-safe: a key's changes are cut into slices by the leading order
+    column (the epoch), and each (key, slice) is ranked on its own, so a hot
+    key is spread over as many tasks as it has epochs.  A small per-(key,
+    slice) summary, ordered by slice, gives each slice's version offset and
+    the first epoch of the next slice; it is joined back on (key, slice).
+    Deterministic: slices come from the data, not from partition ids.
     """
-    w = Window.partitionBy(*pk).orderBy(*[F.col(c) for c in order])
-    return (deltas.withColumn("version", F.row_number().over(w))
-                  .withColumn("valid_from", F.col(EPOCH))
-                  .withColumn("valid_to", F.lead(F.col(EPOCH)).over(w)))
+    lead_col = order[0]
+    rest = list(order[1:])
+    w = Window.partitionBy(*pk, lead_col).orderBy(*[F.col(c) for c in rest] or [F.lit(1)])
+    x = (deltas.withColumn("__local", F.row_number().over(w))
+               .withColumn("__next", F.lead(F.col(EPOCH)).over(w)))
+    stats = x.groupBy(*pk, lead_col).agg(
+        F.count(F.lit(1)).alias("__cnt"),
+        F.min_by(F.col(EPOCH), M.order_struct(order)).alias("__first"))
+    ws = Window.partitionBy(*pk).orderBy(lead_col)
+    stats = (stats.withColumn("__offset", F.coalesce(F.sum("__cnt").over(
+                 ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                  .withColumn("__next_first", F.lead("__first").over(ws))
+                  .select(*[F.col(k).alias("__s_" + k) for k in pk + [lead_col]],
+                          "__offset", "__next_first"))
+    cond = F.lit(True)
+    for k in pk + [lead_col]:
+        cond = cond & F.col(k).eqNullSafe(F.col("__s_" + k))
+    j = x.join(stats, cond, "left")
+    return j.select(*deltas.columns,
+                    (F.col("__offset") + F.col("__local")).cast("int").alias("version"),
+                    F.col(EPOCH).alias("valid_from"),
+                    F.coalesce(F.col("__next"), F.col("__next_first")).alias("valid_to"))
 
 
 def resync_plan(tables: DataFrame, consumers: DataFrame) -> DataFrame:
