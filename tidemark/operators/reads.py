@@ -87,7 +87,7 @@ def history(deltas: DataFrame, pk: list[str], order=(EPOCH, SEQ)) -> DataFrame:
         cond = cond & F.col(k).eqNullSafe(F.col("__s_" + k))
     j = x.join(stats, cond, "left")
     return j.select(*deltas.columns,
-                    (F.col("__offset") + F.col("__local")).cast("int").alias("version"),
+                    (F.col("__offset") + F.col("__local")).cast("bigint").alias("version"),
                     F.col(EPOCH).alias("valid_from"),
                     F.coalesce(F.col("__next"), F.col("__next_first")).alias("valid_to"))
 
