@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import flat_name, location, schema_of, table_of
-from tidemark.functions.types import CATALOG_TYPE, PG_CATEGORY, catalog_type, category
+from tidemark.functions.types import (CATALOG_TYPE, PG_CATEGORY, catalog_type, category,
+                                      parse_pg_type)
 
 
 def list_tables(tables: DataFrame, schemas: list[str] | None = None) -> DataFrame:
@@ -77,8 +78,11 @@ def register_table(spark: SparkSession, db: str, name: str, columns: list[dict],
     External data survives the drop; the session catalog has no
     ``CREATE OR REPLACE`` for data-source tables.
     """
-    cols = ", ".join(f"`{c['name']}` {catalog_type(category(c['pg_type']), c.get('precision'), c.get('scale'))}"
-                     for c in columns)
+    def ctype(c):
+        _, p, sc, _ = parse_pg_type(c["pg_type"])
+        return catalog_type(category(c["pg_type"]), c.get("precision") or p,
+                            c.get("scale") if c.get("scale") is not None else sc)
+    cols = ", ".join(f"`{c['name']}` {ctype(c)}" for c in columns)
     props = ", ".join(f"'{k}' = '{v}'" for k, v in sorted(properties.items()))
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
