@@ -58,6 +58,8 @@ def test_compaction_publishes_then_drops(spark):
     assert compaction.tables_to_compact(spark, root) == [ORDERS_TABLE]
     res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
     assert res["status"] == "compacted" and res["base_epoch"] == 20
+    feed = SQ.feed_a(spark, SF).filter("__epoch <= 20")
+    assert res["applied"] == feed.count() and res["deltas"] == 20 and res["purged"] == 0
     e = manifest.entry(spark, root, ORDERS_TABLE)
     assert e["base_epoch"] == 20 and e["row_count"] == res["rows"]
     assert storage.delta_epochs(spark, root, ORDERS_TABLE) == list(range(21, 31))
@@ -79,8 +81,9 @@ def test_compaction_publishes_then_drops(spark):
 def test_purge_in_compaction(spark):
     root = fresh_dir(spark, "t_purge")
     SQ._setup_table(spark, SF, root)
-    compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT,
-                             now="2024-03-10 00:00:00", retention_days=30)
+    res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT,
+                                   now="2024-03-10 00:00:00", retention_days=30)
+    assert res["purged"] == res["tombstones_before_purge"] > 0
     df, _ = storage.read_base(spark, root, ORDERS_TABLE, storage.base_schema(SQ.ORDERS_DATA))
     assert df.filter(F.col("__deleted_at").isNotNull()).count() == 0
 

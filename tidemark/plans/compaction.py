@@ -13,8 +13,10 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.constants import DELETED_AT
 from tidemark.functions.types import struct_for
 from tidemark.operators.merge import merge, purge
 from tidemark.sources import manifest, storage
@@ -67,17 +69,29 @@ def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
                                     upto=base_e, buckets=buckets, pk=pk)
         deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data),
                                      after=base_e, upto=latest)
+        # counters ride along the write job (no extra pass): delta rows read
+        # (every row counts as applied, as in the fold), epochs, pre-purge rows
+        read = Observation(f"deltas_{table}_{latest}")
+        deltas = deltas.observe(read, F.count(F.lit(1)).alias("applied"))
+        n_epochs = sum(1 for x in storage.delta_epochs(spark, root, table) if base_e < x <= latest)
         out = merge(base, deltas, pk, compacted_at,
                     strategy="full" if buckets else strategy, null_safe=not buckets)
+        merged = Observation(f"merged_{table}_{latest}")
+        out = out.observe(merged, F.count(F.lit(1)).alias("rows"),
+                          F.count_if(F.col(DELETED_AT).isNotNull()).alias("tombstones"))
         if now is not None:
             out = purge(out, now, retention_days)
         rows = storage.write_base(out, root, table, latest, buckets=buckets, pk=pk)
+    counters = {**read.get, **merged.get}
     change = spark.createDataFrame([(table, latest, rows)],
                                    "table string, base_epoch bigint, row_count bigint")
     manifest.update_tables(spark, root, change, last_compacted_at=str(compacted_at))
     dropped = storage.drop_deltas(spark, root, table, latest)
     return {"table": table, "status": "compacted", "base_epoch": latest,
-            "rows": rows, "dropped_epochs": len(dropped)}
+            "rows": rows, "dropped_epochs": len(dropped),
+            "deltas": n_epochs, "applied": int(counters["applied"]),
+            "purged": int(counters["rows"]) - rows,
+            "tombstones_before_purge": int(counters["tombstones"])}
 
 
 def tables_to_compact(spark: SparkSession, root: str) -> list[str]:
