@@ -40,16 +40,19 @@ def base_schema(data: T.StructType) -> T.StructType:
     return T.StructType(list(data.fields) + [T.StructField(DELETED_AT, T.TimestampNTZType(), True)])
 
 
-def write_delta(df: DataFrame, root: str, table: str) -> None:
+def write_delta(df: DataFrame, root: str, table: str, single_epoch: bool = False) -> None:
     """Append-only per epoch: replaying an epoch replaces exactly its partition.
 
     With a sequence column, rows are range-partitioned on (epoch, seq): each
     task writes one contiguous run, so files per epoch stay few, and a hot
     epoch is split over several tasks by its sequence instead of landing in
     one.  Without it, rows are only sorted by epoch inside their task.
+    ``single_epoch`` (a micro-batch is one epoch): every task already writes
+    one file into the one partition, so no repartition (and no sampling job).
     """
-    df = df.repartitionByRange(EPOCH, SEQ) if SEQ in df.columns \
-        else df.sortWithinPartitions(EPOCH)
+    if not single_epoch:
+        df = df.repartitionByRange(EPOCH, SEQ) if SEQ in df.columns \
+            else df.sortWithinPartitions(EPOCH)
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(EPOCH).parquet(f"{table_root(root, table)}/deltas"))

@@ -99,7 +99,7 @@ class EpochWriter:
                 evolved = self._evolve(rows, t)
                 typed = decode_events(rows, self.catalog[t], self.on_error) \
                     .withColumn(EPOCH, F.lit(epoch).cast("bigint"))
-                storage.write_delta(typed, self.root, t)
+                storage.write_delta(typed, self.root, t, single_epoch=True)
                 written.append((t, epoch, self.versions[t], evolved))
             if written:
                 self._publish(spark, written)
