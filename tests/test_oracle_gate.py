@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from tools.check_oracle import TABLES, digest
+from tools.check_types import SPARK_TO_DUCK
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,3 +41,9 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
+    # column types line up as well (names alone are not enough for the gate)
+    duck = {c: t for c, t, *_ in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    for f in df.schema.fields:
+        s = f.dataType.simpleString()
+        want = SPARK_TO_DUCK.get(s, s.upper())
+        assert duck[f.name] == want, (f.name, s, duck[f.name])

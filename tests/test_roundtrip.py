@@ -101,3 +101,32 @@ def test_stream_replay_is_idempotent(spark):
     assert [(r["__epoch"], r["id"]) for r in d.collect()] == [(5, 1)]
     assert manifest.entry(spark, root, "public.t")["latest_delta_epoch"] == 5
     assert storage.delta_epochs(spark, root, "public.other") == []   # not replicated
+
+
+def test_json_event_files_stream_to_epochs(spark):
+    """JSON-lines event files -> file stream -> one epoch per micro-batch."""
+    import json as _json
+    from tidemark.sources import manifest
+    from tidemark.streaming.epochs import (EpochWriter, change_stream, events_from_json,
+                                           stream_to_epochs)
+    root = fresh_dir(spark, "t_json")
+    cols = [{"name": "id", "pg_type": "bigint"}, {"name": "p", "pg_type": "numeric(10,2)"},
+            {"name": "meta", "pg_type": "jsonb"}]
+    entry = spark.createDataFrame(
+        [("public.t", "active", [], ["id"], 1,
+          [{**c, "parquet_type": None, "nullable": True, "precision": None, "scale": None}
+           for c in cols], 0, 0, 0, "", "", None)], manifest.TABLE_ENTRY)
+    manifest.publish(spark, root, entry)
+    events = [{"table": "public.t", "op": "I", "row": {"id": i, "p": 1.25 * i, "meta": {"k": i}},
+               "lsn": f"0/{i:X}", "ts": "2024-01-01T00:00:00", "seq": i} for i in range(1, 6)]
+    lines = spark.createDataFrame([(_json.dumps(e),) for e in events], "value string")
+    parsed = events_from_json(lines)
+    assert parsed.filter(F.col("row")["meta"] == '{"k":1}').count() == 1
+    for batch in (parsed.filter("seq <= 3"), parsed.filter("seq > 3")):
+        batch.write.mode("append").json(f"{root}/_landing")
+        q = stream_to_epochs(change_stream(spark, f"{root}/_landing", fmt="json"),
+                             EpochWriter.from_manifest(spark, root), f"{root}/_ckpt")
+        q.awaitTermination()
+    d = storage.read_deltas(spark, root, "public.t", storage.delta_schema(struct_for(cols)))
+    got = sorted((r["__epoch"], r["id"], str(r["p"])) for r in d.collect())
+    assert got == [(1, 1, "1.25"), (1, 2, "2.50"), (1, 3, "3.75"), (2, 4, "5.00"), (2, 5, "6.25")]

@@ -39,6 +39,34 @@ def change_stream(spark: SparkSession, path: str, fmt: str = "parquet",
     return r.load(path)
 
 
+def parse_events(value) -> "F.Column":
+    """JSON event text -> event struct (``EVENT_SCHEMA``).
+
+    Row values of any JSON type arrive as text (numbers, booleans, nested
+    JSON kept verbatim), ready for typed decoding.
+    """
+    return F.from_json(value, EVENT_SCHEMA)
+
+
+def events_from_json(df: DataFrame, value_col: str = "value") -> DataFrame:
+    return df.select(parse_events(F.col(value_col).cast("string")).alias("__e")).select("__e.*")
+
+
+def kafka_change_stream(spark: SparkSession, servers: str, topic: str,
+                        max_offsets: int | None = None,
+                        starting: str = "earliest") -> DataFrame:
+    """Change events from a Kafka topic of JSON events.
+
+    Needs the ``spark-sql-kafka`` package on the classpath (not bundled
+    here).  ``max_offsets`` caps events per micro-batch (the flush size).
+    """
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic).option("startingOffsets", starting))
+    if max_offsets:
+        r = r.option("maxOffsetsPerTrigger", max_offsets)
+    return events_from_json(r.load())
+
+
 class EpochWriter:
     """The ``foreachBatch`` function of ``stream_to_epochs``.
 
