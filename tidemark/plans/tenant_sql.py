@@ -59,7 +59,7 @@ UNION ALL SELECT 10, 'everyone'"""
 AUTH_MEMBERS = """SELECT c_nationkey + 1000 AS roleid, c_custkey + 100000 AS member FROM customer
 UNION ALL SELECT n_regionkey + 100, n_nationkey + 1000 FROM nation
 UNION ALL SELECT 10, r_regionkey + 100 FROM region
-UNION ALL SELECT 1000, 10 FROM nation WHERE n_nationkey = 0"""
+UNION ALL SELECT 1000, 10"""
 
 MEMBERSHIPS = f"""SELECT r.rolname AS role, m.rolname AS member
 FROM ({AUTH_MEMBERS}) am JOIN ({ROLES}) r ON am.roleid = r.oid JOIN ({ROLES}) m ON am.member = m.oid"""
