@@ -11,6 +11,7 @@ never costs another its deltas.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import Observation, SparkSession
@@ -101,6 +102,26 @@ def tables_to_compact(spark: SparkSession, root: str) -> list[str]:
     return sorted(r["table"] for r in due.select("table").collect())
 
 
-def compact_all(spark: SparkSession, root: str, compacted_at, **kw) -> list[dict]:
-    return [compact_table(spark, root, t, compacted_at, **kw)
-            for t in tables_to_compact(spark, root)]
+def compact_all(spark: SparkSession, root: str, compacted_at, parallelism: int = 1,
+                **kw) -> list[dict]:
+    """Compact every table that needs it.
+
+    ``parallelism > 1`` runs that many table jobs at once (Spark schedules
+    concurrent jobs from several threads), so many small tables keep a large
+    cluster busy.  Each worker uses its own session (``newSession``: shared
+    context and catalog, private SQL conf), so per-table settings do not
+    leak; concurrent manifest publishes are serialised by the manifest's
+    optimistic retry.  A failing table fails only itself: the others
+    publish, and the error is reported in its result.
+    """
+    tables = tables_to_compact(spark, root)
+    if parallelism <= 1:
+        return [compact_table(spark, root, t, compacted_at, **kw) for t in tables]
+
+    def one(t):
+        try:
+            return compact_table(spark.newSession(), root, t, compacted_at, **kw)
+        except Exception as e:  # noqa: BLE001 - reported per table
+            return {"table": t, "status": f"failed: {type(e).__name__}: {e}"}
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(one, tables))

@@ -59,3 +59,28 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True)) if fs.exists(p) else False
+
+
+def create_exclusive(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Create ``path`` only if absent (``create(overwrite=False)``); False if
+    another writer holds it.  Atomic on HDFS and local file systems; on
+    object stores use a committer / conditional-write capable scheme."""
+    fs, p = _fs(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception:  # noqa: BLE001 - FileAlreadyExistsException via py4j
+        return False
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
+def age_seconds(spark: SparkSession, path: str) -> float | None:
+    """Seconds since ``path`` was last modified (None when missing)."""
+    import time
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000.0

@@ -15,6 +15,8 @@ and names the current table version, so a publish is all-or-nothing.
 from __future__ import annotations
 
 import json
+import time
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,13 +74,43 @@ class ConcurrentPublish(RuntimeError):
     """Another writer published the same manifest version first."""
 
 
-def publish(spark: SparkSession, root: str, tables: DataFrame, **header_updates) -> int:
+@contextmanager
+def publish_lock(spark: SparkSession, root: str, lease_s: float = 600.0,
+                 wait_s: float = 600.0):
+    """Serialise manifest publishes (streamer and compactor, D18).
+
+    A lock file created exclusively; a holder that died is detected by the
+    file's age (``lease_s``) and its lock broken.  Publishing is a small,
+    quick critical section: read header, write version, swap header.
+    """
+    lock = f"{_dir(root)}/_publish.lock"
+    start, delay = time.time(), 0.05
+    while not fs.create_exclusive(spark, lock, str(time.time())):
+        age = fs.age_seconds(spark, lock)
+        if age is not None and age > lease_s:
+            fs.delete(spark, lock)
+            continue
+        if time.time() - start > wait_s:
+            raise TimeoutError(f"manifest of {root} locked for {wait_s}s")
+        time.sleep(delay)
+        delay = min(delay * 2, 2.0)
+    try:
+        yield
+    finally:
+        fs.delete(spark, lock)
+
+
+def publish(spark: SparkSession, root: str, tables: DataFrame, _locked: bool = False,
+            **header_updates) -> int:
     """Write ``tables`` as a new version, then switch the header to it.
 
-    The version directory is created with ``errorifexists``: of two writers
-    that read the same version, the second fails instead of overwriting the
-    first (optimistic concurrency; ``update_tables`` re-reads and retries).
+    Runs under ``publish_lock``.  A version directory that already exists
+    means the header is stale (a publish outside the lock): that raises
+    ``ConcurrentPublish`` instead of overwriting it.
     """
+    if not _locked:
+        with publish_lock(spark, root):
+            return publish(spark, root, tables, _locked=True, **header_updates)
     header = read_header(spark, root)
     v = int(header.get("tables_version", 0)) + 1
     out = tables.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
@@ -98,20 +130,16 @@ def publish(spark: SparkSession, root: str, tables: DataFrame, **header_updates)
 
 
 def update_tables(spark: SparkSession, root: str, changes: DataFrame,
-                  retries: int = 5, **header_updates) -> int:
+                  **header_updates) -> int:
     """Replace the entries named in ``changes`` (by ``table``) and publish.
 
     ``changes`` holds the table name plus the fields to set; other fields
     keep their values.  One join of the (small) changes with the entries.
-    A concurrent publish is retried on the newer version.
+    Read, merge and publish happen under one ``publish_lock``, so concurrent
+    writers never lose each other's updates.
     """
-    for attempt in range(retries):
-        try:
-            return _update_once(spark, root, changes, **header_updates)
-        except ConcurrentPublish:
-            if attempt == retries - 1:
-                raise
-    raise AssertionError("unreachable")
+    with publish_lock(spark, root):
+        return _update_once(spark, root, changes, **header_updates)
 
 
 def _update_once(spark: SparkSession, root: str, changes: DataFrame, **header_updates) -> int:
@@ -124,7 +152,7 @@ def _update_once(spark: SparkSession, root: str, changes: DataFrame, **header_up
             for f in TABLE_ENTRY.fields]
     # Reads version v, writes v+1: a different directory, so no
     # read-while-overwrite hazard and no need to materialise first.
-    return publish(spark, root, j.select(*cols), **header_updates)
+    return publish(spark, root, j.select(*cols), _locked=True, **header_updates)
 
 
 def entry(spark: SparkSession, root: str, table: str) -> dict | None:

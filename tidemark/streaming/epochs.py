@@ -15,6 +15,8 @@ against the source catalog and appended to the table schema per batch.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -76,7 +78,7 @@ class EpochWriter:
 
     def __init__(self, root: str, catalog: dict[str, list[dict]], first_epoch: int = 1,
                  source_columns: dict[str, list[dict]] | None = None,
-                 on_error: str = "null", max_tables: int = 10_000):
+                 on_error: str = "null", max_tables: int = 10_000, parallelism: int = 4):
         self.root = root
         self.catalog = {t: list(c) for t, c in catalog.items()}
         self.versions = {t: 1 for t in catalog}
@@ -84,6 +86,7 @@ class EpochWriter:
         self.source_columns = source_columns or {}
         self.on_error = on_error
         self.max_tables = max_tables
+        self.parallelism = parallelism
 
     @classmethod
     def from_manifest(cls, spark: SparkSession, root: str, **kw) -> "EpochWriter":
@@ -119,16 +122,17 @@ class EpochWriter:
                        .limit(self.max_tables + 1).collect()]
             if len(present) > self.max_tables:
                 raise RuntimeError("more tables in one batch than max_tables")
-            written = []
-            for t in sorted(present):
-                if t not in self.catalog:
-                    continue            # not replicated: skipped
+            def write(t):
                 rows = batch.filter(F.col("table") == t)
                 evolved = self._evolve(rows, t)
                 typed = decode_events(rows, self.catalog[t], self.on_error) \
                     .withColumn(EPOCH, F.lit(epoch).cast("bigint"))
                 storage.write_delta(typed, self.root, t, single_epoch=True)
-                written.append((t, epoch, self.versions[t], evolved))
+                return (t, epoch, self.versions[t], evolved)
+            todo = sorted(t for t in present if t in self.catalog)  # others: skipped
+            # one write job per table; up to ``parallelism`` run at once
+            with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
+                written = list(pool.map(write, todo))
             if written:
                 self._publish(spark, written)
         finally:
