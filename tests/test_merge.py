@@ -153,3 +153,19 @@ def test_key_change_splits(spark):
                         [{"name": "id", "pg_type": "bigint"}, {"name": "v", "pg_type": "text"}])
     got = sorted((r["__op"], r["id"], r["v"]) for r in out.collect())
     assert got == [("D", 1, None), ("U", 2, "x"), ("U", 3, "y"), ("U", 4, "z")]
+
+
+@pytest.mark.parametrize("strategy", ["full", "broadcast", "auto"])
+def test_edge_inputs(spark, strategy):
+    schema = "k bigint, __op string, v string, __epoch bigint, __seq bigint"
+    base = spark.createDataFrame([(1, "a")], "k bigint, v string")
+    empty_d = spark.createDataFrame([], schema)
+    out = M.merge(base, empty_d, ["k"], STAMP, strategy=strategy).collect()
+    assert [(r["k"], r["v"], r["__deleted_at"]) for r in out] == [(1, "a", None)]
+    only_unknown = spark.createDataFrame([(1, "T", None, 1, 1), (2, "X", "z", 1, 2)], schema)
+    out = M.merge(base, only_unknown, ["k"], STAMP, strategy=strategy).collect()
+    assert [(r["k"], r["v"]) for r in out] == [(1, "a")]
+    empty_b = spark.createDataFrame([], "k bigint, v string")
+    d = spark.createDataFrame([(5, "I", "n", 1, 1), (6, "D", None, 1, 2)], schema)
+    out = M.merge(empty_b, d, ["k"], STAMP, strategy=strategy).collect()
+    assert [(r["k"], r["v"]) for r in out] == [(5, "n")]

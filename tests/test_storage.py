@@ -124,3 +124,30 @@ def test_parallel_compaction_of_many_tables(spark):
     got = {r["table"]: r["base_epoch"] for r in manifest.read_tables(spark, root).collect()}
     assert got == {"public.orders": 10, "shop.orders": 11, "audit.orders": 12}
     assert spark.conf.get("spark.sql.shuffle.partitions") != "2"      # no leak
+
+
+def test_first_compaction_without_base(spark):
+    root = fresh_dir(spark, "t_nobase")
+    SQ._write_feed(spark, SF, root)
+    entry = spark.createDataFrame(
+        [(ORDERS_TABLE, "active", [], ORDERS_PK, 1, SQ.ORDERS_COLUMNS, 0, 30, None, "", "",
+          None)], manifest.TABLE_ENTRY)
+    manifest.publish(spark, root, entry)
+    res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    assert res["status"] == "compacted" and res["rows"] > 0
+    assert storage.delta_epochs(spark, root, ORDERS_TABLE) == []
+    df, e = storage.read_base(spark, root, ORDERS_TABLE, storage.base_schema(SQ.ORDERS_DATA))
+    assert e == 30 and df.count() == res["rows"]
+
+
+def test_no_primary_key_is_an_error(spark):
+    root = fresh_dir(spark, "t_nopk")
+    entry = spark.createDataFrame(
+        [(ORDERS_TABLE, "active", [], [], 1, SQ.ORDERS_COLUMNS, 0, 3, None, "", "", None)],
+        manifest.TABLE_ENTRY)
+    manifest.publish(spark, root, entry)
+    try:
+        compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+        raise AssertionError("expected ValueError")
+    except ValueError as e:
+        assert "primary key" in str(e)
