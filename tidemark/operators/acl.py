@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import qualify
+from tidemark.session import checkpoint
 
 # Schemas whose grants are never exported.
 SYSTEM_SCHEMAS = ("pg_catalog", "information_schema")
@@ -102,7 +103,7 @@ def membership_closure(edges: DataFrame, max_depth: int = 8) -> DataFrame:
         new = step.join(reached.select("role", "member"), ["role", "member"], "left_anti")
         new = new.withColumn("depth", F.lit(level))
         if level % 3 == 0:
-            new = new.checkpoint()
+            new = checkpoint(new)
         if new.isEmpty():
             break
         reached = reached.unionByName(new)

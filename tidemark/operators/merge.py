@@ -7,9 +7,10 @@ Per primary key, events are applied in order (epoch, then sequence):
   ``D`` on an absent key is ignored;
 * any other op has no effect; keys without events pass through.
 
-The fold is set-based: one hash aggregate per key over the deltas (partial
+The fold is set-based: one aggregate per key over the deltas (partial
 aggregation on the map side, so a hot key costs one row per task before the
-shuffle), then one join with the base.  Note that "take the last event" is
+shuffle; sort-based, since ``max_by`` buffers hold strings and structs),
+then one join with the base.  Note that "take the last event" is
 *not* enough: a trailing ``D`` must carry forward the last ``I``/``U`` image
 of the same batch, so the image is an arg-max restricted to live ops.
 """
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 
 from tidemark.constants import (ALL_META, DEFAULT_BROADCAST_ROWS, DELETED_AT,
                                 EPOCH, LIVE_OPS, OP, OPS, SEQ, UNCHANGED)
+from tidemark.session import checkpoint
 
 LAST_OP = "__last_op"
 IMG = "__img"
@@ -217,7 +219,7 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
         keep = present | (F.coalesce(F.col(N_IU), F.lit(0)) > 0)
         return j.filter(keep).select(*_merged_columns(keys, data_cols, stamp, present, partial))
     # broadcast split; z is bounded by the row check, so writing it is cheap
-    z = z.checkpoint(eager=True)
+    z = checkpoint(z)
     part1 = b_enc.join(F.broadcast(z), kcols, "left") \
         .select(*_merged_columns(keys, data_cols, stamp, True, partial))
     hit = b_enc.select(*kcols).join(F.broadcast(z.select(*kcols)), kcols, "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "tidemark", master: str | None = None,
@@ -45,6 +45,16 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def checkpoint(df: DataFrame) -> DataFrame:
+    """``df.checkpoint()`` into the shared folder (reliable: survives the loss
+    of executors; never a local checkpoint).  Registers the folder with the
+    context first when only the session conf names it."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    return df.checkpoint(eager=True)
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared folder (never reused)."""
     return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
