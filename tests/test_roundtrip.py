@@ -130,3 +130,31 @@ def test_json_event_files_stream_to_epochs(spark):
     d = storage.read_deltas(spark, root, "public.t", storage.delta_schema(struct_for(cols)))
     got = sorted((r["__epoch"], r["id"], str(r["p"])) for r in d.collect())
     assert got == [(1, 1, "1.25"), (1, 2, "2.50"), (1, 3, "3.75"), (2, 4, "5.00"), (2, 5, "6.25")]
+
+
+def test_file_cap_gives_one_epoch_per_batch_and_keeps_rejects(spark):
+    """``maxFilesPerTrigger=1`` over three landed files -> epochs 1, 2, 3;
+    values that fail to parse are kept per epoch."""
+    from tidemark.sources import manifest
+    from tidemark.streaming.epochs import EpochWriter, change_stream, stream_to_epochs
+    root = fresh_dir(spark, "t_cap")
+    cols = [{"name": "id", "pg_type": "bigint"}, {"name": "q", "pg_type": "integer"}]
+    entry = spark.createDataFrame(
+        [("public.t", "active", [], ["id"], 1,
+          [{**c, "parquet_type": None, "nullable": True, "precision": None, "scale": None}
+           for c in cols], 0, 0, 0, "", "", None)], manifest.TABLE_ENTRY)
+    manifest.publish(spark, root, entry)
+    for i in range(3):
+        spark.createDataFrame(
+            [("public.t", "I", {"id": str(i), "q": "bad" if i == 1 else "7"}, None, None, i)],
+            "table string, op string, row map<string,string>, lsn string, "
+            "ts timestamp_ntz, seq bigint").coalesce(1).write.mode("append") \
+            .parquet(f"{root}/_landing")
+    w = EpochWriter.from_manifest(spark, root, keep_rejects=True)
+    q = stream_to_epochs(change_stream(spark, f"{root}/_landing", max_files=1), w,
+                         f"{root}/_ckpt")
+    q.awaitTermination()
+    assert storage.delta_epochs(spark, root, "public.t") == [1, 2, 3]
+    rej = [(r["__epoch"], r["column_name"], r["raw"])
+           for r in storage.read_rejects(spark, root, "public.t").collect()]
+    assert len(rej) == 1 and rej[0][1:] == ("q", "bad")

@@ -58,6 +58,21 @@ def write_delta(df: DataFrame, root: str, table: str, single_epoch: bool = False
        .partitionBy(EPOCH).parquet(f"{table_root(root, table)}/deltas"))
 
 
+def write_rejects(df: DataFrame, root: str, table: str) -> None:
+    """Values that failed to parse, kept per epoch beside the deltas
+    (``_rejects/__epoch=N``; replay replaces the epoch's partition)."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(EPOCH).parquet(f"{table_root(root, table)}/_rejects"))
+
+
+def read_rejects(spark: SparkSession, root: str, table: str) -> DataFrame:
+    path = f"{table_root(root, table)}/_rejects"
+    schema = "seq bigint, table string, column_name string, raw string, __epoch bigint"
+    if not fs.exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def delta_epochs(spark: SparkSession, root: str, table: str) -> list[int]:
     """Epochs present on storage (directory names only, sorted numerically)."""
     out = []

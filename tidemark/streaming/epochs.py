@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.constants import EPOCH
-from tidemark.operators.events import EVENT_SCHEMA, decode_events
+from tidemark.operators.events import EVENT_SCHEMA, decode_events, decode_rejects
 from tidemark.operators.schema import evolve, unknown_columns
 from tidemark.sources import manifest, storage
 from tidemark.functions.types import category
@@ -78,7 +78,8 @@ class EpochWriter:
 
     def __init__(self, root: str, catalog: dict[str, list[dict]], first_epoch: int = 1,
                  source_columns: dict[str, list[dict]] | None = None,
-                 on_error: str = "null", max_tables: int = 10_000, parallelism: int = 4):
+                 on_error: str = "null", max_tables: int = 10_000, parallelism: int = 4,
+                 keep_rejects: bool = False):
         self.root = root
         self.catalog = {t: list(c) for t, c in catalog.items()}
         self.versions = {t: 1 for t in catalog}
@@ -87,6 +88,7 @@ class EpochWriter:
         self.on_error = on_error
         self.max_tables = max_tables
         self.parallelism = parallelism
+        self.keep_rejects = keep_rejects
 
     @classmethod
     def from_manifest(cls, spark: SparkSession, root: str, **kw) -> "EpochWriter":
@@ -128,6 +130,10 @@ class EpochWriter:
                 typed = decode_events(rows, self.catalog[t], self.on_error) \
                     .withColumn(EPOCH, F.lit(epoch).cast("bigint"))
                 storage.write_delta(typed, self.root, t, single_epoch=True)
+                if self.keep_rejects:
+                    bad = decode_rejects(rows, self.catalog[t]) \
+                        .withColumn(EPOCH, F.lit(epoch).cast("bigint"))
+                    storage.write_rejects(bad, self.root, t)
                 return (t, epoch, self.versions[t], evolved)
             todo = sorted(t for t in present if t in self.catalog)  # others: skipped
             # one write job per table; up to ``parallelism`` run at once
