@@ -258,3 +258,66 @@ def live_view_q(spark, d):
     change = spark.createDataFrame([(ORDERS_TABLE, 30)], "table string, latest_delta_epoch bigint")
     manifest.update_tables(spark, root, change)       # the streamer flushed up to 30
     return live_view(spark, root, ORDERS_TABLE, "orders_live", COMPACTED_AT)
+
+
+# The source catalog of the initial load (eight test tables).
+INIT_TABLES = {
+    "public.region": ([("r_regionkey", "integer"), ("r_name", "text")], ["r_regionkey"]),
+    "public.nation": ([("n_nationkey", "integer"), ("n_name", "text"),
+                       ("n_regionkey", "integer")], ["n_nationkey"]),
+    "public.customer": ([("c_custkey", "bigint"), ("c_name", "text"), ("c_nationkey", "integer"),
+                         ("c_acctbal", "numeric(12,2)"), ("c_mktsegment", "text")], ["c_custkey"]),
+    "public.supplier": ([("s_suppkey", "bigint"), ("s_name", "text"), ("s_nationkey", "integer"),
+                         ("s_acctbal", "numeric(12,2)")], ["s_suppkey"]),
+    "public.part": ([("p_partkey", "bigint"), ("p_name", "text"), ("p_size", "integer")],
+                    ["p_partkey"]),
+    "public.orders": ([("o_orderkey", "bigint"), ("o_custkey", "bigint"),
+                       ("o_totalprice", "double precision"),
+                       ("o_orderdate", "timestamp without time zone")], ["o_orderkey"]),
+    "public.lineitem": ([("l_orderkey", "bigint"), ("l_linenumber", "integer"),
+                         ("l_quantity", "double precision")], []),
+    "public.events": ([("event_id", "bigint"), ("ts", "timestamp without time zone"),
+                       ("event_type", "text")], ["event_id"]),
+}
+INIT_POLICY = {"exclude": ["public.supplier"],
+               "tags": {"pii": ["public.customer"], "stream": ["public.event?"]},
+               "policy": {"pii": "exclude"}}
+
+
+def _init_sources(d):
+    return {t: {"columns": [{"name": n, "pg_type": ty} for n, ty in cols], "primary_key": pk,
+                "path": f"{d}/{t.split('.', 1)[1]}.parquet"}
+            for t, (cols, pk) in INIT_TABLES.items()}
+
+
+@query("init_snapshot", """SELECT 'public.region' AS "table", 'active' AS status,
+       (SELECT count(*) FROM region) AS row_count, '' AS reason, '' AS tags
+UNION ALL SELECT 'public.nation', 'active', (SELECT count(*) FROM nation), '', ''
+UNION ALL SELECT 'public.customer', 'excluded', NULL, 'policy:pii', 'pii'
+UNION ALL SELECT 'public.supplier', 'excluded', NULL, 'explicit exclude', ''
+UNION ALL SELECT 'public.part', 'active', (SELECT count(*) FROM part), '', ''
+UNION ALL SELECT 'public.orders', 'active', (SELECT count(*) FROM orders), '', ''
+UNION ALL SELECT 'public.lineitem', 'excluded', NULL, 'no primary key', ''
+UNION ALL SELECT 'public.events', 'active', (SELECT count(*) FROM events), '', 'stream'""")
+def init_snapshot(spark, d):
+    """Initial load of eight test tables: policy, key check, base epoch 0,
+    manifest (S1 S2 S8 P6-P9 A7 T4)."""
+    from tidemark.plans.snapshot_init import init_tables
+    root = fresh_dir(spark, "init")
+    t = init_tables(spark, root, _init_sources(d), INIT_POLICY)
+    return t.select("table", "status", "row_count", "reason",
+                    F.concat_ws(",", "tags").alias("tags"))
+
+
+@query("init_base_orders", """SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
+       CAST(NULL AS TIMESTAMP) AS __deleted_at FROM orders""")
+def init_base_orders(spark, d):
+    """The orders base written by the initial load, read back typed."""
+    from tidemark.functions.types import struct_for
+    from tidemark.plans.snapshot_init import init_tables
+    root = fresh_dir(spark, "init_orders")
+    init_tables(spark, root, _init_sources(d), INIT_POLICY)
+    cols, _ = INIT_TABLES["public.orders"]
+    data = struct_for([{"name": n, "pg_type": ty} for n, ty in cols])
+    df, _ = storage.read_base(spark, root, "public.orders", storage.base_schema(data))
+    return df
