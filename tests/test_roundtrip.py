@@ -158,3 +158,39 @@ def test_file_cap_gives_one_epoch_per_batch_and_keeps_rejects(spark):
     rej = [(r["__epoch"], r["column_name"], r["raw"])
            for r in storage.read_rejects(spark, root, "public.t").collect()]
     assert len(rej) == 1 and rej[0][1:] == ("q", "bad")
+
+
+def test_new_stream_never_reuses_epochs(spark):
+    """A second stream (new checkpoint) on the same root starts after every
+    existing epoch; resuming the first keeps its own numbering."""
+    from tidemark.sources import manifest
+    from tidemark.streaming.epochs import EpochWriter, change_stream, stream_to_epochs
+    root = fresh_dir(spark, "t_epochs")
+    cols = [{"name": "id", "pg_type": "bigint"}]
+    entry = spark.createDataFrame(
+        [("public.t", "active", [], ["id"], 1,
+          [{**c, "parquet_type": None, "nullable": True, "precision": None, "scale": None}
+           for c in cols], 0, 0, 0, "", "", None)], manifest.TABLE_ENTRY)
+    manifest.publish(spark, root, entry)
+    schema = "table string, op string, row map<string,string>, lsn string, ts timestamp_ntz, seq bigint"
+
+    def land(where, i):
+        spark.createDataFrame([("public.t", "I", {"id": str(i)}, None, None, i)], schema) \
+            .write.mode("append").parquet(where)
+
+    def run(where, ckpt):
+        q = stream_to_epochs(change_stream(spark, where),
+                             EpochWriter.from_manifest(spark, root, checkpoint=ckpt), ckpt)
+        q.awaitTermination()
+
+    land(f"{root}/a", 1)
+    run(f"{root}/a", f"{root}/ck_a")                    # stream A: epoch 1
+    land(f"{root}/b", 2)
+    run(f"{root}/b", f"{root}/ck_b")                    # stream B: starts at 2
+    land(f"{root}/a", 3)
+    run(f"{root}/a", f"{root}/ck_a")                    # A resumes: next epoch is 3
+    d = storage.read_deltas(spark, root, "public.t", storage.delta_schema(struct_for(cols)))
+    ids = sorted((r["__epoch"], r["id"]) for r in d.collect())
+    assert ids == [(1, 1), (2, 2), (3, 3)], ids
+    # a replay of A's last batch gets its epoch back
+    assert manifest.allocate_epoch(spark, root, f"{root}/ck_a", 1) == 3

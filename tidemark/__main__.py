@@ -82,7 +82,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "stream":
         from tidemark.streaming.epochs import EpochWriter, change_stream, stream_to_epochs
         trigger = {"processingTime": args.interval} if args.interval else None
-        w = EpochWriter.from_manifest(spark, args.root)
+        w = EpochWriter.from_manifest(spark, args.root, checkpoint=args.checkpoint)
         q = stream_to_epochs(change_stream(spark, args.landing, args.format, args.max_files),
                              w, args.checkpoint, trigger)
         q.awaitTermination()

@@ -34,7 +34,7 @@ def _init_manifest(spark, root):
 
 
 def _run(spark, root, landing, checkpoint, **kw):
-    w = EpochWriter.from_manifest(spark, root, **kw)
+    w = EpochWriter.from_manifest(spark, root, checkpoint=checkpoint, **kw)
     q = stream_to_epochs(change_stream(spark, landing), w, checkpoint)
     q.awaitTermination()
     if q.exception() is not None:

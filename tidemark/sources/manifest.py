@@ -62,6 +62,33 @@ def write_header(spark: SparkSession, root: str, header: dict) -> None:
     fs.write_text(spark, f"{_dir(root)}/header.json", json.dumps(header, sort_keys=True))
 
 
+def allocate_epoch(spark: SparkSession, root: str, stream: str, batch_id: int) -> int:
+    """The epoch of micro-batch ``batch_id`` of ``stream`` (its checkpoint).
+
+    Under the publish lock: a replay of the stream's last batch gets the
+    epoch it had; a new batch gets one past the newest epoch of any table
+    and any stream.  Epochs stay global, increasing and never reused, even
+    with several streams writing into one root.  Only each stream's last
+    allocation is kept (Spark replays at most the last uncommitted batch).
+    """
+    with publish_lock(spark, root):
+        header = read_header(spark, root)
+        streams = dict(header.get("streams") or {})
+        last = streams.get(stream)
+        if last and int(last["batch"]) == batch_id:
+            return int(last["epoch"])
+        if last and int(last["batch"]) > batch_id:
+            raise RuntimeError(f"stream {stream}: batch {batch_id} after {last['batch']}")
+        tables_max = read_tables(spark, root).agg(F.max("latest_delta_epoch")).collect()[0][0]
+        streams_max = max([int(v["epoch"]) for v in streams.values()] or [0])
+        epoch = max(int(tables_max or 0), streams_max) + 1
+        streams[stream] = {"batch": batch_id, "epoch": epoch}
+        header["streams"] = streams
+        header.pop("updated_at", None)
+        write_header(spark, root, header)
+        return epoch
+
+
 def read_tables(spark: SparkSession, root: str) -> DataFrame:
     """One row per table of the current manifest version."""
     v = read_header(spark, root).get("tables_version")

@@ -1,9 +1,11 @@
 """Change events -> epoch-partitioned deltas with Structured Streaming.
 
-One micro-batch is one epoch: ``epoch = first_epoch + batch_id``.  The
-checkpoint holds the source position (resume), a replayed batch keeps its
-id and so its epoch, and each table's epoch partition is written with
-dynamic overwrite, so a replay replaces exactly what it wrote.  The
+One micro-batch is one epoch.  The epoch is allocated through the manifest
+per (stream, batch id): a replayed batch keeps its id and so its epoch, a
+new batch of any stream gets one past the newest epoch, so several streams
+can write into one root without ever reusing an epoch.  The checkpoint holds
+the source position (resume), and each table's epoch partition is written
+with dynamic overwrite, so a replay replaces exactly what it wrote.  The
 manifest is published after the data (consumers never see an epoch whose
 files are missing), and a failed batch fails the query instead of being
 dropped; Spark re-runs it on restart.
@@ -79,7 +81,7 @@ class EpochWriter:
     def __init__(self, root: str, catalog: dict[str, list[dict]], first_epoch: int = 1,
                  source_columns: dict[str, list[dict]] | None = None,
                  on_error: str = "null", max_tables: int = 10_000, parallelism: int = 4,
-                 keep_rejects: bool = False):
+                 keep_rejects: bool = False, stream: str | None = None):
         self.root = root
         self.catalog = {t: list(c) for t, c in catalog.items()}
         self.versions = {t: 1 for t in catalog}
@@ -89,11 +91,17 @@ class EpochWriter:
         self.max_tables = max_tables
         self.parallelism = parallelism
         self.keep_rejects = keep_rejects
+        self.stream = stream
 
     @classmethod
-    def from_manifest(cls, spark: SparkSession, root: str, **kw) -> "EpochWriter":
+    def from_manifest(cls, spark: SparkSession, root: str, checkpoint: str | None = None,
+                      **kw) -> "EpochWriter":
         """Resume with the schemas the manifest holds (active tables only;
-        one small row per table reaches the driver)."""
+        one small row per table reaches the driver).  With ``checkpoint``
+        each batch's epoch is allocated through the manifest (see
+        ``manifest.allocate_epoch``)."""
+        if checkpoint is not None:
+            kw.setdefault("stream", checkpoint)
         t = manifest.read_tables(spark, root).filter("status = 'active'") \
             .select("table", "schema_version", "columns").collect()
         w = cls(root, {r["table"]: [c.asDict() for c in (r["columns"] or [])] for r in t}, **kw)
@@ -116,7 +124,10 @@ class EpochWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        epoch = self.first_epoch + batch_id
+        # stable under replay, never reused: allocated per (stream, batch)
+        # through the manifest, or first_epoch + batch_id for a lone stream
+        epoch = manifest.allocate_epoch(spark, self.root, self.stream, batch_id) \
+            if self.stream else self.first_epoch + batch_id
         batch = batch.persist()
         try:
             # distinct table names of this batch: bounded by the catalog size
