@@ -151,3 +151,14 @@ def test_no_primary_key_is_an_error(spark):
         raise AssertionError("expected ValueError")
     except ValueError as e:
         assert "primary key" in str(e)
+
+
+def test_bucketed_base_reads_added_columns_as_null(spark):
+    from pyspark.sql import types as T
+    root = fresh_dir(spark, "t_bucket_evolve")
+    SQ._setup_table(spark, SF, root, buckets=2)
+    wider = T.StructType(storage.base_schema(SQ.ORDERS_DATA).fields +
+                         [T.StructField("note", T.StringType())])
+    df, _ = storage.read_base(spark, root, ORDERS_TABLE, wider, buckets=2, pk=ORDERS_PK)
+    assert df.columns[-1] == "note" and df.filter("note IS NOT NULL").count() == 0
+    assert as_of(spark, root, ORDERS_TABLE, 3, COMPACTED_AT).count() > 0

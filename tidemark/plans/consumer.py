@@ -25,7 +25,10 @@ def as_of(spark: SparkSession, root: str, table: str, epoch: int, stamp,
     if e is None:
         raise KeyError(table)
     data = _schema(e)
-    base, b = storage.read_base(spark, root, table, storage.base_schema(data), upto=epoch)
+    pk = list(e["primary_key"])
+    buckets = int(e["buckets"]) if e.get("buckets") else None
+    base, b = storage.read_base(spark, root, table, storage.base_schema(data), upto=epoch,
+                                buckets=buckets, pk=pk)
     b = b or 0
     newest = max(storage.base_epochs(spark, root, table) or [0])
     if b < newest and epoch > b:
@@ -33,7 +36,8 @@ def as_of(spark: SparkSession, root: str, table: str, epoch: int, stamp,
                          f"base {b} up to {newest} were consumed by compaction")
     deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data),
                                  after=b, upto=epoch)
-    return M.merge(base, deltas, e["primary_key"], stamp, strategy=strategy)
+    # a bucketed base keeps its bucketing through a join on the raw key
+    return M.merge(base, deltas, pk, stamp, strategy=strategy, null_safe=not buckets)
 
 
 def live_view(spark: SparkSession, root: str, table: str, view: str, stamp) -> DataFrame:

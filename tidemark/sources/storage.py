@@ -162,7 +162,10 @@ def read_base(spark: SparkSession, root: str, table: str, schema: T.StructType,
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
               f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS "
               f"LOCATION '{path}'")
-    return spark.table(name).select(*schema.fieldNames()), e
+    t = spark.table(name)
+    # columns added to the schema after this base was written read as NULL
+    return t.select(*[(F.col(f.name) if f.name in t.columns else F.lit(None))
+                      .cast(f.dataType).alias(f.name) for f in schema.fields]), e
 
 
 def drop_deltas(spark: SparkSession, root: str, table: str, upto: int) -> list[int]:
