@@ -90,8 +90,9 @@ def membership_closure(edges: DataFrame, max_depth: int = 8) -> DataFrame:
 
     Breadth-first expansion, one equi-join per level; ``depth`` is the
     shortest path length.  Each level keeps only pairs not reached before,
-    so cycles terminate; the loop runs at most ``max_depth`` levels and the
-    lineage is cut with ``checkpoint()`` every few levels.
+    so cycles terminate; the loop runs at most ``max_depth`` levels.  Each
+    level's new pairs are checkpointed once, so nothing is recomputed and the
+    lineage stays flat.
     """
     e = edges.select("role", "member").distinct()
     reached = e.withColumn("depth", F.lit(1))
@@ -101,9 +102,9 @@ def membership_closure(edges: DataFrame, max_depth: int = 8) -> DataFrame:
                 .join(e.select("role", F.col("member").alias("mid")), "mid")
                 .select("role", "member").distinct())
         new = step.join(reached.select("role", "member"), ["role", "member"], "left_anti")
-        new = new.withColumn("depth", F.lit(level))
-        if level % 3 == 0:
-            new = checkpoint(new)
+        # computed once per level, written to the shared folder: the test for
+        # an empty level, the union and the next frontier all read the files
+        new = checkpoint(new.withColumn("depth", F.lit(level)))
         if new.isEmpty():
             break
         reached = reached.unionByName(new)
