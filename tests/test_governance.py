@@ -70,3 +70,11 @@ def test_membership_closure_with_cycle(spark):
     got = {(r["role"], r["member"]): r["depth"] for r in A.membership_closure(e, 5).collect()}
     assert got[("b", "a")] == 1 and got[("c", "a")] == 2 and got[("a", "a")] == 3
     assert len(got) == 9
+
+
+def test_internal_globs(spark):
+    r = resolve(spark, ["public.tbl_migration_v2", "audit.schema_version", "public.orders"],
+                tags={"internal": ["*.tbl_migration*", "*.schema_version"]},
+                policy={"internal": "exclude"})
+    assert [t for t, v in sorted(r.items()) if v[0]] == ["public.orders"]
+    assert r["audit.schema_version"][1] == "policy:internal"

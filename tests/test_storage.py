@@ -162,3 +162,18 @@ def test_bucketed_base_reads_added_columns_as_null(spark):
     df, _ = storage.read_base(spark, root, ORDERS_TABLE, wider, buckets=2, pk=ORDERS_PK)
     assert df.columns[-1] == "note" and df.filter("note IS NOT NULL").count() == 0
     assert as_of(spark, root, ORDERS_TABLE, 3, COMPACTED_AT).count() > 0
+
+
+def test_compaction_retry_after_partial_write(spark):
+    """A failed attempt left a partial base directory: the retry replaces it."""
+    root = fresh_dir(spark, "t_retry")
+    SQ._setup_table(spark, SF, root)
+    junk = spark.createDataFrame([(999999, "junk", 0.0, None)],
+                                 "o_orderkey bigint, o_orderstatus string, o_totalprice double, "
+                                 "__deleted_at timestamp_ntz")
+    junk.write.parquet(f"{root}/{ORDERS_TABLE}/base/__base_epoch=20")   # leftover, unpublished
+    assert manifest.entry(spark, root, ORDERS_TABLE)["base_epoch"] == 0
+    res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    df, e = storage.read_base(spark, root, ORDERS_TABLE, storage.base_schema(SQ.ORDERS_DATA))
+    assert e == 20 and df.filter("o_orderkey = 999999").count() == 0
+    assert df.count() == res["rows"]

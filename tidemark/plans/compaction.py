@@ -60,6 +60,7 @@ def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
     latest = int(e.get("latest_delta_epoch") or 0)
     if latest <= base_e:
         return {"table": table, "status": "up to date", "base_epoch": base_e}
+    assert latest > base_e   # the new base never overwrites the one being read
     data = struct_for(cols)
     buckets = int(e["buckets"]) if e.get("buckets") else None
     # Bucketed base: fold shuffle partitions = bucket count, so the fold's

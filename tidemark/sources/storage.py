@@ -120,7 +120,11 @@ def write_base(df: DataFrame, root: str, table: str, epoch: int,
     """
     path = f"{table_root(root, table)}/base/{BASE_EPOCH}={epoch}"
     obs = Observation(f"base_{re.sub(r'[^0-9A-Za-z_]', '_', table)}_{epoch}")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
+    # Overwrite: a directory at this epoch can only be the leftover of a
+    # failed attempt (the manifest names a base only after its write
+    # succeeded, and callers never write the base they read), so a retry
+    # replaces it instead of failing forever.
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if buckets:
         if not pk:
             raise ValueError("a bucketed base needs its primary key")
