@@ -47,3 +47,17 @@ def test_query_matches_oracle(spark, con, name):
         s = f.dataType.simpleString()
         want = SPARK_TO_DUCK.get(s, s.upper())
         assert duck[f.name] == want, (f.name, s, duck[f.name])
+
+
+@pytest.mark.parametrize("name", ["catalog_register", "decode_typed", "tombstone_purge",
+                                  "stream_resume", "version_history"])
+def test_results_do_not_depend_on_the_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    r = con.execute(E.oracle_sql()[name])
+    assert digest(df.columns, rows)[0] == digest([x[0] for x in r.description], r.fetchall())[0]

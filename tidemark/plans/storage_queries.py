@@ -174,8 +174,7 @@ def catalog_register(spark, d):
                      {"classification": "parquet", "cdc.source_schema": schema,
                       "cdc.source_table": table, "cdc.schema_version": str(e["schema_version"]),
                       "cdc.base_epoch": str(e["base_epoch"])})
-    return spark.table(f"tidemark_cdc.{name}").withColumn(
-        "__deleted_at", F.col("__deleted_at").cast("timestamp_ntz"))
+    return spark.table(f"tidemark_cdc.{name}")
 
 
 def _tenant_manifest(spark, d):

@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import flat_name, location, schema_of, table_of
-from tidemark.functions.types import (CATALOG_TYPE, PG_CATEGORY, catalog_type, category,
-                                      parse_pg_type)
+from tidemark.functions.types import CATALOG_TYPE, PG_CATEGORY, spark_type
 
 
 def list_tables(tables: DataFrame, schemas: list[str] | None = None) -> DataFrame:
@@ -75,14 +74,14 @@ def register_table(spark: SparkSession, db: str, name: str, columns: list[dict],
                    path: str, properties: dict[str, str]) -> None:
     """Upsert one external Parquet table: drop (metadata only) + create.
 
-    External data survives the drop; the session catalog has no
-    ``CREATE OR REPLACE`` for data-source tables.
+    Columns are declared with their Spark types (``timestamp_ntz`` for
+    timestamps without zone, exact decimals), so reads through the catalog
+    equal reads of the files in any session time zone.  External data
+    survives the drop; the session catalog has no ``CREATE OR REPLACE`` for
+    data-source tables.
     """
-    def ctype(c):
-        _, p, sc, _ = parse_pg_type(c["pg_type"])
-        return catalog_type(category(c["pg_type"]), c.get("precision") or p,
-                            c.get("scale") if c.get("scale") is not None else sc)
-    cols = ", ".join(f"`{c['name']}` {ctype(c)}" for c in columns)
+    cols = ", ".join(f"`{c['name']}` {spark_type(c['pg_type']).simpleString()}"
+                     for c in columns)
     props = ", ".join(f"'{k}' = '{v}'" for k, v in sorted(properties.items()))
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
