@@ -82,13 +82,11 @@ def test_stream_replay_is_idempotent(spark):
     from tidemark.sources import manifest
     root = fresh_dir(spark, "t_replay")
     cols = [{"name": "id", "pg_type": "bigint"}, {"name": "v", "pg_type": "text"}]
-    entry = spark.createDataFrame(
-        [("public.t", "active", [], ["id"], 1,
+    entry = manifest.entries(spark, [("public.t", "active", [], ["id"], 1,
           [{"name": "id", "pg_type": "bigint", "parquet_type": "INT64", "nullable": False,
             "precision": None, "scale": None},
            {"name": "v", "pg_type": "text", "parquet_type": "UTF8", "nullable": True,
-            "precision": None, "scale": None}], 0, 0, 0, "", "", None)],
-        manifest.TABLE_ENTRY)
+            "precision": None, "scale": None}], 0, 0, 0, "", "", None)])
     manifest.publish(spark, root, entry)
     batch = spark.createDataFrame(
         [("public.t", "I", {"id": "1", "v": "a"}, "0/10", None, 1),
@@ -112,10 +110,9 @@ def test_json_event_files_stream_to_epochs(spark):
     root = fresh_dir(spark, "t_json")
     cols = [{"name": "id", "pg_type": "bigint"}, {"name": "p", "pg_type": "numeric(10,2)"},
             {"name": "meta", "pg_type": "jsonb"}]
-    entry = spark.createDataFrame(
-        [("public.t", "active", [], ["id"], 1,
+    entry = manifest.entries(spark, [("public.t", "active", [], ["id"], 1,
           [{**c, "parquet_type": None, "nullable": True, "precision": None, "scale": None}
-           for c in cols], 0, 0, 0, "", "", None)], manifest.TABLE_ENTRY)
+           for c in cols], 0, 0, 0, "", "", None)])
     manifest.publish(spark, root, entry)
     events = [{"table": "public.t", "op": "I", "row": {"id": i, "p": 1.25 * i, "meta": {"k": i}},
                "lsn": f"0/{i:X}", "ts": "2024-01-01T00:00:00", "seq": i} for i in range(1, 6)]
@@ -139,10 +136,9 @@ def test_file_cap_gives_one_epoch_per_batch_and_keeps_rejects(spark):
     from tidemark.streaming.epochs import EpochWriter, change_stream, stream_to_epochs
     root = fresh_dir(spark, "t_cap")
     cols = [{"name": "id", "pg_type": "bigint"}, {"name": "q", "pg_type": "integer"}]
-    entry = spark.createDataFrame(
-        [("public.t", "active", [], ["id"], 1,
+    entry = manifest.entries(spark, [("public.t", "active", [], ["id"], 1,
           [{**c, "parquet_type": None, "nullable": True, "precision": None, "scale": None}
-           for c in cols], 0, 0, 0, "", "", None)], manifest.TABLE_ENTRY)
+           for c in cols], 0, 0, 0, "", "", None)])
     manifest.publish(spark, root, entry)
     for i in range(3):
         spark.createDataFrame(
@@ -167,10 +163,9 @@ def test_new_stream_never_reuses_epochs(spark):
     from tidemark.streaming.epochs import EpochWriter, change_stream, stream_to_epochs
     root = fresh_dir(spark, "t_epochs")
     cols = [{"name": "id", "pg_type": "bigint"}]
-    entry = spark.createDataFrame(
-        [("public.t", "active", [], ["id"], 1,
+    entry = manifest.entries(spark, [("public.t", "active", [], ["id"], 1,
           [{**c, "parquet_type": None, "nullable": True, "precision": None, "scale": None}
-           for c in cols], 0, 0, 0, "", "", None)], manifest.TABLE_ENTRY)
+           for c in cols], 0, 0, 0, "", "", None)])
     manifest.publish(spark, root, entry)
     schema = "table string, op string, row map<string,string>, lsn string, ts timestamp_ntz, seq bigint"
 

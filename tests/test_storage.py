@@ -118,7 +118,7 @@ def test_parallel_compaction_of_many_tables(spark):
         storage.write_delta(feed_a(spark, SF), root, t)
         entries.append((t, "active", [], ORDERS_PK, 1, SQ.ORDERS_COLUMNS, 0, 10 + i, None,
                         f"{root}/{t}", "", 2 if i == 1 else None))
-    manifest.publish(spark, root, spark.createDataFrame(entries, manifest.TABLE_ENTRY))
+    manifest.publish(spark, root, manifest.entries(spark, entries))
     res = compaction.compact_all(spark, root, COMPACTED_AT, parallelism=3)
     assert sorted(r["status"] for r in res) == ["compacted"] * 3, res
     got = {r["table"]: r["base_epoch"] for r in manifest.read_tables(spark, root).collect()}
@@ -129,9 +129,8 @@ def test_parallel_compaction_of_many_tables(spark):
 def test_first_compaction_without_base(spark):
     root = fresh_dir(spark, "t_nobase")
     SQ._write_feed(spark, SF, root)
-    entry = spark.createDataFrame(
-        [(ORDERS_TABLE, "active", [], ORDERS_PK, 1, SQ.ORDERS_COLUMNS, 0, 30, None, "", "",
-          None)], manifest.TABLE_ENTRY)
+    entry = manifest.entries(spark, [(ORDERS_TABLE, "active", [], ORDERS_PK, 1, SQ.ORDERS_COLUMNS, 0, 30, None, "", "",
+          None)])
     manifest.publish(spark, root, entry)
     res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
     assert res["status"] == "compacted" and res["rows"] > 0
@@ -142,9 +141,7 @@ def test_first_compaction_without_base(spark):
 
 def test_no_primary_key_is_an_error(spark):
     root = fresh_dir(spark, "t_nopk")
-    entry = spark.createDataFrame(
-        [(ORDERS_TABLE, "active", [], [], 1, SQ.ORDERS_COLUMNS, 0, 3, None, "", "", None)],
-        manifest.TABLE_ENTRY)
+    entry = manifest.entries(spark, [(ORDERS_TABLE, "active", [], [], 1, SQ.ORDERS_COLUMNS, 0, 3, None, "", "", None)])
     manifest.publish(spark, root, entry)
     try:
         compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
@@ -177,3 +174,40 @@ def test_compaction_retry_after_partial_write(spark):
     df, e = storage.read_base(spark, root, ORDERS_TABLE, storage.base_schema(SQ.ORDERS_DATA))
     assert e == 20 and df.filter("o_orderkey = 999999").count() == 0
     assert df.count() == res["rows"]
+
+
+def test_touched_buckets_only(spark):
+    """Bucket directories: a compaction rewrites just the buckets its deltas
+    touch; the others keep their epoch and files; reads see every bucket."""
+    from tidemark.plans.feeds import orders_base
+    root = fresh_dir(spark, "t_touch")
+    n = 32
+    rows, written = storage.write_base_buckets(orders_base(spark, SF), root, ORDERS_TABLE, 0,
+                                               n, ORDERS_PK)
+    vec = [0 if b in written else None for b in range(n)]
+    few = spark.createDataFrame(
+        [(5, "U", "x", 1.0, 1, 1, None, None), (7, "D", None, None, 2, 1, None, None),
+         (999999, "I", "n", 2.0, 3, 2, None, None)],
+        "o_orderkey bigint, __op string, o_orderstatus string, o_totalprice double, "
+        "__seq bigint, __epoch bigint, __lsn string, __ts timestamp_ntz")
+    storage.write_delta(few, root, ORDERS_TABLE)
+    manifest.publish(spark, root, manifest.entries(spark, [
+        (ORDERS_TABLE, "active", [], ORDERS_PK, 1, SQ.ORDERS_COLUMNS, 0, 2, rows, "", "", None,
+         vec)]))
+    touched = {r[0] for r in few.select(storage.bucket_of(ORDERS_PK, n)).distinct().collect()}
+    res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    assert res["buckets_rewritten"] == len(touched) <= 3 and res["rows"] == rows + 1
+    e = manifest.entry(spark, root, ORDERS_TABLE)
+    assert {b for b, v in enumerate(e["bucket_epochs"]) if v == 2} == touched
+    assert all(v == 0 for b, v in enumerate(e["bucket_epochs"]) if b not in touched)
+    cur = as_of(spark, root, ORDERS_TABLE, 2, COMPACTED_AT)
+    got = {r["o_orderkey"]: (r["o_orderstatus"], r["__deleted_at"]) for r in
+           cur.filter("o_orderkey IN (5, 7, 999999)").collect()}
+    assert got[5] == ("x", None) and got[7][1] is not None and got[999999] == ("n", None)
+    assert cur.count() == rows + 1
+    # a purge considers every bucket
+    change = spark.createDataFrame([(ORDERS_TABLE, 3)], "table string, latest_delta_epoch bigint")
+    manifest.update_tables(spark, root, change)
+    res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT,
+                                   now="2024-04-01 00:00:00", retention_days=30)
+    assert res["buckets_rewritten"] == n and res["purged"] == 1 and res["rows"] == rows

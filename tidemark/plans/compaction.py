@@ -62,6 +62,9 @@ def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
         return {"table": table, "status": "up to date", "base_epoch": base_e}
     assert latest > base_e   # the new base never overwrites the one being read
     data = struct_for(cols)
+    if e.get("bucket_epochs") is not None:
+        return _compact_buckets(spark, root, table, e, pk, data, base_e, latest,
+                                compacted_at, now, retention_days, strategy)
     buckets = int(e["buckets"]) if e.get("buckets") else None
     # Bucketed base: fold shuffle partitions = bucket count, so the fold's
     # exchange matches the base's bucketing and the base is never shuffled;
@@ -96,6 +99,56 @@ def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
             "tombstones_before_purge": int(counters["tombstones"])}
 
 
+def _compact_buckets(spark, root, table, e, pk, data, base_e, latest, compacted_at,
+                     now, retention_days, strategy) -> dict:
+    """Bucket-directory layout: rewrite only the buckets the deltas touch.
+
+    The touched buckets (at most ``n`` small integers) come from the deltas'
+    keys; only those buckets of the base are read, merged and written at the
+    new epoch, and the manifest's bucket vector is moved for them alone.
+    Untouched buckets keep their files and epochs, so compaction I/O grows
+    with the changes, not the table.  A purge (``now``) considers every
+    bucket, since expired tombstones may sit anywhere.
+    """
+    vec = list(e["bucket_epochs"])
+    n = len(vec)
+    deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data),
+                                 after=base_e, upto=latest)
+    if now is None:
+        touched = sorted(r[0] for r in deltas.select(storage.bucket_of(pk, n)).distinct()
+                         .collect())
+    else:
+        touched = list(range(n))
+    base = storage.read_base_buckets(spark, root, table, storage.base_schema(data), vec,
+                                     only=touched)
+    read = Observation(f"deltas_{table}_{latest}")
+    deltas = deltas.observe(read, F.count(F.lit(1)).alias("applied"))
+    out = merge(base, deltas, pk, compacted_at, strategy=strategy)
+    merged = Observation(f"merged_{table}_{latest}")
+    out = out.observe(merged, F.count(F.lit(1)).alias("rows"),
+                      F.count_if(F.col(DELETED_AT).isNotNull()).alias("tombstones"))
+    if now is not None:
+        out = purge(out, now, retention_days)
+    rows_written, written = storage.write_base_buckets(out, root, table, latest, n, pk)
+    before = int(e.get("row_count") or 0)
+    old_rows = storage.read_base_buckets(spark, root, table, storage.base_schema(data), vec,
+                                         only=touched).count() if touched else 0
+    for b in touched:                     # a touched bucket left empty is NULL
+        vec[b] = latest if b in written else None
+    counters = {**read.get, **merged.get}
+    change = manifest.entries(spark, [(table, None, None, None, None, None, latest, None,
+                                       before - old_rows + rows_written, None, None, None,
+                                       vec)])
+    change = change.select("table", "base_epoch", "row_count", "bucket_epochs")
+    manifest.update_tables(spark, root, change, last_compacted_at=str(compacted_at))
+    dropped = storage.drop_deltas(spark, root, table, latest)
+    return {"table": table, "status": "compacted", "base_epoch": latest,
+            "rows": before - old_rows + rows_written, "dropped_epochs": len(dropped),
+            "buckets_rewritten": len(touched), "buckets": n,
+            "applied": int(counters["applied"]), "purged": int(counters["rows"]) - rows_written,
+            "tombstones_before_purge": int(counters["tombstones"])}
+
+
 def tables_to_compact(spark: SparkSession, root: str) -> list[str]:
     """Active tables whose latest delta is newer than their base (names only)."""
     t = manifest.read_tables(spark, root)

@@ -26,6 +26,16 @@ def as_of(spark: SparkSession, root: str, table: str, epoch: int, stamp,
         raise KeyError(table)
     data = _schema(e)
     pk = list(e["primary_key"])
+    if e.get("bucket_epochs") is not None:
+        b = int(e.get("base_epoch") or 0)
+        if epoch < b:
+            raise ValueError(f"epoch {epoch} of {table} is not addressable: the bucket "
+                             f"layout keeps the state at {b} and later deltas only")
+        base = storage.read_base_buckets(spark, root, table, storage.base_schema(data),
+                                         list(e["bucket_epochs"]))
+        deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data),
+                                     after=b, upto=epoch)
+        return M.merge(base, deltas, pk, stamp, strategy=strategy)
     buckets = int(e["buckets"]) if e.get("buckets") else None
     base, b = storage.read_base(spark, root, table, storage.base_schema(data), upto=epoch,
                                 buckets=buckets, pk=pk)

@@ -58,6 +58,6 @@ def init_tables(spark: SparkSession, root: str, sources: dict[str, dict],
                      _entry_columns(src["columns"]), 0 if included else None,
                      0 if included else None, count, storage.table_root(root, t),
                      reason, buckets if included else None))
-    entries = spark.createDataFrame(rows, manifest.TABLE_ENTRY)
+    entries = manifest.entries(spark, rows)
     manifest.publish(spark, root, entries, source={"name": source_name})
     return manifest.read_tables(spark, root)

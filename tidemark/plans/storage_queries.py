@@ -101,16 +101,22 @@ def schema_drift(spark, d):
 COMPACT_UPTO = 20
 
 
-def _setup_table(spark, d, root, buckets=None):
+def _setup_table(spark, d, root, buckets=None, bucket_dirs=None):
     """Base at epoch 0 (all orders), deltas for every epoch, manifest saying
-    epochs up to 20 are flushed (later ones still in flight)."""
-    storage.write_base(orders_base(spark, d), root, ORDERS_TABLE, 0, buckets=buckets,
-                       pk=ORDERS_PK)
+    epochs up to 20 are flushed (later ones still in flight).  ``buckets``:
+    Spark-bucketed base; ``bucket_dirs``: bucket-directory layout."""
+    vec, rows = None, None
+    if bucket_dirs:
+        rows, written = storage.write_base_buckets(orders_base(spark, d), root, ORDERS_TABLE,
+                                                   0, bucket_dirs, ORDERS_PK)
+        vec = [0 if b in written else None for b in range(bucket_dirs)]
+    else:
+        rows = storage.write_base(orders_base(spark, d), root, ORDERS_TABLE, 0,
+                                  buckets=buckets, pk=ORDERS_PK)
     _write_feed(spark, d, root)
-    entry = spark.createDataFrame(
-        [(ORDERS_TABLE, "active", [], ORDERS_PK, 1, ORDERS_COLUMNS, 0, COMPACT_UPTO, None,
-          f"{root}/{ORDERS_TABLE}", "", buckets)],
-        manifest.TABLE_ENTRY)
+    entry = manifest.entries(spark, [(ORDERS_TABLE, "active", [], ORDERS_PK, 1, ORDERS_COLUMNS,
+                                      0, COMPACT_UPTO, rows, f"{root}/{ORDERS_TABLE}", "",
+                                      buckets, vec)])
     manifest.publish(spark, root, entry, source={"name": "orders-db"})
 
 
@@ -159,6 +165,23 @@ def compact_bucketed(spark, d):
     return df
 
 
+COMPACT_BUCKET_DIRS = 64
+
+
+@query("compact_touched_buckets", _AT_20)
+def compact_touched_buckets(spark, d):
+    """Bucket-directory layout: only buckets the deltas touch are rewritten;
+    the result read back over every bucket equals the state at epoch 20."""
+    root = fresh_dir(spark, "compact_touched")
+    _setup_table(spark, d, root, bucket_dirs=COMPACT_BUCKET_DIRS)
+    res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    assert res["base_epoch"] == COMPACT_UPTO, res
+    e = manifest.entry(spark, root, ORDERS_TABLE)
+    assert e["row_count"] == res["rows"], (e["row_count"], res)
+    return storage.read_base_buckets(spark, root, ORDERS_TABLE,
+                                     storage.base_schema(ORDERS_DATA), e["bucket_epochs"])
+
+
 @query("catalog_register", _AT_20)
 def catalog_register(spark, d):
     """Register the current base as an external table and query it by name."""

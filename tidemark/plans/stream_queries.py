@@ -27,9 +27,8 @@ def _init_manifest(spark, root):
     cols = [{"name": c["name"], "pg_type": c["pg_type"], "parquet_type": category(c["pg_type"]),
              "nullable": c["nullable"], "precision": None, "scale": None}
             for c in ORDERS_TEXT_COLUMNS]
-    entry = spark.createDataFrame(
-        [(ORDERS_TABLE, "active", [], ORDERS_PK, 1, cols, 0, 0, 0,
-          f"{root}/{ORDERS_TABLE}", "", None)], manifest.TABLE_ENTRY)
+    entry = manifest.entries(spark, [(ORDERS_TABLE, "active", [], ORDERS_PK, 1, cols, 0, 0, 0,
+          f"{root}/{ORDERS_TABLE}", "", None)])
     manifest.publish(spark, root, entry, source={"name": "orders-db"})
 
 

@@ -42,10 +42,19 @@ TABLE_ENTRY = T.StructType([
     T.StructField("row_count", T.LongType()),
     T.StructField("path", T.StringType()),
     T.StructField("reason", T.StringType()),
-    T.StructField("buckets", T.LongType()),     # NULL: plain base layout
+    T.StructField("buckets", T.LongType()),     # Spark-bucketed base (NULL: plain)
+    # bucket-directory layout: current base epoch of each key-hash bucket
+    # (NULL element: bucket empty); NULL: another layout
+    T.StructField("bucket_epochs", T.ArrayType(T.LongType())),
 ])
 
 
+def entries(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Entries frame from positional tuples; trailing fields may be omitted."""
+    n = len(TABLE_ENTRY.fields)
+    return spark.createDataFrame([tuple(r) + (None,) * (n - len(r)) for r in rows], TABLE_ENTRY)
+
+
 def _dir(root: str) -> str:
     return f"{root.rstrip('/')}/_manifest"
 

@@ -172,6 +172,49 @@ def read_base(spark: SparkSession, root: str, table: str, schema: T.StructType,
                       .cast(f.dataType).alias(f.name) for f in schema.fields]), e
 
 
+BUCKET = "__bucket"
+
+
+def bucket_of(pk: list[str], n: int) -> "F.Column":
+    """Key-hash bucket of a row, 0 .. n-1 (64-bit xxhash of the key)."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in pk]), F.lit(n)).cast("int")
+
+
+def write_base_buckets(df: DataFrame, root: str, table: str, epoch: int, n: int,
+                       pk: list[str]) -> tuple[int, list[int]]:
+    """Write the buckets present in ``df`` under ``base/__base_epoch=<epoch>/
+    __bucket=<b>``; returns (rows, buckets written).
+
+    Rows are hash-partitioned by bucket first, so each task writes whole
+    buckets (one file each) instead of a file per bucket per task.
+    """
+    path = f"{table_root(root, table)}/base/{BASE_EPOCH}={epoch}"
+    obs = Observation(f"buckets_{re.sub(r'[^0-9A-Za-z_]', '_', table)}_{epoch}")
+    out = df.withColumn(BUCKET, bucket_of(pk, n))
+    (out.repartition(BUCKET).observe(obs, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
+    spark = df.sparkSession
+    written = sorted(int(x.split("=", 1)[1]) for x in fs.list_dirs(spark, path)
+                     if x.startswith(BUCKET + "="))
+    return int(obs.get["rows"]), written
+
+
+def read_base_buckets(spark: SparkSession, root: str, table: str, schema: T.StructType,
+                      bucket_epochs: list[int | None],
+                      only: list[int] | None = None) -> DataFrame:
+    """Base rows of the chosen buckets, each from its own current epoch.
+
+    Directory paths are computed from the manifest's vector (no listing);
+    empty buckets (NULL epoch) are skipped.
+    """
+    want = range(len(bucket_epochs)) if only is None else only
+    paths = [f"{table_root(root, table)}/base/{BASE_EPOCH}={bucket_epochs[b]}/{BUCKET}={b}"
+             for b in want if bucket_epochs[b] is not None]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
+
+
 def drop_deltas(spark: SparkSession, root: str, table: str, upto: int) -> list[int]:
     """Remove consumed delta partitions (epoch <= upto).  Call only after the
     manifest naming the new base is published."""
