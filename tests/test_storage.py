@@ -211,3 +211,5 @@ def test_touched_buckets_only(spark):
     res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT,
                                    now="2024-04-01 00:00:00", retention_days=30)
     assert res["buckets_rewritten"] == n and res["purged"] == 1 and res["rows"] == rows
+    from tidemark.plans.registration import register_all
+    assert register_all(spark, root, "t_touch_db")[0]["status"].startswith("skipped")

@@ -4,7 +4,7 @@ on a cluster).  Configuration is JSON:
     {"sources": {"public.orders": {"path": "...", "primary_key": ["id"],
                                    "columns": [{"name": "id", "pg_type": "bigint"}]}},
      "policy": {"exclude": [...], "tags": {...}, "policy": {...}},
-     "buckets": null}
+     "buckets": null, "bucket_dirs": null}   # optional base layouts
 """
 
 from __future__ import annotations
@@ -58,7 +58,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "init":
         from tidemark.plans.snapshot_init import init_tables
         cfg = _config(args.config)
-        t = init_tables(spark, args.root, cfg["sources"], cfg.get("policy"), cfg.get("buckets"))
+        t = init_tables(spark, args.root, cfg["sources"], cfg.get("policy"), cfg.get("buckets"),
+                        bucket_dirs=cfg.get("bucket_dirs"))
         t.select("table", "status", "row_count", "reason").orderBy("table").show(1000, False)
     elif args.cmd == "discover":
         from tidemark.operators.policy import policy_totals, resolve_policy

@@ -14,10 +14,14 @@ def register_all(spark: SparkSession, root: str, db: str) -> list[dict]:
     without a schema are reported, not registered.  Returns one result per
     table (metadata only: one small row per table reaches the driver)."""
     rows = manifest.read_tables(spark, root).filter(F.col("status") == "active") \
-        .select("table", "columns", "schema_version", "base_epoch").collect()
+        .select("table", "columns", "schema_version", "base_epoch", "bucket_epochs").collect()
     out = []
     for r in sorted(rows, key=lambda x: x["table"]):
         t = r["table"]
+        if r["bucket_epochs"] is not None:
+            # buckets live under different epochs: no single location to name
+            out.append({"table": t, "status": "skipped (bucket directories: use live_view)"})
+            continue
         if not r["columns"]:
             out.append({"table": t, "status": "skipped (no schema)"})
             continue

@@ -29,12 +29,13 @@ def _entry_columns(cols: list[dict]) -> list[dict]:
 
 def init_tables(spark: SparkSession, root: str, sources: dict[str, dict],
                 policy: dict | None = None, buckets: int | None = None,
-                source_name: str = "source") -> DataFrame:
+                source_name: str = "source", bucket_dirs: int | None = None) -> DataFrame:
     """Snapshot the included tables; returns the published manifest entries.
 
     ``sources``: qualified table -> {"columns": [...], "primary_key": [...],
     "path": parquet path} or {"jdbc": {...options}}.  Tables without a
-    primary key are excluded (reason ``no primary key``).
+    primary key are excluded (reason ``no primary key``).  Layout: plain,
+    Spark-bucketed (``buckets``) or bucket directories (``bucket_dirs``).
     """
     policy = policy or {}
     names = spark.createDataFrame([(t,) for t in sorted(sources)], "table string")
@@ -49,15 +50,19 @@ def init_tables(spark: SparkSession, root: str, sources: dict[str, dict],
         included, reason = r["included"], r["reason"]
         if included and not pk:
             included, reason = False, "no primary key"
-        count = None
+        count, vec = None, None
         if included:
             df = snapshot_scan(spark, src["columns"], path=src.get("path"), jdbc=src.get("jdbc"))
             df = df.withColumn("__deleted_at", F.lit(None).cast("timestamp_ntz"))
-            count = storage.write_base(df, root, t, 0, buckets=buckets, pk=pk)
+            if bucket_dirs:
+                count, written = storage.write_base_buckets(df, root, t, 0, bucket_dirs, pk)
+                vec = [0 if b in written else None for b in range(bucket_dirs)]
+            else:
+                count = storage.write_base(df, root, t, 0, buckets=buckets, pk=pk)
         rows.append((t, "active" if included else "excluded", list(r["tags"] or []), pk, 1,
                      _entry_columns(src["columns"]), 0 if included else None,
                      0 if included else None, count, storage.table_root(root, t),
-                     reason, buckets if included else None))
+                     reason, buckets if included and not bucket_dirs else None, vec))
     entries = manifest.entries(spark, rows)
     manifest.publish(spark, root, entries, source={"name": source_name})
     return manifest.read_tables(spark, root)
