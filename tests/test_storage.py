@@ -213,3 +213,16 @@ def test_touched_buckets_only(spark):
     assert res["buckets_rewritten"] == n and res["purged"] == 1 and res["rows"] == rows
     from tidemark.plans.registration import register_all
     assert register_all(spark, root, "t_touch_db")[0]["status"].startswith("skipped")
+
+
+def test_bucket_write_is_one_file_per_bucket(spark):
+    import os
+    root = fresh_dir(spark, "t_files")
+    SQ._setup_table(spark, SF, root, bucket_dirs=8)
+    res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    assert res["buckets_rewritten"] == 8
+    base = f"{root}/{ORDERS_TABLE}/base/__base_epoch=20".replace("file:", "")
+    for b in os.listdir(base):
+        if b.startswith("__bucket="):
+            files = [f for f in os.listdir(f"{base}/{b}") if f.endswith(".parquet")]
+            assert len(files) == 1, (b, files)

@@ -123,13 +123,18 @@ def _compact_buckets(spark, root, table, e, pk, data, base_e, latest, compacted_
                                      only=touched)
     read = Observation(f"deltas_{table}_{latest}")
     deltas = deltas.observe(read, F.count(F.lit(1)).alias("applied"))
-    out = merge(base, deltas, pk, compacted_at, strategy=strategy)
     merged = Observation(f"merged_{table}_{latest}")
-    out = out.observe(merged, F.count(F.lit(1)).alias("rows"),
-                      F.count_if(F.col(DELETED_AT).isNotNull()).alias("tombstones"))
-    if now is not None:
-        out = purge(out, now, retention_days)
-    rows_written, written = storage.write_base_buckets(out, root, table, latest, n, pk)
+    # n shuffle partitions + a join on the raw key: the join's hash
+    # partitioning is the bucket function, so every task writes whole
+    # buckets and the write needs no exchange of its own
+    with _conf(spark, "spark.sql.shuffle.partitions", str(n)):
+        out = merge(base, deltas, pk, compacted_at, strategy="full", null_safe=False)
+        out = out.observe(merged, F.count(F.lit(1)).alias("rows"),
+                          F.count_if(F.col(DELETED_AT).isNotNull()).alias("tombstones"))
+        if now is not None:
+            out = purge(out, now, retention_days)
+        rows_written, written = storage.write_base_buckets(out, root, table, latest, n, pk,
+                                                           clustered=True)
     before = int(e.get("row_count") or 0)
     old_rows = storage.read_base_buckets(spark, root, table, storage.base_schema(data), vec,
                                          only=touched).count() if touched else 0

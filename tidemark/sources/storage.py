@@ -176,22 +176,31 @@ BUCKET = "__bucket"
 
 
 def bucket_of(pk: list[str], n: int) -> "F.Column":
-    """Key-hash bucket of a row, 0 .. n-1 (64-bit xxhash of the key)."""
-    return F.pmod(F.xxhash64(*[F.col(k) for k in pk]), F.lit(n)).cast("int")
+    """Key-hash bucket of a row, 0 .. n-1.
+
+    Exactly Spark's hash partitioning of the key into n partitions
+    (``pmod(murmur3(key), n)``): a join shuffled on the key into n
+    partitions leaves bucket b's rows in partition b.
+    """
+    return F.pmod(F.hash(*[F.col(k) for k in pk]), F.lit(n)).cast("int")
 
 
 def write_base_buckets(df: DataFrame, root: str, table: str, epoch: int, n: int,
-                       pk: list[str]) -> tuple[int, list[int]]:
+                       pk: list[str], clustered: bool = False) -> tuple[int, list[int]]:
     """Write the buckets present in ``df`` under ``base/__base_epoch=<epoch>/
     __bucket=<b>``; returns (rows, buckets written).
 
-    Rows are hash-partitioned by bucket first, so each task writes whole
-    buckets (one file each) instead of a file per bucket per task.
+    ``clustered``: ``df`` is already hash-partitioned on the key into n
+    partitions (a compaction join run with n shuffle partitions), so each
+    task holds whole buckets and writes them as is.  Otherwise rows are
+    repartitioned that way first: one file per bucket, not one per task.
     """
     path = f"{table_root(root, table)}/base/{BASE_EPOCH}={epoch}"
     obs = Observation(f"buckets_{re.sub(r'[^0-9A-Za-z_]', '_', table)}_{epoch}")
+    if not clustered:
+        df = df.repartition(n, *[F.col(k) for k in pk])
     out = df.withColumn(BUCKET, bucket_of(pk, n))
-    (out.repartition(BUCKET).observe(obs, F.count(F.lit(1)).alias("rows"))
+    (out.observe(obs, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
     spark = df.sparkSession
     written = sorted(int(x.split("=", 1)[1]) for x in fs.list_dirs(spark, path)
