@@ -175,6 +175,16 @@ def read_base(spark: SparkSession, root: str, table: str, schema: T.StructType,
 BUCKET = "__bucket"
 
 
+def suggest_buckets(base_bytes: int, target_bytes: int = 512 << 20,
+                    minimum: int = 8) -> int:
+    """Bucket count for a base of ``base_bytes`` on storage: about one
+    ``target_bytes`` file per bucket, rounded up to a power of two (so a
+    later doubling splits every bucket in two).  At 100 TB and 512 MiB that
+    is 262,144 buckets: each task of a compaction handles one bucket."""
+    n = max(minimum, -(-base_bytes // target_bytes))
+    return 1 << (n - 1).bit_length()
+
+
 def bucket_of(pk: list[str], n: int) -> "F.Column":
     """Key-hash bucket of a row, 0 .. n-1.
 
