@@ -54,7 +54,8 @@ def latest(deltas: DataFrame, pk: list[str], order=(EPOCH, SEQ)) -> DataFrame:
                  .select(*deltas.columns)
 
 
-def history(deltas: DataFrame, pk: list[str], order=(EPOCH, SEQ)) -> DataFrame:
+def history(deltas: DataFrame, pk: list[str], order=(EPOCH, SEQ),
+            slice_width: int = 1 << 20) -> DataFrame:
     """Version history per key: each change with its validity interval.
 
     ``version`` numbers a key's changes from 1 in change order,
@@ -62,29 +63,36 @@ def history(deltas: DataFrame, pk: list[str], order=(EPOCH, SEQ)) -> DataFrame:
     epoch (NULL while current).
 
     Skew-safe: a key's changes are cut into slices by the leading order
-    column (the epoch), and each (key, slice) is ranked on its own, so a hot
-    key is spread over as many tasks as it has epochs.  A small per-(key,
-    slice) summary, ordered by slice, gives each slice's version offset and
-    the first epoch of the next slice; it is joined back on (key, slice).
-    Deterministic: slices come from the data, not from partition ids.
+    column (the epoch) and, when the next order column is an integer (the
+    sequence), by ``slice_width``-wide ranges of it.  Both cuts are monotone
+    in the change order, so ranking each (key, slice) on its own and
+    stitching slices in order is exact.  A small per-(key, slice) summary,
+    ordered by slice, gives each slice's version offset and the first epoch
+    of the next slice; it is joined back.  A hot key is spread over its
+    epochs and sequence ranges; slices come from the data, not partition ids.
     """
-    lead_col = order[0]
-    rest = list(order[1:])
-    w = Window.partitionBy(*pk, lead_col).orderBy(*[F.col(c) for c in rest] or [F.lit(1)])
-    x = (deltas.withColumn("__local", F.row_number().over(w))
-               .withColumn("__next", F.lead(F.col(EPOCH)).over(w)))
-    stats = x.groupBy(*pk, lead_col).agg(
+    lead_col, rest = order[0], list(order[1:])
+    types = dict(deltas.dtypes)
+    slices = [F.col(lead_col).alias("__s0")]
+    if rest and types.get(rest[0]) in ("bigint", "int", "smallint", "tinyint"):
+        slices.append(F.floor(F.col(rest[0]) / F.lit(slice_width)).alias("__s1"))
+    names = [f"__s{i}" for i in range(len(slices))]
+    x0 = deltas.select("*", *slices)
+    w = Window.partitionBy(*pk, *names).orderBy(*[F.col(c) for c in rest] or [F.lit(1)])
+    x = (x0.withColumn("__local", F.row_number().over(w))
+           .withColumn("__next", F.lead(F.col(EPOCH)).over(w)))
+    stats = x.groupBy(*pk, *names).agg(
         F.count(F.lit(1)).alias("__cnt"),
         F.min_by(F.col(EPOCH), M.order_struct(order)).alias("__first"))
-    ws = Window.partitionBy(*pk).orderBy(lead_col)
+    ws = Window.partitionBy(*pk).orderBy(*names)
     stats = (stats.withColumn("__offset", F.coalesce(F.sum("__cnt").over(
                  ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                   .withColumn("__next_first", F.lead("__first").over(ws))
-                  .select(*[F.col(k).alias("__s_" + k) for k in pk + [lead_col]],
+                  .select(*[F.col(k).alias("__j_" + k) for k in pk + names],
                           "__offset", "__next_first"))
     cond = F.lit(True)
-    for k in pk + [lead_col]:
-        cond = cond & F.col(k).eqNullSafe(F.col("__s_" + k))
+    for k in pk + names:
+        cond = cond & F.col(k).eqNullSafe(F.col("__j_" + k))
     j = x.join(stats, cond, "left")
     return j.select(*deltas.columns,
                     (F.col("__offset") + F.col("__local")).cast("bigint").alias("version"),
