@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from tidemark.operators import acl as A
 from tidemark.operators.policy import resolve_policy

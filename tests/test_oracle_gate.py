@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB twin on the smallest tables."""
 
-import hashlib
 
 import duckdb
 import pytest

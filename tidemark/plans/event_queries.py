@@ -14,7 +14,7 @@ from tidemark.operators import merge as M
 from tidemark.plans import oracle as O
 from tidemark.plans.feeds import (ACTIVE_TABLES, COMPACTED_AT, ORDER_B, ORDERS_PK,
                                   ORDERS_TEXT_COLUMNS, feed_a, feed_b, orders_base,
-                                  routed_events, text_feed, with_lsn)
+                                  routed_events, text_feed)
 from tidemark.plans.registry import query
 
 _typed = ",\n       ".join(f"TRY_CAST({c} AS {t}) AS {c}" for c, t in O.TEXT_TYPES)
