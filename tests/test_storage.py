@@ -226,3 +226,18 @@ def test_bucket_write_is_one_file_per_bucket(spark):
         if b.startswith("__bucket="):
             files = [f for f in os.listdir(f"{base}/{b}") if f.endswith(".parquet")]
             assert len(files) == 1, (b, files)
+
+
+def test_bucket_retry_drops_stale_buckets(spark):
+    """A failed attempt wrote a bucket that the retry leaves empty: the retry
+    must not keep it (static overwrite of the epoch directory)."""
+    root = fresh_dir(spark, "t_stale")
+    SQ._setup_table(spark, SF, root, bucket_dirs=8)
+    junk = spark.createDataFrame([(1, "junk", 0.0, None)],
+                                 "o_orderkey bigint, o_orderstatus string, o_totalprice double, "
+                                 "__deleted_at timestamp_ntz")
+    junk.write.parquet(f"{root}/{ORDERS_TABLE}/base/__base_epoch=20/__bucket=99")
+    compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    assert 99 not in storage.base_epochs(spark, root, ORDERS_TABLE) and not any(
+        d == "__bucket=99" for d in __import__("tidemark.sources.fs", fromlist=["x"])
+        .list_dirs(spark, f"{root}/{ORDERS_TABLE}/base/__base_epoch=20"))

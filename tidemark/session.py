@@ -22,7 +22,6 @@ def get_spark(app: str = "tidemark", master: str | None = None,
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
-          .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
           .config("spark.ui.enabled", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

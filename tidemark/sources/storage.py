@@ -210,8 +210,11 @@ def write_base_buckets(df: DataFrame, root: str, table: str, epoch: int, n: int,
     if not clustered:
         df = df.repartition(n, *[F.col(k) for k in pk])
     out = df.withColumn(BUCKET, bucket_of(pk, n))
+    # static overwrite: the whole epoch directory is replaced, so buckets
+    # left by a failed attempt cannot survive next to this attempt's output
     (out.observe(obs, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy(BUCKET).parquet(path))
     spark = df.sparkSession
     written = sorted(int(x.split("=", 1)[1]) for x in fs.list_dirs(spark, path)
                      if x.startswith(BUCKET + "="))
