@@ -15,10 +15,23 @@ def test_cli_init_compact_status_register(spark, tmp_path, capsys):
         "public.audit": {"path": f"{SF}/events.parquet", "primary_key": [],
                          "columns": [{"name": "event_id", "pg_type": "bigint"}]}},
         "policy": {"exclude": [], "tags": {}, "policy": {}}}
+    tg = spark.createDataFrame([("analyst", "public", "orders", "SELECT")],
+                               "grantee string, table_schema string, table_name string, "
+                               "privilege_type string")
+    cg = spark.createDataFrame([("viewer", "public", "orders", "o_orderkey", "SELECT")],
+                               "grantee string, table_schema string, table_name string, "
+                               "column_name string, privilege_type string")
+    tg.write.parquet(str(tmp_path / "tg"))
+    cg.write.parquet(str(tmp_path / "cg"))
+    cfg["acl"] = {"table_grants": str(tmp_path / "tg"), "column_grants": str(tmp_path / "cg"),
+                  "allow": ["analyst", "viewer"], "aliases": {"analyst": "bi"}}
     path = tmp_path / "cfg.json"
     path.write_text(json.dumps(cfg))
     assert main(["init", "--root", root, "--config", str(path)]) == 0
+    capsys.readouterr()
     assert main(["discover", "--config", str(path)]) == 0
+    shown = capsys.readouterr().out
+    assert "analyst (alias: bi)" in shown and "[o_orderkey]" in shown
     assert main(["compact", "--root", root, "--compacted-at", "2024-02-01 00:00:00"]) == 0
     capsys.readouterr()
     assert main(["status", "--root", root]) == 0

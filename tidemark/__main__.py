@@ -4,7 +4,9 @@ on a cluster).  Configuration is JSON:
     {"sources": {"public.orders": {"path": "...", "primary_key": ["id"],
                                    "columns": [{"name": "id", "pg_type": "bigint"}]}},
      "policy": {"exclude": [...], "tags": {...}, "policy": {...}},
-     "buckets": null, "bucket_dirs": null}   # optional base layouts
+     "buckets": null, "bucket_dirs": null,   # optional base layouts
+     "acl": {"table_grants": "...", "column_grants": "...",   # optional (discover)
+             "allow": ["analyst"], "aliases": {"analyst": "bi"}}}
 """
 
 from __future__ import annotations
@@ -69,6 +71,14 @@ def main(argv: list[str] | None = None) -> int:
         r = resolve_policy(names, pol.get("exclude"), pol.get("tags"), pol.get("policy"))
         r.orderBy("table").show(1000, False)
         policy_totals(r).show()
+        acl = cfg.get("acl")
+        if acl:     # grants exported from the source's information schema
+            from tidemark.operators.acl import role_profiles, with_aliases
+            prof = role_profiles(spark.read.parquet(acl["table_grants"]),
+                                 spark.read.parquet(acl["column_grants"]), acl.get("allow", []))
+            with_aliases(prof, acl.get("aliases", {})) \
+                .select("display", "table", "all_columns", "columns") \
+                .orderBy("display", "table").show(1000, False)
     elif args.cmd == "compact":
         from tidemark.plans.compaction import compact_all
         kw = {"now": args.now, "retention_days": args.retention_days} if args.now else {}
