@@ -91,9 +91,8 @@ def test_purge_in_compaction(spark):
 def test_stale_header_publish_is_refused(spark):
     root = fresh_dir(spark, "t_race")
     SQ._setup_table(spark, SF, root)
-    stale = manifest.read_header(spark, root)
-    change = spark.createDataFrame([(ORDERS_TABLE, 25)], "table string, latest_delta_epoch bigint")
-    manifest.update_tables(spark, root, change)                 # writer 1 publishes v2
+    stale = manifest.read_header(spark, root)                   # names snapshot v1
+    manifest.publish(spark, root, manifest.read_tables(spark, root))   # writer 1: v2
     manifest.write_header(spark, root, stale)                   # writer 2 still sees v1
     try:
         manifest.publish(spark, root, manifest.read_tables(spark, root))
@@ -101,9 +100,31 @@ def test_stale_header_publish_is_refused(spark):
     except manifest.ConcurrentPublish:
         pass
     manifest.write_header(spark, root, {**stale, "tables_version": 2})
-    v = manifest.update_tables(spark, root, spark.createDataFrame(
+    manifest.update_tables(spark, root, spark.createDataFrame(
         [(ORDERS_TABLE, 26)], "table string, latest_delta_epoch bigint"))
-    assert v == 3 and manifest.entry(spark, root, ORDERS_TABLE)["latest_delta_epoch"] == 26
+    assert manifest.entry(spark, root, ORDERS_TABLE)["latest_delta_epoch"] == 26
+
+
+def test_manifest_log_appends_and_folds(spark):
+    """Updates append small log segments; reads fold them; every LOG_FOLD
+    segments a new snapshot is written and the log starts over."""
+    root = fresh_dir(spark, "t_log")
+    manifest.publish(spark, root, manifest.entries(spark, [
+        ("a.t", "active", [], ["id"], 1, None, 0, 0, 10, "", ""),
+        ("b.t", "active", [], ["id"], 1, None, 0, 0, 20, "", "")]))
+    for e in range(1, manifest.LOG_FOLD + 3):
+        manifest.update_tables(spark, root, spark.createDataFrame(
+            [("a.t", e)], "table string, latest_delta_epoch bigint"))
+        h = manifest.read_header(spark, root)
+        assert len(h["log"]) < manifest.LOG_FOLD
+        if e == 3:
+            got = {r["table"]: (r["latest_delta_epoch"], r["row_count"])
+                   for r in manifest.read_tables(spark, root).collect()}
+            assert got == {"a.t": (3, 10), "b.t": (0, 20)} and h["tables_version"] == 1
+    h = manifest.read_header(spark, root)
+    assert h["tables_version"] == 2 and len(h["log"]) == 2
+    assert manifest.entry(spark, root, "a.t")["latest_delta_epoch"] == manifest.LOG_FOLD + 2
+    assert manifest.entry(spark, root, "b.t")["row_count"] == 20
 
 
 def test_parallel_compaction_of_many_tables(spark):

@@ -6,10 +6,15 @@ Layout under ``<root>/_manifest``:
                           updated_at, last_compacted_at, tables_version
     tables/v=<n>/         JSON lines, one row per table (status, tags,
                           primary key, schema columns, epochs, row count)
+    log/s=<k>/            JSON lines: field changes of some tables
 
 Table entries are written and read by Spark, so a catalog of any size never
 passes through the driver; the header is replaced atomically (write + rename)
-and names the current table version, so a publish is all-or-nothing.
+and names the current table version and live log segments, so a publish is
+all-or-nothing.  Updates (one per micro-batch, one per compaction) append a
+log segment holding only the changed tables: O(changes), not O(tables).
+Readers fold the log onto the snapshot with one per-table arg-max; every
+``LOG_FOLD`` segments the fold is written as a new snapshot.
 """
 
 from __future__ import annotations
@@ -98,14 +103,39 @@ def allocate_epoch(spark: SparkSession, root: str, stream: str, batch_id: int) -
         return epoch
 
 
-def read_tables(spark: SparkSession, root: str) -> DataFrame:
-    """One row per table of the current manifest version."""
-    v = read_header(spark, root).get("tables_version")
+LOG_FOLD = 64
+_LSEQ = "__lseq"
+
+
+def _read_snapshot(spark: SparkSession, root: str, header: dict) -> DataFrame:
+    v = header.get("tables_version")
     if v is None:
         return spark.createDataFrame([], TABLE_ENTRY)
     return spark.read.schema(TABLE_ENTRY).json(f"{_dir(root)}/tables/v={v}")
 
 
+def read_tables(spark: SparkSession, root: str) -> DataFrame:
+    """One row per table: the snapshot with the live log folded on top.
+
+    Per table and field, the newest non-NULL logged value wins (an arg-max
+    over the log's sequence numbers); tables absent from the log pass
+    through.  One small aggregate and one join, no driver-side merging.
+    """
+    header = read_header(spark, root)
+    snap = _read_snapshot(spark, root, header)
+    segs = header.get("log") or []
+    if not segs:
+        return snap
+    log_schema = T.StructType(TABLE_ENTRY.fields + [T.StructField(_LSEQ, T.LongType())])
+    log = spark.read.schema(log_schema).json([f"{_dir(root)}/log/s={k}" for k in segs])
+    fields = [f.name for f in TABLE_ENTRY.fields if f.name != "table"]
+    last = log.groupBy("table").agg(*[
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(_LSEQ))).alias("__n_" + c)
+        for c in fields])
+    j = snap.join(last, "table", "left")
+    return j.select("table", *[F.coalesce(F.col("__n_" + c), F.col(c)).alias(c) for c in fields])
+
+
 class ConcurrentPublish(RuntimeError):
     """Another writer published the same manifest version first."""
 
@@ -159,6 +189,7 @@ def publish(spark: SparkSession, root: str, tables: DataFrame, _locked: bool = F
     out.write.mode("errorifexists").json(target)
     header.update(header_updates)
     header["tables_version"] = v
+    header["log"] = []                    # the snapshot includes every change
     header.pop("updated_at", None)
     header.setdefault("version", 1)
     write_header(spark, root, header)
@@ -170,25 +201,46 @@ def update_tables(spark: SparkSession, root: str, changes: DataFrame,
     """Replace the entries named in ``changes`` (by ``table``) and publish.
 
     ``changes`` holds the table name plus the fields to set; other fields
-    keep their values.  One join of the (small) changes with the entries.
-    Read, merge and publish happen under one ``publish_lock``, so concurrent
-    writers never lose each other's updates.
+    keep their values (a field cannot be set back to NULL).  The changes
+    are appended as a log segment: the cost follows the changed tables, not
+    the catalog.  Read, append and header swap happen under one
+    ``publish_lock``, so concurrent writers never lose each other's updates.
     """
     with publish_lock(spark, root):
         return _update_once(spark, root, changes, **header_updates)
 
 
 def _update_once(spark: SparkSession, root: str, changes: DataFrame, **header_updates) -> int:
-    cur = read_tables(spark, root)
-    chg = changes.select([F.col(c).alias("__n_" + c) if c != "table" else F.col(c)
-                          for c in changes.columns])
-    j = cur.join(chg, "table", "left")
-    cols = [F.coalesce(F.col("__n_" + f.name), F.col(f.name)).alias(f.name)
-            if f.name in changes.columns and f.name != "table" else F.col(f.name)
-            for f in TABLE_ENTRY.fields]
-    # Reads version v, writes v+1: a different directory, so no
-    # read-while-overwrite hazard and no need to materialise first.
-    return publish(spark, root, j.select(*cols), _locked=True, **header_updates)
+    """Append ``changes`` as a log segment (only the changed tables), or,
+    every ``LOG_FOLD`` segments, fold everything into a new snapshot."""
+    header = read_header(spark, root)
+    segs = list(header.get("log") or [])
+    if len(segs) + 1 >= LOG_FOLD:
+        # fold: snapshot + log + these changes -> a new snapshot version
+        cur = read_tables(spark, root)
+        chg = changes.select([F.col(c).alias("__n_" + c) if c != "table" else F.col(c)
+                              for c in changes.columns])
+        j = cur.join(chg, "table", "left")
+        cols = [F.coalesce(F.col("__n_" + f.name), F.col(f.name)).alias(f.name)
+                if f.name in changes.columns and f.name != "table" else F.col(f.name)
+                for f in TABLE_ENTRY.fields]
+        # reads version v and its log, writes v+1: another directory
+        return publish(spark, root, j.select(*cols), _locked=True, **header_updates)
+    k = int(header.get("log_seq", 0)) + 1
+    target = f"{_dir(root)}/log/s={k}"
+    if fs.exists(spark, target):
+        raise ConcurrentPublish(target)
+    out = changes.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                           if f.name in changes.columns else
+                           F.lit(None).cast(f.dataType).alias(f.name)
+                           for f in TABLE_ENTRY.fields], F.lit(k).cast("bigint").alias(_LSEQ))
+    out.coalesce(1).write.mode("errorifexists").json(target)
+    header.update(header_updates)
+    header["log"] = segs + [k]
+    header["log_seq"] = k
+    header.pop("updated_at", None)
+    write_header(spark, root, header)
+    return k
 
 
 def entry(spark: SparkSession, root: str, table: str) -> dict | None:
