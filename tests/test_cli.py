@@ -36,9 +36,26 @@ def test_cli_init_compact_status_register(spark, tmp_path, capsys):
     capsys.readouterr()
     assert main(["status", "--root", root]) == 0
     st = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert st["active_tables"] == 1 and st["excluded_tables"] == 1
+    assert st["active_tables"] == 1 and st["excluded_tables"] == 1 and st["roles"] == 2
     assert main(["register", "--root", root, "--db", "t_cli_db"]) == 0
     out = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert out == [{"table": "public.orders", "status": "registered",
                     "name": "t_cli_db.orders", "base_epoch": 0}]
     assert spark.table("t_cli_db.orders").count() == 1500
+
+
+def test_init_writes_role_profiles(spark):
+    from tidemark.plans.snapshot_init import init_tables
+    from tidemark.sources import manifest
+    root = fresh_dir(spark, "t_roles")
+    tg = spark.createDataFrame([("analyst", "public", "orders", "SELECT"),
+                                ("ops", "public", "orders", "SELECT")],
+                               "grantee string, table_schema string, table_name string, "
+                               "privilege_type string")
+    cg = spark.createDataFrame([], "grantee string, table_schema string, table_name string, "
+                                   "column_name string, privilege_type string")
+    init_tables(spark, root, {"public.orders": {
+        "path": f"{SF}/orders.parquet", "primary_key": ["o_orderkey"],
+        "columns": [{"name": "o_orderkey", "pg_type": "bigint"}]}},
+        acl={"table_grants": tg, "column_grants": cg, "allow": ["analyst", "ops"]})
+    assert manifest.read_header(spark, root)["roles"] == 2

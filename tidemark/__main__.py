@@ -60,8 +60,13 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "init":
         from tidemark.plans.snapshot_init import init_tables
         cfg = _config(args.config)
+        acl = cfg.get("acl")
+        if acl:
+            acl = {"table_grants": spark.read.parquet(acl["table_grants"]),
+                   "column_grants": spark.read.parquet(acl["column_grants"]),
+                   "allow": acl.get("allow", [])}
         t = init_tables(spark, args.root, cfg["sources"], cfg.get("policy"), cfg.get("buckets"),
-                        bucket_dirs=cfg.get("bucket_dirs"))
+                        bucket_dirs=cfg.get("bucket_dirs"), acl=acl)
         t.select("table", "status", "row_count", "reason").orderBy("table").show(1000, False)
     elif args.cmd == "discover":
         from tidemark.operators.policy import policy_totals, resolve_policy

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.types import category, parse_pg_type
+from tidemark.operators.acl import role_profiles
 from tidemark.operators.policy import resolve_policy
 from tidemark.sources import manifest, storage
 from tidemark.sources.snapshot import snapshot_scan
@@ -29,13 +30,19 @@ def _entry_columns(cols: list[dict]) -> list[dict]:
 
 def init_tables(spark: SparkSession, root: str, sources: dict[str, dict],
                 policy: dict | None = None, buckets: int | None = None,
-                source_name: str = "source", bucket_dirs: int | None = None) -> DataFrame:
+                source_name: str = "source", bucket_dirs: int | None = None,
+                acl: dict | None = None) -> DataFrame:
     """Snapshot the included tables; returns the published manifest entries.
 
     ``sources``: qualified table -> {"columns": [...], "primary_key": [...],
     "path": parquet path} or {"jdbc": {...options}}.  Tables without a
     primary key are excluded (reason ``no primary key``).  Layout: plain,
     Spark-bucketed (``buckets``) or bucket directories (``bucket_dirs``).
+
+    ``acl`` (optional): {"table_grants": DF, "column_grants": DF, "allow":
+    [...]} -> role profiles written beside the manifest by Spark
+    (``_manifest/roles``), their role count in the header.  As in the
+    source tool, a failure there is a warning, not a failed load.
     """
     policy = policy or {}
     names = spark.createDataFrame([(t,) for t in sorted(sources)], "table string")
@@ -64,5 +71,14 @@ def init_tables(spark: SparkSession, root: str, sources: dict[str, dict],
                      0 if included else None, count, storage.table_root(root, t),
                      reason, buckets if included and not bucket_dirs else None, vec))
     entries = manifest.entries(spark, rows)
-    manifest.publish(spark, root, entries, source={"name": source_name})
+    header = {"source": {"name": source_name}}
+    if acl:
+        try:
+            prof = role_profiles(acl["table_grants"], acl["column_grants"], acl.get("allow", []))
+            prof.write.mode("overwrite").json(f"{root.rstrip('/')}/_manifest/roles")
+            header["roles"] = spark.read.json(f"{root.rstrip('/')}/_manifest/roles") \
+                .select("role").distinct().count() if prof.take(1) else 0
+        except Exception as e:  # noqa: BLE001 - profiles are optional
+            header["roles_error"] = f"{type(e).__name__}: {e}"[:500]
+    manifest.publish(spark, root, entries, **header)
     return manifest.read_tables(spark, root)
