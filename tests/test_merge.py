@@ -200,3 +200,12 @@ def test_two_step_compaction_equals_one(spark, base, events, cut):
     two = M.merge(step, d.filter(F.col("__epoch") > cut), ["k"], STAMP, strategy="full")
     key = lambda r: (r["k"], r["v"], r["__deleted_at"])
     assert sorted(map(key, one.collect())) == sorted(map(key, two.collect()))
+
+
+def test_forced_broadcast_respects_the_bound(spark):
+    base = spark.createDataFrame([(1, "a")], "k bigint, v string")
+    d = spark.createDataFrame([(1, "U", "b", 1, 1), (2, "I", "c", 1, 2)],
+                              "k bigint, __op string, v string, __epoch bigint, __seq bigint")
+    with pytest.raises(ValueError):
+        M.merge(base, d, ["k"], STAMP, strategy="broadcast", broadcast_rows=1)
+    assert M.merge(base, d, ["k"], STAMP, strategy="auto", broadcast_rows=1).count() == 2

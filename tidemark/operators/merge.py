@@ -182,7 +182,8 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
       once on the key, the fold only by its own aggregation.
     * ``"broadcast"`` — ``base LEFT JOIN broadcast(fold)`` plus the new keys;
       the base is never shuffled.  The fold is written once with
-      ``checkpoint()`` (shared folder) and reused by both branches.
+      ``checkpoint()`` (shared folder) and reused by both branches.  The
+      row bound is checked here too: over it, this raises.
     * ``"auto"`` — counts the delta rows (an upper bound on the folded rows;
       a footer-only scan for Parquet deltas) and broadcasts only under
       ``broadcast_rows``; otherwise ``"full"``.
@@ -203,6 +204,10 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
     stamp = ts_literal(compacted_at)
     if strategy == "auto":
         strategy = "broadcast" if deltas.count() <= broadcast_rows else "full"
+    elif strategy == "broadcast" and deltas.count() > broadcast_rows:
+        # never broadcast without the bound, even when asked to
+        raise ValueError(f"fold may exceed broadcast_rows={broadcast_rows}; "
+                         "use strategy='auto' or 'full'")
     if strategy not in ("full", "broadcast"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
     if null_safe:
