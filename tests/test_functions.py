@@ -77,3 +77,26 @@ def test_names(spark):
     v = spark.createDataFrame([("16.2 (Debian 16.2-1)",), ("(odd) 1",), ("15.4",)], "v string")
     assert [x[0] for x in v.select(truncate_version(F.col("v"))).collect()] == \
         ["16.2", "(odd) 1", "15.4"]
+
+
+def test_column_and_python_type_maps_agree(spark):
+    """The catalog frame's Column form agrees with the Python form for every
+    source type name (plus decimals, arrays and an unknown type)."""
+    from tidemark.functions.types import PG_CATEGORY, parse_pg_type
+    from tidemark.sources.catalog import typed_columns
+    names = sorted(PG_CATEGORY) + ["numeric(10,2)", "numeric(7)", "int4[]", "tsrange"]
+    df = spark.createDataFrame([(n,) for n in names], "pg_type string")
+    got = {r["pg_type"]: (r["category"], r["catalog_type"]) for r in typed_columns(df).collect()}
+    for n in names:
+        _, p, s, _ = parse_pg_type(n)
+        assert got[n] == (category(n), catalog_type(category(n), p, s)), n
+
+
+def test_epoch_names_and_locations(spark):
+    from tidemark.functions.names import epoch_name, location
+    df = spark.createDataFrame([(1, "public.orders"), (1234567, "billing.x")],
+                               "e bigint, q string")
+    r = df.select(epoch_name("epoch=", F.col("e")).alias("n"),
+                  location(F.lit("warehouse/cdc"), F.col("q")).alias("l")).collect()
+    assert [x["n"] for x in r] == ["epoch=000001", "epoch=1234567"]
+    assert r[0]["l"] == "warehouse/cdc/public.orders/base"
