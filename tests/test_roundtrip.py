@@ -189,3 +189,12 @@ def test_new_stream_never_reuses_epochs(spark):
     assert ids == [(1, 1), (2, 2), (3, 3)], ids
     # a replay of A's last batch gets its epoch back
     assert manifest.allocate_epoch(spark, root, f"{root}/ck_a", 1) == 3
+
+
+def test_lsn_text_order_is_wrong_somewhere(spark):
+    """On the feed, the text maximum of an epoch's LSNs differs from the
+    numeric one where positions cross F/... -> 10/...; numeric lag stays >= 0."""
+    import __spark_entry__ as E
+    rows = E.queries()["lsn_lag"](spark, "/root/testdata/sf0.001").collect()
+    assert any(r["text_order_wrong"] for r in rows)
+    assert all(r["lag_bytes"] >= 0 for r in rows)
