@@ -100,3 +100,11 @@ def test_epoch_names_and_locations(spark):
                   location(F.lit("warehouse/cdc"), F.col("q")).alias("l")).collect()
     assert [x["n"] for x in r] == ["epoch=000001", "epoch=1234567"]
     assert r[0]["l"] == "warehouse/cdc/public.orders/base"
+
+
+def test_suggest_buckets():
+    from tidemark.sources.storage import suggest_buckets
+    assert suggest_buckets(100 * 2**40) == 262144          # 100 TiB at 512 MiB
+    assert suggest_buckets(0) == 8 and suggest_buckets(3 * 2**30) == 8
+    n = suggest_buckets(10 * 2**30 + 1)
+    assert n == 32 and n & (n - 1) == 0                      # a power of two
