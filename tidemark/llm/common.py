@@ -42,9 +42,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
            size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """The rows of each batch in runs of about ``size`` bytes of text (a longer
-    text makes a run of its own), with the texts as UTF-8."""
+    text makes a run of its own), with the texts as UTF-8, null as empty."""
     for batch in batches:
-        texts = batch.column(text).cast(pa.binary()).to_pylist()
+        texts = [t or b"" for t in batch.column(text).cast(pa.binary()).to_pylist()]
         ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
         at = 0
         while at < len(texts):
@@ -54,6 +54,17 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
             at = to
 
 
+def filter_texts(docs: DataFrame, make_decide, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is accepted: each task calls
+    ``make_decide()`` and applies the result to lists of texts."""
+    def run(batches):
+        decide = make_decide()
+        for rows, texts in slices(batches, text_col):
+            yield rows.filter(pa.array(decide(texts), type=pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, type=f.type)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batch_of, id_text, slices
+from tidemark.llm.common import batch_of, filter_texts, id_text, slices
 from tidemark.llm.hashing import ALNUM, U, mix, seeds, words
 
 PERCENT = 20
@@ -185,6 +185,24 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
         yield build_index(rows)
 
 
+def _share(docs: DataFrame, benchmark: DataFrame) -> list:
+    return [docs.sparkSession.sparkContext.broadcast(i) for i in blocks(benchmark) if i.ids]
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, all columns, in whose text no benchmark item is found."""
+    shared = _share(docs, benchmark)
+
+    def decide(texts: list[bytes]) -> list[bool]:
+        clean = [True] * len(texts)
+        for index in shared:
+            for t, _, _ in _search(index.value, percent)(texts):
+                clean[t] = False
+        return clean
+
+    return filter_texts(docs, lambda: decide, text_col)
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_words, item_ids, distances`` for each row of ``docs``.
@@ -197,11 +215,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     id.  An empty benchmark finds nothing; other columns are ignored.
     """
     base = id_text(docs, id_col, text_col)
+    shared = _share(docs, benchmark)
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("item_ids", pa.list_(pa.int64())),
                         ("distances", pa.list_(pa.int64()))])
-    indexes = [i for i in blocks(benchmark) if i.ids]
-    shared = [docs.sparkSession.sparkContext.broadcast(i) for i in indexes]
-
     def run(batches):
         for rows, texts in slices(batches):
             _, first = words(texts, ALNUM)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batch_of, slices, text_of
+from tidemark.llm.common import batch_of, filter_texts, slices, text_of
 
 #: N-grams in a profile, of a language or a document.
 TOP = 300
@@ -165,3 +165,16 @@ def identify(docs: DataFrame, model: dict[str, list[int]], id_col: str = "doc_id
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(
         run, "doc_id long, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, model: dict[str, list[int]], least: float,
+                    text_col: str = "text", top: int = TOP) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language with a score of ``least`` or more."""
+    def make():
+        predict = _predict(model, top)
+
+        def decide(texts: list[bytes]) -> list[bool]:
+            return [x != UNKNOWN and s >= least for x, s in zip(*predict(texts), strict=True)]
+        return decide
+
+    return filter_texts(docs, make, text_col)
