@@ -197,6 +197,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .mapInArrow(_rare(n_words), "g long, x long, doc_id long")
             .groupBy("g", "x").agg(F.min("doc_id").alias("c"), F.max("doc_id").alias("d"))
             .where("c = d").groupBy("c").agg(F.count(F.lit(1)).alias("own")))
+    # an id with several texts has no count of its own: nothing is ruled out for it
+    mixed = full.groupBy("doc_id").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).where("x <> y")
+    only = only.join(mixed.select(F.col("doc_id").alias("c")), "c", "left_anti")
     rest = open_keys.join(only, "c", "left").withColumn("u", F.col("n") - F.coalesce("own", F.lit(0)))
     left = rest.where("part <> main").select("key", *(F.col(x).alias(x + "1") for x in ("c", "n", "u", "part")), "main")
     right = rest.select("key", *(F.col(x).alias(x + "2") for x in ("c", "n", "u", "part")))

@@ -91,11 +91,15 @@ def write_blocks(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "do
         for rows, texts in slices(batches):
             ids, n = coder.encode(texts)
             ids, n = _with_end(ids, n, end_id), n + 1
-            held.append((rows.column("doc_id").fill_null(_NO_ID).to_numpy(), n, ids))
-            size += len(ids)
-            if size >= block_ids:
-                yield block()
-                first, held, size = first + size, [], 0
+            doc, ends, a = rows.column("doc_id").fill_null(_NO_ID).to_numpy(), np.cumsum(n), 0
+            while a < len(n):  # documents up to the one that fills the block
+                done = int(ends[a - 1]) if a else 0
+                z = min(len(n), int(np.searchsorted(ends, done + block_ids - size)) + 1)
+                held.append((doc[a:z], n[a:z], ids[done:ends[z - 1]]))
+                size, a = size + int(ends[z - 1]) - done, z
+                if size >= block_ids:
+                    yield block()
+                    first, held, size = first + size, [], 0
         if held:
             yield block()
 
