@@ -14,10 +14,9 @@ the members of a table slot with each other:
 3. Each class is compared with one pivot, the smallest class it shares a key
    with, and the confirmed pairs make components.
 4. What is left are the pairs of a common key in different components.  Members
-   outside a slot's largest component are compared with the others, unless their
-   set sizes and the numbers of their shingles that occur in another candidate
-   at all already rule out the threshold.  That test is exact, and it settles
-   nearly all.
+   outside a slot's largest component are compared with the others that share a
+   small hash, once per pair, if a longer sketch of one-bit minima comes within
+   ``SIGMAS`` standard deviations of what the threshold lets expect.
 """
 
 from __future__ import annotations
@@ -34,6 +33,8 @@ from tidemark.llm.hashing import U, mix, seeds, words
 PERCENT = 80
 HASHES = 16      # m: small hashes in either collection
 MINIMA = 3       # k: minima in each
+SKETCH = 8       # numbers of 64 bits in the sketch of step 4
+SIGMAS = 4.5     # a linked pair's sketches are farther apart once in 300,000 times
 
 
 def shingles(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,16 +117,22 @@ def _jaccard(n_words: int):
     return run
 
 
-def _rare(n_words: int):
-    """Each document's shingles."""
-    schema = pa.schema([("g", pa.int64()), ("x", pa.int64()), ("doc_id", pa.int64())])
+def _sketches(n_words: int):
+    """``SKETCH`` numbers for each document: a bit of each of 64 minima a number."""
+    a = seeds(64 * SKETCH, 13)
+    schema = pa.schema([("c", pa.int64()), *((f"k{j}", pa.int64()) for j in range(SKETCH))])
 
     def run(batches):
         for rows, texts in slices(batches):
             x, first = shingles(texts, n_words)
-            size = np.diff(first)
-            g, doc = (np.repeat(rows.column(c).to_numpy(), size) for c in ("g", "doc_id"))
-            yield batch_of(schema, g, x.view(np.int64), doc)
+            full = np.flatnonzero(np.diff(first))
+            out = np.zeros((SKETCH, len(full)), dtype=U)
+            for i in range(64 * SKETCH if len(full) else 0):
+                y = x * a[i]
+                y ^= y >> U(32)
+                least = np.minimum.reduceat(y * U(0xD6E8FEB86659FD93), first[full])
+                out[i // 64] |= (mix(least) & U(1)) << U(i % 64)
+            yield batch_of(schema, rows.column("doc_id").take(pa.array(full)), *out.view(np.int64))
     return run
 
 
@@ -189,25 +196,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     largest = (sizes.groupBy("key").agg(F.max_by("part", "count").alias("main"),
                                         F.min("part").alias("x"), F.max("part").alias("y"))
                .where("x < y").select("key", "main"))
-    open_keys = stage(placed.join(largest, "key"), "minhash-open")
-    groups = components(keys.select("c", "pivot"), "c", "pivot")
-    open_docs = (open_keys.select(F.col("c").alias("id")).distinct().join(groups, "id")
-                 .select(F.col("id").alias("doc_id"), F.col("component").alias("g")))
-    only = (texts.join(open_docs, "doc_id").select("doc_id", "g", "text")
-            .mapInArrow(_rare(n_words), "g long, x long, doc_id long")
-            .groupBy("g", "x").agg(F.min("doc_id").alias("c"), F.max("doc_id").alias("d"))
-            .where("c = d").groupBy("c").agg(F.count(F.lit(1)).alias("own")))
-    # an id with several texts has no count of its own: nothing is ruled out for it
-    mixed = full.groupBy("doc_id").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).where("x <> y")
-    only = only.join(mixed.select(F.col("doc_id").alias("c")), "c", "left_anti")
-    rest = open_keys.join(only, "c", "left").withColumn("u", F.col("n") - F.coalesce("own", F.lit(0)))
-    left = rest.where("part <> main").select("key", *(F.col(x).alias(x + "1") for x in ("c", "n", "u", "part")), "main")
-    right = rest.select("key", *(F.col(x).alias(x + "2") for x in ("c", "n", "u", "part")))
-    most = F.least("u1", "u2")
-    pairs = (left.join(right, "key").where(F.col("part1") != F.col("part2"))
-             .where(_enough(most, F.col("n1"), F.col("n2"), percent))
-             .where((F.col("part2") == F.col("main")) | (F.col("c1") < F.col("c2")))
-             .select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct())
+    open_rows = stage(placed.join(largest, "key").groupBy("c", "n", "part").agg(
+        F.max((F.col("part") != F.col("main")).cast("int")).alias("outside")), "minhash-open")
+    ids = open_rows.select(F.col("c").alias("doc_id")).distinct()
+    sketch = texts.join(ids, "doc_id", "left_semi").mapInArrow(
+        _sketches(n_words), "c long, " + ", ".join(f"k{j} long" for j in range(SKETCH)))
+    halves = reps.select(F.col("doc_id").alias("c"), "n", F.slice("small", 1, m).alias("halves"))
+    rest = stage(open_rows.join(halves, ["c", "n"]).join(sketch, "c"), "minhash-rest")
+    rest = rest.select("*", F.posexplode("halves").alias("i", "h"))
+    own = [c for c in rest.columns if c not in ("i", "h")]
+    left = rest.where("outside = 1").select("i", "h", *(F.col(c).alias(c + "_1") for c in own))
+    right = rest.select("i", "h", *(F.col(c).alias(c + "_2") for c in own))
+    apart = sum((F.bit_count(F.col(f"k{j}_1").bitwiseXOR(F.col(f"k{j}_2"))) for j in range(SKETCH)), F.lit(0))
+    even = (1 + percent / 100) / 2
+    most = int(64 * SKETCH * (1 - even) + SIGMAS * (64 * SKETCH * even * (1 - even)) ** 0.5)
+    n1, n2 = F.col("n_1"), F.col("n_2")
+    pairs = (left.join(right, ["i", "h"])
+             .where((F.col("part_1") != F.col("part_2")) & (apart <= most)
+                    & (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent)
+                    & ((F.col("outside_2") == 0) | (F.col("c_1") < F.col("c_2")))
+                    # of the small hashes that the two share, only the first
+                    & (F.array_position(F.zip_with("halves_1", "halves_2", lambda x, y: x == y), True) == F.col("i") + 1))
+             .select(F.least("c_1", "c_2").alias("a"), F.greatest("c_1", "c_2").alias("b")).distinct())
     more = stage(confirm(pairs), "minhash-more")
     found = components(links.unionByName(more)).withColumnRenamed("id", "c")
     # classes hold documents, and ids with several texts hold classes: join them over both
