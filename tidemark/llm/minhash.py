@@ -33,8 +33,8 @@ from tidemark.llm.hashing import U, mix, seeds, words
 PERCENT = 80
 HASHES = 16      # m: small hashes in either collection
 MINIMA = 3       # k: minima in each
-SKETCH = 8       # numbers of 64 bits in the sketch of step 4
-SIGMAS = 4.5     # a linked pair's sketches are farther apart once in 300,000 times
+SKETCH = 32      # numbers of 64 bits in the sketch of step 4
+SIGMAS = 4.0     # a pair right at the threshold is farther apart once in 30,000 times
 
 
 def shingles(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
