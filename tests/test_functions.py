@@ -97,9 +97,9 @@ def test_epoch_names_and_locations(spark):
     df = spark.createDataFrame([(1, "public.orders"), (1234567, "billing.x")],
                                "e bigint, q string")
     r = df.select(epoch_name("epoch=", F.col("e")).alias("n"),
-                  location(F.lit("warehouse/cdc"), F.col("q")).alias("l")).collect()
+                  location(F.lit("warehouse/cdc"), F.col("q"), F.col("e")).alias("l")).collect()
     assert [x["n"] for x in r] == ["epoch=000001", "epoch=1234567"]
-    assert r[0]["l"] == "warehouse/cdc/public.orders/base"
+    assert r[0]["l"] == "warehouse/cdc/public.orders/base/__base_epoch=1"
 
 
 def test_suggest_buckets():
@@ -108,3 +108,22 @@ def test_suggest_buckets():
     assert suggest_buckets(0) == 8 and suggest_buckets(3 * 2**30) == 8
     n = suggest_buckets(10 * 2**30 + 1)
     assert n == 32 and n & (n - 1) == 0                      # a power of two
+
+
+def test_glob_brackets():
+    import re as _re
+
+    from tidemark.functions.glob import glob_to_regex
+    for bad in ("[]a]", "[-a]", "[a-]", "[", "[a", "[^", "[a-", "a[\\"):
+        assert not any(_re.match(glob_to_regex(bad), x) for x in ("a", "-", "]", "[", "")), bad
+    assert _re.match(glob_to_regex("[z-aq]"), "q") and not _re.match(glob_to_regex("[z-aq]"), "m")
+    assert not _re.match(glob_to_regex("[z-a]"), "b") and _re.match(glob_to_regex("[^z-a]"), "b")
+    assert _re.match(glob_to_regex("x[a-c\\]]"), "x]") and not _re.match(glob_to_regex("x[^a-c]"), "xb")
+
+
+def test_precision_inside_a_type_name():
+    from tidemark.functions.types import category, parse_pg_type, spark_type
+    assert parse_pg_type("timestamp(3) without time zone") == ("timestamp without time zone", 3, None, False)
+    assert category("timestamp(3) without time zone") == category("timestamp without time zone")
+    assert spark_type("timestamp(3) with time zone") == spark_type("timestamp with time zone")
+    assert category("numeric(10,-2)") == "DECIMAL"

@@ -66,7 +66,7 @@ def test_role_profiles(spark):
 
 def test_membership_closure_with_cycle(spark):
     e = spark.createDataFrame([("b", "a"), ("c", "b"), ("a", "c")], "role string, member string")
-    got = {(r["role"], r["member"]): r["depth"] for r in A.membership_closure(e, 5).collect()}
+    got = {(r["role"], r["member"]): r["depth"] for r in A.membership_closure(e).collect()}
     assert got[("b", "a")] == 1 and got[("c", "a")] == 2 and got[("a", "a")] == 3
     assert len(got) == 9
 

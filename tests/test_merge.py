@@ -206,6 +206,7 @@ def test_forced_broadcast_respects_the_bound(spark):
     base = spark.createDataFrame([(1, "a")], "k bigint, v string")
     d = spark.createDataFrame([(1, "U", "b", 1, 1), (2, "I", "c", 1, 2)],
                               "k bigint, __op string, v string, __epoch bigint, __seq bigint")
-    with pytest.raises(ValueError):
-        M.merge(base, d, ["k"], STAMP, strategy="broadcast", broadcast_rows=1)
+    over = M.merge(base, d, ["k"], STAMP, strategy="broadcast", broadcast_rows=1)
+    assert "Broadcast" not in over._jdf.queryExecution().analyzed().toString()
+    assert over.count() == 2
     assert M.merge(base, d, ["k"], STAMP, strategy="auto", broadcast_rows=1).count() == 2

@@ -1,5 +1,8 @@
 """Layout, manifest, compaction and plan-shape tests."""
 
+import time
+import pytest
+from tidemark.sources import fs
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import merge
@@ -88,21 +91,62 @@ def test_purge_in_compaction(spark):
     assert df.filter(F.col("__deleted_at").isNotNull()).count() == 0
 
 
-def test_stale_header_publish_is_refused(spark):
-    root = fresh_dir(spark, "t_race")
+def test_leftovers_of_a_dead_publisher_are_overwritten(spark):
+    """A crash between a segment or snapshot and its header must not wedge the manifest."""
+    root = fresh_dir(spark, "t_left")
     SQ._setup_table(spark, SF, root)
-    stale = manifest.read_header(spark, root)                   # names snapshot v1
-    manifest.publish(spark, root, manifest.read_tables(spark, root))   # writer 1: v2
-    manifest.write_header(spark, root, stale)                   # writer 2 still sees v1
-    try:
-        manifest.publish(spark, root, manifest.read_tables(spark, root))
-        raise AssertionError("expected ConcurrentPublish")
-    except manifest.ConcurrentPublish:
-        pass
-    manifest.write_header(spark, root, {**stale, "tables_version": 2})
+    manifest.read_tables(spark, root).limit(0).write.json(f"{root}/_manifest/log/s=1")
+    manifest.read_tables(spark, root).limit(0).write.json(f"{root}/_manifest/tables/v=2")
     manifest.update_tables(spark, root, spark.createDataFrame(
         [(ORDERS_TABLE, 26)], "table string, latest_delta_epoch bigint"))
     assert manifest.entry(spark, root, ORDERS_TABLE)["latest_delta_epoch"] == 26
+    manifest.publish(spark, root, manifest.read_tables(spark, root))
+    assert manifest.entry(spark, root, ORDERS_TABLE)["latest_delta_epoch"] == 26
+
+
+def test_tables_without_a_header_are_an_error(spark):
+    root = fresh_dir(spark, "t_headless")
+    assert manifest.read_header(spark, root) == {}
+    spark.range(1).write.json(f"{root}/_manifest/tables/v=1")
+    with pytest.raises(RuntimeError):
+        manifest.read_tables(spark, root)
+
+
+def test_headers_are_numbered_and_old_ones_go(spark):
+    root = fresh_dir(spark, "t_headers")
+    for i in range(20):
+        manifest.write_header(spark, root, {"i": i})
+    assert manifest.read_header(spark, root)["i"] == 19
+    assert len(manifest._headers(spark, root)) <= 18
+
+
+def test_lock_belongs_to_its_owner(spark):
+    root = fresh_dir(spark, "t_lock")
+    lock = f"{root}/_manifest/_publish.lock"
+    with manifest.publish_lock(spark, root):
+        with pytest.raises(TimeoutError):
+            with manifest.publish_lock(spark, root, wait_s=0.3):
+                pass
+        # a live owner renews: it is not broken even by a waiter with a short lease
+        fs.delete(spark, lock)
+        fs.create_exclusive(spark, lock, "another")
+    assert fs.read_text(spark, lock) == "another"     # not ours any more: left alone
+    time.sleep(1.1)
+    with manifest.publish_lock(spark, root, lease_s=1.0, wait_s=5):
+        pass                                            # the dead owner's lock is broken
+    assert not fs.exists(spark, lock)
+
+
+def test_one_failing_table_does_not_stop_the_others(spark):
+    root = fresh_dir(spark, "t_fail")
+    SQ._setup_table(spark, SF, root)
+    cols = manifest.entry(spark, root, ORDERS_TABLE)["columns"]
+    manifest.update_tables(spark, root, spark.createDataFrame(
+        [("public.a", "active", cols, 0, 3)], "table string, status string, columns array<struct<name:string,"
+        "pg_type:string,parquet_type:string,nullable:boolean,precision:int,scale:int>>, "
+        "base_epoch bigint, latest_delta_epoch bigint"))
+    res = {r["table"]: r["status"] for r in compaction.compact_all(spark, root, SQ.COMPACTED_AT)}
+    assert res["public.a"].startswith("failed") and res[ORDERS_TABLE] == "compacted"
 
 
 def test_manifest_log_appends_and_folds(spark):

@@ -28,6 +28,13 @@ def _config(path: str | None) -> dict:
         return json.load(f)
 
 
+def _print(rows) -> None:
+    """All rows, a partition at a time, tab-separated under the column names."""
+    print("\t".join(rows.columns))
+    for r in rows.select(*[rows[c].cast("string") for c in rows.columns]).toLocalIterator():
+        print("\t".join("" if v is None else v for v in r))
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tidemark")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -67,23 +74,22 @@ def main(argv: list[str] | None = None) -> int:
                    "allow": acl.get("allow", [])}
         t = init_tables(spark, args.root, cfg["sources"], cfg.get("policy"), cfg.get("buckets"),
                         bucket_dirs=cfg.get("bucket_dirs"), acl=acl)
-        t.select("table", "status", "row_count", "reason").orderBy("table").show(1000, False)
+        _print(t.select("table", "status", "row_count", "reason").orderBy("table"))
     elif args.cmd == "discover":
         from tidemark.operators.policy import policy_totals, resolve_policy
         cfg = _config(args.config)
         pol = cfg.get("policy", {})
         names = spark.createDataFrame([(t,) for t in sorted(cfg["sources"])], "table string")
         r = resolve_policy(names, pol.get("exclude"), pol.get("tags"), pol.get("policy"))
-        r.orderBy("table").show(1000, False)
+        _print(r.orderBy("table"))
         policy_totals(r).show()
         acl = cfg.get("acl")
         if acl:     # grants exported from the source's information schema
             from tidemark.operators.acl import role_profiles, with_aliases
             prof = role_profiles(spark.read.parquet(acl["table_grants"]),
                                  spark.read.parquet(acl["column_grants"]), acl.get("allow", []))
-            with_aliases(prof, acl.get("aliases", {})) \
-                .select("display", "table", "all_columns", "columns") \
-                .orderBy("display", "table").show(1000, False)
+            _print(with_aliases(prof, acl.get("aliases", {}))
+                   .select("display", "table", "all_columns", "columns").orderBy("display", "table"))
     elif args.cmd == "compact":
         from tidemark.plans.compaction import compact_all
         kw = {"now": args.now, "retention_days": args.retention_days} if args.now else {}

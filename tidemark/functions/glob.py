@@ -16,61 +16,59 @@ def _lit(ch: str) -> str:
     return ch if ch.isalnum() or ch == "_" else "\\" + ch
 
 
+def _member(pattern: str, j: int) -> tuple[str, int] | None:
+    """A character of a bracket, possibly escaped, and what follows; None if malformed."""
+    if j >= len(pattern) or pattern[j] in "-]":
+        return None
+    if pattern[j] == "\\":
+        j += 1
+        if j >= len(pattern):
+            return None
+    return pattern[j], j + 1
+
+
+def _bracket(pattern: str, j: int) -> tuple[str, int] | None:
+    """The regex of the bracket whose content begins at ``j``, and what follows it."""
+    neg = pattern[j:j + 1] == "^"
+    j += neg
+    items, some = [], False
+    while not (some and pattern[j:j + 1] == "]"):
+        lo = hi = _member(pattern, j)
+        if lo and pattern[lo[1]:lo[1] + 1] == "-":
+            hi = _member(pattern, lo[1] + 1)
+        if not lo or not hi:
+            return None
+        some, j = True, hi[1]
+        if lo[0] <= hi[0]:      # a range the wrong way round holds nothing
+            items.append(_lit(lo[0]) + "-" + _lit(hi[0]) if hi is not lo else _lit(lo[0]))
+    if not items:
+        return ("[\\s\\S]" if neg else NEVER), j + 1
+    return "[" + ("^" if neg else "") + "".join(items) + "]", j + 1
+
+
 def glob_to_regex(pattern: str) -> str:
-    out = ["^"]
-    i, n = 0, len(pattern)
-    while i < n:
+    out, i = ["^"], 0
+    while i < len(pattern):
         c = pattern[i]
+        i += 1
         if c == "*":
             out.append("[^/]*")
         elif c == "?":
             out.append("[^/]")
         elif c == "\\":
-            if i + 1 >= n:
+            if i >= len(pattern):
                 return NEVER
-            i += 1
             out.append(_lit(pattern[i]))
+            i += 1
         elif c == "[":
-            j = i + 1
-            neg = j < n and pattern[j] == "^"
-            if neg:
-                j += 1
-            items, closed, first = [], False, True
-            while j < n:
-                ch = pattern[j]
-                if ch == "]" and not first:
-                    closed = True
-                    break
-                first = False
-                if ch == "\\":
-                    if j + 1 >= n:
-                        return NEVER
-                    j += 1
-                    ch = pattern[j]
-                lo = ch
-                if j + 2 < n and pattern[j + 1] == "-" and pattern[j + 2] != "]":
-                    hi = pattern[j + 2]
-                    if hi == "\\":
-                        if j + 3 >= n:
-                            return NEVER
-                        hi = pattern[j + 3]
-                        j += 1
-                    if hi < lo:
-                        return NEVER
-                    items.append(_lit(lo) + "-" + _lit(hi))
-                    j += 3
-                    continue
-                items.append(_lit(lo))
-                j += 1
-            if not closed or not items:
+            found = _bracket(pattern, i)
+            if not found or found[0] == NEVER:
                 return NEVER
-            out.append("[" + ("^" if neg else "") + "".join(items) + "]")
-            i = j
+            out.append(found[0])
+            i = found[1]
         else:
             out.append(_lit(c))
-        i += 1
-    out.append("$")
-    return "".join(out)
+    return "".join([*out, "$"])
 
 
 def is_glob(pattern: str) -> bool:

@@ -38,6 +38,7 @@ def truncate_version(v: Column) -> Column:
     return F.when(F.instr(v, "(") > 1, F.trim(F.substring_index(v, "(", 1))).otherwise(v)
 
 
-def location(root: Column, qualified: Column, sub: str = "base") -> Column:
-    """Storage location of a table's current base."""
-    return F.concat_ws("/", root, qualified, F.lit(sub))
+def location(root: Column, qualified: Column, base_epoch: Column) -> Column:
+    """Storage location of a table's base of an epoch; its parent holds every base."""
+    return F.concat_ws("/", root, qualified, F.lit("base"),
+                       F.format_string("__base_epoch=%d", base_epoch))

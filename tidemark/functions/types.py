@@ -45,7 +45,8 @@ CATALOG_TYPE = {
 }
 
 _DECIMAL_DEFAULT = (38, 18)
-_TYPE_ARGS = re.compile(r"^\s*([a-z ]+?)\s*(?:\((\d+)\s*(?:,\s*(\d+))?\))?\s*(\[\])?\s*$")
+#: Name, precision and scale, the rest of the name ("timestamp(3) without time zone"), array mark.
+_TYPE_ARGS = re.compile(r"^\s*([a-z ]+?)\s*(?:\((\d+)\s*(?:,\s*(-?\d+))?\))?((?:\s+[a-z]+)*)\s*(\[\])?\s*$")
 
 
 def parse_pg_type(pg_type: str) -> tuple[str, int | None, int | None, bool]:
@@ -55,7 +56,7 @@ def parse_pg_type(pg_type: str) -> tuple[str, int | None, int | None, bool]:
         return pg_type.lower(), None, None, False
     p = int(m.group(2)) if m.group(2) else None
     s = int(m.group(3)) if m.group(3) else None
-    return m.group(1), p, s, bool(m.group(4))
+    return " ".join((m.group(1) + m.group(4)).split()), p, s, bool(m.group(5))
 
 
 def category(pg_type: str) -> str:
@@ -101,7 +102,8 @@ def spark_type(pg_type: str) -> T.DataType:
     if cat == "DECIMAL":
         if p is None:
             return T.DecimalType(*_DECIMAL_DEFAULT)
-        return T.DecimalType(min(p, 38), s or 0)
+        s = s or 0          # a negative scale rounds to tens, hundreds ...: whole numbers, as many digits more
+        return T.DecimalType(min(p - min(s, 0), 38), max(s, 0))
     if cat == "BOOLEAN":
         return T.BooleanType()
     if cat == "TIMESTAMP_MICROS":
@@ -130,7 +132,7 @@ def coerce(raw: Column, pg_type: str, on_error: str = "null") -> Column:
     dt = spark_type(pg_type)
     cat = category(pg_type)
     if cat == "BYTE_ARRAY":
-        typed = F.when(raw.startswith("\\x"), F.unhex(raw.substr(F.lit(3), F.lit(1 << 30)))) \
+        typed = F.when(raw.startswith("\\x"), F.unhex(F.substr(raw, F.lit(3)))) \
                  .otherwise(F.encode(raw, "UTF-8"))
     else:
         typed = raw.try_cast(dt)
@@ -147,8 +149,10 @@ def decode_row(row: Column, columns: list[dict], on_error: str = "null") -> list
 
 
 def rejects(events: DataFrame, columns: list[dict], row_col: str = "row",
-            keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per (event, column) whose text did not parse.
+            keep: tuple[str, ...] = (),
+            required: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """One row per (event, column) whose text did not parse, or is missing
+    although ``required``.
 
     Output: ``keep`` columns, ``column_name``, ``raw``.  Built with one
     ``inline`` of a filtered array, so the events are read once.
@@ -157,7 +161,8 @@ def rejects(events: DataFrame, columns: list[dict], row_col: str = "row",
         F.struct(F.lit(c["name"]).alias("column_name"),
                  F.element_at(F.col(row_col), c["name"]).alias("raw"),
                  (F.element_at(F.col(row_col), c["name"]).isNotNull()
-                  & coerce(F.element_at(F.col(row_col), c["name"]), c["pg_type"]).isNull())
+                  & coerce(F.element_at(F.col(row_col), c["name"]), c["pg_type"]).isNull()
+                  | F.lit(c["name"] in required) & F.element_at(F.col(row_col), c["name"]).isNull())
                  .alias("bad"))
         for c in columns])
     bad = F.filter(checks, lambda s: s["bad"])

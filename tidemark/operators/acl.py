@@ -85,19 +85,20 @@ def memberships(auth_members: DataFrame, roles: DataFrame) -> DataFrame:
             .select("role", F.col("member_name").alias("member")))
 
 
-def membership_closure(edges: DataFrame, max_depth: int = 8) -> DataFrame:
+def membership_closure(edges: DataFrame) -> DataFrame:
     """Transitive (role, member, depth): ``member`` inherits ``role``.
 
-    Breadth-first expansion, one equi-join per level; ``depth`` is the
-    shortest path length.  Each level keeps only pairs not reached before,
-    so cycles terminate; the loop runs at most ``max_depth`` levels.  Each
-    level's new pairs are checkpointed once, so nothing is recomputed and the
-    lineage stays flat.
+    Breadth-first expansion, one equi-join per level, until a level adds no
+    pair; ``depth`` is the shortest path length.  Each level keeps only pairs
+    not reached before, so cycles terminate.  The edges and each level's new
+    pairs are checkpointed once, so nothing is recomputed and the lineage
+    stays flat.
     """
-    e = edges.select("role", "member").distinct()
-    reached = e.withColumn("depth", F.lit(1))
-    frontier = reached
-    for level in range(2, max_depth + 1):
+    e = checkpoint(edges.select("role", "member").distinct())
+    reached = frontier = e.withColumn("depth", F.lit(1))
+    level = 1
+    while True:
+        level += 1
         step = (frontier.select(F.col("role").alias("mid"), "member")
                 .join(e.select("role", F.col("member").alias("mid")), "mid")
                 .select("role", "member").distinct())
@@ -106,10 +107,9 @@ def membership_closure(edges: DataFrame, max_depth: int = 8) -> DataFrame:
         # an empty level, the union and the next frontier all read the files
         new = checkpoint(new.withColumn("depth", F.lit(level)))
         if new.isEmpty():
-            break
+            return reached
         reached = reached.unionByName(new)
         frontier = new
-    return reached
 
 
 def with_aliases(profiles: DataFrame, aliases: dict[str, str]) -> DataFrame:

@@ -44,9 +44,11 @@ def split_key_changes(events: DataFrame, pk: list[str], old_row: str = "old_row"
                                           .otherwise(F.array(new))))
 
 
-def decode_rejects(events: DataFrame, columns: list[dict]) -> DataFrame:
-    """(seq, table, column, raw) for every value that failed to parse."""
-    return rejects(events, columns, keep=("seq", "table"))
+def decode_rejects(events: DataFrame, columns: list[dict],
+                   primary_key: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """(seq, table, column, raw) for every value that failed to parse, and for
+    every part of ``primary_key`` that is missing (``raw`` is NULL)."""
+    return rejects(events, columns, keep=("seq", "table"), required=primary_key)
 
 
 def route(events: DataFrame, active: DataFrame, table_col: str = "table"):

@@ -202,14 +202,11 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
     for c in [c for c in data_cols if c not in deltas.columns]:
         deltas = deltas.withColumn(c, F.lit(None).cast(types[c]))
     stamp = ts_literal(compacted_at)
-    if strategy == "auto":
-        strategy = "broadcast" if deltas.count() <= broadcast_rows else "full"
-    elif strategy == "broadcast" and deltas.count() > broadcast_rows:
-        # never broadcast without the bound, even when asked to
-        raise ValueError(f"fold may exceed broadcast_rows={broadcast_rows}; "
-                         "use strategy='auto' or 'full'")
-    if strategy not in ("full", "broadcast"):
+    if strategy not in ("auto", "full", "broadcast"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
+    if strategy != "full":
+        # never broadcast without the bound, even when asked to
+        strategy = "broadcast" if deltas.count() <= broadcast_rows else "full"
     if null_safe:
         d_enc, kcols = _encode_keys(deltas, pk, types)
         b_enc, _ = _encode_keys(base, pk, types)

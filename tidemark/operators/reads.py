@@ -101,11 +101,14 @@ def history(deltas: DataFrame, pk: list[str], order=(EPOCH, SEQ),
 
 
 def resync_plan(tables: DataFrame, consumers: DataFrame) -> DataFrame:
-    """Per (consumer, table): ``full`` re-pull when the consumer's epoch is
-    below the compacted base (its deltas are gone), ``incremental`` when
-    behind the latest delta, else ``current``."""
-    j = consumers.join(tables, "table")
-    action = (F.when(F.col("consumer_epoch") < F.col("base_epoch"), "full")
+    """Per (consumer, table): ``full`` re-pull when the consumer never pulled
+    (NULL) or its epoch is below the compacted base (its deltas are gone),
+    ``incremental`` when behind the latest delta, else ``current``; ``unknown``
+    for a table that the manifest doesn't have."""
+    j = consumers.join(tables.withColumn("__known", F.lit(True)), "table", "left")
+    action = (F.when(F.col("__known").isNull(), "unknown")
+               .when(F.col("consumer_epoch").isNull()
+                     | (F.col("consumer_epoch") < F.col("base_epoch")), "full")
                .when(F.col("consumer_epoch") < F.col("latest_delta_epoch"), "incremental")
                .otherwise("current"))
-    return j.withColumn("action", action)
+    return j.withColumn("action", action).drop("__known")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.constants import DELETED_AT
 from tidemark.functions.types import struct_for
 from tidemark.operators.merge import merge, purge
+from tidemark.plans.consumer import published_bases
 from tidemark.sources import manifest, storage
 
 
@@ -71,7 +72,8 @@ def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
     # keys are primary keys (NOT NULL), joined as plain columns.
     with _conf(spark, "spark.sql.shuffle.partitions", str(buckets) if buckets else None):
         base, _ = storage.read_base(spark, root, table, storage.base_schema(data),
-                                    upto=base_e, buckets=buckets, pk=pk)
+                                    upto=base_e, buckets=buckets, pk=pk,
+                                    published=published_bases(e))
         deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data),
                                      after=base_e, upto=latest)
         # counters ride along the write job (no extra pass): delta rows read
@@ -88,8 +90,9 @@ def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
             out = purge(out, now, retention_days)
         rows = storage.write_base(out, root, table, latest, buckets=buckets, pk=pk)
     counters = {**read.get, **merged.get}
-    change = spark.createDataFrame([(table, latest, rows)],
-                                   "table string, base_epoch bigint, row_count bigint")
+    change = spark.createDataFrame(
+        [(table, latest, rows, sorted({*published_bases(e), latest}))],
+        "table string, base_epoch bigint, row_count bigint, base_epochs array<bigint>")
     manifest.update_tables(spark, root, change, last_compacted_at=str(compacted_at))
     dropped = storage.drop_deltas(spark, root, table, latest)
     return {"table": table, "status": "compacted", "base_epoch": latest,
@@ -169,18 +172,16 @@ def compact_all(spark: SparkSession, root: str, compacted_at, parallelism: int =
     concurrent jobs from several threads), so many small tables keep a large
     cluster busy.  Each worker uses its own session (``newSession``: shared
     context and catalog, private SQL conf), so per-table settings do not
-    leak; concurrent manifest publishes are serialised by the manifest's
-    optimistic retry.  A failing table fails only itself: the others
-    publish, and the error is reported in its result.
+    leak; concurrent manifest publishes wait for its lock.  A failing table
+    fails only itself, at any ``parallelism``: the others publish, and the
+    error is reported in its result.
     """
     tables = tables_to_compact(spark, root)
-    if parallelism <= 1:
-        return [compact_table(spark, root, t, compacted_at, **kw) for t in tables]
 
     def one(t):
         try:
             return compact_table(spark.newSession(), root, t, compacted_at, **kw)
         except Exception as e:  # noqa: BLE001 - reported per table
             return {"table": t, "status": f"failed: {type(e).__name__}: {e}"}
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         return list(pool.map(one, tables))

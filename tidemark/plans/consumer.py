@@ -1,4 +1,8 @@
-"""Consumer reads against the storage layout: as-of an epoch, live view."""
+"""Consumer reads against the storage layout: as-of an epoch, live view, changes.
+
+Only what the manifest publishes is read: its bases, and deltas up to its newest
+epoch.  A base that a compaction is writing, or left behind, is not there yet.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.types import struct_for
 from tidemark.operators import merge as M
+from tidemark.operators import reads as R
 from tidemark.sources import manifest, storage
 
 
@@ -13,6 +18,16 @@ def _schema(entry: dict):
     return struct_for([{"name": c["name"], "pg_type": c["pg_type"]} for c in entry["columns"]])
 
 
+class ResyncRequired(ValueError):
+    """The changes asked for are gone: pull the whole table again."""
+
+
+def published_bases(entry: dict) -> list[int]:
+    """Epochs of the bases the manifest names, the newest last."""
+    known = set(entry.get("base_epochs") or [])
+    return sorted(known | ({int(entry["base_epoch"])} if entry.get("base_epoch") is not None else {0}))
+
+
 def as_of(spark: SparkSession, root: str, table: str, epoch: int, stamp,
           strategy: str = "auto") -> DataFrame:
     """State at ``epoch``: newest base <= epoch, plus its later deltas <= epoch.
@@ -26,6 +41,7 @@ def as_of(spark: SparkSession, root: str, table: str, epoch: int, stamp,
         raise KeyError(table)
     data = _schema(e)
     pk = list(e["primary_key"])
+    upto = min(epoch, int(e.get("latest_delta_epoch") or 0))
     if e.get("bucket_epochs") is not None:
         b = int(e.get("base_epoch") or 0)
         if epoch < b:
@@ -34,22 +50,44 @@ def as_of(spark: SparkSession, root: str, table: str, epoch: int, stamp,
         base = storage.read_base_buckets(spark, root, table, storage.base_schema(data),
                                          list(e["bucket_epochs"]))
         deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data),
-                                     after=b, upto=epoch)
+                                     after=b, upto=upto)
         return M.merge(base, deltas, pk, stamp, strategy=strategy)
     buckets = int(e["buckets"]) if e.get("buckets") else None
     base, b = storage.read_base(spark, root, table, storage.base_schema(data), upto=epoch,
-                                buckets=buckets, pk=pk)
+                                buckets=buckets, pk=pk, published=published_bases(e))
     b = b or 0
-    newest = max(storage.base_epochs(spark, root, table) or [0])
+    newest = published_bases(e)[-1]
     if b < newest and epoch > b:
         raise ValueError(f"epoch {epoch} of {table} is not addressable: deltas after "
                          f"base {b} up to {newest} were consumed by compaction")
     deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data),
-                                 after=b, upto=epoch)
+                                 after=b, upto=upto)
     # a bucketed base keeps its bucketing through a join on the raw key
     return M.merge(base, deltas, pk, stamp, strategy=strategy, null_safe=not buckets)
 
 
+def changes_since(spark: SparkSession, root: str, table: str, epoch: int | None,
+                  net: bool = False) -> DataFrame:
+    """Changes of a table after a consumer's watermark, from storage.
+
+    ``net``: one row per key, its last op and image, instead of every change.
+    A consumer that never pulled, or whose watermark is below the compacted
+    base (its changes are gone), gets ``ResyncRequired``.
+    """
+    e = manifest.entry(spark, root, table)
+    if e is None:
+        raise KeyError(table)
+    base = int(e.get("base_epoch") or 0)
+    if epoch is None or epoch < base:
+        raise ResyncRequired(f"{table}: changes after {epoch} are in base {base} already")
+    deltas = storage.read_deltas(spark, root, table, storage.delta_schema(_schema(e)),
+                                 after=epoch, upto=int(e.get("latest_delta_epoch") or 0))
+    if not net:
+        return deltas
+    names = [c["name"] for c in e["columns"] if c["name"] not in e["primary_key"]]
+    return R.net_changes_since(deltas, list(e["primary_key"]), epoch, data_cols=names)
+
+
 def live_view(spark: SparkSession, root: str, table: str, view: str, stamp) -> DataFrame:
     """Temp view of the current base + uncompacted deltas, tombstones hidden."""
     e = manifest.entry(spark, root, table)

@@ -75,7 +75,7 @@ def role_memberships(spark, d):
 @query("role_closure", S.CLOSURE)
 def role_closure(spark, d):
     edges = A.memberships(T.pg_auth_members(spark, d), T.pg_roles(spark, d))
-    return A.membership_closure(edges, T.CLOSURE_DEPTH)
+    return A.membership_closure(edges)
 
 
 def _shapes(spark):
@@ -148,10 +148,11 @@ def catalog_tables(spark, d):
 @query("catalog_names", f"""WITH t AS ({S.TENANT_TABLES})
 SELECT "table", schema_name, table_name,
        CASE WHEN schema_name IN ('', 'public') THEN table_name ELSE schema_name || '_' || table_name END AS catalog_name,
-       '{CATALOG_ROOT}/' || "table" || '/base' AS location
+       '{CATALOG_ROOT}/' || "table" || '/base/__base_epoch=' || c_nationkey AS location
 FROM t""")
 def catalog_names(spark, d):
-    return C.names(T.tenant_tables(spark, d), CATALOG_ROOT)
+    return C.names(T.tenant_tables(spark, d), CATALOG_ROOT,
+                   base_epoch=F.col("c_nationkey").cast("long"))
 
 
 _PK_SQL = "(VALUES " + ", ".join(
@@ -178,12 +179,15 @@ def primary_keys(spark, d):
 m AS (SELECT "table", c_custkey, CAST(c_nationkey AS BIGINT) AS base_epoch,
              CAST(c_nationkey + c_custkey % 5 AS BIGINT) AS latest_delta_epoch FROM t),
 c AS (SELECT "table", 'warehouse' AS consumer, CAST(c_custkey % 9 AS BIGINT) AS consumer_epoch FROM m
-      UNION ALL SELECT "table", 'audit', CAST(c_custkey % 3 AS BIGINT) FROM m)
+      UNION ALL SELECT "table", 'audit', CAST(c_custkey % 3 AS BIGINT) FROM m
+      UNION ALL SELECT "table", 'new', NULL FROM m
+      UNION ALL SELECT "table" || '_gone', 'stray', 1 FROM m)
 SELECT c.consumer, c."table", c.consumer_epoch, m.base_epoch, m.latest_delta_epoch,
-       CASE WHEN c.consumer_epoch < m.base_epoch THEN 'full'
+       CASE WHEN m."table" IS NULL THEN 'unknown'
+            WHEN c.consumer_epoch IS NULL OR c.consumer_epoch < m.base_epoch THEN 'full'
             WHEN c.consumer_epoch < m.latest_delta_epoch THEN 'incremental'
             ELSE 'current' END AS action
-FROM c JOIN m ON m."table" = c."table\"""")
+FROM c LEFT JOIN m ON m."table" = c."table\"""")
 def consumer_resync_plan(spark, d):
     t = T.tenant_tables(spark, d)
     m = t.select("table", F.col("c_nationkey").cast("bigint").alias("base_epoch"),
@@ -193,7 +197,12 @@ def consumer_resync_plan(spark, d):
         F.struct(F.lit("warehouse").alias("consumer"),
                  (F.col("c_custkey") % 9).cast("bigint").alias("consumer_epoch")),
         F.struct(F.lit("audit").alias("consumer"),
-                 (F.col("c_custkey") % 3).cast("bigint").alias("consumer_epoch")))))
+                 (F.col("c_custkey") % 3).cast("bigint").alias("consumer_epoch")),
+        F.struct(F.lit("new").alias("consumer"),
+                 F.lit(None).cast("bigint").alias("consumer_epoch")))))
+    c = c.unionByName(t.select(F.concat("table", F.lit("_gone")).alias("table"),
+                               F.lit("stray").alias("consumer"),
+                               F.lit(1).cast("bigint").alias("consumer_epoch")))
     plan = R.resync_plan(m, c)
     return plan.select("consumer", "table", "consumer_epoch", "base_epoch",
                        "latest_delta_epoch", "action")

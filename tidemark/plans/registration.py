@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.plans.consumer import published_bases
 from tidemark.sources import catalog, manifest, storage
 
 
@@ -14,7 +15,7 @@ def register_all(spark: SparkSession, root: str, db: str) -> list[dict]:
     without a schema are reported, not registered.  Returns one result per
     table (metadata only: one small row per table reaches the driver)."""
     rows = manifest.read_tables(spark, root).filter(F.col("status") == "active") \
-        .select("table", "columns", "schema_version", "base_epoch", "bucket_epochs").collect()
+        .select("table", "columns", "schema_version", "base_epoch", "base_epochs", "bucket_epochs").collect()
     out = []
     for r in sorted(rows, key=lambda x: x["table"]):
         t = r["table"]
@@ -27,8 +28,7 @@ def register_all(spark: SparkSession, root: str, db: str) -> list[dict]:
             continue
         schema, _, name = t.partition(".")
         flat = name if schema in ("", "public") else f"{schema}_{name}"
-        eps = [e for e in storage.base_epochs(spark, root, t)
-               if r["base_epoch"] is None or e <= r["base_epoch"]]
+        eps = [e for e in storage.base_epochs(spark, root, t) if e in published_bases(r.asDict())]
         if not eps:
             out.append({"table": t, "status": "skipped (no base)"})
             continue

@@ -101,9 +101,10 @@ def schema_drift(spark, d):
 COMPACT_UPTO = 20
 
 
-def _setup_table(spark, d, root, buckets=None, bucket_dirs=None):
+def _setup_table(spark, d, root, buckets=None, bucket_dirs=None, upto=COMPACT_UPTO):
     """Base at epoch 0 (all orders), deltas for every epoch, manifest saying
-    epochs up to 20 are flushed (later ones still in flight).  ``buckets``:
+    epochs up to ``upto`` are flushed (later ones still in flight; None: every
+    epoch is).  ``buckets``:
     Spark-bucketed base; ``bucket_dirs``: bucket-directory layout."""
     vec, rows = None, None
     if bucket_dirs:
@@ -114,8 +115,10 @@ def _setup_table(spark, d, root, buckets=None, bucket_dirs=None):
         rows = storage.write_base(orders_base(spark, d), root, ORDERS_TABLE, 0,
                                   buckets=buckets, pk=ORDERS_PK)
     _write_feed(spark, d, root)
+    if upto is None:
+        upto = max(storage.delta_epochs(spark, root, ORDERS_TABLE))
     entry = manifest.entries(spark, [(ORDERS_TABLE, "active", [], ORDERS_PK, 1, ORDERS_COLUMNS,
-                                      0, COMPACT_UPTO, rows, f"{root}/{ORDERS_TABLE}", "",
+                                      0, upto, rows, f"{root}/{ORDERS_TABLE}", "",
                                       buckets, vec)])
     manifest.publish(spark, root, entry, source={"name": "orders-db"})
 
@@ -131,21 +134,20 @@ def compact_cleanup(spark, d):
     return rest.groupBy(EPOCH).agg(F.count(F.lit(1)).alias("events"))
 
 
-_AT_20 = f"""WITH base AS ({O.ORDERS_BASE}),
-feed AS ({O.feed_a_where(f"__epoch <= {COMPACT_UPTO}")}),
+_AT_END = f"""WITH base AS ({O.ORDERS_BASE}),
+feed AS ({O.FEED_A}),
 {O.merge_ctes("m", "base", "feed")}
 SELECT * FROM m"""
 
 
-@query("compact_job", _AT_20)
+@query("compact_job", _AT_END)
 def compact_job(spark, d):
-    """The base the compaction job published equals the state at epoch 20."""
+    """The base the compaction job published equals the state at the last epoch."""
     root = fresh_dir(spark, "compact_job")
-    _setup_table(spark, d, root)
+    _setup_table(spark, d, root, upto=None)
     res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
-    assert res["base_epoch"] == COMPACT_UPTO, res
     e = manifest.entry(spark, root, ORDERS_TABLE)
-    assert e["base_epoch"] == COMPACT_UPTO and e["row_count"] == res["rows"], e
+    assert e["base_epoch"] == e["latest_delta_epoch"] and e["row_count"] == res["rows"], e
     df, _ = storage.read_base(spark, root, ORDERS_TABLE, storage.base_schema(ORDERS_DATA))
     return df
 
@@ -153,13 +155,12 @@ def compact_job(spark, d):
 COMPACT_BUCKETS = 8
 
 
-@query("compact_bucketed", _AT_20)
+@query("compact_bucketed", _AT_END)
 def compact_bucketed(spark, d):
     """Compaction over a key-bucketed base: only the folded deltas shuffle."""
     root = fresh_dir(spark, "compact_bucketed")
-    _setup_table(spark, d, root, buckets=COMPACT_BUCKETS)
+    _setup_table(spark, d, root, buckets=COMPACT_BUCKETS, upto=None)
     res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
-    assert res["base_epoch"] == COMPACT_UPTO, res
     df, _ = storage.read_base(spark, root, ORDERS_TABLE, storage.base_schema(ORDERS_DATA),
                               buckets=COMPACT_BUCKETS, pk=ORDERS_PK)
     return df
@@ -168,25 +169,24 @@ def compact_bucketed(spark, d):
 COMPACT_BUCKET_DIRS = 64
 
 
-@query("compact_touched_buckets", _AT_20)
+@query("compact_touched_buckets", _AT_END)
 def compact_touched_buckets(spark, d):
     """Bucket-directory layout: only buckets the deltas touch are rewritten;
-    the result read back over every bucket equals the state at epoch 20."""
+    the result read back over every bucket equals the state at the last epoch."""
     root = fresh_dir(spark, "compact_touched")
-    _setup_table(spark, d, root, bucket_dirs=COMPACT_BUCKET_DIRS)
+    _setup_table(spark, d, root, bucket_dirs=COMPACT_BUCKET_DIRS, upto=None)
     res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
-    assert res["base_epoch"] == COMPACT_UPTO, res
     e = manifest.entry(spark, root, ORDERS_TABLE)
     assert e["row_count"] == res["rows"], (e["row_count"], res)
     return storage.read_base_buckets(spark, root, ORDERS_TABLE,
                                      storage.base_schema(ORDERS_DATA), e["bucket_epochs"])
 
 
-@query("catalog_register", _AT_20)
+@query("catalog_register", _AT_END)
 def catalog_register(spark, d):
     """Register the current base as an external table and query it by name."""
     root = fresh_dir(spark, "catalog_register")
-    _setup_table(spark, d, root)
+    _setup_table(spark, d, root, upto=None)
     compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
     e = manifest.entry(spark, root, ORDERS_TABLE)
     schema, table = ORDERS_TABLE.split(".", 1)
@@ -259,6 +259,8 @@ def as_of_after_compaction(spark, d):
     root = fresh_dir(spark, "as_of")
     _setup_table(spark, d, root)
     compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    manifest.update_tables(spark, root, spark.createDataFrame(     # the streamer flushed up to 30
+        [(ORDERS_TABLE, 30)], "table string, latest_delta_epoch bigint"))
     try:
         as_of(spark, root, ORDERS_TABLE, 10, COMPACTED_AT)
         raise AssertionError("epoch 10 must not be addressable after compaction")
@@ -282,6 +284,92 @@ def live_view_q(spark, d):
     return live_view(spark, root, ORDERS_TABLE, "orders_live", COMPACTED_AT)
 
 
+def _unpublished_base(spark, d, root):
+    """What a compaction to epoch 29 leaves on storage before it publishes: some
+    rows of the new base, and its writer's work folder."""
+    some = orders_base(spark, d).where("o_orderkey % 7 = 0")
+    storage.write_base(some, root, ORDERS_TABLE, 29)
+    storage.write_base(some, root, ORDERS_TABLE, 28)
+    some.write.parquet(f"{storage.table_root(root, ORDERS_TABLE)}/base/__base_epoch=28/_temporary/0/x")
+
+
+@query("live_view_during_compaction", f"""WITH base AS ({O.ORDERS_BASE}),
+feed AS ({O.FEED_A}),
+{O.merge_ctes("m", "base", "feed")}
+SELECT * FROM m WHERE __deleted_at IS NULL""")
+def live_view_during_compaction(spark, d):
+    """K4 beside a running compaction: only published bases are read."""
+    from tidemark.plans.consumer import live_view
+    root = fresh_dir(spark, "live_view_during")
+    _setup_table(spark, d, root, upto=None)
+    _unpublished_base(spark, d, root)
+    return live_view(spark, root, ORDERS_TABLE, "orders_live_during", COMPACTED_AT)
+
+
+@query("as_of_during_compaction", f"""WITH base AS ({O.ORDERS_BASE}),
+feed AS ({O.FEED_A}),
+{O.merge_ctes("m", "base", "feed")}
+SELECT * FROM m""")
+def as_of_during_compaction(spark, d):
+    """K1 beside a running compaction, after one that was published: base 20,
+    every later delta."""
+    from tidemark.plans.consumer import as_of
+    root = fresh_dir(spark, "as_of_during")
+    _setup_table(spark, d, root)
+    compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    last = max(storage.delta_epochs(spark, root, ORDERS_TABLE))
+    manifest.update_tables(spark, root, spark.createDataFrame(
+        [(ORDERS_TABLE, last)], "table string, latest_delta_epoch bigint"))
+    _unpublished_base(spark, d, root)
+    return as_of(spark, root, ORDERS_TABLE, last, COMPACTED_AT)
+
+
+@query("storage_changes_since", f"""SELECT __epoch, __op, count(*) AS events,
+       CAST(sum(o_orderkey) AS BIGINT) AS keys
+FROM ({O.FEED_A}) WHERE __epoch > 22 AND __epoch <= 26 GROUP BY __epoch, __op""")
+def storage_changes_since(spark, d):
+    """K2 from storage: after a compaction to 20, the changes after 22 up to the
+    published 26; a watermark below the base, or none, is told to pull again."""
+    from tidemark.plans.consumer import ResyncRequired, changes_since
+    root = fresh_dir(spark, "changes_since")
+    _setup_table(spark, d, root)
+    compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    manifest.update_tables(spark, root, spark.createDataFrame(
+        [(ORDERS_TABLE, 26)], "table string, latest_delta_epoch bigint"))
+    for gone in (None, 19):
+        try:
+            changes_since(spark, root, ORDERS_TABLE, gone)
+            raise AssertionError(f"changes after {gone} are gone")
+        except ResyncRequired:
+            pass
+    return (changes_since(spark, root, ORDERS_TABLE, 22).groupBy("__epoch", "__op")
+            .agg(F.count(F.lit(1)).alias("events"), F.sum("o_orderkey").alias("keys")))
+
+
+@query("manifest_updates", f"""WITH t AS ({S.TENANT_TABLES})
+SELECT "table", CASE WHEN c_custkey % 2 = 0 THEN c_nationkey + c_custkey % 5 + 3
+                     ELSE c_nationkey + c_custkey % 5 END AS latest_delta_epoch,
+       CASE WHEN c_custkey % 3 = 0 THEN 7 ELSE c_custkey % 1000 END AS row_count FROM t
+UNION ALL SELECT "table" || '_new', 4, 9 FROM t WHERE c_custkey % 4 = 0""")
+def manifest_updates(spark, d):
+    """Updates of a published manifest: a higher epoch, then a lower one that
+    must not win, row counts, and tables the snapshot doesn't have."""
+    root = fresh_dir(spark, "manifest_updates")
+    t = TN.tenant_tables(spark, d)
+    manifest.publish(spark, root, _tenant_manifest(spark, d), source={"name": "tenants"})
+    latest = F.col("c_nationkey") + F.col("c_custkey") % 5
+    even = t.where("c_custkey % 2 = 0")
+    for change in (even.select("table", (latest + 3).cast("bigint").alias("latest_delta_epoch")),
+                   even.select("table", (latest + 1).cast("bigint").alias("latest_delta_epoch")),
+                   t.where("c_custkey % 3 = 0").select("table", F.lit(7).cast("bigint").alias("row_count")),
+                   t.where("c_custkey % 4 = 0").select(
+                       F.concat("table", F.lit("_new")).alias("table"),
+                       F.lit(4).cast("bigint").alias("latest_delta_epoch"),
+                       F.lit(9).cast("bigint").alias("row_count"))):
+        manifest.update_tables(spark, root, change)
+    return manifest.read_tables(spark, root).select("table", "latest_delta_epoch", "row_count")
+
+
 # The source catalog of the initial load (eight test tables).
 INIT_TABLES = {
     "public.region": ([("r_regionkey", "integer"), ("r_name", "text")], ["r_regionkey"]),

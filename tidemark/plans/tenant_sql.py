@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans.tenants import (ALLOW, CLOSURE_DEPTH, KINDS, SHARED_GRANT_COLUMNS)
+from tidemark.plans.tenants import (ALLOW, KINDS, SHARED_GRANT_COLUMNS)
 
 
 def _lst(xs):
@@ -64,13 +64,14 @@ UNION ALL SELECT 1000, 10"""
 MEMBERSHIPS = f"""SELECT r.rolname AS role, m.rolname AS member
 FROM ({AUTH_MEMBERS}) am JOIN ({ROLES}) r ON am.roleid = r.oid JOIN ({ROLES}) m ON am.member = m.oid"""
 
-CLOSURE = f"""WITH RECURSIVE e AS ({MEMBERSHIPS}),
-c(role, member, depth) AS (
+CLOSURE = f"""WITH RECURSIVE e AS (SELECT DISTINCT * FROM ({MEMBERSHIPS})),
+c(role, member, depth) USING KEY (role, member) AS (
   SELECT role, member, 1 FROM e
   UNION
-  SELECT e.role, c.member, c.depth + 1 FROM c JOIN e ON e.member = c.role
-  WHERE c.depth < {CLOSURE_DEPTH})
-SELECT role, member, min(depth) AS depth FROM c GROUP BY role, member"""
+  SELECT e.role, n.member, min(n.depth) + 1 FROM c n JOIN e ON e.member = n.role
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.c o WHERE o.role = e.role AND o.member = n.member)
+  GROUP BY e.role, n.member)
+SELECT role, member, depth FROM c"""
 
 
 def glob_any(col: str, patterns: list[str]) -> str:

@@ -40,7 +40,6 @@ ALLOW = ["r_asia", "r_europe", "n_nation_2", "n_nation_3", "n_nation_8", "n_nati
 ALIASES = {"r_asia": "apac_readers", "n_nation_3": "de_team"}
 SHARED_TABLE = "public.orders"
 SHARED_GRANT_COLUMNS = ["o_orderkey", "o_totalprice", "o_orderdate"]
-CLOSURE_DEPTH = 4
 
 
 def _t(spark, d, name):

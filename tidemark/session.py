@@ -31,15 +31,15 @@ def get_spark(app: str = "tidemark", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests, local runs) is a local folder
-    created and registered, so later ``checkpoint()`` calls work too.
+    Where the session names none, a local run (tests) gets a folder of its
+    own.  A cluster does not: each node would see another folder, so that is
+    an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
         d = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 

@@ -8,7 +8,7 @@ attribute numbers in index order).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import flat_name, location, schema_of, table_of
@@ -61,13 +61,15 @@ def primary_keys(indexes: DataFrame, columns: DataFrame) -> DataFrame:
             .filter(F.size("primary_key") > 0))
 
 
-def names(tables: DataFrame, root: str, table_col: str = "table") -> DataFrame:
-    """Split, flattened catalog name and storage location of each table."""
+def names(tables: DataFrame, root: str, table_col: str = "table",
+          base_epoch: Column | None = None) -> DataFrame:
+    """Split, flattened catalog name and location of the current base of each table."""
     q = F.col(table_col)
     return tables.select(q.alias("table"), schema_of(q).alias("schema_name"),
                          table_of(q).alias("table_name"),
                          flat_name(schema_of(q), table_of(q)).alias("catalog_name"),
-                         location(F.lit(root), q).alias("location"))
+                         location(F.lit(root), q, F.lit(0).cast("long") if base_epoch is None
+                                  else base_epoch).alias("location"))
 
 
 def register_table(spark: SparkSession, db: str, name: str, columns: list[dict],

@@ -6,6 +6,10 @@ dropping consumed delta partitions), so any Hadoop path scheme works.
 
 from __future__ import annotations
 
+import time
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -28,20 +32,33 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write to ``path.tmp`` and rename over ``path`` (readers never see a
-    half-written file)."""
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in ``path`` (empty when it is missing)."""
     fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+
+
+def rename(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename to a name that is not taken; False if it is, or the source is gone."""
+    fs, p = _fs(spark, source)
+    return bool(fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)))
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """Write a file of a new name: whole under another name first, then renamed,
+    so readers see all of it or nothing."""
+    tmp = f"{path}.{uuid.uuid4().hex}.tmp"
+    fs, p = _fs(spark, tmp)
+    out = fs.create(p, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
+    if exists(spark, path) or not rename(spark, tmp, path):
         fs.delete(p, False)
-    fs.rename(tmp, p)
+        raise FileExistsError(path)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -68,8 +85,10 @@ def create_exclusive(spark: SparkSession, path: str, text: str = "") -> bool:
     fs, p = _fs(spark, path)
     try:
         out = fs.create(p, False)
-    except Exception:  # noqa: BLE001 - FileAlreadyExistsException via py4j
-        return False
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
@@ -79,8 +98,13 @@ def create_exclusive(spark: SparkSession, path: str, text: str = "") -> bool:
 
 def age_seconds(spark: SparkSession, path: str) -> float | None:
     """Seconds since ``path`` was last modified (None when missing)."""
-    import time
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return None
     return time.time() - fs.getFileStatus(p).getModificationTime() / 1000.0
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Set the modification time to now."""
+    fs, p = _fs(spark, path)
+    fs.setTimes(p, int(time.time() * 1000), -1)

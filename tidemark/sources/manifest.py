@@ -2,16 +2,16 @@
 
 Layout under ``<root>/_manifest``:
 
-    header.json           small document: version, source, roles,
+    header-<n>.json       small document: version, source, roles,
                           updated_at, last_compacted_at, tables_version
     tables/v=<n>/         JSON lines, one row per table (status, tags,
                           primary key, schema columns, epochs, row count)
     log/s=<k>/            JSON lines: field changes of some tables
 
 Table entries are written and read by Spark, so a catalog of any size never
-passes through the driver; the header is replaced atomically (write + rename)
-and names the current table version and live log segments, so a publish is
-all-or-nothing.  Updates (one per micro-batch, one per compaction) append a
+passes through the driver.  Each publish renames a complete header file to the
+next number and the highest number counts, so there always is a header, and it
+names the table version and log segments that belong together.  Updates (one per micro-batch, one per compaction) append a
 log segment holding only the changed tables: O(changes), not O(tables).
 Readers fold the log onto the snapshot with one per-table arg-max; every
 ``LOG_FOLD`` segments the fold is written as a new snapshot.
@@ -20,11 +20,15 @@ Readers fold the log onto the snapshot with one per-table arg-max; every
 from __future__ import annotations
 
 import json
+import re
+import threading
 import time
+import uuid
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,8 +55,15 @@ TABLE_ENTRY = T.StructType([
     # bucket-directory layout: current base epoch of each key-hash bucket
     # (NULL element: bucket empty); NULL: another layout
     T.StructField("bucket_epochs", T.ArrayType(T.LongType())),
+    # every base published so far; readers look at no other
+    T.StructField("base_epochs", T.ArrayType(T.LongType())),
 ])
 
+#: Fields that only grow: of several writers the largest value counts.
+_GROWING = ("base_epoch", "latest_delta_epoch", "schema_version")
+#: Old headers that stay for readers that are about to open them.
+_HEADERS_KEPT = 16
+
 
 def entries(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """Entries frame from positional tuples; trailing fields may be omitted."""
@@ -64,16 +75,29 @@ def _dir(root: str) -> str:
     return f"{root.rstrip('/')}/_manifest"
 
 
+def _headers(spark: SparkSession, root: str) -> list[int]:
+    found = (re.fullmatch(r"header-(\d+)\.json", f) for f in fs.list_files(spark, _dir(root)))
+    return sorted(int(m[1]) for m in found if m)
+
+
 def read_header(spark: SparkSession, root: str) -> dict:
-    text = fs.read_text(spark, f"{_dir(root)}/header.json")
-    return json.loads(text) if text else {}
+    numbers = _headers(spark, root)
+    if not numbers:
+        if fs.exists(spark, f"{_dir(root)}/tables"):
+            raise RuntimeError(f"{_dir(root)} has tables but no header")
+        return {}
+    return json.loads(fs.read_text(spark, f"{_dir(root)}/header-{numbers[-1]}.json"))
 
 
 def write_header(spark: SparkSession, root: str, header: dict) -> None:
     header = dict(header)
     header["updated_at"] = header.get("updated_at") or \
         datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-    fs.write_text(spark, f"{_dir(root)}/header.json", json.dumps(header, sort_keys=True))
+    numbers = _headers(spark, root)
+    fs.write_new(spark, f"{_dir(root)}/header-{(numbers or [0])[-1] + 1}.json",
+                 json.dumps(header, sort_keys=True))
+    for n in numbers[:-_HEADERS_KEPT]:
+        fs.delete(spark, f"{_dir(root)}/header-{n}.json")
 
 
 def allocate_epoch(spark: SparkSession, root: str, stream: str, batch_id: int) -> int:
@@ -118,8 +142,9 @@ def read_tables(spark: SparkSession, root: str) -> DataFrame:
     """One row per table: the snapshot with the live log folded on top.
 
     Per table and field, the newest non-NULL logged value wins (an arg-max
-    over the log's sequence numbers); tables absent from the log pass
-    through.  One small aggregate and one join, no driver-side merging.
+    over the log's sequence numbers), for epochs the largest; tables only in
+    the snapshot or only in the log are kept.  One small aggregate and one
+    join, no driver-side merging.
     """
     header = read_header(spark, root)
     snap = _read_snapshot(spark, root, header)
@@ -130,14 +155,16 @@ def read_tables(spark: SparkSession, root: str) -> DataFrame:
     log = spark.read.schema(log_schema).json([f"{_dir(root)}/log/s={k}" for k in segs])
     fields = [f.name for f in TABLE_ENTRY.fields if f.name != "table"]
     last = log.groupBy("table").agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(_LSEQ))).alias("__n_" + c)
+        (F.max(c) if c in _GROWING else
+         F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(_LSEQ)))).alias("__n_" + c)
         for c in fields])
-    j = snap.join(last, "table", "left")
-    return j.select("table", *[F.coalesce(F.col("__n_" + c), F.col(c)).alias(c) for c in fields])
+    return snap.join(last, "table", "full").select("table", *[_folded(c) for c in fields])
 
 
-class ConcurrentPublish(RuntimeError):
-    """Another writer published the same manifest version first."""
+def _folded(c: str) -> Column:
+    """The later of the values ``__n_<c>`` and ``<c>``; of an epoch the larger."""
+    pick = F.greatest if c in _GROWING else F.coalesce
+    return pick(F.col("__n_" + c), F.col(c)).alias(c)
 
 
 @contextmanager
@@ -145,34 +172,63 @@ def publish_lock(spark: SparkSession, root: str, lease_s: float = 600.0,
                  wait_s: float = 600.0):
     """Serialise manifest publishes (streamer and compactor, D18).
 
-    A lock file created exclusively; a holder that died is detected by the
-    file's age (``lease_s``) and its lock broken.  Publishing is a small,
-    quick critical section: read header, write version, swap header.
+    A lock file created exclusively, holding its owner's token.  The owner
+    renews it while it works, so only the lock of a dead owner grows older
+    than ``lease_s`` and is broken; and it removes the lock only while the
+    token is its own.
     """
-    lock = f"{_dir(root)}/_publish.lock"
+    lock, token = f"{_dir(root)}/_publish.lock", uuid.uuid4().hex
     start, delay = time.time(), 0.05
-    while not fs.create_exclusive(spark, lock, str(time.time())):
-        age = fs.age_seconds(spark, lock)
-        if age is not None and age > lease_s:
-            fs.delete(spark, lock)
+    while not fs.create_exclusive(spark, lock, token):
+        age, owner = fs.age_seconds(spark, lock), _owner(spark, lock)
+        if age is not None and age > lease_s and _break(spark, lock, owner, token):
             continue
         if time.time() - start > wait_s:
             raise TimeoutError(f"manifest of {root} locked for {wait_s}s")
         time.sleep(delay)
         delay = min(delay * 2, 2.0)
+    done = threading.Event()
+
+    def renew():
+        while not done.wait(lease_s / 4):
+            if _owner(spark, lock) == token:
+                fs.touch(spark, lock)
+    keeper = threading.Thread(target=renew, daemon=True)
+    keeper.start()
     try:
         yield
     finally:
-        fs.delete(spark, lock)
+        done.set()
+        keeper.join()
+        if _owner(spark, lock) == token:
+            fs.delete(spark, lock)
+
+
+def _owner(spark: SparkSession, lock: str) -> str | None:
+    try:
+        return fs.read_text(spark, lock)
+    except Py4JJavaError:       # gone between the look and the read
+        return None
+
+
+def _break(spark: SparkSession, lock: str, owner: str | None, token: str) -> bool:
+    """Take away a dead owner's lock: of several waiters one renames it, and puts
+    it back if it took a newer one."""
+    aside = f"{lock}.{token}"
+    if not fs.rename(spark, lock, aside):
+        return False
+    if _owner(spark, aside) != owner and fs.rename(spark, aside, lock):
+        return False
+    fs.delete(spark, aside)
+    return True
 
 
 def publish(spark: SparkSession, root: str, tables: DataFrame, _locked: bool = False,
             **header_updates) -> int:
     """Write ``tables`` as a new version, then switch the header to it.
 
-    Runs under ``publish_lock``.  A version directory that already exists
-    means the header is stale (a publish outside the lock): that raises
-    ``ConcurrentPublish`` instead of overwriting it.
+    Runs under ``publish_lock``, so a directory of the next version can only
+    be what a publisher left that died before its header: it is overwritten.
     """
     if not _locked:
         with publish_lock(spark, root):
@@ -184,9 +240,7 @@ def publish(spark: SparkSession, root: str, tables: DataFrame, _locked: bool = F
                           F.lit(None).cast(f.dataType).alias(f.name)
                           for f in TABLE_ENTRY.fields])
     target = f"{_dir(root)}/tables/v={v}"
-    if fs.exists(spark, target):
-        raise ConcurrentPublish(target)
-    out.write.mode("errorifexists").json(target)
+    out.write.mode("overwrite").json(target)
     header.update(header_updates)
     header["tables_version"] = v
     header["log"] = []                    # the snapshot includes every change
@@ -198,7 +252,7 @@ def publish(spark: SparkSession, root: str, tables: DataFrame, _locked: bool = F
 
 def update_tables(spark: SparkSession, root: str, changes: DataFrame,
                   **header_updates) -> int:
-    """Replace the entries named in ``changes`` (by ``table``) and publish.
+    """Set fields of the tables named in ``changes``, known or new, and publish.
 
     ``changes`` holds the table name plus the fields to set; other fields
     keep their values (a field cannot be set back to NULL).  The changes
@@ -220,21 +274,19 @@ def _update_once(spark: SparkSession, root: str, changes: DataFrame, **header_up
         cur = read_tables(spark, root)
         chg = changes.select([F.col(c).alias("__n_" + c) if c != "table" else F.col(c)
                               for c in changes.columns])
-        j = cur.join(chg, "table", "left")
-        cols = [F.coalesce(F.col("__n_" + f.name), F.col(f.name)).alias(f.name)
+        j = cur.join(chg, "table", "full")
+        cols = [_folded(f.name)
                 if f.name in changes.columns and f.name != "table" else F.col(f.name)
                 for f in TABLE_ENTRY.fields]
         # reads version v and its log, writes v+1: another directory
         return publish(spark, root, j.select(*cols), _locked=True, **header_updates)
     k = int(header.get("log_seq", 0)) + 1
     target = f"{_dir(root)}/log/s={k}"
-    if fs.exists(spark, target):
-        raise ConcurrentPublish(target)
     out = changes.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
                            if f.name in changes.columns else
                            F.lit(None).cast(f.dataType).alias(f.name)
                            for f in TABLE_ENTRY.fields], F.lit(k).cast("bigint").alias(_LSEQ))
-    out.coalesce(1).write.mode("errorifexists").json(target)
+    out.coalesce(1).write.mode("overwrite").json(target)
     header.update(header_updates)
     header["log"] = segs + [k]
     header["log_seq"] = k

@@ -146,13 +146,18 @@ def base_epochs(spark: SparkSession, root: str, table: str) -> list[int]:
 
 def read_base(spark: SparkSession, root: str, table: str, schema: T.StructType,
               upto: int | None = None, buckets: int | None = None,
-              pk: list[str] | None = None) -> tuple[DataFrame, int | None]:
+              pk: list[str] | None = None,
+              published: list[int] | None = None) -> tuple[DataFrame, int | None]:
     """Newest base at or before ``upto``; (empty frame, None) when none.
 
+    ``published`` are the bases the manifest names.  Other directories may be
+    half written, so readers beside a running compaction pass it.
+
     A bucketed base is read through its catalog table (re-registered over
     the files when the catalog lost it), so the scan reports its bucketing.
     """
-    eps = [e for e in base_epochs(spark, root, table) if upto is None or e <= upto]
+    eps = [e for e in base_epochs(spark, root, table) if (upto is None or e <= upto)
+           and (published is None or e in published)]
     if not eps:
         return spark.createDataFrame([], schema), None
     e = eps[-1]

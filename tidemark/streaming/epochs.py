@@ -80,18 +80,18 @@ class EpochWriter:
 
     def __init__(self, root: str, catalog: dict[str, list[dict]], first_epoch: int = 1,
                  source_columns: dict[str, list[dict]] | None = None,
-                 on_error: str = "null", max_tables: int = 10_000, parallelism: int = 4,
-                 keep_rejects: bool = False, stream: str | None = None):
+                 on_error: str = "null", parallelism: int = 4,
+                 keep_rejects: bool = True, stream: str | None = None):
         self.root = root
         self.catalog = {t: list(c) for t, c in catalog.items()}
         self.versions = {t: 1 for t in catalog}
         self.first_epoch = first_epoch
         self.source_columns = source_columns or {}
         self.on_error = on_error
-        self.max_tables = max_tables
         self.parallelism = parallelism
         self.keep_rejects = keep_rejects
         self.stream = stream
+        self.primary_keys: dict[str, list[str]] = {}
 
     @classmethod
     def from_manifest(cls, spark: SparkSession, root: str, checkpoint: str | None = None,
@@ -103,8 +103,9 @@ class EpochWriter:
         if checkpoint is not None:
             kw.setdefault("stream", checkpoint)
         t = manifest.read_tables(spark, root).filter("status = 'active'") \
-            .select("table", "schema_version", "columns").collect()
+            .select("table", "schema_version", "columns", "primary_key").collect()
         w = cls(root, {r["table"]: [c.asDict() for c in (r["columns"] or [])] for r in t}, **kw)
+        w.primary_keys = {r["table"]: list(r["primary_key"] or []) for r in t}
         w.versions = {r["table"]: int(r["schema_version"] or 1) for r in t}
         return w
 
@@ -131,22 +132,24 @@ class EpochWriter:
         batch = batch.persist()
         try:
             # distinct table names of this batch: bounded by the catalog size
-            present = [r["table"] for r in batch.select("table").distinct()
-                       .limit(self.max_tables + 1).collect()]
-            if len(present) > self.max_tables:
-                raise RuntimeError("more tables in one batch than max_tables")
+            present = [r["table"] for r in batch.select("table").distinct().collect()]
             def write(t):
                 rows = batch.filter(F.col("table") == t)
                 evolved = self._evolve(rows, t)
                 typed = decode_events(rows, self.catalog[t], self.on_error) \
                     .withColumn(EPOCH, F.lit(epoch).cast("bigint"))
+                # a change without its whole key can't be merged: it is a reject, never a delta
+                keys = self.primary_keys.get(t, [])
+                if keys:
+                    typed = typed.dropna(subset=keys)
                 storage.write_delta(typed, self.root, t, single_epoch=True)
                 if self.keep_rejects:
-                    bad = decode_rejects(rows, self.catalog[t]) \
+                    bad = decode_rejects(rows, self.catalog[t], keys) \
                         .withColumn(EPOCH, F.lit(epoch).cast("bigint"))
                     storage.write_rejects(bad, self.root, t)
                 return (t, epoch, self.versions[t], evolved)
-            todo = sorted(t for t in present if t in self.catalog)  # others: skipped
+            # tables that are not active, or have no schema to decode by, are skipped
+            todo = sorted(t for t in present if self.catalog.get(t))
             # one write job per table; up to ``parallelism`` run at once
             with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
                 written = list(pool.map(write, todo))
@@ -159,7 +162,8 @@ class EpochWriter:
         rows = [(t, e, v, [{"name": c["name"], "pg_type": c["pg_type"],
                             "parquet_type": category(c["pg_type"]),
                             "nullable": c.get("nullable", True),
-                            "precision": None, "scale": None} for c in self.catalog[t]])
+                            "precision": c.get("precision"), "scale": c.get("scale")}
+                           for c in self.catalog[t]])
                 for t, e, v, _ in written]
         change = spark.createDataFrame(
             rows, "table string, latest_delta_epoch bigint, schema_version bigint, "
