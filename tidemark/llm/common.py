@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.session import fresh_dir
 
 #: Bytes of text that one vectorised step works on; its arrays are a few dozen times this.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -132,6 +132,8 @@ def best_match(item: np.ndarray, region: np.ndarray) -> int:
 
 
 def _search(index: Index, percent: int):
+    bags = [set(w.tolist()) for w in index.words]
+
     def search(texts: list[bytes]) -> Iterator[tuple[int, int, int]]:
         """``(text, item, distance)`` of every item found."""
         h, first = words(texts, ALNUM)
@@ -154,7 +156,6 @@ def _search(index: Index, percent: int):
         if not found:
             return
         best: dict[tuple[int, int], int] = {}
-        bags = [set(w.tolist()) for w in index.words]
         for t, i, b in np.unique(np.concatenate(found), axis=0).tolist():
             item = index.words[i]
             slack = len(item) * percent // 100
@@ -193,14 +194,18 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", pe
     """The rows of ``docs``, all columns, in whose text no benchmark item is found."""
     shared = _share(docs, benchmark)
 
-    def decide(texts: list[bytes]) -> list[bool]:
-        clean = [True] * len(texts)
-        for index in shared:
-            for t, _, _ in _search(index.value, percent)(texts):
-                clean[t] = False
-        return clean
+    def make():
+        searches = [_search(i.value, percent) for i in shared]
+
+        def decide(texts: list[bytes]) -> list[bool]:
+            clean = [True] * len(texts)
+            for search in searches:
+                for t, _, _ in search(texts):
+                    clean[t] = False
+            return clean
+        return decide
 
-    return filter_texts(docs, lambda: decide, text_col)
+    return filter_texts(docs, make, text_col)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -219,12 +224,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("item_ids", pa.list_(pa.int64())),
                         ("distances", pa.list_(pa.int64()))])
     def run(batches):
+        searches = [(i.value.ids, _search(i.value, percent)) for i in shared]
         for rows, texts in slices(batches):
             _, first = words(texts, ALNUM)
             found: list[dict[int, int]] = [{} for _ in texts]
-            for index in shared:
-                for t, i, distance in _search(index.value, percent)(texts):
-                    item = index.value.ids[i]
+            for ids, search in searches:
+                for t, i, distance in search(texts):
+                    item = ids[i]
                     found[t][item] = min(distance, found[t].get(item, distance))
             yield batch_of(schema, rows.column("doc_id"), np.diff(first).astype(np.int64),
                            [sorted(f) for f in found], [[f[i] for i in sorted(f)] for f in found])

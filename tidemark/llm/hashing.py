@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 U = np.uint64
@@ -33,16 +31,20 @@ def seeds(n: int, name: int = 0) -> np.ndarray:
         return mix(np.arange(1 + name * 1_000_003, 1 + n + name * 1_000_003, dtype=U) * U(BASE)) | U(1)
 
 
-@lru_cache(maxsize=4)
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, dtype=U)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+#: Powers by their base, as far as they were needed; those for very long texts are not kept.
+_KNOWN: dict[int, np.ndarray] = {}
+_KEEP = 1 << 20
 
 
 def powers(n: int, base: int = BASE) -> np.ndarray:
-    size = 1 << max(16, (n - 1).bit_length())
-    return _powers(size, base)[:n]
+    known = _KNOWN.get(base)
+    if known is None or len(known) < n:
+        known = np.full(max(n, min(_KEEP, 2 * n)), base, dtype=U)
+        known[0] = 1
+        np.multiply.accumulate(known, out=known)
+        if len(known) <= _KEEP:
+            _KNOWN[base] = known
+    return known[:n]
 
 
 class Rolling:
