@@ -5,10 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.constants import DELTA_META, EPOCH, LSN, OP, SEQ, TS
+from tidemark.constants import DELTA_META, EPOCH, LSN, OP, SEQ, TS, UNCHANGED
+from tidemark.functions.lsn import lsn_to_long
 from tidemark.functions.types import decode_row, rejects
 
-EVENT_SCHEMA = "table string, op string, row map<string,string>, lsn string, ts timestamp_ntz, seq bigint"
+#: ``old_row``: the old key image of a change that moved its key; ``unchanged``:
+#: columns an update did not send.  A source that has neither leaves them out.
+EVENT_SCHEMA = ("table string, op string, row map<string,string>, lsn string, ts timestamp_ntz, "
+                "seq bigint, old_row map<string,string>, unchanged array<string>")
+
+
+def with_order(events: DataFrame) -> DataFrame:
+    """Events with ``seq``: the source's own, else its log position as a number.
+
+    A source numbers all of its events or none.  Where there is neither, or the
+    position is no position, ``seq`` stays NULL: the event has no place in the
+    order and is a reject (``order_rejects``).
+    """
+    at = lsn_to_long(F.col("lsn"))
+    return events.withColumn("seq", F.coalesce("seq", at) if "seq" in events.columns else at)
+
+
+def order_rejects(events: DataFrame) -> DataFrame:
+    """(seq, table, column_name, raw) for every event without a place in the order."""
+    return events.where("seq IS NULL").select("seq", "table", F.lit(SEQ).alias("column_name"),
+                                              F.col("lsn").alias("raw"))
 
 
 def decode_events(events: DataFrame, columns: list[dict], on_error: str = "null",
@@ -16,11 +37,14 @@ def decode_events(events: DataFrame, columns: list[dict], on_error: str = "null"
     """Event rows -> typed delta rows (``__op`` + schema columns + metadata).
 
     ``columns`` is the manifest column list ({name, pg_type, nullable}).
-    Keys absent from a row image (e.g. non-key columns of a delete) are NULL.
+    Keys absent from a row image (e.g. non-key columns of a delete) are NULL;
+    columns an update did not send are named in ``__unchanged``, if the events say so.
     """
     meta = [F.col("op").alias(OP)]
     if keep_meta:
         meta += [F.col("seq").alias(SEQ), F.col("lsn").alias(LSN), F.col("ts").alias(TS)]
+        if "unchanged" in events.columns:
+            meta.append(F.col("unchanged").alias(UNCHANGED))
     return events.select(*meta, *decode_row(F.col("row"), columns, on_error))
 
 

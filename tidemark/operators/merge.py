@@ -57,22 +57,34 @@ def order_struct(order: list[str] | tuple[str, ...]) -> Column:
 
 
 def fold(deltas: DataFrame, pk: list[str], data_cols: list[str],
-         order=(EPOCH, SEQ)) -> DataFrame:
+         order=(EPOCH, SEQ), partial: bool = False) -> DataFrame:
     """One row per key: last op, last live image, live-op and event counts.
 
     ``order`` must be a total order inside a key; ``(__epoch, __seq)`` is.
     The image is a struct so that NULL column values survive ``max_by``.
+
+    ``partial``: events list columns they did not send in ``__unchanged``;
+    each column then takes its own last *sent* value (``__has_<c>`` counts
+    the sends), so an unsent value never overwrites a known one.
     """
     ordc = order_struct(order)
     live = F.col(OP).isin(*LIVE_OPS)
     d = deltas.filter(F.col(OP).isin(*OPS))
-    return d.groupBy(*pk).agg(
-        F.max_by(F.col(OP), ordc).alias(LAST_OP),
-        F.max_by(F.struct(*[F.col(c) for c in data_cols]),
-                 F.when(live, ordc)).alias(IMG),
-        F.count_if(live).alias(N_IU),
-        F.count(F.lit(1)).alias(N_EVENTS),
-    )
+    counts = [F.max_by(F.col(OP), ordc).alias(LAST_OP), F.count_if(live).alias(N_IU),
+              F.count(F.lit(1)).alias(N_EVENTS)]
+    if not partial:
+        return d.groupBy(*pk).agg(
+            *counts, F.max_by(F.struct(*[F.col(c) for c in data_cols]),
+                              F.when(live, ordc)).alias(IMG))
+    sends = []
+    for c in data_cols:
+        sent = live & ~F.coalesce(F.array_contains(F.col(UNCHANGED), F.lit(c)), F.lit(False))
+        sends += [F.max_by(F.col(c), F.when(sent, ordc)).alias(f"__v_{c}"),
+                  F.count_if(sent).alias(f"__has_{c}")]
+    z = d.groupBy(*pk).agg(*counts, *sends)
+    return z.select(*pk, LAST_OP, N_IU, N_EVENTS,
+                    F.struct(*[F.col(f"__v_{c}").alias(c) for c in data_cols]).alias(IMG),
+                    *[F.col(f"__has_{c}") for c in data_cols])
 
 
 def _key_match(left: DataFrame, right: DataFrame, pk: list[str],
@@ -125,33 +137,6 @@ def _decode_keys(pk: list[str], types: dict[str, T.DataType]) -> list[Column]:
              .otherwise(F.col(f"__kc{i}")).alias(k) for i, k in enumerate(pk)]
 
 
-def _fold_encoded(deltas, pk, kcols, data_cols, order, partial: bool = False):
-    """Per key: last op, last live image, live-op count.
-
-    ``partial``: events list columns they did not send in ``__unchanged``;
-    each column then takes its own last *sent* value (``__has_<c>`` counts
-    the sends), so an unsent value never overwrites a known one.
-    """
-    ordc = order_struct(order)
-    live = F.col(OP).isin(*LIVE_OPS)
-    d = deltas.filter(F.col(OP).isin(*OPS))
-    if not partial:
-        return d.groupBy(*kcols).agg(
-            F.max_by(F.col(OP), ordc).alias(LAST_OP),
-            F.max_by(F.struct(*[F.col(c) for c in data_cols]), F.when(live, ordc)).alias(IMG),
-            F.count_if(live).alias(N_IU),
-        )
-    aggs = [F.max_by(F.col(OP), ordc).alias(LAST_OP), F.count_if(live).alias(N_IU)]
-    for c in data_cols:
-        sent = live & ~F.coalesce(F.array_contains(F.col(UNCHANGED), F.lit(c)), F.lit(False))
-        aggs += [F.max_by(F.col(c), F.when(sent, ordc)).alias(f"__v_{c}"),
-                 F.count_if(sent).alias(f"__has_{c}")]
-    z = d.groupBy(*kcols).agg(*aggs)
-    return z.select(*kcols, LAST_OP, N_IU,
-                    F.struct(*[F.col(f"__v_{c}").alias(c) for c in data_cols]).alias(IMG),
-                    *[F.col(f"__has_{c}") for c in data_cols])
-
-
 def _merged_columns(keys: list[Column], data_cols, stamp: Column,
                     base_present: Column | bool, partial: bool = False):
     changed = F.coalesce(F.col(N_IU), F.lit(0)) > 0
@@ -214,7 +199,7 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
     else:
         d_enc, b_enc, kcols, keys = deltas, base, list(pk), [F.col(k) for k in pk]
     partial = partial and UNCHANGED in deltas.columns
-    z = _fold_encoded(d_enc, pk, kcols, data_cols, order, partial)
+    z = fold(d_enc, kcols, data_cols, order, partial)
     if strategy == "full":
         j = b_enc.withColumn(_IN_BASE, F.lit(True)).join(z, kcols, "full")
         present = F.col(_IN_BASE).isNotNull()

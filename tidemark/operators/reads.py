@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.constants import EPOCH, OP, SEQ
+from tidemark.constants import EPOCH, OP, SEQ, UNCHANGED
 from tidemark.operators import merge as M
 
 
@@ -26,19 +26,27 @@ def changes_since(deltas: DataFrame, epoch: int) -> DataFrame:
 
 
 def net_changes_since(deltas: DataFrame, pk: list[str], epoch: int,
-                      order=(EPOCH, SEQ), data_cols: list[str] | None = None) -> DataFrame:
+                      order=(EPOCH, SEQ), data_cols: list[str] | None = None,
+                      partial: bool = False) -> DataFrame:
     """One row per changed key after ``epoch``: last op and the last live image.
 
     ``__op`` is ``D`` when the key ended deleted; the image columns then hold
     the last I/U image seen after the watermark (NULL when there was none).
+    ``partial``: each column holds its last sent value, and ``__unchanged``
+    lists those that no live change after the watermark sent.
     """
     d = changes_since(deltas, epoch)
     if data_cols is None:
         data_cols = M.data_columns(d, pk, exclude=order)
-    z = M.fold(d, pk, data_cols, order)
+    partial = partial and UNCHANGED in d.columns
+    z = M.fold(d, pk, data_cols, order, partial)
+    unsent = []
+    if partial:
+        unsent = [F.filter(F.array(*[F.when((F.col(M.N_IU) > 0) & (F.col(f"__has_{c}") == 0), F.lit(c))
+                                     for c in data_cols]), lambda c: c.isNotNull()).alias(UNCHANGED)]
     return z.select(*pk, F.col(M.LAST_OP).alias(OP),
                     *[F.col(f"{M.IMG}.{c}").alias(c) for c in data_cols],
-                    F.col(M.N_EVENTS).alias("events"))
+                    F.col(M.N_EVENTS).alias("events"), *unsent)
 
 
 def latest(deltas: DataFrame, pk: list[str], order=(EPOCH, SEQ)) -> DataFrame:

@@ -74,7 +74,8 @@ def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
         base, _ = storage.read_base(spark, root, table, storage.base_schema(data),
                                     upto=base_e, buckets=buckets, pk=pk,
                                     published=published_bases(e))
-        deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data),
+        partial = bool(e.get("partial_images"))
+        deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data, partial=partial),
                                      after=base_e, upto=latest)
         # counters ride along the write job (no extra pass): delta rows read
         # (every row counts as applied, as in the fold), epochs, pre-purge rows
@@ -82,7 +83,8 @@ def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
         deltas = deltas.observe(read, F.count(F.lit(1)).alias("applied"))
         n_epochs = sum(1 for x in storage.delta_epochs(spark, root, table) if base_e < x <= latest)
         out = merge(base, deltas, pk, compacted_at,
-                    strategy="full" if buckets else strategy, null_safe=not buckets)
+                    strategy="full" if buckets else strategy, null_safe=not buckets,
+                    partial=partial)
         merged = Observation(f"merged_{table}_{latest}")
         out = out.observe(merged, F.count(F.lit(1)).alias("rows"),
                           F.count_if(F.col(DELETED_AT).isNotNull()).alias("tombstones"))
@@ -115,7 +117,8 @@ def _compact_buckets(spark, root, table, e, pk, data, base_e, latest, compacted_
     """
     vec = list(e["bucket_epochs"])
     n = len(vec)
-    deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data),
+    partial = bool(e.get("partial_images"))
+    deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data, partial=partial),
                                  after=base_e, upto=latest)
     if now is None:
         touched = sorted(r[0] for r in deltas.select(storage.bucket_of(pk, n)).distinct()
@@ -131,7 +134,8 @@ def _compact_buckets(spark, root, table, e, pk, data, base_e, latest, compacted_
     # partitioning is the bucket function, so every task writes whole
     # buckets and the write needs no exchange of its own
     with _conf(spark, "spark.sql.shuffle.partitions", str(n)):
-        out = merge(base, deltas, pk, compacted_at, strategy="full", null_safe=False)
+        out = merge(base, deltas, pk, compacted_at, strategy="full", null_safe=False,
+                    partial=partial)
         out = out.observe(merged, F.count(F.lit(1)).alias("rows"),
                           F.count_if(F.col(DELETED_AT).isNotNull()).alias("tombstones"))
         if now is not None:

@@ -42,6 +42,8 @@ def as_of(spark: SparkSession, root: str, table: str, epoch: int, stamp,
     data = _schema(e)
     pk = list(e["primary_key"])
     upto = min(epoch, int(e.get("latest_delta_epoch") or 0))
+    partial = bool(e.get("partial_images"))
+    schema = storage.delta_schema(data, partial=partial)
     if e.get("bucket_epochs") is not None:
         b = int(e.get("base_epoch") or 0)
         if epoch < b:
@@ -49,9 +51,8 @@ def as_of(spark: SparkSession, root: str, table: str, epoch: int, stamp,
                              f"layout keeps the state at {b} and later deltas only")
         base = storage.read_base_buckets(spark, root, table, storage.base_schema(data),
                                          list(e["bucket_epochs"]))
-        deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data),
-                                     after=b, upto=upto)
-        return M.merge(base, deltas, pk, stamp, strategy=strategy)
+        deltas = storage.read_deltas(spark, root, table, schema, after=b, upto=upto)
+        return M.merge(base, deltas, pk, stamp, strategy=strategy, partial=partial)
     buckets = int(e["buckets"]) if e.get("buckets") else None
     base, b = storage.read_base(spark, root, table, storage.base_schema(data), upto=epoch,
                                 buckets=buckets, pk=pk, published=published_bases(e))
@@ -60,17 +61,19 @@ def as_of(spark: SparkSession, root: str, table: str, epoch: int, stamp,
     if b < newest and epoch > b:
         raise ValueError(f"epoch {epoch} of {table} is not addressable: deltas after "
                          f"base {b} up to {newest} were consumed by compaction")
-    deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data),
-                                 after=b, upto=upto)
+    deltas = storage.read_deltas(spark, root, table, schema, after=b, upto=upto)
     # a bucketed base keeps its bucketing through a join on the raw key
-    return M.merge(base, deltas, pk, stamp, strategy=strategy, null_safe=not buckets)
+    return M.merge(base, deltas, pk, stamp, strategy=strategy, null_safe=not buckets,
+                   partial=partial)
 
 
 def changes_since(spark: SparkSession, root: str, table: str, epoch: int | None,
                   net: bool = False) -> DataFrame:
     """Changes of a table after a consumer's watermark, from storage.
 
-    ``net``: one row per key, its last op and image, instead of every change.
+    ``net``: one row per key, its last op and image, instead of every change.  Where
+    the table has updates that did not send every column, the changes name those in
+    ``__unchanged``, and a net image lists what was never sent after the watermark there.
     A consumer that never pulled, or whose watermark is below the compacted
     base (its changes are gone), gets ``ResyncRequired``.
     """
@@ -80,12 +83,15 @@ def changes_since(spark: SparkSession, root: str, table: str, epoch: int | None,
     base = int(e.get("base_epoch") or 0)
     if epoch is None or epoch < base:
         raise ResyncRequired(f"{table}: changes after {epoch} are in base {base} already")
-    deltas = storage.read_deltas(spark, root, table, storage.delta_schema(_schema(e)),
+    partial = bool(e.get("partial_images"))
+    deltas = storage.read_deltas(spark, root, table,
+                                 storage.delta_schema(_schema(e), partial=partial),
                                  after=epoch, upto=int(e.get("latest_delta_epoch") or 0))
     if not net:
         return deltas
     names = [c["name"] for c in e["columns"] if c["name"] not in e["primary_key"]]
-    return R.net_changes_since(deltas, list(e["primary_key"]), epoch, data_cols=names)
+    return R.net_changes_since(deltas, list(e["primary_key"]), epoch, data_cols=names,
+                               partial=partial)
 
 
 def live_view(spark: SparkSession, root: str, table: str, view: str, stamp) -> DataFrame:

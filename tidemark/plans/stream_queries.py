@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.types import category, struct_for
 from tidemark.plans import oracle as O
-from tidemark.plans.feeds import (EPOCH_ORIGIN, NOTE_FROM_EPOCH, ORDERS_PK, ORDERS_TABLE,
-                                  ORDERS_TEXT_COLUMNS, text_feed)
+from tidemark.plans.feeds import (COMPACTED_AT, EPOCH_ORIGIN, NOTE_FROM_EPOCH, ORDERS_PK, ORDERS_TABLE,
+                                  ORDERS_TEXT_COLUMNS, orders_base, text_feed)
+from tidemark.plans import compaction
 from tidemark.plans.registry import query
 from tidemark.plans.storage_queries import SOURCE_ORDERS_COLUMNS
 from tidemark.session import fresh_dir
@@ -23,12 +24,12 @@ def _day():
 _DAY_SQL = f"(date_diff('day', DATE '{EPOCH_ORIGIN}', CAST(ts AS DATE)) + 1)"
 
 
-def _init_manifest(spark, root):
+def _init_manifest(spark, root, tables=(ORDERS_TABLE,)):
     cols = [{"name": c["name"], "pg_type": c["pg_type"], "parquet_type": category(c["pg_type"]),
              "nullable": c["nullable"], "precision": None, "scale": None}
             for c in ORDERS_TEXT_COLUMNS]
-    entry = manifest.entries(spark, [(ORDERS_TABLE, "active", [], ORDERS_PK, 1, cols, 0, 0, 0,
-          f"{root}/{ORDERS_TABLE}", "", None)])
+    entry = manifest.entries(spark, [(t, "active", [], ORDERS_PK, 1, cols, 0, 0, 0,
+                                      f"{root}/{t}", "", None) for t in tables])
     manifest.publish(spark, root, entry, source={"name": "orders-db"})
 
 
@@ -94,3 +95,113 @@ def stream_evolution(spark, d):
     assert e["schema_version"] == 2, e
     cols = [{"name": c["name"], "pg_type": c["pg_type"]} for c in e["columns"]]
     return storage.read_deltas(spark, root, ORDERS_TABLE, storage.delta_schema(struct_for(cols)))
+
+
+# The tables of the routed stream.
+STREAM_TABLES = ("public.orders", "public.page_views", "public.payments")
+_ROUTE_SQL = """CASE WHEN o_orderstatus IN ('view', 'click') THEN 'public.page_views'
+            WHEN o_orderstatus = 'purchase' THEN 'public.payments' ELSE 'public.orders' END"""
+
+
+def _stream_all(spark, root, events):
+    """Land ``events`` and drain them into ``root``."""
+    events.write.parquet(f"{root}/_landing")
+    _run(spark, root, f"{root}/_landing", f"{root}/_checkpoint")
+
+
+@query("stream_many_tables", f"""SELECT {_ROUTE_SQL} AS "table", * FROM ({_decoded_sql("1")})""")
+def stream_many_tables(spark, d):
+    """R2 P5: one batch holds three tables; it is read once, each table gets its deltas."""
+    root = fresh_dir(spark, "stream_many_tables")
+    _init_manifest(spark, root, STREAM_TABLES)
+    status = F.element_at("row", "o_orderstatus")
+    _stream_all(spark, root, text_feed(spark, d).withColumn(
+        "table", F.when(status.isin("view", "click"), "public.page_views")
+                  .when(status == "purchase", "public.payments").otherwise("public.orders")))
+    schema = storage.delta_schema(struct_for(ORDERS_TEXT_COLUMNS))
+    parts = [storage.read_deltas(spark, root, t, schema).select(F.lit(t).alias("table"), "*")
+             for t in STREAM_TABLES]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_BAD_SEQ = f"CASE WHEN seq % 19 = 0 THEN {O.LSN_N.replace('event_id', 'seq')} ELSE seq END"
+_BAD_VALUES = "\nUNION ALL\n".join(
+    f"SELECT 'reject' AS kind, '{c}' AS name, s FROM t WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {ty}) IS NULL"
+    for c, ty in O.TEXT_TYPES if c != "o_orderkey")
+
+
+@query("stream_bad_keys", f"""WITH f AS ({O.TEXT_FEED}),
+t AS (SELECT *, {_BAD_SEQ} AS s, seq % 19 = 0 AND seq % 23 = 0 AS lost,
+             seq % 13 = 0 OR seq % 17 = 0 AS no_key FROM f),
+r AS (SELECT 'delta' AS kind, op AS name, s FROM t WHERE NOT no_key AND NOT lost
+UNION ALL SELECT 'reject', 'o_orderkey', CASE WHEN NOT lost THEN s END FROM t WHERE no_key
+UNION ALL SELECT 'reject', '__seq', NULL FROM t WHERE lost
+UNION ALL SELECT kind, name, CASE WHEN NOT lost THEN s END FROM ({_BAD_VALUES.replace("s FROM t", "s, lost FROM t")}))
+SELECT kind, name, count(*) AS events, CAST(sum(s) AS BIGINT) AS seqs FROM r GROUP BY kind, name""")
+def stream_bad_keys(spark, d):
+    """Changes with an unreadable or absent key, or without a place in the
+    order, become rejects; events without a number are ordered by log position."""
+    root = fresh_dir(spark, "stream_bad_keys")
+    _init_manifest(spark, root)
+    n = F.col("event_id")
+    key = lambda k, v: F.when(k != "o_orderkey", v).when(n % 13 == 0, "bad").when(n % 17 != 0, v)
+    feed = text_feed(spark, d).withColumn("event_id", F.col("seq"))
+    _stream_all(spark, root, feed.select(
+        "table", "op", F.transform_values("row", key).alias("row"),
+        F.when((n % 19 == 0) & (n % 23 == 0), "nowhere").otherwise(F.col("lsn")).alias("lsn"), "ts",
+        F.when(n % 19 != 0, F.col("seq")).alias("seq")))
+    schema = storage.delta_schema(struct_for(ORDERS_TEXT_COLUMNS))
+    kept = storage.read_deltas(spark, root, ORDERS_TABLE, schema) \
+        .select(F.lit("delta").alias("kind"), F.col("__op").alias("name"), F.col("__seq").alias("seq"))
+    bad = storage.read_rejects(spark, root, ORDERS_TABLE) \
+        .select(F.lit("reject").alias("kind"), F.col("column_name").alias("name"), "seq")
+    return kept.unionByName(bad).groupBy("kind", "name").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("seq").alias("seqs"))
+
+
+_PARTIAL_COLS = ("o_orderstatus", "o_totalprice", "o_quantity")
+_PARTIAL_IMG = ",\n".join(
+    f"""i_{c} AS (SELECT k, {c} FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq DESC) AS rn
+    FROM ev WHERE op IN ('I', 'U'){" AND NOT unsent" if c == "o_totalprice" else ""}) WHERE rn = 1)"""
+    for c in _PARTIAL_COLS)
+
+
+@query("compact_partial_stream", f"""WITH f AS ({O.TEXT_FEED}),
+x AS (SELECT f.*, CAST(f.o_orderkey AS BIGINT) AS k0, e.event_type AS et FROM f JOIN events e ON e.event_id = f.seq),
+ev AS (
+  SELECT k0 AS k, op, seq, op = 'U' AND seq % 3 = 0 AS unsent, o_orderstatus,
+         CASE WHEN NOT (op = 'U' AND seq % 3 = 0) THEN TRY_CAST(o_totalprice AS DECIMAL(12,2)) END AS o_totalprice,
+         TRY_CAST(o_quantity AS INTEGER) AS o_quantity FROM x
+  UNION ALL SELECT k0 + 1, 'D', seq, FALSE, NULL, NULL, NULL FROM x WHERE et = 'purchase' AND seq % 5 = 0),
+l AS (SELECT k, op AS last_op FROM (
+        SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq DESC) AS rn FROM ev) WHERE rn = 1),
+{_PARTIAL_IMG},
+z AS (SELECT l.k, l.last_op, s.k IS NOT NULL AS changed, s.o_orderstatus, p.k IS NOT NULL AS has_price,
+             p.o_totalprice, q.o_quantity
+      FROM l LEFT JOIN i_o_orderstatus s ON s.k = l.k LEFT JOIN i_o_totalprice p ON p.k = l.k
+      LEFT JOIN i_o_quantity q ON q.k = l.k)
+SELECT coalesce(b.o_orderkey, z.k) AS o_orderkey,
+       CASE WHEN z.changed THEN z.o_orderstatus ELSE b.o_orderstatus END AS o_orderstatus,
+       CASE WHEN z.has_price THEN z.o_totalprice ELSE CAST(b.o_totalprice AS DECIMAL(12,2)) END AS o_totalprice,
+       CASE WHEN z.changed THEN z.o_quantity END AS o_quantity,
+       CASE WHEN z.last_op = 'D' THEN TIMESTAMP '{COMPACTED_AT}' END AS __deleted_at
+FROM (SELECT *, TRUE AS in_base FROM orders) b FULL OUTER JOIN z ON b.o_orderkey = z.k
+WHERE b.in_base OR coalesce(z.changed, FALSE)""")
+def compact_partial_stream(spark, d):
+    """D6 D7 from end to end: updates that did not send the price and purchases that
+    moved their key go through the stream, the deltas and a compaction."""
+    root = fresh_dir(spark, "compact_partial_stream")
+    _init_manifest(spark, root)
+    data = struct_for(ORDERS_TEXT_COLUMNS)
+    base = orders_base(spark, d)
+    storage.write_base(base.select(*[
+        (F.col(f.name) if f.name in base.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in storage.base_schema(data).fields]), root, ORDERS_TABLE, 0)
+    unsent = (F.col("op") == "U") & (F.col("seq") % 3 == 0)
+    feed = text_feed(spark, d, with_key_change=True)
+    _stream_all(spark, root, feed.withColumn(
+        "row", F.when(unsent, F.map_filter("row", lambda k, v: k != "o_totalprice")).otherwise(F.col("row")))
+        .withColumn("unchanged", F.when(unsent, F.array(F.lit("o_totalprice")))))
+    compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    df, _ = storage.read_base(spark, root, ORDERS_TABLE, storage.base_schema(data))
+    return df.select("o_orderkey", *_PARTIAL_COLS, "__deleted_at")

@@ -57,6 +57,8 @@ TABLE_ENTRY = T.StructType([
     T.StructField("bucket_epochs", T.ArrayType(T.LongType())),
     # every base published so far; readers look at no other
     T.StructField("base_epochs", T.ArrayType(T.LongType())),
+    # TRUE once a delta held an update that did not send every column
+    T.StructField("partial_images", T.BooleanType()),
 ])
 
 #: Fields that only grow: of several writers the largest value counts.

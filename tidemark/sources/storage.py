@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.constants import BASE_EPOCH, DELETED_AT, EPOCH, LSN, OP, SEQ, TS
+from tidemark.constants import BASE_EPOCH, DELETED_AT, EPOCH, LSN, OP, SEQ, TS, UNCHANGED
 from tidemark.sources import fs
 
 
@@ -25,12 +25,16 @@ def table_root(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def delta_schema(data: T.StructType, with_source_meta: bool = True) -> T.StructType:
+def delta_schema(data: T.StructType, with_source_meta: bool = True,
+                 partial: bool = False) -> T.StructType:
+    """Schema of a table's deltas; ``partial``: with the columns not sent."""
     fields = [T.StructField(OP, T.StringType(), False)]
     if with_source_meta:
         fields += [T.StructField(SEQ, T.LongType(), True),
                    T.StructField(LSN, T.StringType(), True),
                    T.StructField(TS, T.TimestampNTZType(), True)]
+    if partial:
+        fields.append(T.StructField(UNCHANGED, T.ArrayType(T.StringType()), True))
     fields += [T.StructField(f.name, f.dataType, True) for f in data.fields]
     fields += [T.StructField(EPOCH, T.LongType(), False)]
     return T.StructType(fields)

@@ -10,6 +10,11 @@ manifest is published after the data (consumers never see an epoch whose
 files are missing), and a failed batch fails the query instead of being
 dropped; Spark re-runs it on restart.
 
+A batch is read once: it is dealt by table into ``<root>/_staging/<epoch>``,
+and each table's deltas are then made from that table's own files.  So the work
+follows the events, however many tables a batch holds, nothing is kept in
+executors' memory, and a lost executor costs no second read of the source.
+
 Row images travel as ``map<string,string>``, so the stream schema never
 changes; columns added at the source appear as new map keys, are confirmed
 against the source catalog and appended to the table schema per batch.
@@ -18,17 +23,22 @@ against the source catalog and appended to the table schema per batch.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from hashlib import md5
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.constants import EPOCH
-from tidemark.operators.events import EVENT_SCHEMA, decode_events, decode_rejects
+from tidemark.constants import EPOCH, SEQ, UNCHANGED
+from tidemark.operators.events import (EVENT_SCHEMA, decode_events, decode_rejects, order_rejects,
+                                       split_key_changes, with_order)
 from tidemark.operators.schema import evolve, unknown_columns
-from tidemark.sources import manifest, storage
+from tidemark.sources import fs, manifest, storage
 from tidemark.functions.types import category
 
+#: Tasks that one table's events of a batch are spread over at most.
+SPREAD = 64
+
 
 def change_stream(spark: SparkSession, path: str, fmt: str = "parquet",
                   max_files: int | None = None, schema: str = EVENT_SCHEMA) -> DataFrame:
@@ -129,46 +139,61 @@ class EpochWriter:
         # through the manifest, or first_epoch + batch_id for a lone stream
         epoch = manifest.allocate_epoch(spark, self.root, self.stream, batch_id) \
             if self.stream else self.first_epoch + batch_id
-        batch = batch.persist()
+        staging = f"{self.root.rstrip('/')}/_staging/{epoch}"
         try:
-            # distinct table names of this batch: bounded by the catalog size
-            present = [r["table"] for r in batch.select("table").distinct().collect()]
-            def write(t):
-                rows = batch.filter(F.col("table") == t)
-                evolved = self._evolve(rows, t)
-                typed = decode_events(rows, self.catalog[t], self.on_error) \
-                    .withColumn(EPOCH, F.lit(epoch).cast("bigint"))
-                # a change without its whole key can't be merged: it is a reject, never a delta
-                keys = self.primary_keys.get(t, [])
-                if keys:
-                    typed = typed.dropna(subset=keys)
-                storage.write_delta(typed, self.root, t, single_epoch=True)
-                if self.keep_rejects:
-                    bad = decode_rejects(rows, self.catalog[t], keys) \
-                        .withColumn(EPOCH, F.lit(epoch).cast("bigint"))
-                    storage.write_rejects(bad, self.root, t)
-                return (t, epoch, self.versions[t], evolved)
-            # tables that are not active, or have no schema to decode by, are skipped
-            todo = sorted(t for t in present if self.catalog.get(t))
-            # one write job per table; up to ``parallelism`` run at once
-            with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
-                written = list(pool.map(write, todo))
+            written = self._write(with_order(batch), epoch, staging)
             if written:
                 self._publish(spark, written)
         finally:
-            batch.unpersist()
+            fs.delete(spark, staging)
+
+    def _write(self, events: DataFrame, epoch: int, staging: str) -> list[tuple]:
+        """Write the deltas of every table in ``events``; what to publish of each."""
+        spark = events.sparkSession
+        # a table's folder is named by a digest: a name may be longer than a file's may be
+        (events.withColumn("__t", F.md5("table"))
+               .repartition(F.col("__t"), F.pmod(F.xxhash64("seq", "lsn"), F.lit(SPREAD)))
+               .write.mode("overwrite").partitionBy("__t").parquet(staging))
+        found = {x.split("=", 1)[1] for x in fs.list_dirs(spark, staging) if x.startswith("__t=")}
+        # tables that are not active, or have no schema to decode by, are skipped
+        todo = sorted(t for t, c in self.catalog.items() if c and md5(t.encode()).hexdigest() in found)
+
+        def write(t):
+            rows = spark.read.schema(events.schema).parquet(f"{staging}/__t={md5(t.encode()).hexdigest()}")
+            evolved = self._evolve(rows, t)
+            keys = self.primary_keys.get(t, [])
+            if keys:
+                rows = split_key_changes(rows, keys)
+            at = F.lit(epoch).cast("bigint")
+            # a change without its whole key, or its place in the order, can't be
+            # merged: it is a reject, never a delta
+            typed = decode_events(rows, self.catalog[t], self.on_error).withColumn(EPOCH, at) \
+                .dropna(subset=[*keys, SEQ])
+            seen = None
+            if UNCHANGED in typed.columns:
+                seen = Observation(f"partial_{md5(t.encode()).hexdigest()}_{epoch}")
+                typed = typed.observe(seen, F.count_if(F.size(UNCHANGED) > 0).alias("partial"))
+            storage.write_delta(typed, self.root, t, single_epoch=True)
+            if self.keep_rejects:
+                bad = decode_rejects(rows, self.catalog[t], keys).unionByName(order_rejects(rows))
+                storage.write_rejects(bad.withColumn(EPOCH, at), self.root, t)
+            partial = True if seen is not None and seen.get["partial"] else None
+            return (t, epoch, self.versions[t], evolved, partial)
+        # one write job per table; up to ``parallelism`` run at once
+        with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
+            return list(pool.map(write, todo))
 
     def _publish(self, spark: SparkSession, written) -> None:
         rows = [(t, e, v, [{"name": c["name"], "pg_type": c["pg_type"],
                             "parquet_type": category(c["pg_type"]),
                             "nullable": c.get("nullable", True),
                             "precision": c.get("precision"), "scale": c.get("scale")}
-                           for c in self.catalog[t]])
-                for t, e, v, _ in written]
+                           for c in self.catalog[t]], partial)
+                for t, e, v, _, partial in written]
         change = spark.createDataFrame(
             rows, "table string, latest_delta_epoch bigint, schema_version bigint, "
                   "columns array<struct<name:string,pg_type:string,parquet_type:string,"
-                  "nullable:boolean,precision:int,scale:int>>")
+                  "nullable:boolean,precision:int,scale:int>>, partial_images boolean")
         manifest.update_tables(spark, self.root, change)
 
 
