@@ -210,3 +210,14 @@ def test_forced_broadcast_respects_the_bound(spark):
     assert "Broadcast" not in over._jdf.queryExecution().analyzed().toString()
     assert over.count() == 2
     assert M.merge(base, d, ["k"], STAMP, strategy="auto", broadcast_rows=1).count() == 2
+
+
+def test_broadcast_is_bounded_by_bytes_and_by_the_base(spark):
+    base = spark.range(100).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    d = spark.createDataFrame([(k, "U", "w" * 1000, 1, k) for k in range(4)],
+                              "k bigint, __op string, v string, __epoch bigint, __seq bigint")
+    assert M.within_bound(d, 4, 10_000) and not M.within_bound(d, 4, 4_000) and not M.within_bound(d, 3, 10_000)
+    assert M.within_bound(d, 4, 10_000, of=base) and not M.within_bound(d, 7, 10_000, of=base.limit(60))
+    wide = M.merge(base, d, ["k"], STAMP, strategy="broadcast", broadcast_bytes=4_000)
+    assert "Broadcast" not in wide._jdf.queryExecution().analyzed().toString()
+    assert wide.count() == 100

@@ -198,3 +198,56 @@ def test_lsn_text_order_is_wrong_somewhere(spark):
     rows = E.queries()["lsn_lag"](spark, "/root/testdata/sf0.001").collect()
     assert any(r["text_order_wrong"] for r in rows)
     assert all(r["lag_bytes"] >= 0 for r in rows)
+
+
+def _pg_entry(spark, root, table="public.t"):
+    from tidemark.sources import manifest
+    cols = [{"name": n, "pg_type": t, "parquet_type": p, "nullable": n != "id", "precision": None, "scale": None}
+            for n, t, p in (("id", "bigint", "INT64"), ("v", "text", "UTF8"), ("w", "text", "UTF8"))]
+    manifest.publish(spark, root, manifest.entries(spark, [
+        (table, "active", [], ["id"], 1, cols, 0, 0, 0, "", "", None)]))
+    return cols
+
+
+def test_moves_and_unsent_values_reach_the_reader(spark):
+    """A moved key, an update without one column, and the reads made of them."""
+    from tidemark.operators.events import EVENT_SCHEMA
+    from tidemark.plans.consumer import as_of, changes_since
+    from tidemark.sources import manifest
+    from tidemark.streaming.epochs import EpochWriter
+    root = fresh_dir(spark, "t_moves")
+    cols = _pg_entry(spark, root)
+    storage.write_base(spark.createDataFrame([(1, "a", "big", None), (2, "b", "big", None)],
+                                             storage.base_schema(struct_for(cols))), root, "public.t", 0)
+    w = EpochWriter.from_manifest(spark, root)
+    w(spark.createDataFrame([
+        ("public.t", "U", {"id": "1", "v": "a2"}, "0/10", None, None, None, ["w"]),
+        ("public.t", "U", {"id": "3", "v": "b2", "w": "x"}, "0/11", None, None, {"id": "2"}, None),
+        ("public.t", "I", {"v": "no key"}, "0/12", None, None, None, None),
+        ("public.t", "I", {"id": "9", "v": "nowhere"}, None, None, None, None, None),
+    ], EVENT_SCHEMA), 0)
+    assert manifest.entry(spark, root, "public.t")["partial_images"] is True
+    now = {r["id"]: (r["v"], r["w"], r["__deleted_at"] is not None)
+           for r in as_of(spark, root, "public.t", 1, "2024-02-01 00:00:00").collect()}
+    assert now == {1: ("a2", "big", False), 2: ("b", "big", True), 3: ("b2", "x", False)}
+    net = {r["id"]: (r["__op"], r["v"], r["w"], r["__unchanged"])
+           for r in changes_since(spark, root, "public.t", 0, net=True).collect()}
+    assert net == {1: ("U", "a2", None, ["w"]), 2: ("D", None, None, []), 3: ("U", "b2", "x", [])}
+    bad = sorted((r["column_name"], r["raw"]) for r in storage.read_rejects(spark, root, "public.t").collect())
+    assert bad == [("__seq", None), ("id", None)]
+
+
+def test_a_batch_is_dealt_once_for_all_its_tables(spark):
+    """Names longer than a file's may be; nothing of the staging stays."""
+    from tidemark.sources import fs, manifest
+    from tidemark.streaming.epochs import EpochWriter
+    root = fresh_dir(spark, "t_dealt")
+    long = "s" * 63 + "." + "t" * 130
+    _pg_entry(spark, root, long)
+    w = EpochWriter.from_manifest(spark, root)
+    w(spark.createDataFrame([(long, "I", {"id": "1"}, "0/1", None, 1), ("not.known", "I", {"id": "1"}, "0/2", None, 2)],
+                            "table string, op string, row map<string,string>, lsn string, ts timestamp_ntz, seq bigint"), 0)
+    assert storage.delta_epochs(spark, root, long) == [1]
+    assert manifest.entry(spark, root, long)["latest_delta_epoch"] == 1
+    assert manifest.entry(spark, root, long)["partial_images"] is None
+    assert fs.list_dirs(spark, f"{root}/_staging") == []

@@ -99,8 +99,10 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "status":
         from tidemark.operators.health import status
         from tidemark.sources import manifest
-        row = status(manifest.read_tables(spark, args.root), detail=True).collect()[0]
-        print(json.dumps({**row.asDict(), **manifest.read_header(spark, args.root)}, default=str))
+        header = manifest.read_header(spark, args.root)
+        row = status(manifest.read_tables(spark, args.root), detail=True,
+                     last_compacted=header.get("last_compacted_at")).collect()[0]
+        print(json.dumps({**row.asDict(), **header}, default=str))
     elif args.cmd == "stream":
         from tidemark.streaming.epochs import EpochWriter, change_stream, stream_to_epochs
         trigger = {"processingTime": args.interval} if args.interval else None

@@ -18,5 +18,8 @@ OPS = ("I", "U", "D")
 LIVE_OPS = ("I", "U")
 
 DEFAULT_RETENTION_DAYS = 30
-# Upper bound on the folded-delta rows a merge may broadcast (see merge.merge).
+# Upper bounds on what a merge may broadcast of its folded deltas (see merge.merge).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
+# Base rows per delta row from which "auto" spares the base its shuffle.
+BROADCAST_BASE_RATIO = 16

@@ -9,11 +9,13 @@ from tidemark.constants import DELETED_AT, EPOCH, LSN, SEQ
 from tidemark.functions.lsn import long_to_lsn, lsn_to_long
 
 
-def status(tables: DataFrame, roles: int | None = None, detail: bool = False) -> DataFrame:
+def status(tables: DataFrame, roles: int | None = None, detail: bool = False,
+           last_compacted: str | None = None) -> DataFrame:
     """One row: active / excluded tables, latest epoch over active tables.
 
     ``detail`` adds tables needing compaction (latest > base) and active
-    tables without a schema, in the same single aggregate.
+    tables without a schema, in the same single aggregate; ``roles`` and
+    ``last_compacted`` are what the manifest's header holds.
     """
     active = F.col("status") == "active"
     aggs = [F.count_if(active).alias("active_tables"),
@@ -29,7 +31,9 @@ def status(tables: DataFrame, roles: int | None = None, detail: bool = False) ->
                  F.count_if(active & F.col("columns").isNull()).alias("missing_schema")]
     out = tables.agg(*aggs)
     if roles is not None:
-        out = out.withColumn("role_profiles", F.lit(roles))
+        out = out.withColumn("role_profiles", F.lit(roles).cast("bigint"))
+    if last_compacted is not None:
+        out = out.withColumn("last_compacted", F.lit(str(last_compacted)))
     return out
 
 
@@ -43,8 +47,15 @@ def next_epoch(tables: DataFrame) -> DataFrame:
                       .cast("bigint").alias("next_epoch"))
 
 
-def epoch_ledger(deltas: DataFrame) -> DataFrame:
-    """Per epoch: start / end position (numeric order), rows, status."""
+def epoch_ledger(deltas: DataFrame, published: int | None = None) -> DataFrame:
+    """Per epoch: start / end position (numeric order), rows, status.
+
+    An epoch past ``published``, the newest one the manifest names, is
+    ``open``: its files may still change.  Without it all are committed.
+    """
+    state = F.lit("committed")
+    if published is not None:
+        state = F.when(F.col(EPOCH) <= published, state).otherwise("open")
     n = lsn_to_long(F.col(LSN))
     return (deltas.groupBy(EPOCH)
             .agg(F.min(n).alias("start_pos"), F.max(n).alias("end_pos"),
@@ -52,7 +63,7 @@ def epoch_ledger(deltas: DataFrame) -> DataFrame:
             .select(EPOCH, long_to_lsn(F.col("start_pos")).alias("start_lsn"),
                     long_to_lsn(F.col("end_pos")).alias("end_lsn"),
                     (F.col("end_pos") - F.col("start_pos")).alias("span_bytes"),
-                    "rows", F.lit("committed").alias("status")))
+                    "rows", state.alias("status")))
 
 
 def latest_epoch(ledger: DataFrame) -> DataFrame:
@@ -60,13 +71,24 @@ def latest_epoch(ledger: DataFrame) -> DataFrame:
                  .select("l.*")
 
 
-def table_ledger(events: DataFrame, table_col: str = "table", order=(EPOCH, SEQ)) -> DataFrame:
-    """Per table: last epoch, last position, change rows (upsert = arg-max)."""
+def table_ledger(events: DataFrame, table_col: str = "table", order=(EPOCH, SEQ),
+                 tables: DataFrame | None = None, snapshot_lsn: str | None = None) -> DataFrame:
+    """Per table: last epoch, last position, change rows (upsert = arg-max).
+
+    ``tables``, the manifest's entries, adds each one's schema version and the
+    position its snapshot was taken at (``init_lsn`` of the header); a table
+    without changes is there with 0 rows.
+    """
     o = F.struct(*order)
-    return events.groupBy(table_col).agg(
+    seen = events.groupBy(table_col).agg(
         F.max_by(F.col(EPOCH), o).alias("last_epoch"),
         F.max_by(F.col(LSN), o).alias("last_lsn"),
         F.count(F.lit(1)).alias("rows"))
+    if tables is None:
+        return seen
+    known = tables.select(F.col("table").alias(table_col), "schema_version",
+                          F.lit(snapshot_lsn).alias("snapshot_lsn"))
+    return known.join(seen, table_col, "left").fillna(0, ["rows"])
 
 
 def compaction_ledger(base: DataFrame, table_col: str = "table",

@@ -24,8 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.constants import (ALL_META, DEFAULT_BROADCAST_ROWS, DELETED_AT,
-                                EPOCH, LIVE_OPS, OP, OPS, SEQ, UNCHANGED)
+from tidemark.constants import (ALL_META, BROADCAST_BASE_RATIO, DEFAULT_BROADCAST_BYTES,
+                                DEFAULT_BROADCAST_ROWS, DELETED_AT, EPOCH, LIVE_OPS, OP, OPS,
+                                SEQ, UNCHANGED)
 from tidemark.session import checkpoint
 
 LAST_OP = "__last_op"
@@ -34,6 +35,7 @@ N_IU = "__n_iu"
 N_EVENTS = "__n_events"
 _IN_BASE = "__in_base"
 _ZK = "__zk_"
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def data_columns(df: DataFrame, pk: list[str], exclude=()) -> list[str]:
@@ -155,10 +157,26 @@ def _merged_columns(keys: list[Column], data_cols, stamp: Column,
     return keys + data + [deleted]
 
 
+def within_bound(df: DataFrame, rows: int, nbytes: int, of: DataFrame | None = None) -> bool:
+    """Does ``df`` have at most ``rows`` rows and ``nbytes`` bytes of values (and ``of``
+    at least ``BROADCAST_BASE_RATIO`` times its rows)?
+
+    Rows first, which Parquet's footers tell; values are read only of what passed.
+    """
+    n = df.count()
+    if n > rows or of is not None and of.count() < n * BROADCAST_BASE_RATIO:
+        return False
+    width = [F.lit(16 * len(df.columns))] + [
+        F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0))
+        for f in df.schema.fields if not isinstance(f.dataType, _FIXED)]
+    return int(df.agg(F.sum(reduce(lambda a, b: a + b, width).cast("bigint"))).collect()[0][0] or 0) <= nbytes
+
+
 def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
           order=(EPOCH, SEQ), strategy: str = "auto",
           broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-          null_safe: bool = True, partial: bool = False) -> DataFrame:
+          null_safe: bool = True, partial: bool = False,
+          broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Apply ordered deltas to a base; returns base columns + ``__deleted_at``.
 
     ``strategy``:
@@ -167,11 +185,12 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
       once on the key, the fold only by its own aggregation.
     * ``"broadcast"`` — ``base LEFT JOIN broadcast(fold)`` plus the new keys;
       the base is never shuffled.  The fold is written once with
-      ``checkpoint()`` (shared folder) and reused by both branches.  The
-      row bound is checked here too: over it, this raises.
-    * ``"auto"`` — counts the delta rows (an upper bound on the folded rows;
-      a footer-only scan for Parquet deltas) and broadcasts only under
-      ``broadcast_rows``; otherwise ``"full"``.
+      ``checkpoint()`` (shared folder) and reused by both branches.  Taken
+      only while the deltas, which bound the fold, are within
+      ``broadcast_rows`` and ``broadcast_bytes``; else this is ``"full"``.
+    * ``"auto"`` — as ``"broadcast"``, and only where the base has at least
+      ``BROADCAST_BASE_RATIO`` rows per delta row: the split reads the base's
+      keys a second time, which pays off only if it spares a large shuffle.
 
     ``null_safe=False`` groups and joins on the raw key columns (source
     primary keys are NOT NULL).  Then a base bucketed by the key keeps its
@@ -191,7 +210,9 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
         raise ValueError(f"unknown merge strategy {strategy!r}")
     if strategy != "full":
         # never broadcast without the bound, even when asked to
-        strategy = "broadcast" if deltas.count() <= broadcast_rows else "full"
+        small = within_bound(deltas, broadcast_rows, broadcast_bytes,
+                             of=base if strategy == "auto" else None)
+        strategy = "broadcast" if small else "full"
     if null_safe:
         d_enc, kcols = _encode_keys(deltas, pk, types)
         b_enc, _ = _encode_keys(base, pk, types)
@@ -222,19 +243,23 @@ def live(df: DataFrame) -> DataFrame:
 
 def purge(df: DataFrame, now, retention_days: int = 30) -> DataFrame:
     """Drop tombstones strictly older than the retention (kept at exactly it)."""
-    cutoff = ts_literal(now) - F.make_dt_interval(F.lit(retention_days))
-    return df.filter(F.col(DELETED_AT).isNull() | (F.col(DELETED_AT) >= cutoff))
+    return df.filter(F.col(DELETED_AT).isNull() | (F.col(DELETED_AT) >= _cutoff(now, retention_days)))
+
+
+def _cutoff(now, retention_days: int) -> Column:
+    return ts_literal(now) - F.make_dt_interval(F.lit(retention_days))
 
 
 def delete_audit(base: DataFrame, deltas: DataFrame, pk: list[str],
-                 order=(EPOCH, SEQ), broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 order=(EPOCH, SEQ), broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Every delete event with ``__applied``: did it hit a present key?
 
     A delete applies when its key is in the base or received an ``I``/``U``
     earlier in the change order; otherwise the fold ignores it.  Base keys
     and live events are reduced to one row per key (key columns only, partial
     aggregation) before they meet the deletes in one equi-join.  When the
-    deletes are few (count under ``broadcast_rows``), the base keys are first
+    deletes' keys are few and small (``broadcast_rows``, ``broadcast_bytes``), the base keys are first
     semi-joined with the broadcast delete keys, so only base keys that some
     delete names are shuffled, not the whole base.
     """
@@ -242,7 +267,7 @@ def delete_audit(base: DataFrame, deltas: DataFrame, pk: list[str],
     otype = deltas.select(ordc.alias("o")).schema["o"].dataType
     dels = deltas.filter(F.col(OP) == "D").withColumn("__ord", ordc)
     base_keys = base.select(*pk)
-    if dels.count() <= broadcast_rows:
+    if within_bound(dels.select(*pk), broadcast_rows, broadcast_bytes):
         dk = dels.select(*[F.col(k).alias(_ZK + k) for k in pk]).distinct()
         base_keys = base_keys.join(F.broadcast(dk), _key_match(base_keys, dk, pk), "left_semi")
     marks = base_keys.select(*pk, F.lit(1).alias("__b"),
@@ -259,13 +284,15 @@ def delete_audit(base: DataFrame, deltas: DataFrame, pk: list[str],
     return j.select(*dels.columns, applied.alias("__applied")).drop("__ord")
 
 
-def compaction_counters(base: DataFrame, deltas: DataFrame, pk: list[str],
-                        merged: DataFrame | None = None) -> DataFrame:
+def compaction_counters(base: DataFrame, deltas: DataFrame,
+                        merged: DataFrame | None = None, now=None,
+                        retention_days: int = 30) -> DataFrame:
     """Counters of one compaction as a one-row frame.
 
     ``deltas`` = distinct epochs read, ``applied`` = delta rows read (every
-    row counts, as in the fold), ``deletes_ignored`` = deletes on keys absent
-    from the base and from every earlier live image.
+    row counts, as in the fold).  With ``merged``: its ``rows`` and
+    ``tombstones``, and with ``now`` how many of them a purge takes away
+    (``purged``; deletes without effect are told by ``delete_audit``).
     """
     src = "__src"
     parts = [deltas.select(F.lit("d").alias(src), F.col(OP), F.col(EPOCH),
@@ -290,5 +317,8 @@ def compaction_counters(base: DataFrame, deltas: DataFrame, pk: list[str],
         aggs += [F.count_if(F.col(src) == "m").alias("rows"),
                  F.count_if((F.col(src) == "m") & F.col(DELETED_AT).isNotNull())
                  .alias("tombstones")]
+        if now is not None:
+            aggs.append(F.count_if((F.col(src) == "m") & (F.col(DELETED_AT) < _cutoff(now, retention_days)))
+                        .alias("purged"))
     # one global aggregate over a tagged union: a single pass, no cross join
     return u.agg(*aggs)

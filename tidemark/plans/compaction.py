@@ -47,8 +47,12 @@ def _conf(spark: SparkSession, key: str, value: str | None):
 
 
 def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
-                  now=None, retention_days: int = 30, strategy: str = "auto") -> dict:
-    e = manifest.entry(spark, root, table)
+                  now=None, retention_days: int = 30, strategy: str = "auto",
+                  entry: dict | None = None) -> dict:
+    """Compact one table up to its newest published epoch; what was done, as a dict.
+
+    ``entry`` is its manifest entry, where the caller has read it already."""
+    e = entry if entry is not None else manifest.entry(spark, root, table)
     if e is None or e.get("status") != "active":
         return {"table": table, "status": "skipped (not active)"}
     pk = e.get("primary_key") or []
@@ -129,6 +133,11 @@ def _compact_buckets(spark, root, table, e, pk, data, base_e, latest, compacted_
                                      only=touched)
     read = Observation(f"deltas_{table}_{latest}")
     deltas = deltas.observe(read, F.count(F.lit(1)).alias("applied"))
+    # rows replaced, counted as they are read; without a live bucket there are none
+    replaced = None
+    if any(vec[b] is not None for b in touched):
+        replaced = Observation(f"replaced_{table}_{latest}")
+        base = base.observe(replaced, F.count(F.lit(1)).alias("rows"))
     merged = Observation(f"merged_{table}_{latest}")
     # n shuffle partitions + a join on the raw key: the join's hash
     # partitioning is the bucket function, so every task writes whole
@@ -143,8 +152,8 @@ def _compact_buckets(spark, root, table, e, pk, data, base_e, latest, compacted_
         rows_written, written = storage.write_base_buckets(out, root, table, latest, n, pk,
                                                            clustered=True)
     before = int(e.get("row_count") or 0)
-    old_rows = storage.read_base_buckets(spark, root, table, storage.base_schema(data), vec,
-                                         only=touched).count() if touched else 0
+    old_rows = int(replaced.get["rows"]) if replaced else 0
+    written = set(written)
     for b in touched:                     # a touched bucket left empty is NULL
         vec[b] = latest if b in written else None
     counters = {**read.get, **merged.get}
@@ -161,16 +170,20 @@ def _compact_buckets(spark, root, table, e, pk, data, base_e, latest, compacted_
             "tombstones_before_purge": int(counters["tombstones"])}
 
 
+def entries_to_compact(spark: SparkSession, root: str) -> list[dict]:
+    """Entries of the active tables whose latest delta is newer than their base."""
+    due = manifest.read_tables(spark, root).filter(
+        "status = 'active' AND latest_delta_epoch > coalesce(base_epoch, 0)")
+    return sorted((r.asDict(recursive=True) for r in due.collect()), key=lambda e: e["table"])
+
+
 def tables_to_compact(spark: SparkSession, root: str) -> list[str]:
-    """Active tables whose latest delta is newer than their base (names only)."""
-    t = manifest.read_tables(spark, root)
-    due = t.filter("status = 'active' AND latest_delta_epoch > coalesce(base_epoch, 0)")
-    return sorted(r["table"] for r in due.select("table").collect())
+    return [e["table"] for e in entries_to_compact(spark, root)]
 
 
 def compact_all(spark: SparkSession, root: str, compacted_at, parallelism: int = 1,
                 **kw) -> list[dict]:
-    """Compact every table that needs it.
+    """Compact every table that needs it; the manifest is read once for all.
 
     ``parallelism > 1`` runs that many table jobs at once (Spark schedules
     concurrent jobs from several threads), so many small tables keep a large
@@ -180,12 +193,13 @@ def compact_all(spark: SparkSession, root: str, compacted_at, parallelism: int =
     fails only itself, at any ``parallelism``: the others publish, and the
     error is reported in its result.
     """
-    tables = tables_to_compact(spark, root)
+    due = entries_to_compact(spark, root)
 
-    def one(t):
+    def one(entry):
         try:
-            return compact_table(spark.newSession(), root, t, compacted_at, **kw)
+            return compact_table(spark.newSession(), root, entry["table"], compacted_at,
+                                 entry=entry, **kw)
         except Exception as e:  # noqa: BLE001 - reported per table
-            return {"table": t, "status": f"failed: {type(e).__name__}: {e}"}
+            return {"table": entry["table"], "status": f"failed: {type(e).__name__}: {e}"}
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return list(pool.map(one, tables))
+        return list(pool.map(one, due))

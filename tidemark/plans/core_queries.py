@@ -32,8 +32,15 @@ def compact_scale(spark, d):
 
 @query("compact_broadcast_split", O.merge_b_sql())
 def compact_broadcast_split(spark, d):
-    """Feed B under ``auto``: the broadcast split while the delta rows stay
-    under the bound (true at the test scales), the full outer join beyond."""
+    """Feed B by the broadcast split while the deltas stay within the bounds
+    (true at the test scales), by the full outer join beyond."""
+    return M.merge(orders_base(spark, d), feed_b(spark, d), ORDERS_PK, COMPACTED_AT,
+                   order=ORDER_B, strategy="broadcast")
+
+
+@query("compact_auto", O.merge_b_sql())
+def compact_auto(spark, d):
+    """Feed B as ``auto`` chooses: its deltas outnumber the base, so the full join."""
     return M.merge(orders_base(spark, d), feed_b(spark, d), ORDERS_PK, COMPACTED_AT,
                    order=ORDER_B, strategy="auto")
 
@@ -80,7 +87,13 @@ def delete_ignored(spark, d):
     return a.filter(~F.col("__applied")).select("o_orderkey", "__epoch", "__seq")
 
 
-@query("compact_counters", O.merge_a_sql(f"""SELECT
+COUNTERS_NOW = "2024-02-05 00:00:00"
+
+
+@query("compact_counters", O.merge_a_sql(f""", p AS (
+  SELECT CASE WHEN o_orderkey % 2 = 0 AND __deleted_at IS NOT NULL
+              THEN TIMESTAMP '2024-01-01' ELSE __deleted_at END AS __deleted_at FROM m)
+SELECT
   (SELECT count(DISTINCT __epoch) FROM feed) AS deltas,
   (SELECT count(*) FROM feed) AS applied,
   (SELECT count(*) FROM feed WHERE __op = 'I') AS inserts,
@@ -88,11 +101,16 @@ def delete_ignored(spark, d):
   (SELECT count(*) FROM feed WHERE __op = 'D') AS deletes,
   (SELECT count(*) FROM base) AS base_rows,
   (SELECT count(*) FROM m) AS rows,
-  (SELECT count(*) FROM m WHERE __deleted_at IS NOT NULL) AS tombstones"""))
+  (SELECT count(*) FROM m WHERE __deleted_at IS NOT NULL) AS tombstones,
+  (SELECT count(*) FROM p WHERE __deleted_at < TIMESTAMP '{COUNTERS_NOW}' - INTERVAL 10 DAY) AS purged"""))
 def compact_counters(spark, d):
     base, feed = orders_base(spark, d), feed_a(spark, d)
     merged = M.merge(base, feed, ORDERS_PK, COMPACTED_AT)
-    return M.compaction_counters(base, feed, ORDERS_PK, merged)
+    # tombstones of even keys are older than the retention
+    aged = merged.withColumn("__deleted_at", F.when(
+        F.col("__deleted_at").isNotNull() & (F.col("o_orderkey") % 2 == 0),
+        M.ts_literal("2024-01-01 00:00:00")).otherwise(F.col("__deleted_at")))
+    return M.compaction_counters(base, feed, aged, now=COUNTERS_NOW, retention_days=10)
 
 
 @query("latest_change_window", f"""WITH feed AS ({O.FEED_A})

@@ -56,13 +56,16 @@ def decode_zero_policy(spark, d):
         for c in ("o_totalprice", "o_urgent", "o_quantity")])
 
 
+PUBLISHED_EPOCH = 25
+
+
 @query("epoch_ledger", f"""WITH r AS ({O.ROUTED})
 SELECT __epoch, printf('epoch=%06d', __epoch) AS file_name,
        {O.lsn_text("min(__pos)")} AS start_lsn, {O.lsn_text("max(__pos)")} AS end_lsn,
-       max(__pos) - min(__pos) AS span_bytes, count(*) AS rows, 'committed' AS status
+       max(__pos) - min(__pos) AS span_bytes, count(*) AS rows, CASE WHEN __epoch <= {PUBLISHED_EPOCH} THEN 'committed' ELSE 'open' END AS status
 FROM r GROUP BY __epoch""")
 def epoch_ledger(spark, d):
-    led = H.epoch_ledger(routed_events(spark, d))
+    led = H.epoch_ledger(routed_events(spark, d), published=PUBLISHED_EPOCH)
     return led.withColumn("file_name", epoch_name("epoch=", F.col(EPOCH)))
 
 
@@ -130,12 +133,16 @@ def next_epoch(spark, d):
 
 @query("table_ledger", f"""WITH r AS ({O.ROUTED})
 SELECT "table", arg_max(__epoch, __seq) AS last_epoch, arg_max(__lsn, __seq) AS last_lsn,
-       count(*) AS rows
-FROM r WHERE "table" IN ({_active_sql}) GROUP BY ALL""")
+       count(*) AS rows, CAST(CASE WHEN "table" = 'public.orders' THEN 2 ELSE 1 END AS BIGINT) AS schema_version,
+       'F/E0000000' AS snapshot_lsn
+FROM r WHERE "table" IN ({_active_sql}) GROUP BY ALL
+UNION ALL SELECT 'public.quiet', NULL, NULL, 0, 1, 'F/E0000000'""")
 def table_ledger(spark, d):
     active = spark.createDataFrame([(t,) for t in ACTIVE_TABLES], "table string")
     kept, _ = EV.route(routed_events(spark, d), active)
-    return H.table_ledger(kept)
+    versions = {"public.orders": 2} | {t: 1 for t in ACTIVE_TABLES if t != "public.orders"} | {"public.quiet": 1}
+    tables = spark.createDataFrame(list(versions.items()), "table string, schema_version bigint")
+    return H.table_ledger(kept, tables=tables, snapshot_lsn="F/E0000000")
 
 
 @query("compaction_ledger", f"""WITH base AS ({O.ORDERS_BASE}),

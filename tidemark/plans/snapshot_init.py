@@ -8,9 +8,12 @@ published once, after every base exists.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import truncate_version
 from tidemark.functions.types import category, parse_pg_type
 from tidemark.operators.acl import role_profiles
 from tidemark.operators.policy import resolve_policy
@@ -31,7 +34,8 @@ def _entry_columns(cols: list[dict]) -> list[dict]:
 def init_tables(spark: SparkSession, root: str, sources: dict[str, dict],
                 policy: dict | None = None, buckets: int | None = None,
                 source_name: str = "source", bucket_dirs: int | None = None,
-                acl: dict | None = None) -> DataFrame:
+                acl: dict | None = None, source_info: dict | None = None,
+                parallelism: int = 4) -> DataFrame:
     """Snapshot the included tables; returns the published manifest entries.
 
     ``sources``: qualified table -> {"columns": [...], "primary_key": [...],
@@ -39,6 +43,10 @@ def init_tables(spark: SparkSession, root: str, sources: dict[str, dict],
     primary key are excluded (reason ``no primary key``).  Layout: plain,
     Spark-bucketed (``buckets``) or bucket directories (``bucket_dirs``).
 
+    ``parallelism`` tables are loaded at once.  ``source_info`` goes into the
+    header's source: ``server_version`` (cut before its build remark),
+    ``init_lsn`` and ``init_time`` of the snapshot.
+
     ``acl`` (optional): {"table_grants": DF, "column_grants": DF, "allow":
     [...]} -> role profiles written beside the manifest by Spark
     (``_manifest/roles``), their role count in the header.  As in the
@@ -50,8 +58,8 @@ def init_tables(spark: SparkSession, root: str, sources: dict[str, dict],
                               policy.get("policy"))
     # one small row per source table (the catalog), not table data
     decisions = {r["table"]: r for r in resolved.collect()}
-    rows = []
-    for t in sorted(sources):
+
+    def load(t: str) -> tuple:
         src, r = sources[t], decisions[t]
         pk = list(src.get("primary_key") or [])
         included, reason = r["included"], r["reason"]
@@ -63,15 +71,22 @@ def init_tables(spark: SparkSession, root: str, sources: dict[str, dict],
             df = df.withColumn("__deleted_at", F.lit(None).cast("timestamp_ntz"))
             if bucket_dirs:
                 count, written = storage.write_base_buckets(df, root, t, 0, bucket_dirs, pk)
+                written = set(written)
                 vec = [0 if b in written else None for b in range(bucket_dirs)]
             else:
                 count = storage.write_base(df, root, t, 0, buckets=buckets, pk=pk)
-        rows.append((t, "active" if included else "excluded", list(r["tags"] or []), pk, 1,
-                     _entry_columns(src["columns"]), 0 if included else None,
-                     0 if included else None, count, storage.table_root(root, t),
-                     reason, buckets if included and not bucket_dirs else None, vec))
+        return (t, "active" if included else "excluded", list(r["tags"] or []), pk, 1,
+                _entry_columns(src["columns"]), 0 if included else None,
+                0 if included else None, count, storage.table_root(root, t),
+                reason, buckets if included and not bucket_dirs else None, vec)
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(load, sorted(sources)))
     entries = manifest.entries(spark, rows)
-    header = {"source": {"name": source_name}}
+    info = dict(source_info or {})
+    if info.get("server_version"):
+        info["server_version"] = spark.range(1).select(
+            truncate_version(F.lit(info["server_version"]))).first()[0]
+    header = {"source": {"name": source_name, **info}}
     if acl:
         try:
             prof = role_profiles(acl["table_grants"], acl["column_grants"], acl.get("allow", []))

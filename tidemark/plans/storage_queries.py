@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.constants import EPOCH, TS
+from tidemark.functions.names import truncate_version
 from tidemark.functions.types import struct_for
 from tidemark.operators import merge as M
 from tidemark.operators import policy as P
@@ -110,6 +111,7 @@ def _setup_table(spark, d, root, buckets=None, bucket_dirs=None, upto=COMPACT_UP
     if bucket_dirs:
         rows, written = storage.write_base_buckets(orders_base(spark, d), root, ORDERS_TABLE,
                                                    0, bucket_dirs, ORDERS_PK)
+        written = set(written)
         vec = [0 if b in written else None for b in range(bucket_dirs)]
     else:
         rows = storage.write_base(orders_base(spark, d), root, ORDERS_TABLE, 0,
@@ -235,15 +237,21 @@ SELECT count(*) FILTER (WHERE status = 'active') AS active_tables,
        CAST(coalesce(max(latest) FILTER (WHERE status = 'active'), 0) AS BIGINT) AS latest_epoch,
        CAST(coalesce(sum(row_count) FILTER (WHERE status = 'active'), 0) AS BIGINT) AS active_rows,
        count(*) FILTER (WHERE status = 'active' AND latest > base_epoch) AS needs_compaction,
-       count(*) FILTER (WHERE status = 'active' AND no_schema) AS missing_schema
+       count(*) FILTER (WHERE status = 'active' AND no_schema) AS missing_schema,
+       (SELECT count(*) FROM nation) AS role_profiles, '{COMPACTED_AT}' AS last_compacted
 FROM m""")
 def manifest_status(spark, d):
     """Publish the tenant manifest, read it back, summarise it."""
     root = fresh_dir(spark, "manifest_status")
     manifest.publish(spark, root, _tenant_manifest(spark, d),
-                     source={"name": "tenants", "postgres_version": "16.2"})
-    tables = manifest.read_tables(spark, root)
-    return H.status(tables, detail=True)
+                     source={"name": "tenants", "postgres_version": spark.range(1).select(
+                         truncate_version(F.lit("16.2 (build 7)"))).first()[0]},
+                     roles=spark.read.parquet(f"{d}/nation.parquet").count(),
+                     last_compacted_at=COMPACTED_AT)
+    tables, header = manifest.read_tables(spark, root), manifest.read_header(spark, root)
+    assert header["source"]["postgres_version"] == "16.2", header
+    return H.status(tables, roles=header["roles"], detail=True,
+                    last_compacted=header["last_compacted_at"])
 
 
 AS_OF_AFTER_COMPACTION = 25

@@ -22,6 +22,8 @@ def get_spark(app: str = "tidemark", master: str | None = None,
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
+          # checkpoint files go once nothing refers to them any more
+          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
           .config("spark.ui.enabled", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
