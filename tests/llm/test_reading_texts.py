@@ -256,6 +256,24 @@ def test_leaks_by_brute_force(spark):
     assert hits > 100 and found >= 0.97 * hits
 
 
+@pytest.mark.parametrize("n", [8, 9, 10, 12, 14, 15, 16, 17, 20, 24, 31, 59])
+def test_no_length_is_missed_at_the_full_distance(n):
+    """Edited copies of items of one length, with the least distances, and verbatim ones at every place."""
+    rng = random.Random(n)
+    words = [f"w{i}" for i in range(2_000)]
+    items, texts = [], []
+    for i in range(80):
+        own = rng.choices(words, k=n)
+        items.append((i, " ".join(own)))
+        for _ in range(n * 20 // 100 if i % 4 else 0):
+            p = rng.randrange(len(own))
+            own[p:p + rng.randint(0, 1)] = rng.choices(words, k=rng.randint(0, 1))
+        texts.append(rng.choices(words, k=i % 7) + own + rng.choices(words, k=i % 3))
+    found = list(decontaminate._search(decontaminate.build_index(items), 20)([" ".join(t).encode() for t in texts]))
+    assert sorted((t, d) for t, i, d in found if t == i) == [
+        (i, edit_distance_within(items[i][1].split(), t)) for i, t in enumerate(texts)]
+
+
 def test_no_items_no_leaks(spark):
     assert decontaminate.find_leaks(frame(spark, AWKWARD), items_of(spark, [])).where("size(item_ids) > 0").isEmpty()
     assert decontaminate.drop_leaks(frame(spark, AWKWARD), items_of(spark, [])).count() == len(AWKWARD)

@@ -3,13 +3,17 @@
 A benchmark item counts as found in a document if some stretch of the document
 is within ``percent`` % of the item's words of it in edit distance.
 
-* Every fourth word of a document starts a window.  The CGK walk embeds it: at
-  each step the current word is put out and a random bit of that word decides
-  whether to move on, so two windows a few edits apart agree in most places and
-  edit distance becomes Hamming distance.
+* Every word of a document starts a window.  The CGK walk embeds it: at each
+  step the current word is put out and a random bit of that word decides whether
+  to move on, so two windows a few edits apart agree in most places and edit
+  distance becomes Hamming distance.
 * Bit sampling: each table's key is a few sampled places of the walk, within the
   words that an item of the class has.  Items are embedded from every word on,
   so whichever word of a passage a window starts with, it has its partner.
+* Walks miss some pairs, of short items up to a quarter.  So an item is also cut
+  into one piece more than it may have edits, of which one is left whole: each
+  piece's first words are looked up at every word.  With them no item within the
+  distance is missed, and the distance is the least there is.
 * What shares a key is verified exactly by bit-parallel edit distance.
 
 All of it is one pass over the documents; the items' keys are the only thing
@@ -27,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batch_of, filter_texts, id_text, slices
-from tidemark.llm.hashing import ALNUM, U, mix, seeds, words
+from tidemark.llm.hashing import ALNUM, Rolling, U, mix, seeds, words
 
 PERCENT = 20
 #: Items of fewer words are no evidence and are not searched for.
 MIN_WORDS = 8
-STRIDE = 4
+#: Starts next to each other that one exact test covers.
+GROUP = 4
 WALKS, TABLES, SAMPLED = 2, 4, 6
 #: Walk lengths, and the item words each needs: a walk moves on at every second step.
 CLASSES = ((8, 6), (16, 11), (32, 21))
@@ -48,6 +53,7 @@ class Index:
     offset: np.ndarray
     seen: np.ndarray
     classes: set[int]
+    lengths: set[int]
     ids: list[int]
     words: list[np.ndarray]
 
@@ -77,11 +83,22 @@ def _table_keys(h: np.ndarray, start: np.ndarray, classes: set[int]) -> Iterator
                 yield c, mix(key[c, t] + U(1 + t + TABLES * (c + len(CLASSES) * w)))
 
 
-def build_index(items: list[tuple[int, str]]) -> Index:
-    """Keys of every stretch of every item that is long enough for its class."""
+def _piece_keys(rolling: Rolling, start: np.ndarray, length: int) -> np.ndarray:
+    """Keys of the runs of ``length`` words from each start."""
+    return rolling.windows(start, start + length) + U(length)
+
+
+def pieces_of(n: int, percent: int) -> tuple[np.ndarray, int]:
+    """Where the pieces of an item of ``n`` words start, and the words that each has at least."""
+    count = min(n, n * percent // 100 + 1)
+    return np.arange(count) * n // count, n // count
+
+
+def build_index(items: list[tuple[int, str]], percent: int = PERCENT) -> Index:
+    """Keys of every stretch of every item that is long enough for its class, and of its pieces."""
     h, first = words([t.encode() for _, t in items], ALNUM)
     size = np.diff(first)
-    ids, parts, texts, classes = [], [], [], set()
+    ids, parts, texts, classes, lengths = [], [], [], set(), set()
     for i, n in enumerate(size):
         if n < MIN_WORDS:
             continue
@@ -89,19 +106,22 @@ def build_index(items: list[tuple[int, str]]) -> Index:
         start = np.arange(n)
         for c, key in _table_keys(own, start, set(range(len(CLASSES)))):
             # the short walk tells little: it is for items that no longer one fits
-            fits = (start + CLASSES[c][1] <= n) & ((c > 0) | (n < CLASSES[1][1] + STRIDE - 1))
+            fits = (start + CLASSES[c][1] <= n) & ((c > 0) | (n < CLASSES[2][1]))
             classes |= {c} if fits.any() else set()
             parts.append((key[fits], np.full(fits.sum(), len(ids)), start[fits]))
+        start, length = pieces_of(n, percent)
+        lengths.add(length)
+        parts.append((_piece_keys(Rolling(own), start, length), np.full(len(start), len(ids)), start))
         ids.append(items[i][0])
         texts.append(own)
     if not parts:
         z = np.zeros(0, dtype=np.int64)
-        return Index(z.view(U), z, z, np.zeros(1 << 20, dtype=bool), set(), [], [])
+        return Index(z.view(U), z, z, np.zeros(1 << 20, dtype=bool), set(), set(), [], [])
     key, item, offset = (np.concatenate(c) for c in zip(*parts, strict=True))
     order = np.argsort(key, kind="stable")
     seen = np.zeros(1 << 20, dtype=bool)
     seen[key >> U(44)] = True
-    return Index(key[order], item[order].astype(np.int32), offset[order].astype(np.int32), seen, classes, ids, texts)
+    return Index(key[order], item[order].astype(np.int32), offset[order].astype(np.int32), seen, classes, lengths, ids, texts)
 
 
 def best_match(item: np.ndarray, region: np.ndarray) -> int:
@@ -138,31 +158,45 @@ def _search(index: Index, percent: int):
         """``(text, item, distance)`` of every item found."""
         h, first = words(texts, ALNUM)
         size = np.diff(first)
-        n = -(-size // STRIDE)
-        text = np.repeat(np.arange(len(texts)), n)
-        start = first[text] + STRIDE * (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n))
+        text = np.repeat(np.arange(len(texts)), size)
+        start = np.arange(len(h))
+        left = first[1:][text] - start
+
+        def keys() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            if index.classes:
+                for _, key in _table_keys(h, start, index.classes):
+                    yield start, key
+            rolling = Rolling(h)
+            for n in sorted(index.lengths):
+                at = start[left >= n]
+                yield at, _piece_keys(rolling, at, n)
+
+        # text, item and place of a candidate as one number
+        before = max(map(len, index.words), default=0) // GROUP + 1
+        span = before + size.max(initial=0) // GROUP + 1
         found = []
-        for _, key in _table_keys(h, start, index.classes):
+        for start_of, key in keys():
             at = np.flatnonzero(index.seen[key >> U(44)])
             lo = np.searchsorted(index.keys, key[at])
             hi = np.searchsorted(index.keys, key[at], side="right")
-            at, lo, hi = at[hi > lo], lo[hi > lo], hi[hi > lo]
+            at, lo, hi = start_of[at[hi > lo]], lo[hi > lo], hi[hi > lo]
             each = hi - lo
             slot = np.repeat(lo, each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
             at = np.repeat(at, each)
             # one test covers starts a few words apart
-            begin = (start[at] - index.offset[slot] - first[text[at]]) // STRIDE
-            found.append(np.stack([text[at], index.item[slot], begin], axis=1))
+            begin = (at - index.offset[slot] - first[text[at]]) // GROUP
+            found.append((text[at] * len(index.ids) + index.item[slot]) * span + begin + before)
         if not found:
             return
         best: dict[tuple[int, int], int] = {}
-        for t, i, b in np.unique(np.concatenate(found), axis=0).tolist():
+        pair, place = np.divmod(np.unique(np.concatenate(found)), span)
+        for t, i, b in zip(*(x.tolist() for x in (pair // len(index.ids), pair % len(index.ids), place - before)), strict=True):
             item = index.words[i]
             slack = len(item) * percent // 100
             if best.get((t, i)) == 0:
                 continue
-            lo = max(0, b * STRIDE - slack)
-            region = h[first[t] + lo:min(first[t + 1], first[t] + b * STRIDE + STRIDE + len(item) + slack)]
+            lo = max(0, b * GROUP - slack)
+            region = h[first[t] + lo:min(first[t + 1], first[t] + b * GROUP + GROUP + len(item) + slack)]
             if sum(map(bags[i].__contains__, region.tolist())) < len(item) - slack:
                 continue  # too few of its words are there at all
             distance = best_match(item, region)
@@ -173,26 +207,27 @@ def _search(index: Index, percent: int):
     return search
 
 
-def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
+def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
+           percent: int = PERCENT) -> Iterator[Index]:
     """The items in blocks of about ``BLOCK_WORDS`` words, fetched one partition at a time."""
     rows, size = [], 0
     for r in id_text(benchmark, id_col, text_col).where("doc_id IS NOT NULL").toLocalIterator():
         rows.append((r[0], r[1]))
         size += 1 + len(r[1].split())
         if size >= BLOCK_WORDS:
-            yield build_index(rows)
+            yield build_index(rows, percent)
             rows, size = [], 0
     if rows:
-        yield build_index(rows)
+        yield build_index(rows, percent)
 
 
-def _share(docs: DataFrame, benchmark: DataFrame) -> list:
-    return [docs.sparkSession.sparkContext.broadcast(i) for i in blocks(benchmark) if i.ids]
+def _share(docs: DataFrame, benchmark: DataFrame, percent: int) -> list:
+    return [docs.sparkSession.sparkContext.broadcast(i) for i in blocks(benchmark, percent=percent) if i.ids]
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, all columns, in whose text no benchmark item is found."""
-    shared = _share(docs, benchmark)
+    shared = _share(docs, benchmark, percent)
 
     def make():
         searches = [_search(i.value, percent) for i in shared]
@@ -220,7 +255,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     id.  An empty benchmark finds nothing; other columns are ignored.
     """
     base = id_text(docs, id_col, text_col)
-    shared = _share(docs, benchmark)
+    shared = _share(docs, benchmark, percent)
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("item_ids", pa.list_(pa.int64())),
                         ("distances", pa.list_(pa.int64()))])
     def run(batches):
