@@ -110,6 +110,36 @@ def test_sentence_dedup_by_brute_force(spark, case):
     assert rows_of(got) == cut(rows, sentence_spans(rows, 2, 10))
 
 
+def all_sentence_spans(rows, min_sentences, min_words):
+    """Every non-first run, of any number of sentences."""
+    seen, spans = {}, {}
+    for key in sorted({(i, (t or "").encode()) for i, t in rows if i is not None}):
+        s = sentences(key[1].decode())
+        for a in range(len(s)):
+            words = []
+            for z in range(a + 1, len(s) + 1):
+                words += s[z - 1][2]
+                if z - a >= min_sentences and len(words) >= min_words:
+                    first = seen.setdefault(tuple(words), (key, a))
+                    if first[0][0] < key[0] or first[0] == key and first[1] < a:
+                        spans.setdefault(key, []).append((s[a][0], s[z - 1][1]))
+    return spans
+
+
+ENDS = [(1, "The quick brown fox jumps over the lazy dog today. Yes. No. Really. One end."),
+        (2, "Before it. The quick brown fox jumps over the lazy dog today. Yes. No. Really. Another end."),
+        (3, "The quick brown fox jumps over the lazy dog today. Yes. No. Really."),
+        (4, "Yes. No. Really. The quick brown fox jumps over the lazy dog today. Yes. No. Really. " * 2)]
+
+
+@pytest.mark.parametrize("rows", [ENDS, mutated(3), mutated(7), [(i, t) for i, t in mutated(4, 12)] +
+                                  [(i + 1, t) for i, t in mutated(4, 12)], documents()[:60]],
+                         ids=["ends", "mutated", "mutated too", "copies", "documents"])
+def test_no_sentence_of_a_longer_run_stays(spark, rows):
+    got = sentence_dedup.sentence_dedup(frame(spark, rows))
+    assert rows_of(got) == cut(rows, all_sentence_spans(rows, 2, 10))
+
+
 def components(rows, n):
     def shingles(t):
         w = re.findall(r"[^ \t-\r]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))

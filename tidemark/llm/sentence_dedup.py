@@ -1,8 +1,10 @@
 """Removal of repeated sentence spans.
 
-Every run of several consecutive sentences is hashed: from each sentence on,
-the shortest run of at least ``min_sentences`` sentences and ``min_words``
-words.  The runs are joined globally on their hash, and the sentences covered
+Runs of several consecutive sentences are hashed: from each sentence on, and up
+to each sentence, the shortest run of at least ``min_sentences`` sentences and
+``min_words`` words.  They cover every longer run that repeats with the same
+sentences: a sentence too near its end to start a run lies in the one that ends
+there.  The runs are joined globally on their hash, and the sentences covered
 by a run that also begins earlier go.  The first document of each run is a
 map-side combined ``min``; only runs that do repeat are joined back, in a join
 whose hot keys Spark can split.
@@ -28,7 +30,7 @@ _END_MARK = np.isin(np.arange(256), list(b".!?"))
 
 
 def sentence_runs(texts: list[bytes], min_sentences: int, min_words: int):
-    """``(text index, start byte, bytes, hash)`` of every run of every text.
+    """``(text index, start byte, bytes, hash)`` of every run of every text, each once.
 
     A sentence is a run of words that ends with a word ending in ``.``, ``!`` or
     ``?`` or with the line.  Its bytes reach up to the next sentence's first word.
@@ -53,7 +55,13 @@ def sentence_runs(texts: list[bytes], min_sentences: int, min_words: int):
     i = np.arange(len(first))
     j = np.maximum(i + min_sentences, np.searchsorted(words_to, words_to[i] + min_words))
     ok = j <= last
-    i, j = i[ok], j[ok]
+    # the same from the end
+    z = i + 1
+    a = np.minimum(z - min_sentences, np.searchsorted(words_to, words_to[z] - min_words, side="right") - 1)
+    own = a >= np.searchsorted(text, text)
+    # a run may be the shortest both ways
+    own[own] = ~ok[a[own]] | (j[a[own]] != z[own])
+    i, j = np.concatenate([i[ok], a[own]]), np.concatenate([j[ok], z[own]])
     word = Rolling(data).windows(start, end)
     h = Rolling(word).windows(words_to[i], words_to[j])
     z = np.minimum(np.append(start[first], len(raw))[j], offset[text[i] + 1] - 1)
