@@ -105,6 +105,22 @@ def test_distant_partners_get_the_label(spark):
     assert pii.find("Write to bob12@mail.example.com in 1999, room 25.", weights)[1] == []
 
 
+def test_the_field_decides_in_texts_without_a_hit(spark):
+    weights = pii.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    for t, kind, token in (("Mail admin@localhost for it.", "email", "admin@localhost"),
+                           ("Paid by 4111111111111112, again 4111111111111112.", "card", "4111111111111112")):
+        assert pii.base_spans(t) == []
+        assert pii.find(t, weights) == ([], [(kind, m.start(), m.end()) for m in re.finditer(token, t)])
+    # what the field is asked is the same with and without data tokens to look at
+    for t in ["", "No data here.", "Only 3 of them.", *(t for _, t in documents())]:
+        base = pii.base_spans(t)
+        tokens = pii.tokens_of(t, base)
+        p = pii.field_labels(t, tokens, weights) if tokens else []
+        assert pii.find(t, weights)[1] == [
+            (pii.LABELS[r.argmax()], s, e) for (s, e, k), r in zip(tokens, p, strict=True)
+            if not k and r.argmax() and r.max() >= pii.LEAST]
+
+
 def test_messages_agree_with_exact_marginals():
     """On a chain of three tokens, where message passing is exact."""
     weights = np.random.default_rng(0).normal(size=(5, pii._FEATURES))

@@ -94,7 +94,8 @@ def _shape(token: str) -> tuple[float, ...]:
     """Features of a token: what it is made of."""
     digits = sum("0" <= c <= "9" for c in token)
     dots = token.count(".")
-    return (1.0, float("@" in token), float(dots == 3 and digits >= 4), float(token[0] in "+("),
+    name, _, rest = token.partition("@")
+    return (1.0, float(bool(name and rest)), float(dots == 3 and digits >= 4), float(token[0] in "+("),
             float(digits >= 13), float(7 <= digits < 13), float(0 < digits < 7),
             digits / len(token), float(any(c.isalpha() for c in token)), float("-" in token or "(" in token))
 
@@ -187,8 +188,8 @@ def field_labels(text: str, tokens: list[tuple[int, int, int]], weights: np.ndar
 def find(text: str, weights: np.ndarray, least: float = LEAST) -> tuple[list, list]:
     """``(base, added)`` spans of a text."""
     base = base_spans(text)
-    if not base:
-        return base, []
+    if not base and not _DATA.search(text):
+        return base, []  # no token at all
     tokens = tokens_of(text, base)
     if all(k for _, _, k in tokens):
         return base, []
@@ -249,7 +250,8 @@ def find_pii(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_
     in code points, end exclusive.
 
     ``base`` is what the patterns find, ``added`` what the field labels besides;
-    the field never takes a base span away, and adds none to a text without one.
+    the field never takes a base span away, and looks at every text with tokens,
+    whether the patterns find anything there or not.
     Null text is empty; every row is on its own, whatever its id; other columns
     are ignored.
     """
