@@ -59,3 +59,44 @@ def test_init_writes_role_profiles(spark):
         "columns": [{"name": "o_orderkey", "pg_type": "bigint"}]}},
         acl={"table_grants": tg, "column_grants": cg, "allow": ["analyst", "ops"]})
     assert manifest.read_header(spark, root)["roles"] == 2
+
+
+def test_stream_confirms_columns_from_a_table_that_changes(spark):
+    """Columns added at the source: rejects with their values until the source's
+    column table, read for each batch, has them; then they are in the deltas."""
+    from tidemark.functions.types import struct_for
+    from tidemark.sources import manifest, storage
+    root = fresh_dir(spark, "t_cli_stream")
+    column = {"name": "id", "pg_type": "bigint", "parquet_type": None, "nullable": True,
+              "precision": None, "scale": None}
+    manifest.publish(spark, root, manifest.entries(spark, [
+        ("public.t", "active", [], ["id"], 1, [column], 0, 0, 0, "", "", None)]))
+
+    def run(seq, row, *more):
+        spark.createDataFrame([("public.t", "I", {"id": str(seq), **row}, None, None, seq)],
+                              "table string, op string, row map<string,string>, lsn string, "
+                              "ts timestamp_ntz, seq bigint").write.mode("append").parquet(f"{root}/_landing")
+        assert main(["stream", "--root", root, "--landing", f"{root}/_landing",
+                     "--checkpoint", f"{root}/_ckpt", *more]) == 0
+
+    def rejects():
+        return sorted((r["seq"], r["column_name"], r["raw"])
+                      for r in storage.read_rejects(spark, root, "public.t").collect())
+
+    def source(*columns):
+        spark.createDataFrame([("public.t", c, t, True, i) for i, (c, t) in enumerate(columns)],
+                              "table string, column string, pg_type string, nullable boolean, ordinal int") \
+            .write.mode("overwrite").parquet(f"{root}/_source")
+        return "--source-columns", f"{root}/_source"
+
+    run(1, {"a": "x", "b": "1"})
+    assert rejects() == [(1, "a", "x"), (1, "b", "1")]
+    run(2, {"a": "y", "b": "2"}, *source(("id", "bigint"), ("b", "integer")))
+    assert rejects() == [(1, "a", "x"), (1, "b", "1"), (2, "a", "y")]
+    run(3, {"a": "z", "b": "3"}, *source(("id", "bigint"), ("b", "integer"), ("a", "text")))
+    assert rejects() == [(1, "a", "x"), (1, "b", "1"), (2, "a", "y")]
+    e = manifest.entry(spark, root, "public.t")
+    assert ([c["name"] for c in e["columns"]], e["schema_version"]) == (["id", "b", "a"], 3)
+    schema = storage.delta_schema(struct_for([{"name": c["name"], "pg_type": c["pg_type"]} for c in e["columns"]]))
+    got = sorted((r["id"], r["b"], r["a"]) for r in storage.read_deltas(spark, root, "public.t", schema).collect())
+    assert [(i, b) for i, b, _ in got] == [(1, None), (2, 2), (3, 3)] and [a for *_, a in got] == [None, None, "z"]

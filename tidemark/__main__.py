@@ -57,6 +57,8 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--checkpoint", required=True)
     a.add_argument("--format", default="parquet")
     a.add_argument("--max-files", type=int)
+    a.add_argument("--source-columns", help="Parquet table (table, column, pg_type, nullable, ordinal) of the "
+                                            "source's columns, read for each batch")
     a.add_argument("--interval", help="processing-time trigger, e.g. '10 seconds'")
     a = sub.add_parser("register", help="register current bases in the catalog")
     a.add_argument("--root", required=True)
@@ -106,7 +108,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "stream":
         from tidemark.streaming.epochs import EpochWriter, change_stream, stream_to_epochs
         trigger = {"processingTime": args.interval} if args.interval else None
-        w = EpochWriter.from_manifest(spark, args.root, checkpoint=args.checkpoint)
+        w = EpochWriter.from_manifest(spark, args.root, checkpoint=args.checkpoint,
+                                      source_columns=args.source_columns)
         q = stream_to_epochs(change_stream(spark, args.landing, args.format, args.max_files),
                              w, args.checkpoint, trigger)
         q.awaitTermination()

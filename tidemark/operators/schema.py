@@ -45,6 +45,14 @@ def unknown_columns(events: DataFrame, known: list[str], row_col: str = "row",
                   .distinct())
 
 
+def unknown_rejects(events: DataFrame, known: list[str], row_col: str = "row") -> DataFrame:
+    """(seq, table, column_name, raw) for every value under a map key outside the
+    known columns and metadata."""
+    skip = F.array(*[F.lit(c) for c in [*known, *ALL_META]])
+    extra = F.map_filter(F.col(row_col), lambda k, _: ~F.array_contains(skip, k))
+    return events.select("seq", "table", F.explode(extra).alias("column_name", "raw"))
+
+
 def new_columns(unknown: DataFrame, source_columns: DataFrame) -> DataFrame:
     """Unknown columns the source confirms, in source order.
 

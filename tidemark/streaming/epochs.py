@@ -17,7 +17,8 @@ executors' memory, and a lost executor costs no second read of the source.
 
 Row images travel as ``map<string,string>``, so the stream schema never
 changes; columns added at the source appear as new map keys, are confirmed
-against the source catalog and appended to the table schema per batch.
+against the source catalog and appended to the table schema per batch.  Values
+of columns that the source catalog doesn't confirm become rejects.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.constants import EPOCH, SEQ, UNCHANGED
 from tidemark.operators.events import (EVENT_SCHEMA, decode_events, decode_rejects, order_rejects,
                                        split_key_changes, with_order)
-from tidemark.operators.schema import evolve, unknown_columns
+from tidemark.operators.schema import evolve, new_columns, unknown_columns, unknown_rejects
 from tidemark.sources import fs, manifest, storage
 from tidemark.functions.types import category
 
@@ -84,12 +85,14 @@ def kafka_change_stream(spark: SparkSession, servers: str, topic: str,
 class EpochWriter:
     """The ``foreachBatch`` function of ``stream_to_epochs``.
 
-    ``catalog``: table -> manifest column list; ``source_columns``: optional
-    table -> the source's current column list (for additive evolution).
+    ``catalog``: table -> manifest column list; ``source_columns``: the source's
+    current columns (for additive evolution), as a fixed table -> column list or
+    as the path of a Parquet table (table, column, pg_type, nullable, ordinal),
+    which is read anew for each batch.  Without an entry no column is confirmed.
     """
 
     def __init__(self, root: str, catalog: dict[str, list[dict]], first_epoch: int = 1,
-                 source_columns: dict[str, list[dict]] | None = None,
+                 source_columns: dict[str, list[dict]] | str | None = None,
                  on_error: str = "null", parallelism: int = 4,
                  keep_rejects: bool = True, stream: str | None = None):
         self.root = root
@@ -120,14 +123,18 @@ class EpochWriter:
         return w
 
     def _evolve(self, batch: DataFrame, table: str) -> bool:
-        src = self.source_columns.get(table)
-        if not src:
-            return False
         known = [c["name"] for c in self.catalog[table]]
-        unk = {r["column"] for r in unknown_columns(batch, known).select("column").collect()}
-        if not unk:
-            return False
-        added = [c for c in src if c["name"] in unk]
+        if isinstance(self.source_columns, str):
+            src = batch.sparkSession.read.parquet(self.source_columns).where(F.col("table") == table)
+            confirmed = new_columns(unknown_columns(batch, known), src) \
+                .select(F.col("column").alias("name"), "pg_type", "nullable").collect()
+            added = [c.asDict() for c in confirmed]
+        else:
+            src = self.source_columns.get(table)
+            if not src:
+                return False
+            unk = {r["column"] for r in unknown_columns(batch, known).select("column").collect()}
+            added = [c for c in src if c["name"] in unk]
         cols, v = evolve(self.catalog[table], added, self.versions[table])
         changed = v != self.versions[table]
         self.catalog[table], self.versions[table] = cols, v
@@ -161,6 +168,7 @@ class EpochWriter:
         def write(t):
             rows = spark.read.schema(events.schema).parquet(f"{staging}/__t={md5(t.encode()).hexdigest()}")
             evolved = self._evolve(rows, t)
+            unconfirmed = unknown_rejects(rows, [c["name"] for c in self.catalog[t]])
             keys = self.primary_keys.get(t, [])
             if keys:
                 rows = split_key_changes(rows, keys)
@@ -175,7 +183,8 @@ class EpochWriter:
                 typed = typed.observe(seen, F.count_if(F.size(UNCHANGED) > 0).alias("partial"))
             storage.write_delta(typed, self.root, t, single_epoch=True)
             if self.keep_rejects:
-                bad = decode_rejects(rows, self.catalog[t], keys).unionByName(order_rejects(rows))
+                bad = decode_rejects(rows, self.catalog[t], keys).unionByName(order_rejects(rows)) \
+                    .unionByName(unconfirmed)
                 storage.write_rejects(bad.withColumn(EPOCH, at), self.root, t)
             partial = True if seen is not None and seen.get["partial"] else None
             return (t, epoch, self.versions[t], evolved, partial)
