@@ -198,6 +198,30 @@ def test_paths_are_the_shortest(machine):
         assert machine.decode(np.array(own), np.array([len(own)])) == [t.encode()]
 
 
+def test_runs_of_spaces_take_their_own_pieces(machine):
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_MODEL)
+    cost = {}
+
+    def walk(state):
+        if state[1] >= 0:
+            cost[state[1]] = state[2]
+        for s in state[0].values():
+            walk(s)
+    walk(machine.root)
+    assert {i for i in range(sp.vocab_size()) if sp.id_to_piece(i).strip("▁") == ""} <= set(cost)
+    rng = random.Random(2)
+    texts = ["a   b", " " * 8 + "x = 1", "  ", "a  \n    b  ", "\n  \n a", "▁  ▁", " " * 40] + [
+        "".join(rng.choices(["a", "the", " ", "  ", "     ", "\n", "▁", "é"], k=14)) for _ in range(200)]
+    ids, n = pieces.Words(machine.words).texts([t.encode().replace(b"\n", b" \n") for t in texts if t])
+    at = np.concatenate([[0], np.cumsum(n)])
+    for i, t in enumerate(texts):
+        own = ids[at[i]:at[i + 1]].tolist()
+        assert sum(cost.get(x, machine.byte_weight) for x in own) == pytest.approx(brute_path(machine, t)), t
+        assert machine.decode(np.array(own), np.array([len(own)])) == [t.encode()]
+    assert n[0] == 3
+
+
 def test_pieces_of_awkward_texts(spark):
     rows = AWKWARD + mutated(6, 10) + LONG + [(70, " \n \n  a▁b "), (71, "\n"), (72, "x" * 20_000)]
     got = pieces.encode_pieces(frame(spark, rows), queries.PIECE_MODEL).collect()

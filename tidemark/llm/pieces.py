@@ -8,14 +8,16 @@ reachable place, and its encoding is the shortest path in the tropical semiring
 (least sum of weights, ties to the longer last piece).
 
 Weights are negative log probabilities under Zipf's law, from the pieces' ranks
-in the model: the model file has merge ranks, not probabilities.  No piece in
-use has a word mark inside, so the shortest path of a text is that of its words
-one after the other, and each distinct word is composed once.
+in the model: the model file has merge ranks, not probabilities.  No piece has a
+word mark after anything but marks, so the shortest path of a text is that of its
+words one after the other, each with all the spaces before it, and each distinct
+word with its spaces is composed once.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +25,23 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import batch_of, id_text, slices
-from tidemark.llm.ragged import Words, gather
+from tidemark.llm.ragged import Words as _Words, gather
 
 MARK = "▁"
+#: A space that goes on with the next word; no byte of UTF-8.
+_MORE = b"\xff"
+_RUN = re.compile(rb"^ +|(?<= ) +")
+
+
+class Words(_Words):
+    """Words with the spaces before them, all but the one that they are cut at."""
+
+    def array(self, texts: list[bytes]) -> pa.Array:
+        return pa.array(texts, type=pa.binary())
+
+    def texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return super().texts([_RUN.sub(lambda m: _MORE * len(m[0]), t) if t[:1] == b" " or b"  " in t else t
+                              for t in texts])
 
 
 class Transducer:
@@ -35,14 +51,14 @@ class Transducer:
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
         n = sp.vocab_size()
         used = [i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))
-                and (sp.get_score(i) > -1e6 or sp.id_to_piece(i) == MARK)]
+                and (sp.get_score(i) > -1e6 or not sp.id_to_piece(i).strip(MARK))]
         used.sort(key=lambda i: (-sp.get_score(i), i))
         scale = math.log(sum(1 / r for r in range(1, len(used) + 2)))
         # state: (arcs, piece or -1, weight)
         self.root: list = [{}, -1, 0.0]
         for rank, i in enumerate(used):
             piece = sp.id_to_piece(i)
-            if MARK in piece[1:]:
+            if MARK in piece.lstrip(MARK) or MARK in piece[1:] and piece.strip(MARK):
                 raise ValueError(f"piece {i} spans words")
             state = self.root
             for c in piece:
@@ -98,9 +114,15 @@ class Transducer:
             j = i
         return out[::-1]
 
-    def words(self, words: list[str]) -> list[list[int]]:
-        """A word that begins with a line break goes on in the same word; any other has its mark."""
-        return [self.path(w, 0) if w[:1] == "\n" else self.path(MARK + w, 1) for w in words]
+    def words(self, words: list[bytes]) -> list[list[int]]:
+        """A word that begins with a line break goes on in the same word; any other has its
+        mark; both have one more for each space kept with them."""
+        out = []
+        for w in words:
+            rest = w.lstrip(_MORE)
+            marks = len(w) - len(rest) + (rest[:1] != b"\n")
+            out.append(self.path(MARK * marks + rest.decode(), marks))
+        return out
 
     def decode(self, ids: np.ndarray, n: np.ndarray) -> list[bytes]:
         """The texts of consecutive runs of ``n`` ids."""

@@ -41,9 +41,12 @@ class Words:
                 self.first.append(len(self.ids))
         return np.fromiter((place[w] for w in words), dtype=np.int64, count=len(words))
 
+    def array(self, texts: list[bytes]) -> pa.Array:
+        return pa.array(texts, type=pa.binary()).cast(pa.string())
+
     def texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, cut into words at spaces, and how many each text has."""
-        parts = pc.split_pattern(pa.array(texts, type=pa.binary()).cast(pa.string()), " ")
+        parts = pc.split_pattern(self.array(texts), " ")
         coded = parts.values.dictionary_encode()
         place = self.find(coded.dictionary.to_pylist())
         first = np.frombuffer(self.first, dtype=np.int64).copy()
