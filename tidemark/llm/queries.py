@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (chat, decontaminate, exact_dedup, language, minhash, packing, pieces, pii,
-                          sentence_dedup, suffix_dedup)
+                          sentence_dedup, sql, suffix_dedup, turn_repair)
 from tidemark.llm.common import read
 from tidemark.llm.registry import query
 
@@ -157,3 +157,60 @@ FROM t WINDOW w AS (PARTITION BY t)
 @query("op10_exact_dedup", OP10_SQL)
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE {sql.CRC_TABLE},
+r AS (SELECT conv_id, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, turn, coalesce(role, ' ') AS role,
+             coalesce(text, ' ') AS text,
+             {sql.crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS how
+      FROM conversations, crc),
+d AS (SELECT c, turn, CASE how WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE how WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+      FROM r, LATERAL (SELECT unnest(range(CASE how WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))) AS copies),
+o AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+n AS (SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY i) AS nth,
+             regexp_replace(text, '[ \t\n\x0B\f\r]+$', '') AS bare FROM o),
+k AS (SELECT *, left(role, 1) AS x, CASE WHEN bare = '' THEN 'b' WHEN nth > 1 THEN 'd'
+             WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM n),
+-- what may follow what: 0 nothing yet, 1 system, 2 user, 3 assistant
+follow(s, x, s2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+ins(s, n, s2, o) AS (
+  SELECT s, 0, s, []::VARCHAR[] FROM (VALUES (0), (1), (2), (3)) v(s)
+  UNION ALL SELECT ins.s, n + 1, f.s2, list_append(o, CASE x WHEN 'u' THEN 'user:' ELSE 'assistant:' END)
+  FROM ins JOIN follow f ON f.s = ins.s2 AND f.x <> 's' WHERE n < 2),
+act AS (
+  SELECT c, i, s, s AS s2, 'D' AS letter, 2 AS cost, []::VARCHAR[] AS o FROM k, (VALUES (0), (1), (2), (3)) v(s)
+  UNION ALL SELECT c, i, s, s2, 'K', CASE fault WHEN 't' THEN 5 ELSE 0 END, [role || ':' || text]
+  FROM k JOIN follow f ON f.x = k.x WHERE fault NOT IN ('b', 'd')
+  UNION ALL SELECT c, i, s, s2, 'R', CASE fault WHEN 't' THEN 6 ELSE 1 END,
+         [CASE f.x WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text]
+  FROM k JOIN follow f ON f.x <> 's' WHERE fault NOT IN ('b', 'd')),
+dp AS (
+  SELECT DISTINCT c, 0::BIGINT AS i, 0 AS s, {{'cost': 0, 'audit': '', 'o': []::VARCHAR[]}} AS b FROM r
+  UNION ALL
+  SELECT dp.c, act.i, act.s2, min({{'cost': b.cost + 5 * ins.n + act.cost, 'audit': b.audit || repeat('I', ins.n) || letter,
+                                   'o': b.o || ins.o || act.o}})
+  FROM dp JOIN ins ON ins.s = dp.s JOIN act ON act.c = dp.c AND act.i = dp.i + 1 AND act.s = ins.s2
+  GROUP BY dp.c, act.i, act.s2),
+own AS (SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+               count(*) FILTER (fault = 't') AS truncated FROM k GROUP BY c),
+pairs AS (SELECT c, count(*) FILTER (p NOT IN ('su', 'ua', 'au')) AS illegal
+          FROM (SELECT c, lag(x) OVER (PARTITION BY c ORDER BY i) || x AS p FROM k) GROUP BY c),
+best AS (SELECT dp.c, min({{'cost': b.cost + 5 * ins.n, 'audit': b.audit || repeat('I', ins.n), 'o': b.o || ins.o}}) AS b
+         FROM dp LEFT JOIN own USING (c) JOIN ins ON ins.s = dp.s AND ins.s2 IN (0, 3)
+         WHERE dp.i = coalesce(own.n, 0) GROUP BY dp.c)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, b.cost::BIGINT AS cost, b.audit AS audit,
+       sha256(array_to_string(b.o, chr(10))) AS repaired_sha256, coalesce(n, 0) AS n_turns
+FROM (SELECT DISTINCT conv_id, c FROM r) JOIN best USING (c) LEFT JOIN own USING (c) LEFT JOIN pairs USING (c)
+"""
+
+
+@query("op11_turn_repair", OP11_SQL)
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = turn_repair.repair(turn_repair.damage(read(spark, sf_dir, "conversations")))
+    lines = F.transform("repaired", lambda t: F.concat_ws(":", t["role"], t["text"]))
+    return out.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+                      F.sha2(F.array_join(lines, "\n").cast("binary"), 256).alias("repaired_sha256"), "n_turns")
