@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (chat, decontaminate, exact_dedup, language, minhash, packing, pieces, pii,
-                          sentence_dedup, sql, suffix_dedup, turn_repair)
+                          quality, sentence_dedup, spelling, sql, suffix_dedup, turn_repair)
 from tidemark.llm.common import read
 from tidemark.llm.registry import query
 
@@ -214,3 +214,39 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.transform("repaired", lambda t: F.concat_ws(":", t["role"], t["text"]))
     return out.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
                       F.sha2(F.array_join(lines, "\n").cast("binary"), 256).alias("repaired_sha256"), "n_turns")
+
+
+OP12_SQL = rf"""
+WITH RECURSIVE {sql.CRC_TABLE},
+r AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+      FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')) AS run FROM documents)
+      GROUP BY ALL),
+h AS (SELECT run, k, {sql.crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM r, crc),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+             ELSE run END AS word, k FROM h),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+-- words less one code point: the same rest in the same place is a replaced one, the word itself an inserted one
+less AS (SELECT word, n, unnest(range(length(word))) AS i FROM words),
+cut AS (SELECT word, n, i, left(word, i::INT) || substr(word, i::INT + 2) AS rest FROM less),
+pairs AS (SELECT a.word, b.word AS near, b.n AS m FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+          UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+          UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, min({{'minus': -m, 'near': near}}) AS b FROM pairs GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.minus >= 10 * w.n THEN b.near END AS form,
+             CASE WHEN -b.minus >= 10 * w.n THEN -b.minus END AS form_n FROM words w LEFT JOIN best USING (word)),
+up AS (SELECT word, word AS root FROM f WHERE form IS NULL
+       UNION ALL SELECT f.word, up.root FROM up JOIN f ON f.form = up.word)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN up USING (word)
+"""
+
+
+@query("op12_spelling", OP12_SQL)
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"), change=spelling.damaged)
+
+
+@query("op13_quality")
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, read(spark, sf_dir, "labels"))).select(
+        "doc_id", language.held_out().alias("held_out"), "score", "predicted")
