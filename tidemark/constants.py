@@ -7,11 +7,12 @@ SEQ = "__seq"          # total order of events inside one epoch
 LSN = "__lsn"          # source log position, text 'X/Y'
 TS = "__ts"            # source commit time
 UNCHANGED = "__unchanged"   # columns an update did not send (partial images)
+MOVED_FROM = "__moved_from"   # old key of a row that changed its key (on the change under the new key)
 # Metadata column of a base row.
 DELETED_AT = "__deleted_at"   # soft-delete time (UTC wall clock, timestamp_ntz)
 BASE_EPOCH = "__base_epoch"   # directory partition of a compacted base
 
-DELTA_META = (OP, EPOCH, SEQ, LSN, TS, UNCHANGED)
+DELTA_META = (OP, EPOCH, SEQ, LSN, TS, UNCHANGED, MOVED_FROM)
 ALL_META = DELTA_META + (DELETED_AT, BASE_EPOCH)
 
 OPS = ("I", "U", "D")

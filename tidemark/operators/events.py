@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.constants import DELTA_META, EPOCH, LSN, OP, SEQ, TS, UNCHANGED
+from tidemark.constants import DELTA_META, EPOCH, LSN, MOVED_FROM, OP, SEQ, TS, UNCHANGED
 from tidemark.functions.lsn import lsn_to_long
 from tidemark.functions.types import decode_row, rejects
 
@@ -33,18 +33,23 @@ def order_rejects(events: DataFrame) -> DataFrame:
 
 
 def decode_events(events: DataFrame, columns: list[dict], on_error: str = "null",
-                  keep_meta: bool = True) -> DataFrame:
+                  keep_meta: bool = True, primary_key: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """Event rows -> typed delta rows (``__op`` + schema columns + metadata).
 
     ``columns`` is the manifest column list ({name, pg_type, nullable}).
     Keys absent from a row image (e.g. non-key columns of a delete) are NULL;
-    columns an update did not send are named in ``__unchanged``, if the events say so.
+    columns an update did not send are named in ``__unchanged``, and the old key of one
+    that moved (``split_key_changes``) is in ``__moved_from``, if the events say so.
     """
     meta = [F.col("op").alias(OP)]
     if keep_meta:
         meta += [F.col("seq").alias(SEQ), F.col("lsn").alias(LSN), F.col("ts").alias(TS)]
         if "unchanged" in events.columns:
             meta.append(F.col("unchanged").alias(UNCHANGED))
+            if primary_key and "moved_from" in events.columns:
+                keys = [c for c in columns if c["name"] in primary_key]
+                meta.append(F.when(F.col("moved_from").isNotNull(), F.struct(*decode_row(F.col("moved_from"), keys)))
+                            .alias(MOVED_FROM))
     return events.select(*meta, *decode_row(F.col("row"), columns, on_error))
 
 
@@ -54,7 +59,8 @@ def split_key_changes(events: DataFrame, pk: list[str], old_row: str = "old_row"
     different keys, so their relative order does not matter).
 
     ``old_row`` is the old key image the source sends when a key changes
-    (NULL otherwise).  One ``inline`` per event: no join, no shuffle.
+    (NULL otherwise); on the update it becomes ``moved_from``.  One ``inline`` per
+    event: no join, no shuffle.
     """
     if old_row not in events.columns:
         return events
@@ -62,8 +68,9 @@ def split_key_changes(events: DataFrame, pk: list[str], old_row: str = "old_row"
         F.array(*[F.lit(k) for k in pk]),
         lambda k: ~F.element_at(F.col(old_row), k).eqNullSafe(F.element_at(F.col("row"), k)))
     rest = [c for c in events.columns if c not in ("op", "row", old_row)]
-    new = F.struct(F.col("op").alias("op"), F.col("row").alias("row"))
-    gone = F.struct(F.lit("D").alias("op"), F.col(old_row).alias("row"))
+    new = F.struct(F.col("op").alias("op"), F.col("row").alias("row"), F.when(moved, F.col(old_row)).alias("moved_from"))
+    gone = F.struct(F.lit("D").alias("op"), F.col(old_row).alias("row"),
+                    F.lit(None).cast("map<string,string>").alias("moved_from"))
     return events.select(*rest, F.inline(F.when(moved, F.array(gone, new))
                                           .otherwise(F.array(new))))
 

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from tidemark.constants import (ALL_META, BROADCAST_BASE_RATIO, DEFAULT_BROADCAST_BYTES,
                                 DEFAULT_BROADCAST_ROWS, DELETED_AT, EPOCH, LIVE_OPS, OP, OPS,
                                 SEQ, UNCHANGED)
+from tidemark.operators.lineage import resolve_moves
 from tidemark.session import checkpoint
 
 LAST_OP = "__last_op"
@@ -199,12 +200,15 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
 
     ``partial=True`` honours an ``__unchanged`` array column on the deltas
     (columns an update did not send): such values keep the last known one.
+    Where a row moved its key (``__moved_from``), that is the old key's.
     """
     base = _with_deleted_at(base)
     data_cols = data_columns(base, pk)
     types = {f.name: f.dataType for f in base.schema.fields}
     for c in [c for c in data_cols if c not in deltas.columns]:
         deltas = deltas.withColumn(c, F.lit(None).cast(types[c]))
+    if partial:
+        deltas = resolve_moves(base, deltas, pk, data_cols, tuple(order), broadcast_rows, broadcast_bytes)
     stamp = ts_literal(compacted_at)
     if strategy not in ("auto", "full", "broadcast"):
         raise ValueError(f"unknown merge strategy {strategy!r}")

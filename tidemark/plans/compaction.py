@@ -79,7 +79,7 @@ def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
                                     upto=base_e, buckets=buckets, pk=pk,
                                     published=published_bases(e))
         partial = bool(e.get("partial_images"))
-        deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data, partial=partial),
+        deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data, partial=partial, pk=pk),
                                      after=base_e, upto=latest)
         # counters ride along the write job (no extra pass): delta rows read
         # (every row counts as applied, as in the fold), epochs, pre-purge rows
@@ -122,7 +122,7 @@ def _compact_buckets(spark, root, table, e, pk, data, base_e, latest, compacted_
     vec = list(e["bucket_epochs"])
     n = len(vec)
     partial = bool(e.get("partial_images"))
-    deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data, partial=partial),
+    deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data, partial=partial, pk=pk),
                                  after=base_e, upto=latest)
     if now is None:
         touched = sorted(r[0] for r in deltas.select(storage.bucket_of(pk, n)).distinct()

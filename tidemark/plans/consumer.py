@@ -7,10 +7,13 @@ epoch.  A base that a compaction is writing, or left behind, is not there yet.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.constants import EPOCH
 from tidemark.functions.types import struct_for
 from tidemark.operators import merge as M
 from tidemark.operators import reads as R
+from tidemark.operators.lineage import resolve_moves
 from tidemark.sources import manifest, storage
 
 
@@ -43,7 +46,7 @@ def as_of(spark: SparkSession, root: str, table: str, epoch: int, stamp,
     pk = list(e["primary_key"])
     upto = min(epoch, int(e.get("latest_delta_epoch") or 0))
     partial = bool(e.get("partial_images"))
-    schema = storage.delta_schema(data, partial=partial)
+    schema = storage.delta_schema(data, partial=partial, pk=pk)
     if e.get("bucket_epochs") is not None:
         b = int(e.get("base_epoch") or 0)
         if epoch < b:
@@ -84,14 +87,25 @@ def changes_since(spark: SparkSession, root: str, table: str, epoch: int | None,
     if epoch is None or epoch < base:
         raise ResyncRequired(f"{table}: changes after {epoch} are in base {base} already")
     partial = bool(e.get("partial_images"))
-    deltas = storage.read_deltas(spark, root, table,
-                                 storage.delta_schema(_schema(e), partial=partial),
-                                 after=epoch, upto=int(e.get("latest_delta_epoch") or 0))
+    data, pk = _schema(e), list(e["primary_key"])
+    names = [c["name"] for c in e["columns"] if c["name"] not in pk]
+    # what a moved row left unsent may be in changes that the consumer has already, or in the base
+    deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data, partial=partial, pk=pk),
+                                 after=base if partial else epoch, upto=int(e.get("latest_delta_epoch") or 0))
+    if partial:
+        deltas = resolve_moves(_published_base(spark, root, table, e, data), deltas, pk, names) \
+            .where(F.col(EPOCH) > epoch)
     if not net:
         return deltas
-    names = [c["name"] for c in e["columns"] if c["name"] not in e["primary_key"]]
-    return R.net_changes_since(deltas, list(e["primary_key"]), epoch, data_cols=names,
-                               partial=partial)
+    return R.net_changes_since(deltas, pk, epoch, data_cols=names, partial=partial)
+
+
+def _published_base(spark: SparkSession, root: str, table: str, e: dict, data) -> DataFrame:
+    if e.get("bucket_epochs") is not None:
+        return storage.read_base_buckets(spark, root, table, storage.base_schema(data), list(e["bucket_epochs"]))
+    base, _ = storage.read_base(spark, root, table, storage.base_schema(data), pk=list(e["primary_key"]),
+                                buckets=int(e["buckets"]) if e.get("buckets") else None, published=published_bases(e))
+    return base
 
 
 def live_view(spark: SparkSession, root: str, table: str, view: str, stamp) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import merge as M
 from tidemark.operators import reads as R
 from tidemark.plans import oracle as O
-from tidemark.plans.feeds import (COMPACTED_AT, ORDER_B, ORDERS_PK, feed_a,
+from tidemark.plans.feeds import (COMPACTED_AT, ORDER_B, ORDERS_PK, feed_a, feed_moves,
                                   feed_b, orders_base)
 from tidemark.plans.registry import query
 
@@ -214,6 +214,28 @@ def merge_two_column_key(spark, d):
 _STAMP = COMPACTED_AT
 
 
+@query("merge_moved_keys", f"""WITH RECURSIVE base AS ({O.ORDERS_BASE}),
+mv AS ({O.FEED_MOVES}),
+{O.lineage_ctes("o_orderstatus", "no_status")},
+{O.lineage_ctes("o_totalprice", "no_price")},
+ops AS (SELECT o_orderkey AS k, __op, __epoch, __seq FROM mv
+        UNION ALL SELECT old, 'D', __epoch, __seq FROM mv WHERE old IS NOT NULL),
+last AS (SELECT k, __op AS last_op FROM (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY __epoch DESC, __seq DESC) AS rn FROM ops) WHERE rn = 1),
+live AS (SELECT DISTINCT k FROM ops WHERE __op <> 'D')
+SELECT coalesce(b.o_orderkey, l.k) AS o_orderkey,
+       CASE WHEN s.at IS NOT NULL THEN s.o_orderstatus ELSE b.o_orderstatus END AS o_orderstatus,
+       CASE WHEN p.at IS NOT NULL THEN p.o_totalprice ELSE b.o_totalprice END AS o_totalprice,
+       CASE WHEN l.last_op = 'D' THEN TIMESTAMP '{_STAMP}' WHEN v.k IS NOT NULL THEN NULL ELSE b.__deleted_at END AS __deleted_at
+FROM base b FULL OUTER JOIN last l ON b.o_orderkey = l.k LEFT JOIN live v ON v.k = l.k
+     LEFT JOIN end_o_orderstatus s ON s.at = l.k LEFT JOIN end_o_totalprice p ON p.at = l.k
+WHERE b.o_orderkey IS NOT NULL OR v.k IS NOT NULL""")
+def merge_moved_keys(spark, d):
+    """D6 with D7: moves of a row's key that don't send every column take the values
+    along, through chains of moves, back to a key it had, and onto deleted rows."""
+    return M.merge(orders_base(spark, d), feed_moves(spark, d), ORDERS_PK, COMPACTED_AT, partial=True)
+
+
 @query("merge_partial_images", f"""WITH base AS ({O.ORDERS_BASE}),
 ev AS (
   SELECT o_orderkey, __op, o_orderstatus, __epoch, __seq,

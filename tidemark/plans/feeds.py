@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.constants import DELETED_AT, EPOCH, LSN, OP, SEQ, UNCHANGED
+from tidemark.constants import DELETED_AT, EPOCH, LSN, MOVED_FROM, OP, SEQ, UNCHANGED
 from tidemark.functions.lsn import long_to_lsn
 
 # Fixed values of the fixtures.
@@ -98,6 +98,40 @@ def feed_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feed_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed A's events on four keys per user, between which purchases move rows.
+
+    The key is ``user_id * 110 + slot * 11`` with slot ``event_id // 10 % 4``.  A purchase
+    moves the row there from the slot before (event_id % 7 < 5) or after it, and is
+    ``D(old key)`` and ``U(new key)``; moves send the price where event_id % 4 = 0 and
+    the status where event_id is odd.  Other updates don't send the price where
+    event_id % 3 = 0.
+    """
+    ev = table(spark, sf_dir, "events")
+    n, family = F.col("event_id"), F.col("user_id") * 110
+    slot = F.floor(n / 10) % 4
+    old = F.when(n % 7 < 5, slot + 3).otherwise(slot + 1) % 4
+    move = F.col("event_type") == "purchase"
+    op = (F.when(F.col("event_type") == "error", "D").when(F.col("event_type") == "signup", "I").otherwise("U"))
+    epoch = (F.datediff(F.to_date("ts"), F.lit(EPOCH_ORIGIN)) + 1).cast("bigint")
+    unsent = F.when(move, F.concat(
+        F.when(n % 4 != 0, F.array(F.lit("o_totalprice"))).otherwise(F.array().cast("array<string>")),
+        F.when(n % 2 == 0, F.array(F.lit("o_orderstatus"))).otherwise(F.array().cast("array<string>")))) \
+        .when((op == "U") & (n % 3 == 0), F.array(F.lit("o_totalprice"))).otherwise(F.array().cast("array<string>"))
+    key, old_key = family + slot * 11, family + old * 11
+    ev = ev.select("event_type", "value", n.alias(SEQ), epoch.alias(EPOCH), unsent.alias(UNCHANGED),
+                   F.inline(F.when(move, F.array(
+                       F.struct(old_key.alias("o_orderkey"), F.lit("D").alias(OP), F.lit(None).cast("bigint").alias("old")),
+                       F.struct(key.alias("o_orderkey"), op.alias(OP), old_key.alias("old"))))
+                       .otherwise(F.array(F.struct(key.alias("o_orderkey"), op.alias(OP),
+                                                   F.lit(None).cast("bigint").alias("old"))))))
+
+    def sent(name: str, value: str):
+        return F.when((F.col(OP) != "D") & ~F.array_contains(UNCHANGED, name), F.col(value)).alias(name)
+    return ev.select("o_orderkey", OP, sent("o_orderstatus", "event_type"), sent("o_totalprice", "value"), SEQ, EPOCH,
+                     UNCHANGED, F.when(F.col("old").isNotNull(), F.struct(F.col("old").alias("o_orderkey"))).alias(MOVED_FROM))
+
+
 def lsn_number(event_id) -> F.Column:
     """Feed A log position: starts below 0x10/0 and crosses it at any scale."""
     return (F.lit(16 * 4294967296 - 536870912)

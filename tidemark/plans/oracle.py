@@ -99,6 +99,44 @@ def feed_a_where(cond: str) -> str:
     return f"SELECT * FROM ({FEED_A}) WHERE {cond}"
 
 
+# Feed with moves between four keys per user; ``old`` is the old key of a move's update.
+_SLOT = "((event_id // 10) % 4)"
+FEED_MOVES = f"""SELECT user_id * 110 + {_SLOT} * 11 AS o_orderkey, {_OP_A} AS __op, event_type AS o_orderstatus,
+       value AS o_totalprice, event_id AS __seq, {_EPOCH_A} AS __epoch,
+       CASE WHEN event_type = 'purchase'
+            THEN user_id * 110 + (CASE WHEN event_id % 7 < 5 THEN {_SLOT} + 3 ELSE {_SLOT} + 1 END % 4) * 11 END AS old,
+       CASE WHEN event_type = 'purchase' THEN event_id % 4 <> 0 ELSE {_OP_A} = 'U' AND event_id % 3 = 0 END AS no_price,
+       event_type = 'purchase' AND event_id % 2 = 0 AS no_status
+FROM events"""
+
+
+def lineage_ctes(column: str, missing: str) -> str:
+    """CTEs ending in ``end_<column>`` = (key, value, hit) of what each key's column last was: pointers of
+    moves that lack the column are followed one by one."""
+    c = column
+    return f"""def_{c} AS (
+  -- what sets the column under a key: a sent value, or a move that lacks it (ref)
+  SELECT o_orderkey AS k, __epoch, __seq, CASE WHEN NOT {missing} THEN {c} END AS v,
+         CASE WHEN {missing} THEN old END AS ref
+  FROM mv WHERE __op <> 'D' AND (NOT {missing} OR old IS NOT NULL)),
+ask_{c} AS (
+  SELECT k, v, ref, __epoch, __seq FROM (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY __epoch DESC, __seq DESC) AS rn FROM def_{c}) WHERE rn = 1),
+prev_{c} AS (
+  SELECT r.ref AS key, r.__epoch, r.__seq, d.k AS found, d.v, d.ref, d.__epoch AS e2, d.__seq AS s2
+  FROM def_{c} r LEFT JOIN def_{c} d ON d.k = r.ref AND (d.__epoch, d.__seq) < (r.__epoch, r.__seq)
+  WHERE r.ref IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY r.__epoch, r.__seq ORDER BY d.__epoch DESC, d.__seq DESC) = 1),
+walk_{c} AS (
+  SELECT k AS at, CAST(NULL AS BIGINT) AS base_key, v, ref IS NULL AS known, __epoch AS e, __seq AS s, 0 AS depth FROM ask_{c}
+  UNION ALL
+  SELECT w.at, CASE WHEN p.found IS NULL THEN p.key END, p.v, p.found IS NULL OR p.ref IS NULL, p.e2, p.s2, depth + 1
+  FROM walk_{c} w JOIN prev_{c} p ON p.__epoch = w.e AND p.__seq = w.s WHERE NOT w.known),
+end_{c} AS (
+  SELECT w.at, CASE WHEN w.base_key IS NOT NULL THEN b.{c} ELSE w.v END AS {c}, depth
+  FROM walk_{c} w LEFT JOIN base b ON b.o_orderkey = w.base_key WHERE w.known)"""
+
+
 def lsn_text(n: str) -> str:
     return f"format('{{:X}}/{{:X}}', ({n}) >> 32, ({n}) & 4294967295)"
 

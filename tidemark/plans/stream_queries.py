@@ -167,12 +167,15 @@ _PARTIAL_IMG = ",\n".join(
 
 
 @query("compact_partial_stream", f"""WITH f AS ({O.TEXT_FEED}),
-x AS (SELECT f.*, CAST(f.o_orderkey AS BIGINT) AS k0, e.event_type AS et FROM f JOIN events e ON e.event_id = f.seq),
-ev AS (
-  SELECT k0 AS k, op, seq, op = 'U' AND seq % 3 = 0 AS unsent, o_orderstatus,
-         CASE WHEN NOT (op = 'U' AND seq % 3 = 0) THEN TRY_CAST(o_totalprice AS DECIMAL(12,2)) END AS o_totalprice,
+x AS (SELECT f.*, CAST(f.o_orderkey AS BIGINT) AS k0, e.event_type = 'purchase' AND f.seq % 5 = 0 AS moved,
+             old.o_totalprice AS old_price
+      FROM f JOIN events e ON e.event_id = f.seq LEFT JOIN orders old ON old.o_orderkey = CAST(f.o_orderkey AS BIGINT) + 1),
+ev AS (  -- a moved row's price is that under its old key, which no other change touches
+  SELECT k0 AS k, op, seq, op = 'U' AND seq % 3 = 0 AND NOT moved AS unsent, o_orderstatus,
+         CASE WHEN NOT (op = 'U' AND seq % 3 = 0) THEN TRY_CAST(o_totalprice AS DECIMAL(12,2))
+              WHEN moved THEN CAST(old_price AS DECIMAL(12,2)) END AS o_totalprice,
          TRY_CAST(o_quantity AS INTEGER) AS o_quantity FROM x
-  UNION ALL SELECT k0 + 1, 'D', seq, FALSE, NULL, NULL, NULL FROM x WHERE et = 'purchase' AND seq % 5 = 0),
+  UNION ALL SELECT k0 + 1, 'D', seq, FALSE, NULL, NULL, NULL FROM x WHERE moved),
 l AS (SELECT k, op AS last_op FROM (
         SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq DESC) AS rn FROM ev) WHERE rn = 1),
 {_PARTIAL_IMG},
@@ -189,7 +192,7 @@ FROM (SELECT *, TRUE AS in_base FROM orders) b FULL OUTER JOIN z ON b.o_orderkey
 WHERE b.in_base OR coalesce(z.changed, FALSE)""")
 def compact_partial_stream(spark, d):
     """D6 D7 from end to end: updates that did not send the price and purchases that
-    moved their key go through the stream, the deltas and a compaction."""
+    moved their key (some both) go through the stream, the deltas and a compaction."""
     root = fresh_dir(spark, "compact_partial_stream")
     _init_manifest(spark, root)
     data = struct_for(ORDERS_TEXT_COLUMNS)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.constants import BASE_EPOCH, DELETED_AT, EPOCH, LSN, OP, SEQ, TS, UNCHANGED
+from tidemark.constants import BASE_EPOCH, DELETED_AT, EPOCH, LSN, MOVED_FROM, OP, SEQ, TS, UNCHANGED
 from tidemark.sources import fs
 
 
@@ -26,8 +26,9 @@ def table_root(root: str, table: str) -> str:
 
 
 def delta_schema(data: T.StructType, with_source_meta: bool = True,
-                 partial: bool = False) -> T.StructType:
-    """Schema of a table's deltas; ``partial``: with the columns not sent."""
+                 partial: bool = False, pk: list[str] | tuple[str, ...] = ()) -> T.StructType:
+    """Schema of a table's deltas; ``partial``: with the columns not sent and, given
+    the key columns, the old key of rows that moved."""
     fields = [T.StructField(OP, T.StringType(), False)]
     if with_source_meta:
         fields += [T.StructField(SEQ, T.LongType(), True),
@@ -35,6 +36,8 @@ def delta_schema(data: T.StructType, with_source_meta: bool = True,
                    T.StructField(TS, T.TimestampNTZType(), True)]
     if partial:
         fields.append(T.StructField(UNCHANGED, T.ArrayType(T.StringType()), True))
+        if pk:
+            fields.append(T.StructField(MOVED_FROM, T.StructType([f for f in data.fields if f.name in pk]), True))
     fields += [T.StructField(f.name, f.dataType, True) for f in data.fields]
     fields += [T.StructField(EPOCH, T.LongType(), False)]
     return T.StructType(fields)

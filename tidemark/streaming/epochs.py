@@ -175,7 +175,7 @@ class EpochWriter:
             at = F.lit(epoch).cast("bigint")
             # a change without its whole key, or its place in the order, can't be
             # merged: it is a reject, never a delta
-            typed = decode_events(rows, self.catalog[t], self.on_error).withColumn(EPOCH, at) \
+            typed = decode_events(rows, self.catalog[t], self.on_error, primary_key=keys).withColumn(EPOCH, at) \
                 .dropna(subset=[*keys, SEQ])
             seen = None
             if UNCHANGED in typed.columns:
