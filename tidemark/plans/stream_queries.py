@@ -12,7 +12,7 @@ from tidemark.plans import compaction
 from tidemark.plans.registry import query
 from tidemark.plans.storage_queries import SOURCE_ORDERS_COLUMNS
 from tidemark.session import fresh_dir
-from tidemark.sources import manifest, storage
+from tidemark.sources import manifest, positions, storage
 from tidemark.streaming.epochs import EpochWriter, change_stream, stream_to_epochs
 
 RESUME_SPLIT = 15
@@ -97,6 +97,45 @@ def stream_evolution(spark, d):
     return storage.read_deltas(spark, root, ORDERS_TABLE, storage.delta_schema(struct_for(cols)))
 
 
+# Deliveries of one log in overlapping cuts: the first day and the last day of each.
+DELIVERIES = ((1, 9), (6, 19), (1, 24), (1, 31))
+_FIRST_DELIVERY = "CASE " + " ".join(
+    f"WHEN {_DAY_SQL} BETWEEN {a} AND {b} THEN {i}" for i, (a, b) in enumerate(DELIVERIES, 1)) + " END"
+
+
+def _redelivered(spark, d, name):
+    """The feed delivered in overlapping cuts, every fifth event twice within the first."""
+    root = fresh_dir(spark, name)
+    _init_manifest(spark, root)
+    events = text_feed(spark, d)
+    for i, (a, b) in enumerate(DELIVERIES):
+        part = events.filter(_day().between(a, b))
+        if not i:
+            part = part.unionByName(part.where("seq % 5 = 0"))
+        part.write.mode("append").parquet(f"{root}/_landing")
+        _run(spark, root, f"{root}/_landing", f"{root}/_checkpoint")
+    return root
+
+
+@query("stream_redelivery", f"SELECT * FROM ({_decoded_sql(_FIRST_DELIVERY)}) WHERE __epoch IS NOT NULL")
+def stream_redelivery(spark, d):
+    """A log delivered again in other cuts gives each change once, in the
+    epoch that it first arrived in."""
+    root = _redelivered(spark, d, "stream_redelivery")
+    return storage.read_deltas(spark, root, ORDERS_TABLE, storage.delta_schema(struct_for(ORDERS_TEXT_COLUMNS)))
+
+
+@query("delivery_ledger", " UNION ALL ".join(
+    f"""SELECT CAST({i} AS BIGINT) AS epoch, '{ORDERS_TABLE}' AS "table", count(*) AS landed,
+       count(*) FILTER ({_FIRST_DELIVERY} = {i}) AS written, count(*) FILTER ({_FIRST_DELIVERY} < {i}) AS replayed,
+       CAST(0 AS BIGINT) AS in_snapshot, min(event_id) AS first_seq, max(event_id) AS last_seq
+FROM events WHERE {_DAY_SQL} BETWEEN {a} AND {b}""" for i, (a, b) in enumerate(DELIVERIES, 1)))
+def delivery_ledger(spark, d):
+    """Events landed, written and replayed per epoch of the same deliveries."""
+    return positions.delivery_ledger(spark, _redelivered(spark, d, "delivery_ledger")).select(
+        "epoch", "table", "landed", "written", "replayed", "in_snapshot", "first_seq", "last_seq")
+
+
 # The tables of the routed stream.
 STREAM_TABLES = ("public.orders", "public.page_views", "public.payments")
 _ROUTE_SQL = """CASE WHEN o_orderstatus IN ('view', 'click') THEN 'public.page_views'

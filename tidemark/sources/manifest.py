@@ -59,10 +59,12 @@ TABLE_ENTRY = T.StructType([
     T.StructField("base_epochs", T.ArrayType(T.LongType())),
     # TRUE once a delta held an update that did not send every column
     T.StructField("partial_images", T.BooleanType()),
+    # highest place in the source's order that a stream has landed
+    T.StructField("position", T.LongType()),
 ])
 
 #: Fields that only grow: of several writers the largest value counts.
-_GROWING = ("base_epoch", "latest_delta_epoch", "schema_version")
+_GROWING = ("base_epoch", "latest_delta_epoch", "schema_version", "position")
 #: Old headers that stay for readers that are about to open them.
 _HEADERS_KEPT = 16
 

@@ -15,6 +15,11 @@ and each table's deltas are then made from that table's own files.  So the work
 follows the events, however many tables a batch holds, nothing is kept in
 executors' memory, and a lost executor costs no second read of the source.
 
+Sources deliver at least once.  An event that has landed in an earlier batch is
+counted in the ledger and not written again, and one that comes twice within a
+batch is written once (``sources.positions``); so an old event that arrives again
+never wins over a newer one.
+
 Row images travel as ``map<string,string>``, so the stream schema never
 changes; columns added at the source appear as new map keys, are confirmed
 against the source catalog and appended to the table schema per batch.  Values
@@ -30,11 +35,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.constants import EPOCH, SEQ, UNCHANGED
+from tidemark.constants import EPOCH, SEQ
 from tidemark.operators.events import (EVENT_SCHEMA, decode_events, decode_rejects, order_rejects,
                                        split_key_changes, with_order)
 from tidemark.operators.schema import evolve, new_columns, unknown_columns, unknown_rejects
-from tidemark.sources import fs, manifest, storage
+from tidemark.sources import fs, manifest, positions, storage
 from tidemark.functions.types import category
 
 #: Tasks that one table's events of a batch are spread over at most.
@@ -158,51 +163,72 @@ class EpochWriter:
         """Write the deltas of every table in ``events``; what to publish of each."""
         spark = events.sparkSession
         # a table's folder is named by a digest: a name may be longer than a file's may be
-        (events.withColumn("__t", F.md5("table"))
-               .repartition(F.col("__t"), F.pmod(F.xxhash64("seq", "lsn"), F.lit(SPREAD)))
-               .write.mode("overwrite").partitionBy("__t").parquet(staging))
-        found = {x.split("=", 1)[1] for x in fs.list_dirs(spark, staging) if x.startswith("__t=")}
+        dealt = (events.withColumn("__t", F.md5("table")).withColumn(positions.EVENT_ID, positions.event_id())
+                       .withColumn("__spread", F.pmod(F.xxhash64("seq", "lsn"), F.lit(SPREAD)))
+                       .repartition("__t", "__spread")
+                       # the same event twice; without a place in the order each is a reject of its own
+                       .withColumn("__nth", F.when(F.col("seq").isNull(), F.monotonically_increasing_id()))
+                       .dropDuplicates(["__t", "__spread", "seq", positions.EVENT_ID, "__nth"])
+                       .drop("__spread", "__nth"))
+        dealt.write.mode("overwrite").partitionBy("__t").parquet(staging)
+        schema = dealt.drop("__t").schema
+        staged = spark.read.schema(dealt.schema).parquet(staging)
+        names = {md5(t.encode()).hexdigest(): t for t, c in self.catalog.items() if c}
         # tables that are not active, or have no schema to decode by, are skipped
-        todo = sorted(t for t, c in self.catalog.items() if c and md5(t.encode()).hexdigest() in found)
+        found = {names[r["__t"]]: r for r in staged.groupBy("__t").agg(
+            F.count(F.lit(1)).alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi")).collect() if r["__t"] in names}
+        todo = sorted(found)
+        if not todo:
+            return []
+        landed = {r["table"]: r["position"] for r in manifest.read_tables(spark, self.root)
+                  .where(F.md5("table").isin([r["__t"] for r in found.values()])).select("table", "position").collect()}
+        positions.write_positions(staged.where(F.col("__t").isin([r["__t"] for r in found.values()])), self.root, epoch)
 
         def write(t):
-            rows = spark.read.schema(events.schema).parquet(f"{staging}/__t={md5(t.encode()).hexdigest()}")
+            of = found[t]
+            rows = spark.read.schema(schema).parquet(f"{staging}/__t={of['__t']}")
+            kept = Observation(f"kept_{of['__t']}_{epoch}")
+            if landed.get(t) is not None and of["lo"] is not None and of["lo"] <= landed[t]:
+                rows = rows.join(positions.landed_before(spark, self.root, t, epoch, of["lo"], min(of["hi"], landed[t])),
+                                 ["seq", positions.EVENT_ID], "left_anti")
             evolved = self._evolve(rows, t)
             unconfirmed = unknown_rejects(rows, [c["name"] for c in self.catalog[t]])
             keys = self.primary_keys.get(t, [])
+            events_in = rows.observe(kept, F.count(F.lit(1)).alias("written"),
+                                     F.coalesce(F.count_if(F.size("unchanged") > 0), F.lit(0)).alias("partial")
+                                     if "unchanged" in rows.columns else F.lit(0).alias("partial"))
             if keys:
-                rows = split_key_changes(rows, keys)
+                rows, events_in = split_key_changes(rows, keys), split_key_changes(events_in, keys)
             at = F.lit(epoch).cast("bigint")
             # a change without its whole key, or its place in the order, can't be
             # merged: it is a reject, never a delta
-            typed = decode_events(rows, self.catalog[t], self.on_error, primary_key=keys).withColumn(EPOCH, at) \
+            typed = decode_events(events_in, self.catalog[t], self.on_error, primary_key=keys).withColumn(EPOCH, at) \
                 .dropna(subset=[*keys, SEQ])
-            seen = None
-            if UNCHANGED in typed.columns:
-                seen = Observation(f"partial_{md5(t.encode()).hexdigest()}_{epoch}")
-                typed = typed.observe(seen, F.count_if(F.size(UNCHANGED) > 0).alias("partial"))
             storage.write_delta(typed, self.root, t, single_epoch=True)
             if self.keep_rejects:
                 bad = decode_rejects(rows, self.catalog[t], keys).unionByName(order_rejects(rows)) \
                     .unionByName(unconfirmed)
                 storage.write_rejects(bad.withColumn(EPOCH, at), self.root, t)
-            partial = True if seen is not None and seen.get["partial"] else None
-            return (t, epoch, self.versions[t], evolved, partial)
+            n = kept.get
+            ledger = (t, of["n"], n["written"], of["n"] - n["written"], 0, of["lo"], of["hi"])
+            return (t, epoch, self.versions[t], evolved, True if n["partial"] else None, of["hi"]), ledger
         # one write job per table; up to ``parallelism`` run at once
         with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
-            return list(pool.map(write, todo))
+            done = list(pool.map(write, todo))
+        positions.write_ledger(spark, self.root, epoch, [ledger for _, ledger in done])
+        return [written for written, _ in done]
 
     def _publish(self, spark: SparkSession, written) -> None:
         rows = [(t, e, v, [{"name": c["name"], "pg_type": c["pg_type"],
                             "parquet_type": category(c["pg_type"]),
                             "nullable": c.get("nullable", True),
                             "precision": c.get("precision"), "scale": c.get("scale")}
-                           for c in self.catalog[t]], partial)
-                for t, e, v, _, partial in written]
+                           for c in self.catalog[t]], partial, hi)
+                for t, e, v, _, partial, hi in written]
         change = spark.createDataFrame(
             rows, "table string, latest_delta_epoch bigint, schema_version bigint, "
                   "columns array<struct<name:string,pg_type:string,parquet_type:string,"
-                  "nullable:boolean,precision:int,scale:int>>, partial_images boolean")
+                  "nullable:boolean,precision:int,scale:int>>, partial_images boolean, position bigint")
         manifest.update_tables(spark, self.root, change)
 
 
