@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.constants import DELTA_META, EPOCH, LSN, MOVED_FROM, OP, SEQ, TS, UNCHANGED
@@ -75,6 +75,19 @@ def split_key_changes(events: DataFrame, pk: list[str], old_row: str = "old_row"
                                           .otherwise(F.array(new))))
 
 
+def after_snapshot(chunks: list, key: Column, key_type, position: Column) -> Column:
+    """Is a change of ``key`` at ``position`` not in the snapshot yet?
+
+    A binary search over the ranges, as an expression.  A change without a key or
+    position passes (it becomes a reject)."""
+    def low(a: int, b: int) -> Column:
+        if b - a == 1:
+            return lsn_to_long(F.lit(chunks[a]["low"]))
+        mid = (a + b) // 2
+        return F.when(key < F.lit(chunks[mid]["from_key"]).cast(key_type), low(a, mid)).otherwise(low(mid, b))
+    return F.coalesce(position > low(0, len(chunks)), F.lit(True))
+
+
 def decode_rejects(events: DataFrame, columns: list[dict],
                    primary_key: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """(seq, table, column, raw) for every value that failed to parse, and for

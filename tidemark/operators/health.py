@@ -76,8 +76,8 @@ def table_ledger(events: DataFrame, table_col: str = "table", order=(EPOCH, SEQ)
     """Per table: last epoch, last position, change rows (upsert = arg-max).
 
     ``tables``, the manifest's entries, adds each one's schema version and the
-    position its snapshot was taken at (``init_lsn`` of the header); a table
-    without changes is there with 0 rows.
+    position that its snapshot has every change up to (the lowest of its ranges';
+    ``snapshot_lsn`` where the entries hold none); a table without changes is there with 0 rows.
     """
     o = F.struct(*order)
     seen = events.groupBy(table_col).agg(
@@ -86,8 +86,12 @@ def table_ledger(events: DataFrame, table_col: str = "table", order=(EPOCH, SEQ)
         F.count(F.lit(1)).alias("rows"))
     if tables is None:
         return seen
+    own = F.lit(None).cast("string")
+    if "snapshot" in tables.columns:
+        lows = F.filter("snapshot.low", lambda x: x.isNotNull())
+        own = F.array_min(F.transform(lows, lambda x: F.struct(lsn_to_long(x).alias("n"), x.alias("lsn"))))["lsn"]
     known = tables.select(F.col("table").alias(table_col), "schema_version",
-                          F.lit(snapshot_lsn).alias("snapshot_lsn"))
+                          F.coalesce(own, F.lit(snapshot_lsn)).alias("snapshot_lsn"))
     return known.join(seen, table_col, "left").fillna(0, ["rows"])
 
 

@@ -17,6 +17,7 @@ from tidemark.functions.names import truncate_version
 from tidemark.functions.types import category, parse_pg_type
 from tidemark.operators.acl import role_profiles
 from tidemark.operators.policy import resolve_policy
+from tidemark.plans.handover import snapshot_in_ranges
 from tidemark.sources import manifest, storage
 from tidemark.sources.snapshot import snapshot_scan
 
@@ -35,7 +36,7 @@ def init_tables(spark: SparkSession, root: str, sources: dict[str, dict],
                 policy: dict | None = None, buckets: int | None = None,
                 source_name: str = "source", bucket_dirs: int | None = None,
                 acl: dict | None = None, source_info: dict | None = None,
-                parallelism: int = 4) -> DataFrame:
+                parallelism: int = 4, position=None) -> DataFrame:
     """Snapshot the included tables; returns the published manifest entries.
 
     ``sources``: qualified table -> {"columns": [...], "primary_key": [...],
@@ -43,6 +44,10 @@ def init_tables(spark: SparkSession, root: str, sources: dict[str, dict],
     primary key are excluded (reason ``no primary key``).  Layout: plain,
     Spark-bucketed (``buckets``) or bucket directories (``bucket_dirs``).
 
+    ``position()``, the source's current log position, makes the entries say which changes
+    their snapshot holds (``plans.handover``): of each table as a whole, or, where a source
+    has ``"ranges"`` (ascending first-key values that cut the table), range by range.
+
     ``parallelism`` tables are loaded at once.  ``source_info`` goes into the
     header's source: ``server_version`` (cut before its build remark),
     ``init_lsn`` and ``init_time`` of the snapshot.
@@ -65,8 +70,14 @@ def init_tables(spark: SparkSession, root: str, sources: dict[str, dict],
         included, reason = r["included"], r["reason"]
         if included and not pk:
             included, reason = False, "no primary key"
-        count, vec = None, None
-        if included:
+        count, vec, chunks = None, None, None
+        if included and position and src.get("ranges"):
+            if buckets or bucket_dirs:
+                raise ValueError("a snapshot in ranges has the plain layout")
+            count, chunks = snapshot_in_ranges(spark, root, t, src["columns"], pk, src["ranges"], position,
+                                               src.get("read"), src.get("path"), src.get("jdbc"))
+        elif included:
+            low = position() if position else (source_info or {}).get("init_lsn")
             df = snapshot_scan(spark, src["columns"], path=src.get("path"), jdbc=src.get("jdbc"))
             df = df.withColumn("__deleted_at", F.lit(None).cast("timestamp_ntz"))
             if bucket_dirs:
@@ -75,10 +86,12 @@ def init_tables(spark: SparkSession, root: str, sources: dict[str, dict],
                 vec = [0 if b in written else None for b in range(bucket_dirs)]
             else:
                 count = storage.write_base(df, root, t, 0, buckets=buckets, pk=pk)
+            if low:
+                chunks = [{"from_key": None, "low": low, "high": position() if position else low}]
         return (t, "active" if included else "excluded", list(r["tags"] or []), pk, 1,
                 _entry_columns(src["columns"]), 0 if included else None,
                 0 if included else None, count, storage.table_root(root, t),
-                reason, buckets if included and not bucket_dirs else None, vec)
+                reason, buckets if included and not bucket_dirs else None, vec, None, None, None, chunks)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         rows = list(pool.map(load, sorted(sources)))
     entries = manifest.entries(spark, rows)

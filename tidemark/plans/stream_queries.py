@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.constants import EPOCH
+from tidemark.functions.lsn import long_to_lsn
 from tidemark.functions.types import category, struct_for
+from tidemark.operators.events import decode_events
+from tidemark.operators.health import table_ledger
+from tidemark.operators.merge import live, merge
 from tidemark.plans import oracle as O
 from tidemark.plans.feeds import (COMPACTED_AT, EPOCH_ORIGIN, NOTE_FROM_EPOCH, ORDERS_PK, ORDERS_TABLE,
-                                  ORDERS_TEXT_COLUMNS, orders_base, text_feed)
-from tidemark.plans import compaction
+                                  ORDERS_TEXT_COLUMNS, lsn_number, orders_base, text_feed)
+from tidemark.plans import compaction, consumer
 from tidemark.plans.registry import query
+from tidemark.plans.snapshot_init import init_tables
 from tidemark.plans.storage_queries import SOURCE_ORDERS_COLUMNS
 from tidemark.session import fresh_dir
 from tidemark.sources import manifest, positions, storage
@@ -136,6 +142,72 @@ def delivery_ledger(spark, d):
         "epoch", "table", "landed", "written", "replayed", "in_snapshot", "first_seq", "last_seq")
 
 
+# Ranges of the snapshot taken while the feed runs: each begins at a quarter of the keys, is read
+# at (i + 1) / 6 of the events and has its positions taken a fortieth before and after.
+RANGES = 4
+_MARKS = ("(SELECT max(o_orderkey) + 1 AS keys FROM orders)", "(SELECT max(event_id) + 1 AS n FROM events)")
+_LOW = f"((least(k * {RANGES} // keys, {RANGES - 1}) + 1) * n // 6 - n // 40)"
+
+
+def _snapshot_while_streaming(spark, d, name):
+    """Snapshot of orders in key ranges, at moving positions; then the stream from the first event."""
+    root = fresh_dir(spark, name)
+    events = text_feed(spark, d)
+    keys, n = (x.collect()[0][0] + 1 for x in (orders_base(spark, d).agg(F.max("o_orderkey")), events.agg(F.max("seq"))))
+    data = storage.base_schema(struct_for(ORDERS_TEXT_COLUMNS))
+    base = orders_base(spark, d)
+    base = base.select(*[(F.col(f.name) if f.name in base.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                         for f in data.fields])
+    reads = [(i + 1) * n // 6 for i in range(RANGES)]
+    clock = iter([seq for at in reads for seq in (at - n // 40, at + n // 40)])
+    now = iter(reads)
+
+    def read(lo, hi):
+        """What the source holds at the time: the table with all changes so far."""
+        changes = decode_events(events.where(F.col("seq") <= next(now)), ORDERS_TEXT_COLUMNS).withColumn(EPOCH, F.lit(1).cast("bigint"))
+        state = live(merge(base, changes, ORDERS_PK, COMPACTED_AT)).drop("__deleted_at")
+        return state.where((F.col("o_orderkey") >= (lo or 0)) & (F.col("o_orderkey") < hi if hi else F.lit(True)))
+
+    def position():
+        seq = next(clock)
+        return spark.range(1).select(long_to_lsn(lsn_number(F.lit(seq)))).first()[0]
+    init_tables(spark, root, {ORDERS_TABLE: {
+        "columns": ORDERS_TEXT_COLUMNS, "primary_key": ORDERS_PK, "read": read,
+        "ranges": [i * keys // RANGES for i in range(1, RANGES)]}}, position=position, parallelism=1)
+    _stream_all(spark, root, events)
+    return root
+
+
+@query("snapshot_handover", f"""WITH base AS (
+  SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, CAST(NULL AS INTEGER) AS o_quantity,
+         CAST(NULL AS TIMESTAMP) AS __deleted_at FROM orders),
+feed AS (SELECT * FROM ({_decoded_sql("1")})),
+{O.merge_ctes("m", "base", "feed", data=["o_orderstatus", "o_totalprice", "o_quantity"])}
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_quantity FROM m WHERE __deleted_at IS NULL""")
+def snapshot_handover(spark, d):
+    """A snapshot in four key ranges, read at different positions while changes
+    run, and the stream from before the first, give the source's end state."""
+    root = _snapshot_while_streaming(spark, d, "snapshot_handover")
+    return live(consumer.as_of(spark, root, ORDERS_TABLE, 1, COMPACTED_AT)).select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", "o_quantity")
+
+
+@query("snapshot_ledger", f"""WITH f AS (
+  SELECT event_id, {O._KEY_A} AS k, {O.lsn_text(O.LSN_N)} AS lsn FROM events),
+x AS (SELECT f.*, event_id <= {_LOW} AS held FROM f, {_MARKS[0]}, {_MARKS[1]}),
+s AS (SELECT {O.lsn_text(O.LSN_N)} AS lsn FROM (SELECT n // 6 - n // 40 AS event_id FROM {_MARKS[1]}))
+SELECT '{ORDERS_TABLE}' AS "table", s.lsn AS snapshot_lsn, max(x.event_id) AS last_seq, count(*) AS landed,
+       count(*) FILTER (NOT held) AS written, count(*) FILTER (held) AS in_snapshot,
+       arg_max(x.lsn, x.event_id) FILTER (NOT held) AS last_lsn FROM x, s GROUP BY s.lsn""")
+def snapshot_ledger(spark, d):
+    """The snapshot's stored position, and how many changes it held already."""
+    root = _snapshot_while_streaming(spark, d, "snapshot_ledger")
+    deltas = storage.read_deltas(spark, root, ORDERS_TABLE, storage.delta_schema(struct_for(ORDERS_TEXT_COLUMNS)))
+    ledger = table_ledger(deltas.withColumn("table", F.lit(ORDERS_TABLE)), tables=manifest.read_tables(spark, root))
+    return ledger.join(positions.delivery_ledger(spark, root), "table").select(
+        "table", "snapshot_lsn", "last_seq", "landed", "written", "in_snapshot", "last_lsn")
+
+
 # The tables of the routed stream.
 STREAM_TABLES = ("public.orders", "public.page_views", "public.payments")
 _ROUTE_SQL = """CASE WHEN o_orderstatus IN ('view', 'click') THEN 'public.page_views'

@@ -39,6 +39,12 @@ COLUMN = T.StructType([
     T.StructField("parquet_type", T.StringType()), T.StructField("nullable", T.BooleanType()),
     T.StructField("precision", T.IntegerType()), T.StructField("scale", T.IntegerType())])
 
+#: A key range of the first snapshot: where it begins (text of the first key column, NULL: at
+#: the start), and the log positions from before and after it was read.
+SNAPSHOT_CHUNK = T.StructType([
+    T.StructField("from_key", T.StringType()), T.StructField("low", T.StringType()),
+    T.StructField("high", T.StringType())])
+
 TABLE_ENTRY = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("status", T.StringType()),
@@ -61,6 +67,8 @@ TABLE_ENTRY = T.StructType([
     T.StructField("partial_images", T.BooleanType()),
     # highest place in the source's order that a stream has landed
     T.StructField("position", T.LongType()),
+    # key ranges of the snapshot, in key order
+    T.StructField("snapshot", T.ArrayType(SNAPSHOT_CHUNK)),
 ])
 
 #: Fields that only grow: of several writers the largest value counts.

@@ -72,6 +72,7 @@ def write_ledger(spark: SparkSession, root: str, epoch: int, rows: list[tuple])
 
 def delivery_ledger(spark: SparkSession, root: str) -> DataFrame:
     """Per epoch and table: events ``landed`` (each counted once a batch), those
-    ``written`` as deltas or rejects, those ``replayed`` (landed in an earlier epoch), those
-    that the table's snapshot holds already, and the range of places."""
+    ``written`` as deltas or rejects, those ``replayed`` (landed in an earlier epoch), the
+    changes that the table's snapshot holds already (a move of a key is two), and the
+    range of places."""
     return _read(spark, _path(root, "_ledger"), _LEDGER).withColumnRenamed(EPOCH, "epoch")

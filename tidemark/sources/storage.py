@@ -143,6 +143,15 @@ def write_base(df: DataFrame, root: str, table: str, epoch: int,
     return int(obs.get["rows"])
 
 
+def write_base_chunk(df: DataFrame, root: str, table: str, epoch: int, chunk: int) -> int:
+    """Write one key range of a base into a folder of its own; its row count.  A retry
+    replaces just that range."""
+    obs = Observation(f"chunk_{re.sub(r'[^0-9A-Za-z_]', '_', table)}_{epoch}_{chunk}")
+    (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+       .parquet(f"{table_root(root, table)}/base/{BASE_EPOCH}={epoch}/__chunk={chunk}"))
+    return int(obs.get["rows"])
+
+
 def base_epochs(spark: SparkSession, root: str, table: str) -> list[int]:
     out = []
     for name in fs.list_dirs(spark, f"{table_root(root, table)}/base"):
@@ -170,7 +179,8 @@ def read_base(spark: SparkSession, root: str, table: str, schema: T.StructType,
     e = eps[-1]
     path = f"{table_root(root, table)}/base/{BASE_EPOCH}={e}"
     if not buckets:
-        return spark.read.schema(schema).parquet(path), e
+        # a snapshot taken in key ranges has a folder for each
+        return spark.read.schema(schema).parquet(path).select(*schema.names), e
     name = bucket_table_name(root, table, e)
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     keys = ", ".join(f"`{k}`" for k in pk)

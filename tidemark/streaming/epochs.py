@@ -36,11 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.constants import EPOCH, SEQ
-from tidemark.operators.events import (EVENT_SCHEMA, decode_events, decode_rejects, order_rejects,
+from tidemark.operators.events import (EVENT_SCHEMA, after_snapshot, decode_events, decode_rejects, order_rejects,
                                        split_key_changes, with_order)
 from tidemark.operators.schema import evolve, new_columns, unknown_columns, unknown_rejects
 from tidemark.sources import fs, manifest, positions, storage
-from tidemark.functions.types import category
+from tidemark.functions.lsn import lsn_to_long
+from tidemark.functions.types import category, coerce, spark_type
 
 #: Tasks that one table's events of a batch are spread over at most.
 SPREAD = 64
@@ -180,44 +181,58 @@ class EpochWriter:
         todo = sorted(found)
         if not todo:
             return []
-        landed = {r["table"]: r["position"] for r in manifest.read_tables(spark, self.root)
-                  .where(F.md5("table").isin([r["__t"] for r in found.values()])).select("table", "position").collect()}
-        positions.write_positions(staged.where(F.col("__t").isin([r["__t"] for r in found.values()])), self.root, epoch)
-
-        def write(t):
-            of = found[t]
-            rows = spark.read.schema(schema).parquet(f"{staging}/__t={of['__t']}")
-            kept = Observation(f"kept_{of['__t']}_{epoch}")
-            if landed.get(t) is not None and of["lo"] is not None and of["lo"] <= landed[t]:
-                rows = rows.join(positions.landed_before(spark, self.root, t, epoch, of["lo"], min(of["hi"], landed[t])),
-                                 ["seq", positions.EVENT_ID], "left_anti")
-            evolved = self._evolve(rows, t)
-            unconfirmed = unknown_rejects(rows, [c["name"] for c in self.catalog[t]])
-            keys = self.primary_keys.get(t, [])
-            events_in = rows.observe(kept, F.count(F.lit(1)).alias("written"),
-                                     F.coalesce(F.count_if(F.size("unchanged") > 0), F.lit(0)).alias("partial")
-                                     if "unchanged" in rows.columns else F.lit(0).alias("partial"))
-            if keys:
-                rows, events_in = split_key_changes(rows, keys), split_key_changes(events_in, keys)
-            at = F.lit(epoch).cast("bigint")
-            # a change without its whole key, or its place in the order, can't be
-            # merged: it is a reject, never a delta
-            typed = decode_events(events_in, self.catalog[t], self.on_error, primary_key=keys).withColumn(EPOCH, at) \
-                .dropna(subset=[*keys, SEQ])
-            storage.write_delta(typed, self.root, t, single_epoch=True)
-            if self.keep_rejects:
-                bad = decode_rejects(rows, self.catalog[t], keys).unionByName(order_rejects(rows)) \
-                    .unionByName(unconfirmed)
-                storage.write_rejects(bad.withColumn(EPOCH, at), self.root, t)
-            n = kept.get
-            ledger = (t, of["n"], n["written"], of["n"] - n["written"], 0, of["lo"], of["hi"])
-            return (t, epoch, self.versions[t], evolved, True if n["partial"] else None, of["hi"]), ledger
-        # one write job per table; up to ``parallelism`` run at once
-        with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
-            done = list(pool.map(write, todo))
+        batch = F.col("__t").isin([r["__t"] for r in found.values()])
+        known = {r["table"]: r for r in manifest.read_tables(spark, self.root)
+                 .where(F.md5("table").isin([r["__t"] for r in found.values()]))
+                 .select("table", "position", "snapshot").collect()}
+        # one write job per table, its rejects beside it; up to ``parallelism`` tables at once
+        with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool, \
+                ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as beside:
+            remembered = beside.submit(positions.write_positions, staged.where(batch), self.root, epoch)
+            done = list(pool.map(lambda t: self._write_table(
+                spark.read.schema(schema).parquet(f"{staging}/__t={found[t]['__t']}"), t, epoch,
+                found[t], known.get(t), beside), todo))
+            remembered.result()
         positions.write_ledger(spark, self.root, epoch, [ledger for _, ledger in done])
         return [written for written, _ in done]
 
+    def _write_table(self, rows: DataFrame, t: str, epoch: int, of, known, beside: ThreadPoolExecutor):
+        """Write one table's deltas and rejects; what to publish of it, and its row of the ledger."""
+        spark, tag = rows.sparkSession, f"{of['__t']}_{epoch}"
+        if known and known["position"] is not None and of["lo"] is not None and of["lo"] <= known["position"]:
+            rows = rows.join(positions.landed_before(spark, self.root, t, epoch, of["lo"], min(of["hi"], known["position"])),
+                             ["seq", positions.EVENT_ID], "left_anti")
+        evolved = self._evolve(rows, t)
+        columns, keys, at = self.catalog[t], self.primary_keys.get(t, []), F.lit(epoch).cast("bigint")
+        unconfirmed = unknown_rejects(rows, [c["name"] for c in columns])
+        new, kept = Observation(f"new_{tag}"), Observation(f"kept_{tag}")
+        changes = rows.observe(new, F.count(F.lit(1)).alias("n"))
+        if keys:
+            rows, changes = split_key_changes(rows, keys), split_key_changes(changes, keys)
+        due = F.lit(True)
+        if keys and known and known["snapshot"]:
+            first = next(c for c in columns if c["name"] == keys[0])
+            due = after_snapshot(known["snapshot"], coerce(F.element_at("row", keys[0]), first["pg_type"]),
+                                 spark_type(first["pg_type"]), F.coalesce(lsn_to_long(F.col("lsn")), "seq"))
+        partial = F.count_if(F.size("unchanged") > 0) if "unchanged" in rows.columns else F.lit(0)
+        changes = changes.withColumn("__due", due).observe(
+            kept, F.count_if(~F.col("__due")).alias("in_snapshot"), partial.alias("partial")).where("__due").drop("__due")
+        # a change without its whole key, or its place in the order, can't be
+        # merged: it is a reject, never a delta
+        typed = decode_events(changes, columns, self.on_error, primary_key=keys).withColumn(EPOCH, at) \
+            .dropna(subset=[*keys, SEQ])
+        rejected = None
+        if self.keep_rejects:
+            rows = rows.where(due)
+            bad = decode_rejects(rows, columns, keys).unionByName(order_rejects(rows)).unionByName(unconfirmed)
+            rejected = beside.submit(storage.write_rejects, bad.withColumn(EPOCH, at), self.root, t)
+        storage.write_delta(typed, self.root, t, single_epoch=True)
+        if rejected:
+            rejected.result()
+        n, in_snapshot = new.get["n"], kept.get["in_snapshot"] or 0
+        ledger = (t, of["n"], n - in_snapshot, of["n"] - n, in_snapshot, of["lo"], of["hi"])
+        return (t, epoch, self.versions[t], evolved, True if kept.get["partial"] else None, of["hi"]), ledger
+
     def _publish(self, spark: SparkSession, written) -> None:
         rows = [(t, e, v, [{"name": c["name"], "pg_type": c["pg_type"],
                             "parquet_type": category(c["pg_type"]),
