@@ -11,8 +11,9 @@ from tidemark.operators.merge import live
 from tidemark.plans import compaction, consumer, handover
 from tidemark.plans.snapshot_init import init_tables
 from tidemark.session import fresh_dir
-from tidemark.sources import manifest, positions, storage
+from tidemark.sources import log, manifest, positions, storage
 from tidemark.streaming.epochs import EpochWriter, change_stream, stream_to_epochs
+from tidemark.streaming.published import drain_changes
 
 STAMP = "2024-02-01 00:00:00"
 COLUMNS = [{"name": "id", "pg_type": "bigint", "nullable": False}, {"name": "v", "pg_type": "text", "nullable": True}]
@@ -145,3 +146,92 @@ def test_a_whole_snapshot_has_one_range(spark):
     deliver(spark, root, [event(49, "U", 1, "old"), event(50, "D", 1), event(55, "U", 1, "newer")])
     assert state(spark, root) == {1: "newer"} and ledger(spark, root)[1, "t"][3] == 2
     assert datetime(2024, 1, 1).isoformat(sep=" ") == handover.key_text(datetime(2024, 1, 1))
+
+
+def test_a_consumer_passed_by_a_compaction_has_to_resync(spark):
+    root, got = loaded(spark, "consumer"), []
+
+    def take(changes, number):
+        got.append(sorted((r["__epoch"], r["__op"], r["id"]) for r in changes.collect()))
+
+    def drain(checkpoint="c", **kw):
+        drain_changes(spark, root, "t", take, f"{root}/_{checkpoint}", **kw)
+    drain()
+    assert not got
+    deliver(spark, root, [event(10, "U", 1, "a")])
+    drain()
+    drain()
+    assert got == [[(1, "U", 1)]]
+    deliver(spark, root, [event(20, "U", 1, "b"), event(21, "I", 2, "c")])
+    compaction.compact_table(spark, root, "t", STAMP)
+    deliver(spark, root, [event(30, "D", 2)])
+    with pytest.raises(consumer.ResyncRequired):
+        drain()
+    # it takes the state and goes on after its epoch
+    assert state(spark, root) == {1: "b"}
+    drain("c2", after=2)
+    assert got[1:] == [[(3, "D", 2)]]
+
+
+def test_an_open_epoch_holds_later_ones_back(spark):
+    root = loaded(spark, "frontier")
+    deliver(spark, root, [event(10, "U", 1, "a")])
+    assert manifest.read_header(spark, root)["published_epoch"] == 1
+    slow = manifest.allocate_epoch(spark, root, "slow", 0)
+    deliver(spark, root, [event(20, "U", 1, "b")], stream="fast")
+    assert slow == 2 and manifest.read_header(spark, root)["published_epoch"] == 1
+    got = []
+    drain_changes(spark, root, "t", lambda df, i: got.append([r["v"] for r in df.collect()]), f"{root}/_c")
+    assert got == [["a"]]
+    manifest.finish_epoch(spark, root, "slow", slow)
+    drain_changes(spark, root, "t", lambda df, i: got.append([r["v"] for r in df.collect()]), f"{root}/_c")
+    assert got == [["a"], ["b"]]
+
+
+def segments(spark, root, parts, rows=5):
+    for i, seqs in enumerate(parts):
+        spark.createDataFrame([event(s, "I", s, "v") for s in seqs], EVENT_SCHEMA).coalesce(1) \
+            .write.option("parquet.block.row.count.limit", rows).parquet(f"{root}/_log/{i:03}")
+
+
+def test_log_batches_end_at_the_cap_or_the_interval(spark, monkeypatch):
+    root = fresh_dir(spark, "log")
+    segments(spark, root, [range(10), [10, 11, 11, 11, 12], [14, 13, 15], range(20, 40)])
+    now = [0.0]
+    monkeypatch.setattr(log.time, "monotonic", lambda: now[0])
+    r = log.LogReader({"path": f"{root}/_log", "rows": "6", "interval": "10", "start": "3"})
+    assert r.initialOffset() == {"position": 3}
+    ends = [r.latestOffset()["position"] for _ in range(7)]
+    # events that share the last place come along; the tail waits
+    assert ends == [9, 13, 23, 29, 35, 35, 35]
+    tail = log.LogReader({"path": f"{root}/_log", "rows": "1000", "interval": "10"})
+    assert tail.latestOffset()["position"] == -1
+    now[0] = 9.0
+    assert tail.latestOffset()["position"] == -1
+    now[0] = 10.0
+    assert tail.latestOffset()["position"] == 39
+    got = [x for p in tail.partitions({"position": 9}, {"position": 21}) for b in tail.read(p) for x in b.column("seq").to_pylist()]
+    assert sorted(got) == [10, 11, 11, 11, 12, 13, 14, 15, 20, 21]
+    with pytest.raises(RuntimeError):
+        tail.partitions({"position": 9}, {"position": 8})
+    assert log.LogReader({"path": f"{root}/_nothing"}).latestOffset() == {"position": -1}
+
+
+def test_log_goes_on_within_a_segment(spark):
+    root = loaded(spark, "log stream")
+    segments(spark, root, [range(100, 130), range(130, 135)], rows=8)
+    ckpt = f"{root}/_checkpoint"
+
+    def run(**kw):
+        source = log.log_stream(spark, f"{root}/_log", ckpt, rows=12, interval=0, **kw)
+        stream_to_epochs(source, EpochWriter.from_manifest(spark, root, checkpoint=ckpt), ckpt).awaitTermination()
+    run(start=109)
+    assert log.last_position(spark, ckpt) == 121
+    run()
+    segments_before = log.last_position(spark, ckpt)
+    run()
+    run()
+    assert segments_before == 133 and log.last_position(spark, ckpt) == 134
+    assert {(r["epoch"], r["landed"], r["first_seq"], r["last_seq"]) for r in positions.delivery_ledger(spark, root).collect()} == {
+        (1, 12, 110, 121), (2, 12, 122, 133), (3, 1, 134, 134)}
+    assert state(spark, root) == {1: "x"} | {s: "v" for s in range(110, 135)}

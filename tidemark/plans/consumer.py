@@ -71,8 +71,8 @@ def as_of(spark: SparkSession, root: str, table: str, epoch: int, stamp,
 
 
 def changes_since(spark: SparkSession, root: str, table: str, epoch: int | None,
-                  net: bool = False) -> DataFrame:
-    """Changes of a table after a consumer's watermark, from storage.
+                  net: bool = False, upto: int | None = None) -> DataFrame:
+    """Changes of a table after a consumer's watermark (and up to epoch ``upto``), from storage.
 
     ``net``: one row per key, its last op and image, instead of every change.  Where
     the table has updates that did not send every column, the changes name those in
@@ -91,7 +91,8 @@ def changes_since(spark: SparkSession, root: str, table: str, epoch: int | None,
     names = [c["name"] for c in e["columns"] if c["name"] not in pk]
     # what a moved row left unsent may be in changes that the consumer has already, or in the base
     deltas = storage.read_deltas(spark, root, table, storage.delta_schema(data, partial=partial, pk=pk),
-                                 after=base if partial else epoch, upto=int(e.get("latest_delta_epoch") or 0))
+                                 after=base if partial else epoch,
+                                 upto=min(int(e.get("latest_delta_epoch") or 0), upto if upto is not None else 1 << 62))
     if partial:
         deltas = resolve_moves(_published_base(spark, root, table, e, data), deltas, pk, names) \
             .where(F.col(EPOCH) > epoch)

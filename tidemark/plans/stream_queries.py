@@ -19,7 +19,9 @@ from tidemark.plans.snapshot_init import init_tables
 from tidemark.plans.storage_queries import SOURCE_ORDERS_COLUMNS
 from tidemark.session import fresh_dir
 from tidemark.sources import manifest, positions, storage
+from tidemark.sources.log import log_stream
 from tidemark.streaming.epochs import EpochWriter, change_stream, stream_to_epochs
+from tidemark.streaming.published import drain_changes
 
 RESUME_SPLIT = 15
 
@@ -208,6 +210,62 @@ def snapshot_ledger(spark, d):
         "table", "snapshot_lsn", "last_seq", "landed", "written", "in_snapshot", "last_lsn")
 
 
+@query("stream_consumer", _decoded_sql(f"CASE WHEN {_DAY_SQL} < 10 THEN 1 WHEN {_DAY_SQL} < 20 THEN 2 ELSE 3 END"))
+def stream_consumer(spark, d):
+    """A consumer's stream of published epochs, drained before and after a
+    compaction, delivers each change once."""
+    root = fresh_dir(spark, "stream_consumer")
+    _init_manifest(spark, root)
+    events = text_feed(spark, d)
+
+    def land(part):
+        part.write.mode("append").parquet(f"{root}/_landing")
+        _run(spark, root, f"{root}/_landing", f"{root}/_checkpoint")
+
+    def take(changes, number):
+        changes.write.mode("overwrite").parquet(f"{root}/_taken/batch={number}")
+
+    def drain():
+        drain_changes(spark, root, ORDERS_TABLE, take, f"{root}/_consumer")
+    land(events.filter(_day() < 10))
+    land(events.filter(_day().between(10, 19)))
+    drain()
+    compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    land(events.filter(_day() >= 20))
+    drain()
+    return spark.read.parquet(f"{root}/_taken").drop("batch", "__unchanged", "__moved_from")
+
+
+_CAP = "greatest(1000, n // 8)"
+_COUNT = "(SELECT max(event_id) + 1 AS n FROM events)"
+
+
+@query("stream_row_cap", f"""SELECT CAST((event_id - n // 5 - 1) // {_CAP} + 1 AS BIGINT) AS epoch, count(*) AS events,
+       min(event_id) AS first_seq, max(event_id) AS last_seq
+FROM events, {_COUNT} WHERE event_id > n // 5 GROUP BY ALL""")
+def stream_row_cap(spark, d):
+    """A log read by position: from a given place on, at most so many events an
+    epoch, going on in the middle of a segment after each of two restarts."""
+    root = fresh_dir(spark, "stream_row_cap")
+    _init_manifest(spark, root)
+    log, ckpt = f"{root}/_log", f"{root}/_checkpoint"
+    events = text_feed(spark, d)
+    n = events.agg(F.max("seq")).collect()[0][0] + 1
+    events.repartitionByRange(7, "seq").sortWithinPartitions("seq").write.parquet(log)
+    for run in range(3):
+        writer = EpochWriter.from_manifest(spark, root, checkpoint=ckpt)
+        source = log_stream(spark, log, ckpt, rows=max(1000, n // 8), interval=0, start=n // 5)
+        if run < 2:    # one batch, then the stream ends
+            stream_to_epochs(source, writer, ckpt).awaitTermination()
+        else:
+            q = stream_to_epochs(source, writer, ckpt, {"processingTime": "0 seconds"})
+            q.processAllAvailable()
+            q.stop()
+    schema = storage.delta_schema(struct_for(ORDERS_TEXT_COLUMNS))
+    return storage.read_deltas(spark, root, ORDERS_TABLE, schema).groupBy(F.col(EPOCH).alias("epoch")).agg(
+        F.count(F.lit(1)).alias("events"), F.min("__seq").alias("first_seq"), F.max("__seq").alias("last_seq"))
+
+
 # The tables of the routed stream.
 STREAM_TABLES = ("public.orders", "public.page_views", "public.payments")
 _ROUTE_SQL = """CASE WHEN o_orderstatus IN ('view', 'click') THEN 'public.page_views'

@@ -139,6 +139,27 @@ def allocate_epoch(spark: SparkSession, root: str, stream: str, batch_id: int) -
         return epoch
 
 
+def finish_epoch(spark: SparkSession, root: str, stream: str | None, epoch: int) -> None:
+    """A batch without anything to publish is over."""
+    with publish_lock(spark, root):
+        header = read_header(spark, root)
+        _finish(header, stream, epoch)
+        header.pop("updated_at", None)
+        write_header(spark, root, header)
+
+
+def _finish(header: dict, stream: str | None, epoch: int) -> None:
+    """``published_epoch``: up to it no stream has an epoch open."""
+    streams = {k: dict(v) for k, v in (header.get("streams") or {}).items()}
+    if stream in streams and int(streams[stream]["epoch"]) == epoch:
+        streams[stream]["published"] = epoch
+    header["streams"] = streams
+    newest = max([epoch, int(header.get("newest_epoch") or 0)])
+    begun = [int(v["epoch"]) for v in streams.values() if v.get("published") != v["epoch"]]
+    header["newest_epoch"] = newest
+    header["published_epoch"] = min([newest, *(e - 1 for e in begun)])
+
+
 LOG_FOLD = 64
 _LSEQ = "__lseq"
 
@@ -263,7 +284,7 @@ def publish(spark: SparkSession, root: str, tables: DataFrame, _locked: bool = F
 
 
 def update_tables(spark: SparkSession, root: str, changes: DataFrame,
-                  **header_updates) -> int:
+                  finished: tuple[str | None, int] | None = None, **header_updates) -> int:
     """Set fields of the tables named in ``changes``, known or new, and publish.
 
     ``changes`` holds the table name plus the fields to set; other fields
@@ -271,8 +292,13 @@ def update_tables(spark: SparkSession, root: str, changes: DataFrame,
     are appended as a log segment: the cost follows the changed tables, not
     the catalog.  Read, append and header swap happen under one
     ``publish_lock``, so concurrent writers never lose each other's updates.
+    ``finished``: the stream and epoch that this completes.
     """
     with publish_lock(spark, root):
+        if finished:
+            header = read_header(spark, root)
+            _finish(header, *finished)
+            header_updates |= {k: header[k] for k in ("streams", "newest_epoch", "published_epoch")}
         return _update_once(spark, root, changes, **header_updates)
 
 

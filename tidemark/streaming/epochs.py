@@ -156,7 +156,9 @@ class EpochWriter:
         try:
             written = self._write(with_order(batch), epoch, staging)
             if written:
-                self._publish(spark, written)
+                self._publish(spark, written, epoch)
+            else:
+                manifest.finish_epoch(spark, self.root, self.stream, epoch)
         finally:
             fs.delete(spark, staging)
 
@@ -233,7 +235,7 @@ class EpochWriter:
         ledger = (t, of["n"], n - in_snapshot, of["n"] - n, in_snapshot, of["lo"], of["hi"])
         return (t, epoch, self.versions[t], evolved, True if kept.get["partial"] else None, of["hi"]), ledger
 
-    def _publish(self, spark: SparkSession, written) -> None:
+    def _publish(self, spark: SparkSession, written, epoch: int) -> None:
         rows = [(t, e, v, [{"name": c["name"], "pg_type": c["pg_type"],
                             "parquet_type": category(c["pg_type"]),
                             "nullable": c.get("nullable", True),
@@ -244,7 +246,7 @@ class EpochWriter:
             rows, "table string, latest_delta_epoch bigint, schema_version bigint, "
                   "columns array<struct<name:string,pg_type:string,parquet_type:string,"
                   "nullable:boolean,precision:int,scale:int>>, partial_images boolean, position bigint")
-        manifest.update_tables(spark, self.root, change)
+        manifest.update_tables(spark, self.root, change, finished=(self.stream, epoch))
 
 
 def stream_to_epochs(events: DataFrame, writer: EpochWriter, checkpoint: str,
