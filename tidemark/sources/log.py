@@ -19,6 +19,7 @@ import re
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +54,11 @@ class Group(InputPartition):
 def open_path(path: str):
     """The file system of a path and its path there."""
     from pyarrow import fs as pafs
-    system, inner = pafs.FileSystem.from_uri(path if re.match(r"[a-z0-9+.-]+:", path) else f"file://{path}")
-    return system, inner
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path):
+        return pafs.LocalFileSystem(), path
+    scheme, rest = path.split(":", 1)
+    # Hadoop writes file:/x, and leaves characters as they are
+    return pafs.FileSystem.from_uri(f"{scheme}:{'' if rest.startswith('//') else '//'}{quote(rest, safe='/:@')}")
 
 
 class LogReader(DataSourceStreamReader):
