@@ -77,3 +77,26 @@ def test_internal_globs(spark):
                 policy={"internal": "exclude"})
     assert [t for t, v in sorted(r.items()) if v[0]] == ["public.orders"]
     assert r["audit.schema_version"][1] == "policy:internal"
+
+
+def test_patterns_as_rows_by_brute_force(spark):
+    import random
+    import re
+
+    from tidemark.functions.glob import glob_key, glob_to_regex
+    from tidemark.operators.policy import match_patterns
+    rng = random.Random(1)
+    names = sorted({"".join(rng.choices("ab._", k=rng.randint(0, 9))) for _ in range(300)} | {"a.b_long_name_of_a_table", "é.ü", "a[b"})
+    patterns = sorted({"".join(rng.choices(["a", "b", ".", "_", "*", "?", "[ab]", "[^a]", "\\*", "\\a"], k=rng.randint(0, 6)))
+                       for _ in range(400)} | {"*", "", "??", "[", "a\\", "*long_name*", "*_of_a_tab*e", "é.*", "a[[]b", "*[a-]*"})
+    want = sorted((n, p) for n in names for p in patterns
+                  if glob_to_regex(p) != "a^" and re.match(glob_to_regex(p)[:-1] + r"\Z", n))
+    t = spark.createDataFrame([(n, "x") for n in names], "table string, kind string")
+    p = spark.createDataFrame([(p, 1) for p in patterns] + [(None, 1)], "pattern string, n int")
+    out = match_patterns(t.select("table"), p)
+    assert sorted((r["table"], r["pattern"]) for r in out.collect()) == want and len(want) > 1000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert match_patterns(t.select("table"), p.where("n = 2")).count() == 0
+    assert glob_key("orders_[0-9]*") == ("ends", "orders_", "") and glob_key("x") == ("whole", "x", "")
+    assert glob_key("*abcdefghij?") == ("inside", "abcdefgh", "") and glob_key("[") is None

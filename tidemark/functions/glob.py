@@ -9,6 +9,8 @@ Java (``rlike``) and RE2.
 
 from __future__ import annotations
 
+import re
+
 NEVER = "a^"   # matches no string
 
 
@@ -74,3 +76,26 @@ def glob_to_regex(pattern: str) -> str:
 def is_glob(pattern: str) -> bool:
     """Exclusion lists treat a pattern as a glob only with ``*`` or ``?``."""
     return "*" in pattern or "?" in pattern
+
+
+_SPECIAL = "*?[]\\"
+
+
+def glob_key(pattern: str, gram: int = 8) -> tuple[str, str, str] | None:
+    """``(kind, head, tail)``: literal text that a name must have to match; None if nothing matches.
+
+    ``ends``: it begins with ``head`` and ends with ``tail`` (one may be empty), and is no shorter
+    than both; ``whole``: it is ``head``; ``inside``: it has ``head`` (at most ``gram`` characters)
+    somewhere; ``any``: there is no such text.
+    """
+    if not glob_to_regex(pattern) or glob_to_regex(pattern) == NEVER:
+        return None
+    places = [i for i, c in enumerate(pattern) if c in _SPECIAL]
+    if not places:
+        return "whole", pattern, ""
+    head, tail = pattern[:places[0]], pattern[places[-1] + 1:]
+    if head or tail:
+        return "ends", head, tail
+    pieces = re.split(r"\[(?:\\.|[^\]\\])*\]|\\.|[*?]", pattern)
+    piece = max(pieces, key=len)[:gram]
+    return ("inside", piece, "") if piece and not set(piece) & set(_SPECIAL) else ("any", "", "")

@@ -5,19 +5,24 @@ Precedence per table: explicit exclusion (exact name, or a glob having
 included.  Tags are sorted, and the reason names the alphabetically first
 excluding tag, so the result is deterministic.
 
-The configuration is small and lives on the driver; it becomes literal
+A configuration that is small and lives on the driver becomes literal
 regular expressions inside one projection over the table frame, so the
 resolution is a map-only stage (no join, no shuffle) at any table count.
+
+Patterns that are many are rows of a frame (``match_patterns``).  They meet the tables in
+an equi-join on literal text that a match must have: the beginning and the end, or a
+few characters from inside; only what meets is matched.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.glob import glob_to_regex, is_glob
+from tidemark.functions.glob import glob_key, glob_to_regex, is_glob
 
 
 def _any_match(col: Column, patterns: list[str]) -> Column:
@@ -47,8 +52,74 @@ def resolve_policy(tables: DataFrame, exclude: list[str] | None = None,
     """Adds ``tags`` (array), ``included`` (bool) and ``reason`` (text)."""
     exclude, tags, policy = exclude or [], tags or {}, policy or {}
     t = F.col(table_col)
-    explicit = explicit_exclusion(t, exclude)
-    tagged = tables.withColumn("__tags", tag_array(t, tags))
+    return _decide(tables.withColumn("__tags", tag_array(t, tags)), explicit_exclusion(t, exclude), policy, tables.columns)
+
+
+def _pattern_keys(patterns: DataFrame) -> DataFrame:
+    """``patterns`` with the literal text to join on and the regular expression."""
+    def keys(pattern: pd.Series) -> pd.DataFrame:
+        found = [(*(glob_key(p) or (None, None, None)), glob_to_regex(p)) for p in pattern]
+        return pd.DataFrame(found, columns=["kind", "head", "tail", "regex"])
+    keyed = F.pandas_udf(keys, "kind string, head string, tail string, regex string")
+    return patterns.where("pattern IS NOT NULL").withColumn("__k", keyed("pattern")) \
+        .select(*patterns.columns, "__k.*").where("kind IS NOT NULL")
+
+
+def match_patterns(tables: DataFrame, patterns: DataFrame, table_col: str = "table") -> DataFrame:
+    """Each table with each row of ``patterns`` (``pattern`` and other columns) that matches it.
+
+    A pattern is known by its literal beginning and end; the join's keys are those of a
+    table for each pair of lengths that occurs (a name has at most as many as characters
+    each way).  A pattern without literal text meets every table, as its matches do.
+    """
+    keyed = _pattern_keys(patterns)
+    # lengths only: bounded by the longest name
+    sizes = keyed.select("kind", F.length("head").alias("h"), F.length("tail").alias("t")).distinct().collect()
+    name = F.col(table_col)
+
+    def key(kind: str, head: Column, tail: Column, when: Column | None = None) -> Column:
+        k = F.array(F.struct(F.lit(kind).alias("kind"), head.alias("head"), tail.alias("tail")))
+        return k if when is None else F.when(when, k).otherwise(F.array().cast(_KEYS))
+
+    keys = [key("ends", F.left(name, F.lit(r["h"])), F.right(name, F.lit(r["t"])), F.length(name) >= r["h"] + r["t"])
+            for r in sizes if r["kind"] == "ends"]
+    kinds = {r["kind"] for r in sizes}
+    keys += [key("whole", name, F.lit(""))] * ("whole" in kinds) + [key("any", F.lit(""), F.lit(""))] * ("any" in kinds)
+    for r in sizes:
+        if r["kind"] == "inside":
+            n = r["h"]
+            keys.append(F.transform(
+                F.when(F.length(name) >= n, F.sequence(F.lit(1), F.length(name) - n + 1)).otherwise(F.array().cast("array<int>")),
+                lambda i: F.struct(F.lit("inside").alias("kind"), F.substring(name, i, F.lit(n)).alias("head"), F.lit("").alias("tail"))))
+    if not keys:
+        keys = [F.array().cast(_KEYS)]
+    sides = tables.select(*tables.columns, F.inline(F.array_distinct(F.concat(*keys))))
+    mine = [c for c in patterns.columns if c != "pattern"]
+    return (sides.join(keyed, ["kind", "head", "tail"]).where(F.rlike(F.col(table_col), F.col("regex")))
+            .select(*tables.columns, "pattern", *mine))
+
+
+_KEYS = "array<struct<kind:string,head:string,tail:string>>"
+
+
+def resolve_policy_rows(tables: DataFrame, exclude: DataFrame, tags: DataFrame, policy: dict[str, str] | None = None,
+                        table_col: str = "table") -> DataFrame:
+    """``resolve_policy`` with the patterns as frames: ``exclude`` (``pattern``) and ``tags``
+    (``tag, pattern``), of any number.  An exclusion without ``*`` or ``?`` is a name."""
+    names = tables.select(table_col).distinct()
+    as_glob = F.col("pattern").contains("*") | F.col("pattern").contains("?")
+    out = (match_patterns(names, exclude.select("pattern").where(as_glob), table_col).select(table_col)
+           .unionByName(names.join(exclude.select(F.col("pattern").alias(table_col)).where("pattern IS NOT NULL"), table_col, "left_semi"))
+           .distinct().withColumn("__out", F.lit(True)))
+    tagged = (match_patterns(names, tags.select("tag", "pattern"), table_col).groupBy(table_col)
+              .agg(F.array_sort(F.collect_set("tag")).alias("__tags")))
+    j = tables.join(out, table_col, "left").join(tagged, table_col, "left")
+    j = j.withColumn("__tags", F.coalesce("__tags", F.array().cast("array<string>")))
+    return _decide(j, F.coalesce("__out", F.lit(False)), policy or {}, tables.columns)
+
+
+def _decide(tagged: DataFrame, explicit: Column, policy: dict[str, str], columns: list[str]) -> DataFrame:
+    """The decision of each table from its tags (``__tags``)."""
     excluding = sorted(k for k, v in policy.items() if v == "exclude" and k != "untagged")
     ex_tag = F.try_element_at(F.filter(F.col("__tags"), lambda x: x.isin(*excluding))
                               if excluding else F.array().cast("array<string>"), F.lit(1))
@@ -59,7 +130,7 @@ def resolve_policy(tables: DataFrame, exclude: list[str] | None = None,
                .when(no_tags & F.lit(untagged_out), F.lit("policy:untagged"))
                .otherwise(F.lit("")))
     return tagged.select(
-        *[c for c in tables.columns],
+        *columns,
         F.when(explicit, F.array().cast("array<string>")).otherwise(F.col("__tags")).alias("tags"),
         (reason == "").alias("included"),
         reason.alias("reason"))

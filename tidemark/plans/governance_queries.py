@@ -37,6 +37,31 @@ def policy_untagged(spark, d):
     return _policy_out(_resolved(spark, d, T.POLICY_B))
 
 
+# One exclusion or tag pattern per customer, of five shapes.
+_SHAPE = """CASE c_custkey % 5 WHEN 0 THEN '{seg}.*_' || c_custkey WHEN 1 THEN '*.orders_' || c_custkey
+  WHEN 2 THEN lower(c_mktsegment) || '.inv*_' || c_custkey || '[0-5]' WHEN 3 THEN '*[st]_' || c_custkey || '?*'
+  ELSE lower(c_mktsegment) || '.tbl_cache_' || c_custkey END""".replace("'{seg}.", "lower(c_mktsegment) || '.")
+
+
+@query("policy_patterns", f"""WITH t AS ({S.TENANT_TABLES}),
+p AS (SELECT 'n_' || c_nationkey AS tag, {_SHAPE} AS pattern, c_custkey % 11 = 3 AS out FROM customer),
+m AS (SELECT DISTINCT t."table", p.tag, p.out FROM t JOIN p ON t."table" GLOB p.pattern),
+g AS (SELECT t."table", coalesce(bool_or(m.out), FALSE) AS explicit,
+             coalesce(list_sort(list(DISTINCT m.tag) FILTER (NOT m.out)), []) AS tags
+      FROM t LEFT JOIN m ON m."table" = t."table" GROUP BY ALL),
+r AS (SELECT *, CASE WHEN explicit THEN 'explicit exclude' WHEN list_contains(tags, 'n_3') THEN 'policy:n_3'
+  WHEN list_contains(tags, 'n_7') THEN 'policy:n_7' WHEN len(tags) = 0 THEN 'policy:untagged' ELSE '' END AS reason FROM g)
+{_POLICY_OUT}""")
+def policy_patterns(spark, d):
+    """Tables meet one pattern per customer, as rows, on the text that a match must have."""
+    patterns = spark.read.parquet(f"{d}/customer.parquet").select(
+        F.concat(F.lit("n_"), "c_nationkey").alias("tag"), F.expr(_SHAPE).alias("pattern"),
+        (F.col("c_custkey") % 11 == 3).alias("out"))
+    t = T.tenant_tables(spark, d).select("table")
+    return _policy_out(P.resolve_policy_rows(t, patterns.where("out"), patterns.where("NOT out"),
+                                             {"n_3": "exclude", "n_7": "exclude", "untagged": "exclude"}))
+
+
 @query("policy_totals", S.policy_sql(T.POLICY_A) + """
 SELECT count(*) FILTER (WHERE reason = '') AS included,
        count(*) FILTER (WHERE reason <> '') AS excluded, count(*) AS total FROM r""")
