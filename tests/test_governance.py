@@ -100,3 +100,42 @@ def test_patterns_as_rows_by_brute_force(spark):
     assert match_patterns(t.select("table"), p.where("n = 2")).count() == 0
     assert glob_key("orders_[0-9]*") == ("ends", "orders_", "") and glob_key("x") == ("whole", "x", "")
     assert glob_key("*abcdefghij?") == ("inside", "abcdefgh", "") and glob_key("[") is None
+
+
+def test_effective_profiles_by_closure(spark):
+    import random
+
+    from tidemark.operators.acl import effective_profiles
+    rng = random.Random(4)
+    for case in range(4):
+        roles = [f"r{i}" for i in range(12)]
+        edges = {(rng.choice(roles), rng.choice(roles)) for _ in range((6, 14, 24, 0)[case])}
+        tg = [(rng.choice([*roles, "PUBLIC"]), rng.choice(["public", "s", "pg_catalog"]), f"t{rng.randint(0, 4)}",
+               rng.choice(["SELECT", "SELECT", "INSERT"])) for _ in range(12)]
+        cg = [(rng.choice([*roles, "PUBLIC"]), rng.choice(["public", "s"]), f"t{rng.randint(0, 4)}", rng.choice("abc"), "SELECT")
+              for _ in range(30)]
+        allow = roles[:7] + ["stranger"]
+        want = {}
+        for r in allow:
+            above, new = {r}, [r]
+            while new:
+                x = new.pop()
+                for a, m in edges:
+                    if m == x and a not in above:
+                        above.add(a)
+                        new.append(a)
+            for g, s, t, p in tg:
+                if g in above | {"PUBLIC"} and p == "SELECT" and s != "pg_catalog":
+                    want[r, f"{s}.{t}"] = None
+            for g, s, t, c, _ in cg:
+                if g in above | {"PUBLIC"} and want.get((r, f"{s}.{t}"), ()) is not None:
+                    want.setdefault((r, f"{s}.{t}"), set()).add(c)
+        frames = [spark.createDataFrame(rows, schema) for rows, schema in (
+            (tg, "grantee string, table_schema string, table_name string, privilege_type string"),
+            (cg, "grantee string, table_schema string, table_name string, column_name string, privilege_type string"),
+            (sorted(edges), "role string, member string"))]
+        got = {(r["role"], r["table"]): None if r["all_columns"] else set(r["columns"])
+               for r in effective_profiles(*frames, allow).collect()}
+        assert got == want, case
+        assert all(x["columns"] is None for x in effective_profiles(*frames, allow).where("all_columns").collect())
+    assert effective_profiles(*frames, []).count() == 0

@@ -112,6 +112,127 @@ def membership_closure(edges: DataFrame) -> DataFrame:
         frontier = new
 
 
+#: The grantee whose grants every role has.
+PUBLIC = "PUBLIC"
+
+
+def _cycles(edges: DataFrame) -> DataFrame:
+    """``(role, head)``: roles that are members of each other, directly or not, get one
+    head; a role outside such cycles is its own.
+
+    Roles without a member or without a role above them can't be in a cycle and go first,
+    round by round.  Among the rest the least name that reaches a role and the least
+    that it reaches are handed along the edges; where they are equal, that is the head of
+    the role's cycle, and the remaining ones start anew.
+    """
+    names = edges.select(F.col("role").alias("x")).unionByName(edges.select(F.col("member").alias("x"))).distinct()
+    found, e = None, checkpoint(edges.where("role <> member").distinct())
+    while True:
+        inner = (e.join(e.select(F.col("member").alias("role")).distinct(), "role", "left_semi")
+                  .join(e.select(F.col("role").alias("member")).distinct(), "member", "left_semi"))
+        inner = checkpoint(inner.select("role", "member"))
+        if inner.count() < e.count():
+            e = inner
+            continue
+        if e.isEmpty():
+            break
+        up = _least(e.select(F.col("role").alias("a"), F.col("member").alias("b")))
+        down = _least(e.select(F.col("member").alias("a"), F.col("role").alias("b")))
+        both = checkpoint(up.join(down.withColumnRenamed("least", "other"), "x"))
+        done = both.where("least = other").select("x", F.col("least").alias("head"))
+        found = done if found is None else found.unionByName(done)
+        # an edge between two sets of labels is in no cycle
+        label = both.select("x", F.struct("least", "other").alias("l"), (F.col("least") == F.col("other")).alias("done"))
+        e = checkpoint(e.join(label.select(F.col("x").alias("role"), F.col("l").alias("l1"), "done"), "role")
+                        .join(label.select(F.col("x").alias("member"), F.col("l").alias("l2")), "member")
+                        .where("l1 = l2 AND NOT done").select("role", "member"))
+    if found is None:
+        return names.select(F.col("x").alias("role"), F.col("x").alias("head"))
+    return checkpoint(names.join(found, "x", "left").select(F.col("x").alias("role"), F.coalesce("head", "x").alias("head")))
+
+
+def _least(pairs: DataFrame) -> DataFrame:
+    """``(x, least)``: the least name among ``x`` and what leads to it over ``(a, b)``."""
+    label = (pairs.select(F.col("a").alias("x")).unionByName(pairs.select(F.col("b").alias("x"))).distinct()
+                  .withColumn("least", F.col("x")))
+    label = checkpoint(label)
+    while True:
+        offered = pairs.join(label, pairs["a"] == label["x"]).select(F.col("b").alias("x"), "least")
+        new = label.select("x", F.col("least").alias("old")).join(
+            offered.groupBy("x").agg(F.min("least").alias("new")), "x", "left")
+        new = checkpoint(new.select("x", F.least("old", "new").alias("least"),
+                                    (F.col("new") < F.col("old")).alias("moved")))
+        label = new.drop("moved")
+        if new.where("moved").isEmpty():
+            return label
+
+
+def effective_profiles(table_grants: DataFrame, column_grants: DataFrame, edges: DataFrame,
+                       allow: list[str]) -> DataFrame:
+    """What the roles in ``allow`` may read by their own grants, by those of the roles they
+    are members of (``edges``: ``role, member``), and by those to PUBLIC:
+    ``role, table, all_columns, columns``.
+
+    Grant sets flow down the role graph until none grows; pairs of roles are never made.
+    Roles that are members of each other are one node.  Only what a round has added
+    flows on, and only through roles above an allowed one.  A grant on a whole
+    table absorbs those on its columns.
+    """
+    edges = edges.select("role", "member").distinct()
+    heads = _cycles(edges)
+    spark = edges.sparkSession
+
+    def head_of(df: DataFrame, col: str) -> DataFrame:
+        return (df.join(heads.select(F.col("role").alias(col), "head"), col, "left")
+                  .withColumn(col, F.coalesce("head", col)).drop("head"))
+    asked = spark.createDataFrame([(r, r) for r in sorted(set(allow))] or [("", "")], "role string, node string")
+    asked = checkpoint(head_of(asked, "node"))
+    e = checkpoint(head_of(head_of(edges, "role"), "member").where("role <> member").distinct())
+    needed = new = checkpoint(asked.select(F.col("node").alias("member")).distinct())
+    while not new.isEmpty():  # the roles above the allowed ones
+        above = e.join(new, "member", "left_semi").select(F.col("role").alias("member")).distinct()
+        new = checkpoint(above.join(needed, "member", "left_anti"))
+        needed = needed.unionByName(new)
+    e = checkpoint(e.join(needed, "member", "left_semi"))
+    held = checkpoint(_summed(head_of(_direct(table_grants, column_grants), "role").join(
+        needed.withColumnRenamed("member", "role"), "role", "left_semi")))
+    added = held
+    while not added.isEmpty():
+        flow = added.join(e, "role").select(F.col("member").alias("role"), "table", "all_columns", "columns")
+        sums = _summed(held.unionByName(flow))
+        old = held.select("role", "table", F.col("all_columns").alias("had_all"), F.size("columns").alias("had"))
+        marked = checkpoint(sums.join(old, ["role", "table"], "left").withColumn(
+            "grown", F.col("had").isNull() | (F.col("all_columns") != F.col("had_all")) | (F.size("columns") > F.col("had"))))
+        held = marked.select("role", "table", "all_columns", "columns")
+        added = marked.where("grown").select("role", "table", "all_columns", "columns")
+    own = asked.where(F.col("role") != "").join(held.withColumnRenamed("role", "node"), "node").drop("node")
+    public = _summed(_direct(table_grants, column_grants).where(F.col("role") == PUBLIC)).drop("role")
+    # the allowed roles are a configured list
+    everyone = public.select(F.explode(F.array(*[F.lit(r) for r in sorted(set(allow))]) if allow
+                                       else F.array().cast("array<string>")).alias("role"), "*")
+    out = _summed(own.select("role", "table", "all_columns", "columns").unionByName(everyone))
+    return out.select("role", "table", "all_columns", F.when(~F.col("all_columns"), F.col("columns")).alias("columns"))
+
+
+def _direct(table_grants: DataFrame, column_grants: DataFrame) -> DataFrame:
+    """Readable tables and columns of each grantee, a row per grant."""
+    def readable(df: DataFrame) -> DataFrame:
+        return df.where((F.col("privilege_type") == "SELECT") & ~F.col("table_schema").isin(*SYSTEM_SCHEMAS))
+    table = qualify(F.col("table_schema"), F.col("table_name")).alias("table")
+    whole = readable(table_grants).select(F.col("grantee").alias("role"), table, F.lit(True).alias("all_columns"),
+                                          F.array().cast("array<string>").alias("columns"))
+    return whole.unionByName(readable(column_grants).select(
+        F.col("grantee").alias("role"), table, F.lit(False).alias("all_columns"), F.array("column_name").alias("columns")))
+
+
+def _summed(grants: DataFrame) -> DataFrame:
+    """One row per role and table; the columns of a whole table are not listed."""
+    each = grants.select("role", "table", "all_columns", F.explode_outer("columns").alias("c"))
+    out = each.groupBy("role", "table").agg(F.max("all_columns").alias("all_columns"),
+                                            F.array_sort(F.collect_set("c")).alias("columns"))
+    return out.withColumn("columns", F.when(F.col("all_columns"), F.array().cast("array<string>")).otherwise(F.col("columns")))
+
+
 def with_aliases(profiles: DataFrame, aliases: dict[str, str]) -> DataFrame:
     """Adds ``display`` = ``role (alias: x)`` when an alias exists."""
     spark = profiles.sparkSession

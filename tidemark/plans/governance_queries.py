@@ -103,6 +103,44 @@ def role_closure(spark, d):
     return A.membership_closure(edges)
 
 
+_EFFECTIVE_ALLOW = [*T.ALLOW, "everyone", "n_nation_0", "u_3", "u_17", "nobody"]
+_EXTRA_TABLE = f"""SELECT 'PUBLIC' AS grantee, seg AS table_schema, 'orders_' || c_custkey AS table_name, 'SELECT' AS privilege_type
+FROM ({S.PEOPLE}) WHERE c_custkey % 10 = 0 UNION ALL SELECT 'everyone', 'public', 'events', 'SELECT'"""
+_EXTRA_COLUMN = f"""SELECT 'PUBLIC' AS grantee, seg AS table_schema, 'invoices_' || c_custkey AS table_name, 'o_custkey' AS column_name,
+       'SELECT' AS privilege_type FROM ({S.PEOPLE}) WHERE c_custkey % 7 = 0
+UNION ALL SELECT 'everyone', seg, 'invoices_' || c_custkey, 'o_orderdate', 'SELECT' FROM ({S.PEOPLE}) WHERE c_custkey % 5 = 0"""
+
+
+@query("effective_profiles", f"""WITH RECURSIVE e AS (SELECT DISTINCT * FROM ({S.MEMBERSHIPS})),
+above(member, role) AS (
+  SELECT a, a FROM (SELECT unnest([{", ".join(f"'{r}'" for r in _EFFECTIVE_ALLOW)}]) AS a)
+  UNION SELECT above.member, e.role FROM above JOIN e ON e.member = above.role),
+who AS (SELECT * FROM above UNION SELECT member, 'PUBLIC' FROM above),
+tg AS (SELECT DISTINCT member AS role, table_schema || '.' || table_name AS "table"
+  FROM ({S.TABLE_GRANTS} UNION ALL {_EXTRA_TABLE}) g JOIN who ON who.role = g.grantee
+  WHERE privilege_type = 'SELECT' AND table_schema <> 'pg_catalog'),
+cg AS (SELECT DISTINCT member AS role, table_schema || '.' || table_name AS "table", column_name
+  FROM ({S.COLUMN_GRANTS} UNION ALL {_EXTRA_COLUMN}) g JOIN who ON who.role = g.grantee
+  WHERE privilege_type = 'SELECT' AND table_schema <> 'pg_catalog')
+SELECT role, "table", TRUE AS all_columns, CAST(NULL AS VARCHAR) AS columns FROM tg
+UNION ALL SELECT role, "table", FALSE, string_agg(column_name, ',' ORDER BY column_name) FROM cg
+WHERE NOT EXISTS (SELECT 1 FROM tg WHERE tg.role = cg.role AND tg."table" = cg."table") GROUP BY role, "table\"""")
+def effective_profiles(spark, d):
+    """Grants through the role graph, whose top is a member of one nation (a cycle), and PUBLIC."""
+    p, cols = T.people(spark, d), ["grantee", "table_schema", "table_name"]
+    orders, invoices = (F.concat(F.lit(f"{k}_"), F.col("c_custkey").cast("string")) for k in ("orders", "invoices"))
+    tg = (T.table_grants(spark, d)
+          .unionByName(p.where("c_custkey % 10 = 0").select(F.lit("PUBLIC"), "seg", orders, F.lit("SELECT")).toDF(*cols, "privilege_type"))
+          .unionByName(spark.createDataFrame([("everyone", "public", "events", "SELECT")], ", ".join(f"{c} string" for c in (*cols, "privilege_type")))))
+    names = [*cols, "column_name", "privilege_type"]
+    cg = (T.column_grants(spark, d)
+          .unionByName(p.where("c_custkey % 7 = 0").select(F.lit("PUBLIC"), "seg", invoices, F.lit("o_custkey"), F.lit("SELECT")).toDF(*names))
+          .unionByName(p.where("c_custkey % 5 = 0").select(F.lit("everyone"), "seg", invoices, F.lit("o_orderdate"), F.lit("SELECT")).toDF(*names)))
+    edges = A.memberships(T.pg_auth_members(spark, d), T.pg_roles(spark, d))
+    out = A.effective_profiles(tg, cg, edges, _EFFECTIVE_ALLOW)
+    return out.withColumn("columns", F.when(~F.col("all_columns"), F.concat_ws(",", "columns")))
+
+
 def _shapes(spark):
     rows = [(k, i + 1, n, t, nl) for k, (cols, _) in T.KIND_SHAPE.items()
             for i, (n, t, nl) in enumerate(cols)]
