@@ -3,7 +3,8 @@
 Order of effects per table (each step durable before the next):
 1. write the new base at ``latest_delta_epoch`` (a new directory);
 2. publish a manifest version naming it;
-3. drop the consumed delta partitions.
+3. retire the consumed delta partitions (and, with ``keep_bases``, older bases), and
+   sweep those that no reader has pinned and whose grace period is over.
 A failure before (2) leaves the old base current and every delta in place;
 rerunning is safe.  Tables are published one by one, so a failing table
 never costs another its deltas.
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.constants import DELETED_AT
 from tidemark.functions.types import struct_for
 from tidemark.operators.merge import merge, purge
+from tidemark.plans import removal
 from tidemark.plans.consumer import published_bases
 from tidemark.sources import manifest, storage
 
@@ -48,10 +50,12 @@ def _conf(spark: SparkSession, key: str, value: str | None):
 
 def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
                   now=None, retention_days: int = 30, strategy: str = "auto",
-                  entry: dict | None = None) -> dict:
+                  entry: dict | None = None, grace_s: float = 0.0,
+                  keep_bases: int | None = None) -> dict:
     """Compact one table up to its newest published epoch; what was done, as a dict.
 
-    ``entry`` is its manifest entry, where the caller has read it already."""
+    ``entry`` is its manifest entry, where the caller has read it already.  Replaced deltas and
+    bases go as ``removal`` says: ``grace_s``, ``keep_bases`` (``None``: all stay)."""
     e = entry if entry is not None else manifest.entry(spark, root, table)
     if e is None or e.get("status") != "active":
         return {"table": table, "status": "skipped (not active)"}
@@ -69,7 +73,7 @@ def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
     data = struct_for(cols)
     if e.get("bucket_epochs") is not None:
         return _compact_buckets(spark, root, table, e, pk, data, base_e, latest,
-                                compacted_at, now, retention_days, strategy)
+                                compacted_at, now, retention_days, strategy, grace_s)
     buckets = int(e["buckets"]) if e.get("buckets") else None
     # Bucketed base: fold shuffle partitions = bucket count, so the fold's
     # exchange matches the base's bucketing and the base is never shuffled;
@@ -100,16 +104,17 @@ def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
         [(table, latest, rows, sorted({*published_bases(e), latest}))],
         "table string, base_epoch bigint, row_count bigint, base_epochs array<bigint>")
     manifest.update_tables(spark, root, change, last_compacted_at=str(compacted_at))
-    dropped = storage.drop_deltas(spark, root, table, latest)
+    removal.retire(spark, root, table, latest, keep_bases)
+    gone = removal.sweep(spark, root, table, grace_s)
     return {"table": table, "status": "compacted", "base_epoch": latest,
-            "rows": rows, "dropped_epochs": len(dropped),
+            "rows": rows, "dropped_epochs": len(gone["deltas"]), "dropped_bases": gone["bases"],
             "deltas": n_epochs, "applied": int(counters["applied"]),
             "purged": int(counters["rows"]) - rows,
             "tombstones_before_purge": int(counters["tombstones"])}
 
 
 def _compact_buckets(spark, root, table, e, pk, data, base_e, latest, compacted_at,
-                     now, retention_days, strategy) -> dict:
+                     now, retention_days, strategy, grace_s) -> dict:
     """Bucket-directory layout: rewrite only the buckets the deltas touch.
 
     The touched buckets (at most ``n`` small integers) come from the deltas'
@@ -162,7 +167,8 @@ def _compact_buckets(spark, root, table, e, pk, data, base_e, latest, compacted_
                                        vec)])
     change = change.select("table", "base_epoch", "row_count", "bucket_epochs")
     manifest.update_tables(spark, root, change, last_compacted_at=str(compacted_at))
-    dropped = storage.drop_deltas(spark, root, table, latest)
+    removal.retire(spark, root, table, latest)
+    dropped = removal.sweep(spark, root, table, grace_s)["deltas"]
     return {"table": table, "status": "compacted", "base_epoch": latest,
             "rows": before - old_rows + rows_written, "dropped_epochs": len(dropped),
             "buckets_rewritten": len(touched), "buckets": n,

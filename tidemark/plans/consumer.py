@@ -32,14 +32,15 @@ def published_bases(entry: dict) -> list[int]:
 
 
 def as_of(spark: SparkSession, root: str, table: str, epoch: int, stamp,
-          strategy: str = "auto") -> DataFrame:
+          strategy: str = "auto", entry: dict | None = None) -> DataFrame:
     """State at ``epoch``: newest base <= epoch, plus its later deltas <= epoch.
+    ``entry``: the manifest's, where the caller has read (and pinned) it.
 
     Deltas at or below the newest base are gone after compaction, so an
     epoch between an older base and the newest one cannot be rebuilt: that
     is an error, never a silently wrong answer.
     """
-    e = manifest.entry(spark, root, table)
+    e = entry or manifest.entry(spark, root, table)
     if e is None:
         raise KeyError(table)
     data = _schema(e)
@@ -71,7 +72,7 @@ def as_of(spark: SparkSession, root: str, table: str, epoch: int, stamp,
 
 
 def changes_since(spark: SparkSession, root: str, table: str, epoch: int | None,
-                  net: bool = False, upto: int | None = None) -> DataFrame:
+                  net: bool = False, upto: int | None = None, entry: dict | None = None) -> DataFrame:
     """Changes of a table after a consumer's watermark (and up to epoch ``upto``), from storage.
 
     ``net``: one row per key, its last op and image, instead of every change.  Where
@@ -80,7 +81,7 @@ def changes_since(spark: SparkSession, root: str, table: str, epoch: int | None,
     A consumer that never pulled, or whose watermark is below the compacted
     base (its changes are gone), gets ``ResyncRequired``.
     """
-    e = manifest.entry(spark, root, table)
+    e = entry or manifest.entry(spark, root, table)
     if e is None:
         raise KeyError(table)
     base = int(e.get("base_epoch") or 0)

@@ -7,6 +7,8 @@ the written files back.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,13 +19,14 @@ from tidemark.operators import merge as M
 from tidemark.operators import policy as P
 from tidemark.operators import health as H
 from tidemark.operators.schema import new_columns, unknown_columns
-from tidemark.plans import compaction
+from tidemark.plans import compaction, removal
 from tidemark.plans import oracle as O
 from tidemark.plans import tenant_sql as S
 from tidemark.plans import tenants as TN
 from tidemark.plans.feeds import (COMPACTED_AT, NOTE_FROM_EPOCH, ORDERS_PK, ORDERS_TABLE,
                                   ORDERS_TEXT_COLUMNS, feed_a, orders_base, text_feed,
                                   with_lsn)
+from tidemark.plans.registration import publish_live_view
 from tidemark.plans.registry import query
 from tidemark.session import fresh_dir
 from tidemark.sources import catalog as C
@@ -292,6 +295,28 @@ def live_view_q(spark, d):
     return live_view(spark, root, ORDERS_TABLE, "orders_live", COMPACTED_AT)
 
 
+@query("live_view_catalog", f"""WITH base AS ({O.ORDERS_BASE}),
+feed AS ({O.FEED_A}),
+{O.merge_ctes("m", "base", "feed")}
+SELECT o_orderkey, o_orderstatus, o_totalprice FROM m WHERE __deleted_at IS NULL""")
+def live_view_catalog(spark, d):
+    """A view in the catalog, read by name from a second session; published again
+    after a compaction and after a further epoch."""
+    root, db = fresh_dir(spark, "live_view_catalog"), f"tidemark_{uuid.uuid4().hex[:10]}"
+    _setup_table(spark, d, root)
+    name = publish_live_view(spark, root, ORDERS_TABLE, db)
+    before = spark.newSession().table(name).count()
+    compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT)
+    publish_live_view(spark, root, ORDERS_TABLE, db)
+    second = spark.newSession()
+    assert second.table(name).count() == before
+    last = max(storage.delta_epochs(spark, root, ORDERS_TABLE))
+    manifest.update_tables(spark, root, spark.createDataFrame(
+        [(ORDERS_TABLE, last)], "table string, latest_delta_epoch bigint"))
+    publish_live_view(spark, root, ORDERS_TABLE, db)
+    return second.table(name)
+
+
 def _unpublished_base(spark, d, root):
     """What a compaction to epoch 29 leaves on storage before it publishes: some
     rows of the new base, and its writer's work folder."""
@@ -332,6 +357,25 @@ def as_of_during_compaction(spark, d):
     return as_of(spark, root, ORDERS_TABLE, last, COMPACTED_AT)
 
 
+@query("read_planned_before_compaction", f"""WITH base AS ({O.ORDERS_BASE}),
+feed AS (SELECT * FROM ({O.FEED_A}) WHERE __epoch <= {COMPACT_UPTO}),
+{O.merge_ctes("m", "base", "feed")}
+SELECT * FROM m""")
+def read_planned_before_compaction(spark, d):
+    """A read planned on a pinned base is executed after a compaction replaced base and
+    deltas; both stay until the pin is released, then a sweep takes them."""
+    root = fresh_dir(spark, "planned_read")
+    _setup_table(spark, d, root)
+    with removal.reading(spark, root, ORDERS_TABLE) as reader:
+        planned = reader.as_of(None, COMPACTED_AT, strategy="full")
+        res = compaction.compact_table(spark, root, ORDERS_TABLE, COMPACTED_AT, keep_bases=1)
+        assert not res["dropped_epochs"] and not res["dropped_bases"], res
+        planned.write.parquet(f"{root}/_read")
+    gone = removal.sweep(spark, root, ORDERS_TABLE)
+    assert gone["bases"] == [0] and gone["deltas"] == list(range(1, COMPACT_UPTO + 1)), gone
+    return spark.read.parquet(f"{root}/_read")
+
+
 @query("storage_changes_since", f"""SELECT __epoch, __op, count(*) AS events,
        CAST(sum(o_orderkey) AS BIGINT) AS keys
 FROM ({O.FEED_A}) WHERE __epoch > 22 AND __epoch <= 26 GROUP BY __epoch, __op""")

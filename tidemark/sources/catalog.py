@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.constants import EPOCH
 from tidemark.functions.names import flat_name, location, schema_of, table_of
 from tidemark.functions.types import CATALOG_TYPE, PG_CATEGORY, spark_type
 
@@ -74,18 +75,56 @@ def names(tables: DataFrame, root: str, table_col: str = "table",
 
 def register_table(spark: SparkSession, db: str, name: str, columns: list[dict],
                    path: str, properties: dict[str, str]) -> None:
-    """Upsert one external Parquet table: drop (metadata only) + create.
+    """Upsert one external Parquet table, in place: a reader never finds it missing.
 
-    Columns are declared with their Spark types (``timestamp_ntz`` for
+    A table that is there gets its added columns, location and properties by
+    ``ALTER TABLE``.  Columns are declared with their Spark types (``timestamp_ntz`` for
     timestamps without zone, exact decimals), so reads through the catalog
-    equal reads of the files in any session time zone.  External data
-    survives the drop; the session catalog has no ``CREATE OR REPLACE`` for
-    data-source tables.
+    equal reads of the files in any session time zone.  Only a column that changed its
+    type or went away needs a new declaration: drop (metadata only) and create.
     """
-    cols = ", ".join(f"`{c['name']}` {spark_type(c['pg_type']).simpleString()}"
-                     for c in columns)
-    props = ", ".join(f"'{k}' = '{v}'" for k, v in sorted(properties.items()))
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-    spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
-    spark.sql(f"CREATE TABLE `{db}`.`{name}` ({cols}) USING parquet "
-              f"LOCATION '{path}' TBLPROPERTIES ({props})")
+    full = f"`{db}`.`{name}`"
+    wanted = [(c["name"], spark_type(c["pg_type"])) for c in columns]
+    props = ", ".join(f"'{k}' = '{_quoted(v)}'" for k, v in sorted(properties.items()))
+    if spark.catalog.tableExists(f"{db}.{name}"):
+        known = {f.name: f.dataType for f in spark.table(full).schema.fields}
+        if all(known.get(c, t) == t for c, t in wanted) and not known.keys() - {c for c, _ in wanted}:
+            added = ", ".join(_declared(c, t) for c, t in wanted if c not in known)
+            if added:
+                spark.sql(f"ALTER TABLE {full} ADD COLUMNS ({added})")
+            spark.sql(f"ALTER TABLE {full} SET LOCATION '{_quoted(path)}'")
+            spark.sql(f"ALTER TABLE {full} SET TBLPROPERTIES ({props})")
+            spark.catalog.refreshTable(full)
+            return
+        spark.sql(f"DROP TABLE {full}")
+    spark.sql(f"CREATE TABLE {full} ({', '.join(_declared(c, t) for c, t in wanted)}) USING parquet "
+              f"LOCATION '{_quoted(path)}' TBLPROPERTIES ({props})")
+
+
+def _declared(name: str, dtype) -> str:
+    return f"`{name}` {dtype.simpleString()}"
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def register_deltas(spark: SparkSession, db: str, name: str, schema, path: str, epochs: list[int]) -> None:
+    """Upsert an external table over a table's delta folder that has exactly ``epochs`` as partitions."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    full = f"`{db}`.`{name}`"
+    fields = [f for f in schema.fields if f.name != EPOCH]
+    if not spark.catalog.tableExists(f"{db}.{name}"):
+        cols = ", ".join(_declared(f.name, f.dataType) for f in fields)
+        spark.sql(f"CREATE TABLE {full} ({cols}, `{EPOCH}` bigint) USING parquet PARTITIONED BY (`{EPOCH}`) LOCATION '{_quoted(path)}'")
+    known = set(spark.table(full).columns)
+    added = ", ".join(_declared(f.name, f.dataType) for f in fields if f.name not in known)
+    if added:
+        spark.sql(f"ALTER TABLE {full} ADD COLUMNS ({added})")
+    have = {int(r[0].split("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {full}").collect()}
+    for verb, some in (("ADD IF NOT EXISTS", sorted(set(epochs) - have)), ("DROP IF EXISTS", sorted(have - set(epochs)))):
+        if some:
+            sep = ", " if verb.startswith("DROP") else " "
+            spark.sql(f"ALTER TABLE {full} {verb} " + sep.join(f"PARTITION (`{EPOCH}` = {e})" for e in some))
+    spark.catalog.refreshTable(full)

@@ -95,12 +95,14 @@ class EpochWriter:
     current columns (for additive evolution), as a fixed table -> column list or
     as the path of a Parquet table (table, column, pg_type, nullable, ordinal),
     which is read anew for each batch.  Without an entry no column is confirmed.
+    ``published(spark, tables)`` is called after each epoch with the tables it has
+    changes of (to publish their views again, for example).
     """
 
     def __init__(self, root: str, catalog: dict[str, list[dict]], first_epoch: int = 1,
                  source_columns: dict[str, list[dict]] | str | None = None,
                  on_error: str = "null", parallelism: int = 4,
-                 keep_rejects: bool = True, stream: str | None = None):
+                 keep_rejects: bool = True, stream: str | None = None, published=None):
         self.root = root
         self.catalog = {t: list(c) for t, c in catalog.items()}
         self.versions = {t: 1 for t in catalog}
@@ -110,6 +112,7 @@ class EpochWriter:
         self.parallelism = parallelism
         self.keep_rejects = keep_rejects
         self.stream = stream
+        self.published = published
         self.primary_keys: dict[str, list[str]] = {}
 
     @classmethod
@@ -157,6 +160,8 @@ class EpochWriter:
             written = self._write(with_order(batch), epoch, staging)
             if written:
                 self._publish(spark, written, epoch)
+                if self.published:
+                    self.published(spark, [w[0] for w in written])
             else:
                 manifest.finish_epoch(spark, self.root, self.stream, epoch)
         finally:
