@@ -127,7 +127,8 @@ def coerce(raw: Column, pg_type: str, on_error: str = "null") -> Column:
 
     ``on_error="null"``: unparsable text is NULL (see ``rejects``).
     ``on_error="zero"``: numbers become 0 and booleans false, as the
-    source writer did; other types stay NULL.
+    source writer did; an integer out of range becomes the nearest that is in
+    range, and a text that is more than digits and a sign is none; other types stay NULL.
     """
     dt = spark_type(pg_type)
     cat = category(pg_type)
@@ -138,6 +139,11 @@ def coerce(raw: Column, pg_type: str, on_error: str = "null") -> Column:
         typed = raw.try_cast(dt)
     if on_error == "zero" and cat in ("INT32", "INT64", "FLOAT", "DOUBLE", "DECIMAL", "BOOLEAN"):
         zero = F.lit(False) if cat == "BOOLEAN" else F.lit(0).cast(dt)
+        if cat in ("INT32", "INT64"):
+            top = (1 << (31 if cat == "INT32" else 63)) - 1
+            # digits that don't parse are too many
+            typed = F.when(raw.rlike("^[+-]?[0-9]+$"), F.coalesce(
+                typed, F.when(raw.startswith("-"), F.lit(-top - 1)).otherwise(F.lit(top)).cast(dt)))
         typed = F.when(raw.isNotNull(), F.coalesce(typed, zero))
     return typed
 

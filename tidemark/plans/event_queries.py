@@ -45,11 +45,17 @@ SELECT seq AS __seq,
        CASE WHEN o_urgent IS NULL THEN NULL
             ELSE coalesce(TRY_CAST(o_urgent AS BOOLEAN), FALSE) END AS o_urgent,
        CASE WHEN o_quantity IS NULL THEN NULL
-            ELSE coalesce(TRY_CAST(o_quantity AS INTEGER), 0) END AS o_quantity
-FROM t""")
+            WHEN NOT regexp_full_match(o_quantity, '[+-]?[0-9]+') THEN 0
+            ELSE CAST(greatest(-2147483648, least(2147483647, CAST(o_quantity AS HUGEINT))) AS INTEGER) END AS o_quantity
+FROM (SELECT * REPLACE (CASE WHEN o_quantity IS NULL THEN NULL
+        WHEN seq % 41 = 0 THEN CASE (seq // 41) % 4 WHEN 0 THEN '2147483648' WHEN 1 THEN '-99999999999999999999999'
+          WHEN 2 THEN '7.5' ELSE '-2147483648' END ELSE o_quantity END AS o_quantity) FROM t)""")
 def decode_zero_policy(spark, d):
-    """The source writer's fallback: bad numbers -> 0, bad booleans -> false."""
-    t = text_feed(spark, d)
+    """The source writer's fallback: bad numbers -> 0, integers out of range -> the nearest, bad booleans -> false."""
+    odd = F.element_at(F.array(*[F.lit(x) for x in ("2147483648", "-99999999999999999999999", "7.5", "-2147483648")]),
+                       (F.floor(F.col("seq") / 41) % 4 + 1).cast("int"))
+    t = text_feed(spark, d).withColumn("row", F.transform_values(
+        "row", lambda k, v: F.when((k == "o_quantity") & (F.col("seq") % 41 == 0), odd).otherwise(v)))
     types = {c["name"]: c["pg_type"] for c in ORDERS_TEXT_COLUMNS}
     return t.select(F.col("seq").alias("__seq"), *[
         coerce(F.element_at("row", c), types[c], on_error="zero").alias(c)
