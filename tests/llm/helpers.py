@@ -49,3 +49,15 @@ def mutated(seed=0, n=40):
             parts.append(p[cut:])
         out.append((i * 3 + 100, "".join(parts)))
     return out
+
+
+def near_texts(text, n, seed=2):
+    """Copies of ``text`` with more and more words changed."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        words = text.split()
+        for _ in range(i):
+            words[rng.randrange(len(words))] = f"n{rng.randrange(10 ** 6)}"
+        out.append(" ".join(words))
+    return out

@@ -4,11 +4,17 @@ The patterns find e-mail addresses, IP addresses, card and phone numbers.  The
 field then labels the tokens that look like data at all (a digit, ``@`` or
 ``+``, or a piece of an address found in the same text).  Its potentials:
 
-* unary: a token's shape, with weights fitted on a bounded sample in which the
-  patterns' spans are the labels; tokens inside such a span are observed;
+* unary: a token's shape, with weights fitted on a bounded sample.  The patterns' spans
+  are its examples of the kinds, and tokens unlike any kind those of "none".  A token
+  that only looks like a kind, or is tied to a span, is no example: the patterns' silence is
+  no label;
 * chain: neighbouring tokens of one line tend to agree;
 * skip: tokens anywhere in the text that are equal, or share their digits or an
-  address's name part, strongly agree.
+  address's name part, agree.
+
+Tokens inside a pattern's span are observed.  How strongly edges of either sort bind is
+learned from the same sample, from how often the two ends of an edge between
+spans are of one kind.
 
 Loopy sum-product message passing spreads the labels over each text, so a card
 number repeated without its grouping, or the name part of an address that
@@ -20,6 +26,7 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
+from dataclasses import dataclass
 from itertools import pairwise
 
 import numpy as np
@@ -45,10 +52,10 @@ MAX_SHAPES = 5_000
 #: Documents the unary weights are fitted on, about.
 TRAIN_DOCS = 5_000
 #: Probability from which the field's label counts.
-LEAST = 0.9
+LEAST = 0.8
 ROUNDS = 8
-#: Agreement of neighbours, and of equal or similar tokens, as log potentials.
-CHAIN, SKIP = 0.5, 4.0
+#: Bounds of what an edge may bind, as a log potential.
+LEAST_BOND, MOST_BOND = 0.0, 5.0
 
 
 def _luhn(digits: str) -> bool:
@@ -103,6 +110,22 @@ def _shape(token: str) -> tuple[float, ...]:
 _FEATURES = len(_shape("0"))
 
 
+def _looks_like(shape: tuple[float, ...]) -> bool:
+    """Does a token look like one of the kinds: an address, four numbers, a number with a
+    sign or bracket before it, or a long one without letters?"""
+    return bool(shape[1] or shape[2] or shape[3] or shape[4] and not shape[8])
+
+
+
+@dataclass(frozen=True)
+class Field:
+    """Unary weights, and the log potentials of chain and skip edges."""
+
+    weights: np.ndarray
+    chain: float
+    skip: float
+
+
 def tokens_of(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, int]]:
     """``(start, end, label)`` of the tokens the field looks at; label 0 is open.
 
@@ -149,22 +172,26 @@ def _partners(text: str, tokens: list[tuple[int, int, int]]) -> list[tuple[int,
     return sorted(edges)
 
 
-def field_labels(text: str, tokens: list[tuple[int, int, int]], weights: np.ndarray) -> np.ndarray:
+def _neighbours(text: str, tokens: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Chain edges: tokens that follow each other closely on a line."""
+    return [(i, i + 1) for i in range(len(tokens) - 1) if "\n" not in text[tokens[i][1]:tokens[i + 1][0]]
+            and tokens[i + 1][0] - tokens[i][1] < 40]
+
+
+def field_labels(text: str, tokens: list[tuple[int, int, int]], field: Field) -> np.ndarray:
     """Marginal label probabilities of the tokens after loopy message passing."""
-    n, size = len(tokens), len(LABELS)
-    unary = np.array([_shape(text[s:e]) for s, e, _ in tokens]) @ weights.T
+    size = len(LABELS)
+    unary = np.array([_shape(text[s:e]) for s, e, _ in tokens]) @ field.weights.T
     unary -= unary.max(axis=1, keepdims=True)
     for i, (_, _, k) in enumerate(tokens):
         if k:  # observed
             unary[i] = -50.0
             unary[i, k] = 0.0
-    skip = _partners(text, tokens)
-    chain = [(i, i + 1) for i in range(n - 1) if "\n" not in text[tokens[i][1]:tokens[i + 1][0]]
-             and tokens[i + 1][0] - tokens[i][1] < 40]
+    skip, chain = _partners(text, tokens), _neighbours(text, tokens)
     edges = np.array(skip + chain, dtype=np.int64).reshape(-1, 2)
     if not len(edges):
         return np.exp(unary) / np.exp(unary).sum(axis=1, keepdims=True)
-    agree = np.concatenate([np.full(len(skip), SKIP), np.full(len(chain), CHAIN)])
+    agree = np.concatenate([np.full(len(skip), field.skip), np.full(len(chain), field.chain)])
     source = np.concatenate([edges[:, 0], edges[:, 1]])
     target = np.concatenate([edges[:, 1], edges[:, 0]])
     back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
@@ -185,7 +212,7 @@ def field_labels(text: str, tokens: list[tuple[int, int, int]], weights: np.ndar
     return belief / belief.sum(axis=1, keepdims=True)
 
 
-def find(text: str, weights: np.ndarray, least: float = LEAST) -> tuple[list, list]:
+def find(text: str, field: Field, least: float = LEAST) -> tuple[list, list]:
     """``(base, added)`` spans of a text."""
     base = base_spans(text)
     if not base and not _DATA.search(text):
@@ -193,50 +220,74 @@ def find(text: str, weights: np.ndarray, least: float = LEAST) -> tuple[list, li
     tokens = tokens_of(text, base)
     if all(k for _, _, k in tokens):
         return base, []
-    p = field_labels(text, tokens, weights)
+    p = field_labels(text, tokens, field)
     added = [(LABELS[b], s, e) for (s, e, k), row in zip(tokens, p, strict=True)
              if not k and (b := int(row.argmax())) and row[b] >= least]
     return base, added
 
 
 def _examples(batches):
+    """Shapes with their labels, and edges between spans: ``x`` is the sort of the edge (-1
+    chain, -2 skip) and ``y`` whether its ends are of one kind."""
     schema = pa.schema([("x", pa.list_(pa.float64())), ("y", pa.int32())])
     for _, texts in slices(batches):
         x, y = [], []
         for raw in texts:
             text = raw.decode("utf-8", "replace")
-            for s, e, k in tokens_of(text, base_spans(text)):
-                x.append(_shape(text[s:e]))
-                y.append(k)
+            tokens = tokens_of(text, base_spans(text))
+            partners = _partners(text, tokens)
+            linked = {i for edge in partners for i in edge if any(tokens[j][2] for j in edge)}
+            for i, (s, e, k) in enumerate(tokens):
+                shape = _shape(text[s:e])
+                if k or i not in linked and not _looks_like(shape):
+                    x.append(shape)
+                    y.append(k)
+            for sort, edges in ((-1.0, _neighbours(text, tokens)), (-2.0, partners)):
+                for i, j in edges:
+                    if tokens[i][2] and tokens[j][2]:
+                        x.append((sort,))
+                        y.append(int(tokens[i][2] == tokens[j][2]))
         yield batch_of(schema, x, y)
 
 
+def _bond(agree: float, differ: float) -> float:
+    """The log potential under which the two ends of an edge agree as often as seen, with
+    one more of either."""
+    bond = math.log((agree + 1) * (len(KINDS) - 1) / (differ + 1))
+    return min(MOST_BOND, max(LEAST_BOND, bond))
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        train_docs: int = TRAIN_DOCS) -> np.ndarray:
-    """Unary weights: multinomial logistic regression on token shapes from about
-    ``train_docs`` documents chosen by a hash of their id.  Equal shapes are
-    summed up first, so at most ``MAX_SHAPES`` counts come to the driver."""
+        train_docs: int = TRAIN_DOCS) -> Field:
+    """The field's weights from about ``train_docs`` documents chosen by a hash of their
+    id: unary ones by multinomial logistic regression on token shapes, each label
+    counting as much as any other, edges' by how often their ends agree.  Equal
+    shapes are summed up first, so at most ``MAX_SHAPES`` counts come to the driver.
+    A label without examples is never given."""
     base = id_text(docs, id_col, text_col)
     share = min(1.0, train_docs / max(1, base.count()))
     chosen = base.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(math.ceil(share * 1_000_000)))
     shapes = (chosen.mapInArrow(_examples, "x array<double>, y int")
               .select(F.transform("x", lambda v: F.round(v, 1)).alias("x"), "y")
               .groupBy("x", "y").count().orderBy(F.desc("count"), "x", "y").limit(MAX_SHAPES).collect())
+    edges = {(int(r["x"][0]), r["y"]): r["count"] for r in shapes if len(r["x"]) == 1}
+    chain, skip = (_bond(edges.get((sort, 1), 0), edges.get((sort, 0), 0)) for sort in (-1, -2))
+    shapes = [r for r in shapes if len(r["x"]) > 1]
     weights = np.zeros((len(LABELS), _FEATURES))
     weights[0, 0] = 2.0  # without examples: nothing is personal data
     if not shapes:
-        return weights
+        return Field(weights, chain, skip)
     x = np.array([r["x"] for r in shapes])
     y = np.array([r["y"] for r in shapes])
     n = np.array([r["count"] for r in shapes], dtype=float)
-    n /= n.sum()
+    n /= np.bincount(y, n, len(LABELS))[y] * len(set(y.tolist()))
     one_hot = np.eye(len(LABELS))[y]
     for _ in range(500):
         z = x @ weights.T
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         weights += 2.0 * (((one_hot - p) * n[:, None]).T @ x - 1e-4 * weights)
-    return weights
+    return Field(weights, chain, skip)
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
@@ -244,7 +295,7 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (order[x[0]], x[1], x[2])))
 
 
-def find_pii(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
+def find_pii(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text",
              least: float = LEAST) -> DataFrame:
     """``doc_id, base, added`` for each row: spans as ``array<struct<kind,start,end>>``
     in code points, end exclusive.
@@ -260,7 +311,7 @@ def find_pii(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_
 
     def run(batches):
         for rows, texts in slices(batches):
-            found = [find(t.decode("utf-8", "replace"), weights, least) for t in texts]
+            found = [find(t.decode("utf-8", "replace"), field, least) for t in texts]
             base, added = ([[dict(zip(("kind", "start", "end"), x, strict=True)) for x in f[i]] for f in found]
                            for i in (0, 1))
             yield batch_of(schema, rows.column("doc_id"), base, added)
