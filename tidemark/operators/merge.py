@@ -158,14 +158,16 @@ def _merged_columns(keys: list[Column], data_cols, stamp: Column,
     return keys + data + [deleted]
 
 
-def within_bound(df: DataFrame, rows: int, nbytes: int, of: DataFrame | None = None) -> bool:
+def within_bound(df: DataFrame, rows: int, nbytes: int, of: DataFrame | None = None,
+                 of_rows: int | None = None) -> bool:
     """Does ``df`` have at most ``rows`` rows and ``nbytes`` bytes of values (and ``of``
     at least ``BROADCAST_BASE_RATIO`` times its rows)?
 
     Rows first, which Parquet's footers tell; values are read only of what passed.
+    ``of_rows``: the rows of ``of``, where they are known.
     """
     n = df.count()
-    if n > rows or of is not None and of.count() < n * BROADCAST_BASE_RATIO:
+    if n > rows or of is not None and (of.count() if of_rows is None else of_rows) < n * BROADCAST_BASE_RATIO:
         return False
     width = [F.lit(16 * len(df.columns))] + [
         F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0))
@@ -177,7 +179,7 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
           order=(EPOCH, SEQ), strategy: str = "auto",
           broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
           null_safe: bool = True, partial: bool = False,
-          broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+          broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, base_rows: int | None = None) -> DataFrame:
     """Apply ordered deltas to a base; returns base columns + ``__deleted_at``.
 
     ``strategy``:
@@ -201,6 +203,8 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
     ``partial=True`` honours an ``__unchanged`` array column on the deltas
     (columns an update did not send): such values keep the last known one.
     Where a row moved its key (``__moved_from``), that is the old key's.
+
+    ``base_rows``: the base's rows, where the manifest has them; else a job counts them.
     """
     base = _with_deleted_at(base)
     data_cols = data_columns(base, pk)
@@ -215,7 +219,7 @@ def merge(base: DataFrame, deltas: DataFrame, pk: list[str], compacted_at,
     if strategy != "full":
         # never broadcast without the bound, even when asked to
         small = within_bound(deltas, broadcast_rows, broadcast_bytes,
-                             of=base if strategy == "auto" else None)
+                             of=base if strategy == "auto" else None, of_rows=base_rows)
         strategy = "broadcast" if small else "full"
     if null_safe:
         d_enc, kcols = _encode_keys(deltas, pk, types)

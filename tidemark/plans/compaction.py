@@ -92,7 +92,7 @@ def compact_table(spark: SparkSession, root: str, table: str, compacted_at,
         n_epochs = sum(1 for x in storage.delta_epochs(spark, root, table) if base_e < x <= latest)
         out = merge(base, deltas, pk, compacted_at,
                     strategy="full" if buckets else strategy, null_safe=not buckets,
-                    partial=partial)
+                    partial=partial, base_rows=e.get("row_count") if base_e else None)
         merged = Observation(f"merged_{table}_{latest}")
         out = out.observe(merged, F.count(F.lit(1)).alias("rows"),
                           F.count_if(F.col(DELETED_AT).isNotNull()).alias("tombstones"))
@@ -176,20 +176,16 @@ def _compact_buckets(spark, root, table, e, pk, data, base_e, latest, compacted_
             "tombstones_before_purge": int(counters["tombstones"])}
 
 
-def entries_to_compact(spark: SparkSession, root: str) -> list[dict]:
-    """Entries of the active tables whose latest delta is newer than their base."""
+def tables_to_compact(spark: SparkSession, root: str) -> list[str]:
+    """Names of the active tables whose latest delta is newer than their base."""
     due = manifest.read_tables(spark, root).filter(
         "status = 'active' AND latest_delta_epoch > coalesce(base_epoch, 0)")
-    return sorted((r.asDict(recursive=True) for r in due.collect()), key=lambda e: e["table"])
-
-
-def tables_to_compact(spark: SparkSession, root: str) -> list[str]:
-    return [e["table"] for e in entries_to_compact(spark, root)]
+    return sorted(r["table"] for r in due.select("table").collect())
 
 
 def compact_all(spark: SparkSession, root: str, compacted_at, parallelism: int = 1,
                 **kw) -> list[dict]:
-    """Compact every table that needs it; the manifest is read once for all.
+    """Compact every table that needs it; each job reads its own entry.
 
     ``parallelism > 1`` runs that many table jobs at once (Spark schedules
     concurrent jobs from several threads), so many small tables keep a large
@@ -199,13 +195,12 @@ def compact_all(spark: SparkSession, root: str, compacted_at, parallelism: int =
     fails only itself, at any ``parallelism``: the others publish, and the
     error is reported in its result.
     """
-    due = entries_to_compact(spark, root)
+    due = tables_to_compact(spark, root)
 
-    def one(entry):
+    def one(table):
         try:
-            return compact_table(spark.newSession(), root, entry["table"], compacted_at,
-                                 entry=entry, **kw)
+            return compact_table(spark.newSession(), root, table, compacted_at, **kw)
         except Exception as e:  # noqa: BLE001 - reported per table
-            return {"table": entry["table"], "status": f"failed: {type(e).__name__}: {e}"}
+            return {"table": table, "status": f"failed: {type(e).__name__}: {e}"}
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         return list(pool.map(one, due))

@@ -64,12 +64,11 @@ def register_all(spark: SparkSession, root: str, db: str) -> list[dict]:
     """Upsert one catalog table per active table, pointing at its newest
     base (never at the table root, which also holds deltas: D4).  Tables
     without a schema are reported, not registered.  Returns one result per
-    table (metadata only: one small row per table reaches the driver)."""
-    rows = manifest.read_tables(spark, root).filter(F.col("status") == "active") \
-        .select("table", "columns", "schema_version", "base_epoch", "base_epochs", "bucket_epochs").collect()
+    table; the driver holds the names and one entry at a time."""
+    names = manifest.read_tables(spark, root).filter(F.col("status") == "active").select("table").collect()
     out = []
-    for r in sorted(rows, key=lambda x: x["table"]):
-        t = r["table"]
+    for t in sorted(r["table"] for r in names):
+        r = manifest.entry(spark, root, t)
         if r["bucket_epochs"] is not None:
             # buckets live under different epochs: no single location to name
             out.append({"table": t, "status": "skipped (bucket directories: use live_view)"})
@@ -79,11 +78,11 @@ def register_all(spark: SparkSession, root: str, db: str) -> list[dict]:
             continue
         schema, _, name = t.partition(".")
         flat = name if schema in ("", "public") else f"{schema}_{name}"
-        eps = [e for e in storage.base_epochs(spark, root, t) if e in published_bases(r.asDict())]
+        eps = [e for e in storage.base_epochs(spark, root, t) if e in published_bases(r)]
         if not eps:
             out.append({"table": t, "status": "skipped (no base)"})
             continue
-        cols = [c.asDict() for c in r["columns"]] + \
+        cols = r["columns"] + \
             [{"name": "__deleted_at", "pg_type": "timestamp"}]
         catalog.register_table(
             spark, db, flat, cols, f"{storage.table_root(root, t)}/base/__base_epoch={eps[-1]}",

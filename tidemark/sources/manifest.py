@@ -129,9 +129,11 @@ def allocate_epoch(spark: SparkSession, root: str, stream: str, batch_id: int) -
             return int(last["epoch"])
         if last and int(last["batch"]) > batch_id:
             raise RuntimeError(f"stream {stream}: batch {batch_id} after {last['batch']}")
-        tables_max = read_tables(spark, root).agg(F.max("latest_delta_epoch")).collect()[0][0]
-        streams_max = max([int(v["epoch"]) for v in streams.values()] or [0])
-        epoch = max(int(tables_max or 0), streams_max) + 1
+        newest = header.get("newest_epoch")
+        if newest is None:  # no stream has finished an epoch under this root
+            newest = read_tables(spark, root).agg(F.max("latest_delta_epoch")).collect()[0][0]
+        epoch = max([int(newest or 0), *(int(v["epoch"]) for v in streams.values())]) + 1
+        header["newest_epoch"] = epoch
         streams[stream] = {"batch": batch_id, "epoch": epoch}
         header["streams"] = streams
         header.pop("updated_at", None)
@@ -278,6 +280,8 @@ def publish(spark: SparkSession, root: str, tables: DataFrame, _locked: bool = F
     header["tables_version"] = v
     header["log"] = []                    # the snapshot includes every change
     header.pop("updated_at", None)
+    if "newest_epoch" not in header_updates:
+        header.pop("newest_epoch", None)  # the entries may be anyone's: they tell
     header.setdefault("version", 1)
     write_header(spark, root, header)
     return v
@@ -306,6 +310,8 @@ def _update_once(spark: SparkSession, root: str, changes: DataFrame, **header_up
     """Append ``changes`` as a log segment (only the changed tables), or,
     every ``LOG_FOLD`` segments, fold everything into a new snapshot."""
     header = read_header(spark, root)
+    if "latest_delta_epoch" in changes.columns and "newest_epoch" not in header_updates:
+        header_updates["newest_epoch"] = None      # set by hand: the entries tell
     segs = list(header.get("log") or [])
     if len(segs) + 1 >= LOG_FOLD:
         # fold: snapshot + log + these changes -> a new snapshot version

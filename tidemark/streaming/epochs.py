@@ -29,8 +29,6 @@ of columns that the source catalog doesn't confirm become rejects.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from hashlib import md5
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -114,23 +112,27 @@ class EpochWriter:
         self.stream = stream
         self.published = published
         self.primary_keys: dict[str, list[str]] = {}
+        self.by_manifest = False
 
     @classmethod
     def from_manifest(cls, spark: SparkSession, root: str, checkpoint: str | None = None,
                       **kw) -> "EpochWriter":
-        """Resume with the schemas the manifest holds (active tables only;
-        one small row per table reaches the driver).  With ``checkpoint``
+        """A writer that takes each batch's schemas from the manifest: of the active tables
+        that the batch has events of, whatever the catalog's size.  With ``checkpoint``
         each batch's epoch is allocated through the manifest (see
         ``manifest.allocate_epoch``)."""
         if checkpoint is not None:
             kw.setdefault("stream", checkpoint)
-        t = manifest.read_tables(spark, root).filter("status = 'active'") \
-            .select("table", "schema_version", "columns", "primary_key").collect()
-        w = cls(root, {r["table"]: [c.asDict() for c in (r["columns"] or [])] for r in t}, **kw)
-        w.primary_keys = {r["table"]: list(r["primary_key"] or []) for r in t}
-        w.versions = {r["table"]: int(r["schema_version"] or 1) for r in t}
+        w = cls(root, {}, **kw)
+        w.by_manifest = True
         return w
 
+    def _take_entries(self, entries: list) -> None:
+        """The schemas of a batch's tables as the manifest has them now."""
+        self.catalog = {r["table"]: [c.asDict() for c in (r["columns"] or [])] for r in entries if r["status"] == "active"}
+        self.primary_keys = {r["table"]: list(r["primary_key"] or []) for r in entries}
+        self.versions = {r["table"]: int(r["schema_version"] or 1) for r in entries}
+
     def _evolve(self, batch: DataFrame, table: str) -> bool:
         known = [c["name"] for c in self.catalog[table]]
         if isinstance(self.source_columns, str):
@@ -181,17 +183,18 @@ class EpochWriter:
         dealt.write.mode("overwrite").partitionBy("__t").parquet(staging)
         schema = dealt.drop("__t").schema
         staged = spark.read.schema(dealt.schema).parquet(staging)
-        names = {md5(t.encode()).hexdigest(): t for t, c in self.catalog.items() if c}
+        counted = staged.groupBy("__t", "table").agg(
+            F.count(F.lit(1)).alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi")).collect()
+        entries = manifest.read_tables(spark, self.root).where(F.md5("table").isin([r["__t"] for r in counted])) \
+            .select("table", "status", "columns", "primary_key", "schema_version", "position", "snapshot").collect()
+        if self.by_manifest:
+            self._take_entries(entries)
         # tables that are not active, or have no schema to decode by, are skipped
-        found = {names[r["__t"]]: r for r in staged.groupBy("__t").agg(
-            F.count(F.lit(1)).alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi")).collect() if r["__t"] in names}
-        todo = sorted(found)
+        found = {r["table"]: r for r in counted if self.catalog.get(r["table"])}
+        todo, known = sorted(found), {r["table"]: r for r in entries}
         if not todo:
             return []
         batch = F.col("__t").isin([r["__t"] for r in found.values()])
-        known = {r["table"]: r for r in manifest.read_tables(spark, self.root)
-                 .where(F.md5("table").isin([r["__t"] for r in found.values()]))
-                 .select("table", "position", "snapshot").collect()}
         # one write job per table, its rejects beside it; up to ``parallelism`` tables at once
         with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool, \
                 ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as beside:
