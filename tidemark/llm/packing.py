@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.common import batch_of, id_text, slices, stage
-from tidemark.llm.ragged import Words
+from tidemark.llm.hashing import Rolling, U
+from tidemark.llm.ragged import gather
 from tidemark.llm.rangecoder import decode_block, encode_block
 
 #: Ids after which a block is closed, at the end of the document.
@@ -30,6 +31,58 @@ _LOWER = bytes(0x20 if c in b"\t\n\r" else c + 32 if 65 <= c <= 90 else c for c
 _BLOCKS = pa.schema([("shard", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()), ("block", pa.binary())])
 
 
+class HashedWords:
+    """Remembers the ids of words by their 64-bit hashes, sorted, so that all words of a slice
+    are found at once; forgets all when ``limit`` words are known."""
+
+    def __init__(self, encode, limit: int = 1_500_000):
+        self.encode, self.limit = encode, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.known, self.first = np.zeros(0, dtype=U), np.zeros(0, dtype=np.int64)
+        self.n, self.ids = np.zeros(0, dtype=np.int64), np.zeros(1 << 12, dtype=np.int32)
+        self.used = 0
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        found = self.encode(words)
+        n = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        total = int(n.sum())
+        if self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids[:self.used], np.zeros(self.used + 2 * total, dtype=np.int32)])
+        self.ids[self.used:self.used + total] = np.fromiter((i for x in found for i in x), dtype=np.int32, count=total)
+        place = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, place, hashes)
+        self.first = np.insert(self.first, place, self.used + np.cumsum(n) - n)
+        self.n = np.insert(self.n, place, n)
+        self.used += total
+
+    def texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, cut into words at spaces, and how many each text has."""
+        joined = b" ".join(texts) + b" "
+        data = np.frombuffer(joined, dtype=np.uint8)
+        edge = np.flatnonzero(np.diff(data == 0x20, prepend=True))
+        start, end = edge[::2], edge[1::2]
+        hashes, where, of = np.unique(Rolling(data).windows(start, end), return_index=True, return_inverse=True)
+        if len(self.known) + len(hashes) > self.limit:
+            self.clear()
+        at = np.searchsorted(self.known, hashes)
+        new = np.ones(len(hashes), dtype=bool)
+        if len(self.known):
+            new = self.known[np.minimum(at, len(self.known) - 1)] != hashes
+        if new.any():
+            w = where[new]
+            self._learn(hashes[new], [joined[a:z].decode() for a, z in zip(start[w].tolist(), end[w].tolist())])
+            at = np.searchsorted(self.known, hashes)
+        each = at[of] if len(of) else np.zeros(0, dtype=np.int64)
+        n = self.n[each]
+        ids = gather(self.ids, self.first[each], n)
+        firsts = np.zeros(len(texts) + 1, dtype=np.int64)
+        np.cumsum([len(t) + 1 for t in texts], out=firsts[1:])
+        ends = np.concatenate([[0], np.cumsum(n)])
+        return ids, np.diff(ends[np.searchsorted(start, firsts)])
+
+
 class LowerCaseTokenizer:
     """Ids of whole texts, each distinct word encoded once.
 
@@ -41,7 +94,7 @@ class LowerCaseTokenizer:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.words = Words(self._encode)
+        self.words = HashedWords(self._encode)
 
     def _encode(self, words: list[str]) -> list[list[int]]:
         stems = [w[:-1] if len(w) > 1 and w[-1] in ".," and "a" <= w[-2] <= "z" else w for w in words]

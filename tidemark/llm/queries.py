@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +11,9 @@ from tidemark.llm import (chat, decontaminate, exact_dedup, language, minhash, p
 from tidemark.llm.common import read
 from tidemark.llm.registry import query
 
-#: Where the vocabulary files of public tokenizers are, on every executor.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
-WORD_TOKENIZER = f"{TOKENIZERS}/word_bpe_49k.json"
+#: Vocabulary files of public tokenizers; the package is on every executor.
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 
 _CONTROL = r"([<\[])(\\*)(/?s>|/?INST\]|/?SYS>>|\|(?:im_start|im_end|im_sep|endoftext)\|>)"

@@ -11,7 +11,8 @@ lane at a time.  The model starts from nothing in each block:
 The two confidences choose a mixing context whose adaptive counts give the
 probabilities that the order-2 prediction holds, else the order-1 prediction,
 else that order 0 has to tell.  Each choice is narrowed into a 64-bit range
-coder per lane.  A block carries checksums of its head and of its ids and reads
+coder per lane.  The lanes' words lie in one stream in the order in which the decoder
+asks for them, so no lane needs a length.  A block carries checksums of its head and of its ids and reads
 without any other block.
 """
 
@@ -25,7 +26,9 @@ import numpy as np
 U = np.uint64
 MAGIC = b"TMRC\x01\x00\x00\x00"
 _HEAD = struct.Struct("<8sIIQIIII")  # magic, vocabulary, lanes, ids, documents, crc of ids, words, crc of head
-LANES = 4096
+LANES = 1024
+#: Ids after which the frequencies are brought up to date, at the latest.
+REFRESH = 4096
 _TOP, _BOTTOM = U(1 << 48), U(1 << 32)
 _BITS2 = 18
 _MAX = 15  # largest confidence
@@ -38,6 +41,8 @@ class Model:
         self.upto = np.arange(vocabulary + 1, dtype=np.int64)
         self.guess = [np.zeros(vocabulary + 1, dtype=np.int32), np.zeros(1 << _BITS2, dtype=np.int32)]
         self.trust = [np.zeros(vocabulary + 1, dtype=np.int8), np.zeros(1 << _BITS2, dtype=np.int8)]
+        self.fresh: list[np.ndarray] = []
+        self.seen = self.due = 0
         self.routes = np.ones(3 * (_MAX + 1) ** 2, dtype=np.int64)
 
     def predict(self, before2: np.ndarray, before1: np.ndarray):
@@ -58,10 +63,15 @@ class Model:
         self.routes += 24 * np.bincount(state * 3 + route, minlength=len(self.routes))
         if self.routes.max() > 1 << 20:
             self.routes = (self.routes + 1) >> 1
-        self.count += 32 * np.bincount(ids, minlength=self.vocabulary)
-        if self.count.max() > 1 << 24:
-            self.count = (self.count + 1) >> 1
-        np.cumsum(self.count, out=self.upto[1:])
+        self.fresh.append(ids)
+        self.seen += len(ids)
+        if self.seen >= self.due:
+            self.count += 32 * np.bincount(np.concatenate(self.fresh), minlength=self.vocabulary)
+            if self.count.max() > 1 << 24:
+                self.count = (self.count + 1) >> 1
+            np.cumsum(self.count, out=self.upto[1:])
+            self.fresh = []
+            self.due = self.seen + min(REFRESH, self.seen // 8)
 
 
 class _Lanes:
@@ -94,34 +104,42 @@ class _Encoder(_Lanes):
         super().__init__(n)
         self.out = np.zeros((n, 5 * steps + 8), dtype=np.uint16)
         self.n = np.zeros(n, dtype=np.int64)
+        self.asked: list[np.ndarray] = []
 
     def put(self, lane, start, size, total):
         self._narrow(lane, start.astype(U), size.astype(U), total.astype(U))
         for ready in self._settle():
             self.out[ready, self.n[ready]] = (self.low[ready] >> U(48)).astype(np.uint16)
             self.n[ready] += 1
+            self.asked.append(ready)
 
-    def end(self) -> tuple[np.ndarray, bytes]:
+    def end(self) -> bytes:
         for _ in range(4):
             self.out[np.arange(len(self.n)), self.n] = (self.low >> U(48)).astype(np.uint16)
             self.n += 1
             self.low <<= U(16)
-        used = np.arange(self.out.shape[1])[None, :] < self.n[:, None]
-        return self.n, self.out[used].astype("<u2").tobytes()
+        # the decoder begins with four words of each lane; whenever it is done with one, it asks for the next
+        lane = np.concatenate([np.zeros(0, dtype=np.int64), *self.asked])
+        order = np.argsort(lane, kind="stable")
+        nth = np.empty(len(lane), dtype=np.int64)
+        nth[order] = np.arange(len(lane)) - np.searchsorted(lane[order], lane[order])
+        return np.concatenate([self.out[:, :4].ravel(), self.out[lane, nth + 4]]).astype("<u2").tobytes()
 
 
 class _Decoder(_Lanes):
-    def __init__(self, n: np.ndarray, data: np.ndarray):
-        super().__init__(len(n))
-        self.data = np.concatenate([data, np.zeros(4, dtype=np.uint16)])
-        self.at = np.cumsum(n) - n
-        self.code = np.zeros(len(n), dtype=U)
-        for _ in range(4):
-            self._next(np.arange(len(n)))
+    def __init__(self, n: int, data: np.ndarray):
+        super().__init__(n)
+        self.data, self.at = data, 4 * n
+        self.code = np.zeros(n, dtype=U)
+        for words in np.resize(data[:4 * n], 4 * n).reshape(n, 4).T:
+            self.code = (self.code << U(16)) | words.astype(U)
 
     def _next(self, lane):
-        self.code[lane] = (self.code[lane] << U(16)) | self.data[np.minimum(self.at[lane], len(self.data) - 1)].astype(U)
-        self.at[lane] += 1
+        words = self.data[self.at:self.at + len(lane)].astype(U)
+        if len(words) < len(lane):
+            raise ValueError("damaged ids")
+        self.code[lane] = (self.code[lane] << U(16)) | words
+        self.at += len(lane)
 
     def value(self, lane, total):
         step = self.range[lane] // total.astype(U)
@@ -152,7 +170,7 @@ def encode_block(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, voca
     ids = np.asarray(ids, dtype=np.int64)
     if len(ids) and not 0 <= ids.min() <= ids.max() < vocabulary:
         raise ValueError("an id lies outside the vocabulary")
-    words, payload, used = b"", b"", np.zeros(0, dtype=np.int64)
+    payload, lanes = b"", 0
     if len(ids):
         lanes, steps = _shape(len(ids))
         coder, model = _Encoder(lanes, steps), Model(vocabulary)
@@ -172,10 +190,8 @@ def encode_block(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, voca
                 coder.put(rest, model.upto[y], model.count[y], np.full(len(rest), model.upto[-1]))
             model.learn(x, b1, place2, g2, g1, state, route)
             b2, b1 = b1, x
-        used, payload = coder.end()
-        words = used.astype("<u4").tobytes()
-    lanes = len(used)
-    body = (np.asarray(doc_ids, dtype="<i8").tobytes() + np.asarray(lengths, dtype="<u4").tobytes() + words)
+        payload = coder.end()
+    body = np.asarray(doc_ids, dtype="<i8").tobytes() + np.asarray(lengths, dtype="<u4").tobytes()
     crc = zlib.crc32(ids.astype("<u4").tobytes())
     head = _HEAD.pack(MAGIC, vocabulary, lanes, len(ids), len(doc_ids), crc, len(payload) // 2, 0)
     head = _HEAD.pack(MAGIC, vocabulary, lanes, len(ids), len(doc_ids), crc, len(payload) // 2,
@@ -189,7 +205,7 @@ def decode_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         raise ValueError("not a block")
     magic, vocabulary, lanes, n, docs, crc, size, head_crc = _HEAD.unpack_from(block)
     at = _HEAD.size
-    body = block[at:at + docs * 12 + lanes * 4]
+    body = block[at:at + docs * 12]
     if magic != MAGIC or len(block) != at + len(body) + 2 * size or head_crc != zlib.crc32(
             body, zlib.crc32(_HEAD.pack(magic, vocabulary, lanes, n, docs, crc, size, 0))):
         raise ValueError("damaged head")
@@ -197,8 +213,9 @@ def decode_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lengths = np.frombuffer(body, "<u4", docs, docs * 8).astype(np.int64)
     ids = np.zeros(n, dtype=np.int64)
     if n:
-        coder = _Decoder(np.frombuffer(body, "<u4", lanes, docs * 12).astype(np.int64),
-                         np.frombuffer(block, "<u2", size, at + len(body)))
+        if size < 4 * lanes:
+            raise ValueError("damaged ids")
+        coder = _Decoder(lanes, np.frombuffer(block, "<u2", size, at + len(body)))
         model = Model(vocabulary)
         b2 = b1 = np.full(lanes, vocabulary, dtype=np.int64)
         for place in _steps(n):
