@@ -100,3 +100,22 @@ def test_stream_confirms_columns_from_a_table_that_changes(spark):
     schema = storage.delta_schema(struct_for([{"name": c["name"], "pg_type": c["pg_type"]} for c in e["columns"]]))
     got = sorted((r["id"], r["b"], r["a"]) for r in storage.read_deltas(spark, root, "public.t", schema).collect())
     assert [(i, b) for i, b, _ in got] == [(1, None), (2, 2), (3, 3)] and [a for *_, a in got] == [None, None, "z"]
+
+
+def test_cli_log_views_and_sweep(spark, tmp_path, capsys):
+    """A log in batches of two, one a run; views follow; a sweep takes what the grace period held."""
+    from tests.test_delivery import event, loaded
+    from tidemark.operators.events import EVENT_SCHEMA
+    root, db = loaded(spark, "t_cli_log"), "t_cli_views"
+    spark.createDataFrame([event(s, "I", s, f"v{s}") for s in range(10, 16)], EVENT_SCHEMA).coalesce(1).write.parquet(f"{root}/_log")
+    args = ["stream", "--root", root, "--log", f"{root}/_log", "--checkpoint", f"{root}/_c", "--rows", "2", "--wait", "0",
+            "--start", "10", "--views-db", db]
+    assert main(args) == main(args) == 0
+    assert {r["id"] for r in spark.newSession().table(f"{db}.t_live").collect()} == {1, 11, 12, 13, 14}
+    assert main(["compact", "--root", root, "--compacted-at", "2024-02-01 00:00:00", "--grace", "3600", "--keep-bases", "1"]) == 0
+    assert main(["view", "--root", root, "--table", "t", "--db", db]) == 0
+    capsys.readouterr()
+    assert main(["sweep", "--root", root, "--grace", "3600"]) == main(["sweep", "--root", root]) == 0
+    out = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert out == [{"table": "t", "deltas": [], "bases": []}, {"table": "t", "deltas": [1, 2], "bases": [0]}]
+    assert spark.table(f"{db}.t_live").count() == 5

@@ -49,11 +49,26 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--now", help="purge tombstones older than the retention at this time")
     a.add_argument("--retention-days", type=int, default=30)
     a.add_argument("--parallelism", type=int, default=1)
+    a.add_argument("--grace", type=float, default=0.0, help="seconds that replaced files stay for readers")
+    a.add_argument("--keep-bases", type=int, help="published bases that stay (default: all)")
+    a = sub.add_parser("sweep", help="remove replaced files that no reader has pinned")
+    a.add_argument("--root", required=True)
+    a.add_argument("--grace", type=float, default=0.0)
+    a = sub.add_parser("view", help="publish a table's live rows as a view in the catalog")
+    a.add_argument("--root", required=True)
+    a.add_argument("--table", required=True)
+    a.add_argument("--db", required=True)
     a = sub.add_parser("status", help="manifest summary")
     a.add_argument("--root", required=True)
     a = sub.add_parser("stream", help="change events -> epoch deltas")
     a.add_argument("--root", required=True)
-    a.add_argument("--landing", required=True, help="folder where event files land")
+    source = a.add_mutually_exclusive_group(required=True)
+    source.add_argument("--landing", help="folder where event files land")
+    source.add_argument("--log", help="folder of log segments, read by position")
+    a.add_argument("--rows", type=int, default=1000, help="most events of an epoch (--log)")
+    a.add_argument("--wait", type=float, default=10.0, help="seconds that an event waits for more (--log)")
+    a.add_argument("--start", type=int, help="place after which a new stream begins (--log)")
+    a.add_argument("--views-db", help="publish the live views of changed tables there after each epoch")
     a.add_argument("--checkpoint", required=True)
     a.add_argument("--format", default="parquet")
     a.add_argument("--max-files", type=int)
@@ -95,9 +110,19 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "compact":
         from tidemark.plans.compaction import compact_all
         kw = {"now": args.now, "retention_days": args.retention_days} if args.now else {}
+        kw |= {"grace_s": args.grace, "keep_bases": args.keep_bases}
         for res in compact_all(spark, args.root, args.compacted_at,
                                parallelism=args.parallelism, **kw):
             print(json.dumps(res))
+    elif args.cmd == "sweep":
+        from tidemark.plans.removal import sweep
+        from tidemark.sources import manifest
+        names = manifest.read_tables(spark, args.root).where("status = 'active'").select("table").collect()
+        for t in sorted(r["table"] for r in names):
+            print(json.dumps({"table": t, **sweep(spark, args.root, t, args.grace)}))
+    elif args.cmd == "view":
+        from tidemark.plans.registration import publish_live_view
+        print(publish_live_view(spark, args.root, args.table, args.db))
     elif args.cmd == "status":
         from tidemark.operators.health import status
         from tidemark.sources import manifest
@@ -108,10 +133,21 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "stream":
         from tidemark.streaming.epochs import EpochWriter, change_stream, stream_to_epochs
         trigger = {"processingTime": args.interval} if args.interval else None
+        published = None
+        if args.views_db:
+            from tidemark.plans.registration import publish_live_view
+
+            def published(s, tables):
+                for t in tables:
+                    publish_live_view(s, args.root, t, args.views_db)
         w = EpochWriter.from_manifest(spark, args.root, checkpoint=args.checkpoint,
-                                      source_columns=args.source_columns)
-        q = stream_to_epochs(change_stream(spark, args.landing, args.format, args.max_files),
-                             w, args.checkpoint, trigger)
+                                      source_columns=args.source_columns, published=published)
+        if args.log:
+            from tidemark.sources.log import log_stream
+            events = log_stream(spark, args.log, args.checkpoint, args.rows, args.wait, args.start)
+        else:
+            events = change_stream(spark, args.landing, args.format, args.max_files)
+        q = stream_to_epochs(events, w, args.checkpoint, trigger)
         q.awaitTermination()
     elif args.cmd == "register":
         from tidemark.plans.registration import register_all
