@@ -10,10 +10,10 @@ from tidemark.functions.types import catalog_type, category, coerce
 
 
 @pytest.mark.parametrize("pattern,name,hit", [
-    ("billing.*", "billing.invoices", True),
-    ("billing.*", "public.billing", False),
-    ("*.tbl_session*", "app.tbl_session_2024", True),
-    ("*.tbl_cache_*", "app.tbl_cache_x", True),
+    ("ledger.*", "ledger.entries", True),
+    ("ledger.*", "public.ledger", False),
+    ("*.visits*", "web.visits_2024", True),
+    ("*.scratch_*", "web.scratch_x", True),
     ("*", "a.b", True),                     # '*' crosses dots
     ("*", "a/b", False),                    # but not separators
     ("public.t?", "public.t1", True),

@@ -2,8 +2,8 @@
 from tidemark.operators import acl as A
 from tidemark.operators.policy import resolve_policy
 
-TABLES = ["public.users", "public.orders", "billing.invoices", "billing.payments",
-          "public.tbl_session_2024", "public.tbl_cache_x", "public.audit", "public.secrets"]
+TABLES = ["crm.people", "crm.deals", "ledger.entries", "ledger.refunds", "web.visits_2024",
+          "web.scratch_x", "ops.audit", "ops.vault"]
 
 
 def resolve(spark, tables, **cfg):
@@ -13,14 +13,16 @@ def resolve(spark, tables, **cfg):
 
 
 def test_tags_and_policies(spark):
-    r = resolve(spark, TABLES, exclude=["public.secrets"],
-                tags={"pii": ["public.users", "public.orders", "billing.*"],
-                      "ephemeral": ["*.tbl_session*", "*.tbl_cache_*"]},
-                policy={"pii": "exclude", "ephemeral": "exclude"})
-    assert r["public.secrets"] == (False, "explicit exclude", [])
-    assert r["billing.invoices"] == (False, "policy:pii", ["pii"])
-    assert r["public.tbl_cache_x"] == (False, "policy:ephemeral", ["ephemeral"])
-    assert sorted(t for t, v in r.items() if v[0]) == ["public.audit"]
+    r = resolve(spark, TABLES, exclude=["ops.vault"],
+                tags={"private": ["crm.people", "ledger.*"], "sales": ["crm.*"],
+                      "short_lived": ["*.visits_*", "web.scr?tch_[w-z]"]},
+                policy={"private": "exclude", "short_lived": "exclude", "sales": "include"})
+    assert r["ops.vault"] == (False, "explicit exclude", [])
+    assert r["ledger.refunds"] == (False, "policy:private", ["private"])
+    assert r["crm.people"] == (False, "policy:private", ["private", "sales"])
+    assert r["web.scratch_x"] == (False, "policy:short_lived", ["short_lived"])
+    assert r["crm.deals"] == (True, "", ["sales"])
+    assert sorted(t for t, v in r.items() if v[0]) == ["crm.deals", "ops.audit"]
 
 
 def test_untagged_excluded(spark):
@@ -31,11 +33,11 @@ def test_untagged_excluded(spark):
 
 
 def test_no_policy_and_exclusion_glob(spark):
-    r = resolve(spark, ["public.a", "public.tbl_cache_1"], tags={"t": ["public.*"]})
+    r = resolve(spark, ["public.a", "public.scratch_1"], tags={"t": ["public.*"]})
     assert all(v[0] for v in r.values())
-    r = resolve(spark, ["public.a", "public.tbl_cache_1", "public.[x]"],
-                exclude=["*.tbl_cache_*", "public.[x]"])
-    assert r["public.tbl_cache_1"][0] is False and r["public.a"][0] is True
+    r = resolve(spark, ["public.a", "public.scratch_1", "public.[x]"],
+                exclude=["*.scratch_*", "public.[x]"])
+    assert r["public.scratch_1"][0] is False and r["public.a"][0] is True
     assert r["public.[x]"][0] is False      # exact name, not a glob
 
 
@@ -72,11 +74,11 @@ def test_membership_closure_with_cycle(spark):
 
 
 def test_internal_globs(spark):
-    r = resolve(spark, ["public.tbl_migration_v2", "audit.schema_version", "public.orders"],
-                tags={"internal": ["*.tbl_migration*", "*.schema_version"]},
+    r = resolve(spark, ["dev.rollout_v2", "dev.revision", "public.orders"],
+                tags={"internal": ["*.rollout*", "*.revision"]},
                 policy={"internal": "exclude"})
     assert [t for t, v in sorted(r.items()) if v[0]] == ["public.orders"]
-    assert r["audit.schema_version"][1] == "policy:internal"
+    assert r["dev.revision"][1] == "policy:internal"
 
 
 def test_patterns_as_rows_by_brute_force(spark):

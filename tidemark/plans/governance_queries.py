@@ -40,7 +40,7 @@ def policy_untagged(spark, d):
 # One exclusion or tag pattern per customer, of five shapes.
 _SHAPE = """CASE c_custkey % 5 WHEN 0 THEN '{seg}.*_' || c_custkey WHEN 1 THEN '*.orders_' || c_custkey
   WHEN 2 THEN lower(c_mktsegment) || '.inv*_' || c_custkey || '[0-5]' WHEN 3 THEN '*[st]_' || c_custkey || '?*'
-  ELSE lower(c_mktsegment) || '.tbl_cache_' || c_custkey END""".replace("'{seg}.", "lower(c_mktsegment) || '.")
+  ELSE lower(c_mktsegment) || '.scratch_' || c_custkey END""".replace("'{seg}.", "lower(c_mktsegment) || '.")
 
 
 @query("policy_patterns", f"""WITH t AS ({S.TENANT_TABLES}),
@@ -199,12 +199,12 @@ LISTED_SCHEMAS = ["building", "machinery"]
 
 @query("catalog_tables", f"""WITH t AS ({S.TENANT_TABLES})
 SELECT "table" FROM t
-WHERE kind <> 'tbl_cache' AND schema_name IN ({", ".join(f"'{x}'" for x in LISTED_SCHEMAS)})""")
+WHERE kind <> 'scratch' AND schema_name IN ({", ".join(f"'{x}'" for x in LISTED_SCHEMAS)})""")
 def catalog_tables(spark, d):
     """Base tables of the listed schemas (caches are views), ordered."""
     t = T.tenant_tables(spark, d).select(
         "schema_name", "table_name",
-        F.when(F.col("kind") == "tbl_cache", "VIEW").otherwise("BASE TABLE").alias("table_type"))
+        F.when(F.col("kind") == "scratch", "VIEW").otherwise("BASE TABLE").alias("table_type"))
     return C.list_tables(t, LISTED_SCHEMAS)
 
 

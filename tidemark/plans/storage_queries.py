@@ -209,7 +209,7 @@ def _tenant_manifest(spark, d):
     t = TN.tenant_tables(spark, d)
     cfg = TN.POLICY_A
     r = P.resolve_policy(t, cfg["exclude"], cfg["tags"], cfg["policy"])
-    has_pk = F.col("kind") != "tbl_cache"
+    has_pk = F.col("kind") != "scratch"
     status = F.when(F.col("included") & has_pk, "active").otherwise("excluded")
     reason = F.when(F.col("included") & ~has_pk, "no primary key").otherwise(F.col("reason"))
     cols = F.when((F.col("kind") == "invoices") & (F.col("c_nationkey") == 7),
@@ -231,7 +231,7 @@ def _tenant_manifest(spark, d):
 
 @query("manifest_status", S.policy_sql(TN.POLICY_A) + f""",
 x AS (SELECT r.*, t.kind, t.c_nationkey, t.c_custkey FROM r JOIN ({S.TENANT_TABLES}) t USING ("table")),
-m AS (SELECT CASE WHEN reason = '' AND kind <> 'tbl_cache' THEN 'active' ELSE 'excluded' END AS status,
+m AS (SELECT CASE WHEN reason = '' AND kind <> 'scratch' THEN 'active' ELSE 'excluded' END AS status,
              kind = 'invoices' AND c_nationkey = 7 AS no_schema,
              c_nationkey AS base_epoch, c_nationkey + c_custkey % 5 AS latest, c_custkey % 1000 AS row_count
       FROM x)

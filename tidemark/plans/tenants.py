@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the fixtures.
-KINDS = ["orders", "invoices", "tbl_session", "tbl_cache"]
+KINDS = ["orders", "invoices", "visits", "scratch"]
 ORDERS_COLUMNS = [("o_orderkey", "bigint", False), ("o_custkey", "bigint", True),
                   ("o_orderstatus", "text", True), ("o_totalprice", "numeric(12,2)", True),
                   ("o_orderdate", "timestamp without time zone", True),
@@ -22,12 +22,12 @@ EVENTS_COLUMNS = [("event_id", "bigint", False), ("ts", "timestamp with time zon
                   ("value", "double precision", True), ("props", "jsonb", True)]
 # kind -> (columns, primary-key attribute numbers in index order)
 KIND_SHAPE = {"orders": (ORDERS_COLUMNS, [1]), "invoices": (ORDERS_COLUMNS, [1, 2]),
-              "tbl_session": (EVENTS_COLUMNS, [3, 1]), "tbl_cache": (EVENTS_COLUMNS, [])}
+              "visits": (EVENTS_COLUMNS, [3, 1]), "scratch": (EVENTS_COLUMNS, [])}
 
 POLICY_A = {
-    "exclude": ["household.orders_7", "*.tbl_cache_1*"],
+    "exclude": ["household.orders_7", "*.scratch_1*"],
     "tags": {"pii": ["building.invoices_*", "machinery.*"],
-             "ephemeral": ["*.tbl_session_*", "*.tbl_cache_*"],
+             "ephemeral": ["*.visits_*", "*.scratch_*"],
              "finance": ["*.invoices_?", "automobile.[io]*"]},
     "policy": {"pii": "exclude", "ephemeral": "exclude"},
 }
