@@ -104,6 +104,32 @@ def test_patterns_as_rows_by_brute_force(spark):
     assert glob_key("*abcdefghij?") == ("inside", "abcdefgh", "") and glob_key("[") is None
 
 
+def test_patterns_that_begin_alike_are_known_by_other_text(spark):
+    from tidemark.operators.policy import _pattern_keys, match_patterns
+    n = 300
+    p = spark.createDataFrame([(f"crm.inv*_{i}[0-5]",) for i in range(n)], "pattern string")
+    keys = _pattern_keys(p)
+    assert keys.count() == keys.select("kind", "head", "tail").distinct().count() == n
+    t = spark.createDataFrame([(f"crm.invoices_{i}",) for i in range(10 * n)], "table string")
+    got = {(r["table"], r["pattern"]) for r in match_patterns(t, p).collect()}
+    assert got == {(f"crm.invoices_{i}{j}", f"crm.inv*_{i}[0-5]") for i in range(n) for j in range(6)
+                   if int(f"{i}{j}") < 10 * n and str(int(f"{i}{j}")) == f"{i}{j}"}
+
+
+def test_exclusions_and_tags_as_rows(spark):
+    from tidemark.operators.policy import resolve_policy_rows
+    t = spark.createDataFrame([(x,) for x in TABLES], "table string")
+    out = spark.createDataFrame([("ops.vault",), ("*.scratch_*",), (None,)], "pattern string")
+    tags = spark.createDataFrame([("sales", "crm.*"), ("sales", "*.deals"), ("private", "crm.p*"), (None, "ops.*"), ("x", "ops.vault")],
+                                 "tag string, pattern string")
+    got = {r["table"]: (r["included"], r["reason"], list(r["tags"]))
+           for r in resolve_policy_rows(t, out, tags, {"private": "exclude", "untagged": "exclude"}).collect()}
+    assert got["ops.vault"] == got["web.scratch_x"] == (False, "explicit exclude", [])
+    assert got["crm.people"] == (False, "policy:private", ["private", "sales"])
+    assert got["crm.deals"] == (True, "", ["sales"])
+    assert got["ops.audit"] == (False, "policy:untagged", []) and len(got) == len(TABLES)
+
+
 def test_effective_profiles_by_closure(spark):
     import random
 

@@ -10,8 +10,8 @@ regular expressions inside one projection over the table frame, so the
 resolution is a map-only stage (no join, no shuffle) at any table count.
 
 Patterns that are many are rows of a frame (``match_patterns``).  They meet the tables in
-an equi-join on literal text that a match must have: the beginning and the end, or a
-few characters from inside; only what meets is matched.
+an equi-join on literal text that a match must have: the beginning and the end, or
+text from inside, whichever the fewest patterns share; only what meets is matched.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.glob import glob_key, glob_to_regex, is_glob
+from tidemark.functions.glob import MARKS, glob_keys, glob_to_regex, is_glob
+from tidemark.session import checkpoint
 
 
 def _any_match(col: Column, patterns: list[str]) -> Column:
@@ -56,66 +57,72 @@ def resolve_policy(tables: DataFrame, exclude: list[str] | None = None,
 
 
 def _pattern_keys(patterns: DataFrame) -> DataFrame:
-    """``patterns`` with the literal text to join on and the regular expression."""
+    """Each different pattern with its regular expression and the literal text to join on: of
+    all that it could be found by, the one that the fewest patterns share."""
     def keys(pattern: pd.Series) -> pd.DataFrame:
-        found = [(*(glob_key(p) or (None, None, None)), glob_to_regex(p)) for p in pattern]
-        return pd.DataFrame(found, columns=["kind", "head", "tail", "regex"])
-    keyed = F.pandas_udf(keys, "kind string, head string, tail string, regex string")
-    return patterns.where("pattern IS NOT NULL").withColumn("__k", keyed("pattern")) \
-        .select(*patterns.columns, "__k.*").where("kind IS NOT NULL")
+        return pd.DataFrame([(glob_keys(p), glob_to_regex(p)) for p in pattern], columns=["keys", "regex"])
+    keyed = F.pandas_udf(keys, "keys array<struct<kind:string,head:string,tail:string>>, regex string")
+    found = patterns.select("pattern").where("pattern IS NOT NULL").distinct().withColumn("__k", keyed("pattern")) \
+        .select("pattern", "__k.regex", F.inline("__k.keys"))
+    shared = found.groupBy("kind", "head", "tail").agg(F.count(F.lit(1)).alias("n"))
+    # of several the kind with the fewest keys to a table, and the shortest, so that few lengths occur
+    order = F.struct("n", F.col("kind") != "mark", F.length("head") + F.length("tail"), "kind", "head", "tail")
+    best = F.min(F.struct(order.alias("order"), "kind", "head", "tail")).alias("__b")
+    return found.join(shared, ["kind", "head", "tail"]).groupBy("pattern", "regex").agg(best) \
+        .select("pattern", "regex", "__b.kind", "__b.head", "__b.tail")
+
+
+def _key(kind: str, head: Column, tail: Column) -> Column:
+    return F.xxhash64(F.lit(kind), head, tail)
 
 
 def match_patterns(tables: DataFrame, patterns: DataFrame, table_col: str = "table") -> DataFrame:
     """Each table with each row of ``patterns`` (``pattern`` and other columns) that matches it.
 
-    A pattern is known by its literal beginning and end; the join's keys are those of a
-    table for each pair of lengths that occurs (a name has at most as many as characters
-    each way).  A pattern without literal text meets every table, as its matches do.
+    A pattern is known by literal text (``_pattern_keys``): its beginning and end, or some of
+    the text between.  The join's keys are hashes of those of a table for each length that
+    occurs (a name has at most as many as characters), and what meets is matched.  A pattern
+    without literal text meets every table, as its matches do.
     """
-    keyed = _pattern_keys(patterns)
+    chosen = checkpoint(_pattern_keys(patterns))
     # lengths only: bounded by the longest name
-    sizes = keyed.select("kind", F.length("head").alias("h"), F.length("tail").alias("t")).distinct().collect()
-    name = F.col(table_col)
-
-    def key(kind: str, head: Column, tail: Column, when: Column | None = None) -> Column:
-        k = F.array(F.struct(F.lit(kind).alias("kind"), head.alias("head"), tail.alias("tail")))
-        return k if when is None else F.when(when, k).otherwise(F.array().cast(_KEYS))
-
-    keys = [key("ends", F.left(name, F.lit(r["h"])), F.right(name, F.lit(r["t"])), F.length(name) >= r["h"] + r["t"])
+    sizes = chosen.select("kind", F.length("head").alias("h"), F.length("tail").alias("t")).distinct().collect()
+    name, none, no_text = F.col(table_col), F.array().cast("array<bigint>"), F.lit("")
+    keys = [F.when(F.length(name) >= r["h"] + r["t"],
+                   F.array(_key("ends", F.left(name, F.lit(r["h"])), F.right(name, F.lit(r["t"]))))).otherwise(none)
             for r in sizes if r["kind"] == "ends"]
-    kinds = {r["kind"] for r in sizes}
-    keys += [key("whole", name, F.lit(""))] * ("whole" in kinds) + [key("any", F.lit(""), F.lit(""))] * ("any" in kinds)
-    for r in sizes:
-        if r["kind"] == "inside":
-            n = r["h"]
-            keys.append(F.transform(
-                F.when(F.length(name) >= n, F.sequence(F.lit(1), F.length(name) - n + 1)).otherwise(F.array().cast("array<int>")),
-                lambda i: F.struct(F.lit("inside").alias("kind"), F.substring(name, i, F.lit(n)).alias("head"), F.lit("").alias("tail"))))
-    if not keys:
-        keys = [F.array().cast(_KEYS)]
-    sides = tables.select(*tables.columns, F.inline(F.array_distinct(F.concat(*keys))))
+    keys += [F.array(_key(k, text, no_text)) for k, text in (("whole", name), ("any", no_text))
+             if any(r["kind"] == k for r in sizes)]
+    places = F.when(F.length(name) > 0, F.sequence(F.lit(1), F.length(name))).otherwise(F.array().cast("array<int>"))
+    marks = F.filter(places, lambda i: F.substring(name, i, F.lit(1)).isin(*MARKS))
+    for kind, at in (("inside", places), ("mark", marks)):
+        lengths = sorted({r["h"] for r in sizes if r["kind"] == kind})
+        if lengths:
+            keys.append(F.flatten(F.transform(at, lambda i: F.array(
+                *[_key(kind, F.substring(name, i, F.lit(n)), no_text) for n in lengths]))))  # noqa: B023
+    # a name's key comes once, so a pattern, which has one key, meets it once
+    sides = tables.select(*tables.columns, F.explode(F.array_distinct(F.concat(none, *keys))).alias("__key"))
     mine = [c for c in patterns.columns if c != "pattern"]
-    return (sides.join(keyed, ["kind", "head", "tail"]).where(F.rlike(F.col(table_col), F.col("regex")))
+    keyed = patterns.join(chosen.select("pattern", "regex", F.xxhash64("kind", "head", "tail").alias("__key")), "pattern")
+    return (sides.join(keyed, "__key").where(F.rlike(F.col(table_col), F.col("regex")))
             .select(*tables.columns, "pattern", *mine))
 
 
-_KEYS = "array<struct<kind:string,head:string,tail:string>>"
-
-
 def resolve_policy_rows(tables: DataFrame, exclude: DataFrame, tags: DataFrame, policy: dict[str, str] | None = None,
                         table_col: str = "table") -> DataFrame:
     """``resolve_policy`` with the patterns as frames: ``exclude`` (``pattern``) and ``tags``
     (``tag, pattern``), of any number.  An exclusion without ``*`` or ``?`` is a name."""
     names = tables.select(table_col).distinct()
     as_glob = F.col("pattern").contains("*") | F.col("pattern").contains("?")
-    out = (match_patterns(names, exclude.select("pattern").where(as_glob), table_col).select(table_col)
-           .unionByName(names.join(exclude.select(F.col("pattern").alias(table_col)).where("pattern IS NOT NULL"), table_col, "left_semi"))
-           .distinct().withColumn("__out", F.lit(True)))
-    tagged = (match_patterns(names, tags.select("tag", "pattern"), table_col).groupBy(table_col)
-              .agg(F.array_sort(F.collect_set("tag")).alias("__tags")))
-    j = tables.join(out, table_col, "left").join(tagged, table_col, "left")
+    rules = exclude.where(as_glob).select("pattern", F.lit(None).cast("string").alias("tag"), F.lit(True).alias("__ex")) \
+        .unionByName(tags.select("pattern", "tag", F.lit(False).alias("__ex")))
+    met = (match_patterns(names, rules, table_col).groupBy(table_col)
+           .agg(F.max("__ex").alias("__out"), F.array_sort(F.collect_set(F.when(~F.col("__ex"), F.col("tag")))).alias("__tags")))
+    exact = exclude.select(F.col("pattern").alias(table_col)).where(F.col(table_col).isNotNull()).distinct() \
+        .withColumn("__exact", F.lit(True))
+    j = tables.join(exact, table_col, "left").join(met, table_col, "left")
     j = j.withColumn("__tags", F.coalesce("__tags", F.array().cast("array<string>")))
-    return _decide(j, F.coalesce("__out", F.lit(False)), policy or {}, tables.columns)
+    return _decide(j, F.coalesce("__exact", "__out", F.lit(False)), policy or {}, tables.columns)
 
 
 def _decide(tagged: DataFrame, explicit: Column, policy: dict[str, str], columns: list[str]) -> DataFrame:
