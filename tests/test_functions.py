@@ -92,6 +92,18 @@ def test_column_and_python_type_maps_agree(spark):
         assert got[n] == (category(n), catalog_type(category(n), p, s)), n
 
 
+def test_a_catalog_column_is_typed_once(spark, tmp_path):
+    """The type text is looked at once a row, and the rows of a small file are spread over tasks."""
+    from tidemark.plans.tenants import tenant_tables
+    from tidemark.sources.catalog import typed_columns
+    plan = typed_columns(spark.range(1).select(F.concat(F.lit("int"), "id").alias("pg_type")))._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("regexp_replace") == 1
+    spark.range(9).selectExpr("id AS c_custkey", "1 AS c_nationkey", "1.0D AS c_acctbal", "'A' AS c_mktsegment") \
+        .coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    t = tenant_tables(spark, str(tmp_path))
+    assert "Repartition" in t._jdf.queryExecution().optimizedPlan().toString() and t.count() == 36
+
+
 def test_epoch_names_and_locations(spark):
     from tidemark.functions.names import epoch_name, location
     df = spark.createDataFrame([(1, "public.orders"), (1234567, "billing.x")],

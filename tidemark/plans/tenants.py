@@ -52,7 +52,8 @@ def _role(prefix: str, name) -> F.Column:
 
 def tenant_tables(spark: SparkSession, d: str) -> DataFrame:
     """(table, schema_name, table_name, kind, c_custkey, c_nationkey)."""
-    c = _t(spark, d, "customer")
+    # a small file is one task, and each of its rows becomes dozens: spread them first
+    c = _t(spark, d, "customer").repartition("c_custkey")
     x = c.select("c_custkey", "c_nationkey", "c_acctbal",
                  F.lower("c_mktsegment").alias("schema_name"),
                  F.explode(F.array(*[F.lit(k) for k in KINDS])).alias("kind"))

@@ -25,31 +25,32 @@ def list_tables(tables: DataFrame, schemas: list[str] | None = None) -> DataFram
                   .orderBy("table"))
 
 
+def _lookup(names: dict[str, str], key: Column, default: str) -> Column:
+    found = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[key]
+    return F.coalesce(found, F.lit(default))
+
+
 def _category_col(pg_type: F.Column) -> F.Column:
     """Column form of ``types.category`` (arrays and unknown -> UTF8)."""
-    base = F.trim(F.regexp_replace(F.lower(pg_type), r"\(.*\)", ""))
-    out = F.when(base.endswith("[]"), F.lit("UTF8"))
-    for k, v in PG_CATEGORY.items():
-        out = out.when(base == k, F.lit(v))
-    return out.otherwise(F.lit("UTF8"))
+    return _lookup(PG_CATEGORY, F.trim(F.regexp_replace(F.lower(pg_type), r"\(.*\)", "")), "UTF8")
 
 
 def typed_columns(columns: DataFrame) -> DataFrame:
     """Adds category, catalog type, precision and scale to a columns frame."""
-    prec = F.regexp_extract("pg_type", r"\((\d+)", 1)
-    scale = F.regexp_extract("pg_type", r"\(\d+\s*,\s*(\d+)\)", 1)
-    cat = _category_col(F.col("pg_type"))
-    p = F.when(prec != "", prec.cast("int"))
-    s = F.when(scale != "", scale.cast("int"))
-    ctype = F.when(cat == "DECIMAL", F.format_string(
-        "decimal(%d,%d)", F.coalesce(F.when(p > 0, p), F.lit(38)),
-        F.coalesce(F.when(s > 0, s), F.lit(0))))
-    for k, v in CATALOG_TYPE.items():
-        ctype = ctype.when(cat == k, F.lit(v))
-    return columns.select("*", cat.alias("category"),
-                          F.when(cat == "DECIMAL", p).alias("precision"),
-                          F.when(cat == "DECIMAL", s).alias("scale"),
-                          ctype.otherwise(F.lit("string")).alias("catalog_type"))
+    decimal = F.col("category") == "DECIMAL"
+
+    def number(of: str) -> Column:
+        found = F.regexp_extract("pg_type", of, 1)
+        return F.when(decimal & (found != ""), found.cast("int"))
+    p, s = F.col("precision"), F.col("scale")
+    # each step is a projection of its own, so that a type is looked at once a row
+    return (columns.withColumn("category", _category_col(F.col("pg_type")))
+            .withColumn("precision", number(r"\((\d+)"))
+            .withColumn("scale", number(r"\(\d+\s*,\s*(\d+)\)"))
+            .withColumn("catalog_type", F.when(decimal, F.concat(
+                F.lit("decimal("), F.when(p > 0, p).otherwise(F.lit(38)).cast("string"), F.lit(","),
+                F.when(s > 0, s).otherwise(F.lit(0)).cast("string"), F.lit(")")))
+                .otherwise(_lookup(CATALOG_TYPE, F.col("category"), "string"))))
 
 
 def primary_keys(indexes: DataFrame, columns: DataFrame) -> DataFrame:
