@@ -235,3 +235,25 @@ def test_log_goes_on_within_a_segment(spark):
     assert {(r["epoch"], r["landed"], r["first_seq"], r["last_seq"]) for r in positions.delivery_ledger(spark, root).collect()} == {
         (1, 12, 110, 121), (2, 12, 122, 133), (3, 1, 134, 134)}
     assert state(spark, root) == {1: "x"} | {s: "v" for s in range(110, 135)}
+
+
+def test_rejects_of_values_and_order_in_one_read(spark):
+    from tidemark.operators.events import decode_rejects, order_rejects
+    rows = [("t", "U", {"id": k, "n": v}, lsn(1), None, s, None, None)
+            for k, v, s in (("1", "2", 5), ("bad", "2", 6), ("1", "bad", None), ("2", "3", None), (None, "worse", 7))]
+    rows.append(("t", "U", {"n": "4"}, "nowhere", None, None, None, None))
+    events = spark.createDataFrame(rows, EVENT_SCHEMA)
+    columns = [COLUMNS[0], {"name": "n", "pg_type": "integer", "nullable": True}]
+    both = decode_rejects(events, columns, ["id"], order=True)
+    parts = decode_rejects(events, columns, ["id"]).unionByName(order_rejects(events))
+    assert sorted(map(str, both.collect())) == sorted(map(str, parts.collect())) and both.count() == 8
+    assert "Union" not in both._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_feed_is_spread_before_its_texts_are_made(spark, tmp_path):
+    from tidemark.plans.feeds import text_feed
+    spark.createDataFrame([(i, datetime(2024, 1, 1), 7, "view", 1.5, "{}") for i in range(50)],
+                          "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string") \
+        .coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    feed = text_feed(spark, str(tmp_path))
+    assert "Repartition" in feed._jdf.queryExecution().optimizedPlan().toString() and feed.count() == 50

@@ -9,6 +9,7 @@ instead reproduces the source writer's zero / false fallback.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -156,21 +157,25 @@ def decode_row(row: Column, columns: list[dict], on_error: str = "null") -> list
 
 def rejects(events: DataFrame, columns: list[dict], row_col: str = "row",
             keep: tuple[str, ...] = (),
-            required: tuple[str, ...] | list[str] = ()) -> DataFrame:
+            required: tuple[str, ...] | list[str] = (),
+            also: tuple[tuple[str, Column, Column], ...] = ()) -> DataFrame:
     """One row per (event, column) whose text did not parse, or is missing
-    although ``required``.
+    although ``required``.  ``also``: more checks, as (name, raw text, is it bad).
 
     Output: ``keep`` columns, ``column_name``, ``raw``.  Built with one
-    ``inline`` of a filtered array, so the events are read once.
+    ``inline`` of a filtered array, so the events are read once; it is made only
+    of events that have something bad.
     """
-    checks = F.array(*[
-        F.struct(F.lit(c["name"]).alias("column_name"),
-                 F.element_at(F.col(row_col), c["name"]).alias("raw"),
-                 (F.element_at(F.col(row_col), c["name"]).isNotNull()
-                  & coerce(F.element_at(F.col(row_col), c["name"]), c["pg_type"]).isNull()
-                  | F.lit(c["name"] in required) & F.element_at(F.col(row_col), c["name"]).isNull())
-                 .alias("bad"))
-        for c in columns])
-    bad = F.filter(checks, lambda s: s["bad"])
-    return (events.select(*keep, F.inline(bad))
+    checks = []
+    for c in columns:
+        raw = F.element_at(F.col(row_col), c["name"])
+        checks.append((c["name"], raw, raw.isNotNull() & coerce(raw, c["pg_type"]).isNull()
+                       | F.lit(c["name"] in required) & raw.isNull()))
+    checks += also
+    if not checks:
+        return events.select(*keep, F.lit("").alias("column_name"), F.lit("").alias("raw")).limit(0)
+    found = F.array(*[F.struct(F.lit(name).alias("column_name"), raw.alias("raw"), bad.alias("bad"))
+                      for name, raw, bad in checks])
+    return (events.where(reduce(lambda a, b: a | b, [bad for _, _, bad in checks]))
+                  .select(*keep, F.inline(F.filter(found, lambda s: s["bad"])))
                   .drop("bad"))

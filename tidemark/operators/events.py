@@ -89,10 +89,12 @@ def after_snapshot(chunks: list, key: Column, key_type, position: Column) -> Col
 
 
 def decode_rejects(events: DataFrame, columns: list[dict],
-                   primary_key: tuple[str, ...] | list[str] = ()) -> DataFrame:
+                   primary_key: tuple[str, ...] | list[str] = (), order: bool = False) -> DataFrame:
     """(seq, table, column, raw) for every value that failed to parse, and for
-    every part of ``primary_key`` that is missing (``raw`` is NULL)."""
-    return rejects(events, columns, keep=("seq", "table"), required=primary_key)
+    every part of ``primary_key`` that is missing (``raw`` is NULL); with ``order`` those of
+    ``order_rejects`` too, in the same read."""
+    return rejects(events, columns, keep=("seq", "table"), required=primary_key,
+                   also=((SEQ, F.col("lsn"), F.col("seq").isNull()),) if order else ())
 
 
 def route(events: DataFrame, active: DataFrame, table_col: str = "table"):

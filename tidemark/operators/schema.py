@@ -50,7 +50,9 @@ def unknown_rejects(events: DataFrame, known: list[str], row_col: str = "row") -
     known columns and metadata."""
     skip = F.array(*[F.lit(c) for c in [*known, *ALL_META]])
     extra = F.map_filter(F.col(row_col), lambda k, _: ~F.array_contains(skip, k))
-    return events.select("seq", "table", F.explode(extra).alias("column_name", "raw"))
+    # few events have any: the others are passed over before their keys are looked at one by one
+    some = F.size(F.array_except(F.map_keys(F.col(row_col)), skip)) > 0
+    return events.where(some).select("seq", "table", F.explode(extra).alias("column_name", "raw"))
 
 
 def new_columns(unknown: DataFrame, source_columns: DataFrame) -> DataFrame:

@@ -148,7 +148,8 @@ def text_feed(spark: SparkSession, sf_dir: str, with_note: bool = False,
     ``with_key_change``: every 5th purchase moved its row from key + 1 to
     key; ``old_row`` then holds the old key image.
     """
-    ev = table(spark, sf_dir, "events")
+    # a small file is one task, and making the texts takes long: spread them first
+    ev = table(spark, sf_dir, "events").repartition("event_id")
     op = (F.when(F.col("event_type") == "error", "D")
            .when(F.col("event_type") == "signup", "I").otherwise("U"))
     key = F.col("user_id") * 110 + (F.col("event_id") % 10) * 11

@@ -28,7 +28,7 @@ _LEDGER = ("table string, landed bigint, written bigint, replayed bigint, in_sna
 
 def event_id() -> Column:
     """What tells apart events in one place of the order: a hash of op and row."""
-    return F.xxhash64("op", F.array_sort(F.map_entries("row")))
+    return F.xxhash64("op", F.sort_array(F.map_entries("row")))
 
 
 def _path(root: str, what: str) -> str:

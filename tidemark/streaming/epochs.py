@@ -29,12 +29,12 @@ of columns that the source catalog doesn't confirm become rejects.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.constants import EPOCH, SEQ
-from tidemark.operators.events import (EVENT_SCHEMA, after_snapshot, decode_events, decode_rejects, order_rejects,
+from tidemark.operators.events import (EVENT_SCHEMA, after_snapshot, decode_events, decode_rejects,
                                        split_key_changes, with_order)
 from tidemark.operators.schema import evolve, new_columns, unknown_columns, unknown_rejects
 from tidemark.sources import fs, manifest, positions, storage
@@ -178,8 +178,9 @@ class EpochWriter:
                        .repartition("__t", "__spread")
                        # the same event twice; without a place in the order each is a reject of its own
                        .withColumn("__nth", F.when(F.col("seq").isNull(), F.monotonically_increasing_id()))
-                       .dropDuplicates(["__t", "__spread", "seq", positions.EVENT_ID, "__nth"])
-                       .drop("__spread", "__nth"))
+                       .withColumn("__copy", F.row_number().over(
+                           Window.partitionBy("__t", "__spread", "seq", positions.EVENT_ID, "__nth").orderBy("lsn")))
+                       .where("__copy = 1").drop("__spread", "__nth", "__copy"))
         dealt.write.mode("overwrite").partitionBy("__t").parquet(staging)
         schema = dealt.drop("__t").schema
         staged = spark.read.schema(dealt.schema).parquet(staging)
@@ -234,7 +235,7 @@ class EpochWriter:
         rejected = None
         if self.keep_rejects:
             rows = rows.where(due)
-            bad = decode_rejects(rows, columns, keys).unionByName(order_rejects(rows)).unionByName(unconfirmed)
+            bad = decode_rejects(rows, columns, keys, order=True).unionByName(unconfirmed)
             rejected = beside.submit(storage.write_rejects, bad.withColumn(EPOCH, at), self.root, t)
         storage.write_delta(typed, self.root, t, single_epoch=True)
         if rejected:
