@@ -257,3 +257,17 @@ def test_the_feed_is_spread_before_its_texts_are_made(spark, tmp_path):
         .coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
     feed = text_feed(spark, str(tmp_path))
     assert "Repartition" in feed._jdf.queryExecution().optimizedPlan().toString() and feed.count() == 50
+
+
+def test_a_range_of_a_snapshot_merges_only_its_own_keys(spark, monkeypatch):
+    from tidemark.plans import stream_queries
+    met, whole = [], stream_queries.merge
+
+    def merge(base, changes, *args, **kw):
+        met.append([(r[0], r[1]) for x in (base, changes) for r in x.agg(F.min("o_orderkey"), F.max("o_orderkey")).collect()])
+        return whole(base, changes, *args, **kw)
+    monkeypatch.setattr(stream_queries, "merge", merge)
+    stream_queries._snapshot_while_streaming(spark, "/root/testdata/sf0.001", "ranges apart")
+    tops = [max(hi for _, hi in x if hi is not None) for x in met]
+    lows = [min(lo for lo, _ in x if lo is not None) for x in met]
+    assert len(met) == stream_queries.RANGES and all(a < b for a, b in zip(tops, lows[1:], strict=False))

@@ -165,10 +165,11 @@ def _snapshot_while_streaming(spark, d, name):
     now = iter(reads)
 
     def read(lo, hi):
-        """What the source holds at the time: the table with all changes so far."""
+        """What the source holds of a range at the time: its rows with all their changes so far."""
+        within = (F.col("o_orderkey") >= (lo or 0)) & (F.col("o_orderkey") < hi if hi else F.lit(True))
         changes = decode_events(events.where(F.col("seq") <= next(now)), ORDERS_TEXT_COLUMNS).withColumn(EPOCH, F.lit(1).cast("bigint"))
-        state = live(merge(base, changes, ORDERS_PK, COMPACTED_AT)).drop("__deleted_at")
-        return state.where((F.col("o_orderkey") >= (lo or 0)) & (F.col("o_orderkey") < hi if hi else F.lit(True)))
+        # a merge is by key, so only the range's rows and changes have to meet
+        return live(merge(base.where(within), changes.where(within), ORDERS_PK, COMPACTED_AT)).drop("__deleted_at")
 
     def position():
         seq = next(clock)
