@@ -395,6 +395,49 @@ def test_words_are_found_after_all_were_forgotten():
     assert whole.encode([b"", b" ", b""])[1].tolist() == [0, 0, 0]
 
 
+def test_words_are_cut_where_tokens_end():
+    direct, rng = packing.LowerCaseTokenizer(queries.WORD_TOKENIZER), np.random.default_rng(5)
+    signs = [*"abcdefghijklmnopqrstuvwxyzABCZ  ''..,!?-<|>=0123456789", *"éèßÉÀÿ÷×µªſKİıσΣς", "\u0301", "\u0338", "\u00a0", "\u3000",
+             "\x0b", "\x0c", "\x1c", "\x85", "\n", "\t", "'s", "'ve ", "'LL", "½", "٣", "中", "😀", "\u200d", "ﬁ", "\x00", "\x7f"]
+    texts = ["".join(signs[k] for k in rng.integers(0, len(signs), rng.integers(0, 60))) for _ in range(3_000)]
+    for a in range(0, len(texts), 500):
+        ids, n = direct.encode([t.encode() for t in texts[a:a + 500]])
+        for got, t in zip(np.split(ids, np.cumsum(n)[:-1]), texts[a:a + 500], strict=True):
+            assert got.tolist() == direct.tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
+def test_a_word_is_encoded_once_whatever_ends_it():
+    words = [f"{a}{b}{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in "aeiou"]
+    coder, given = packing.LowerCaseTokenizer(queries.WORD_TOKENIZER), []
+    encode = coder.words.encode
+    coder.words.encode = lambda *a: given.append(len(a[-1])) or encode(*a)
+    ids, _ = coder.encode([" ".join(w + end for end in ("", "!!", "?", ");", ".") for w in words).encode()])
+    assert sum(given) == len(words) + 4
+    text = " ".join(w + end for end in ("", "!!", "?", ");", ".") for w in words)
+    assert ids.tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("code", ["encode_block", "decode_block"])
+def test_a_block_is_learned_in_few_rounds(code, monkeypatch):
+    ids = np.random.default_rng(2).zipf(1.3, packing.BLOCK_IDS) % 49_408
+    block = rangecoder.encode_block(np.array([1]), np.array([len(ids)]), ids, 49_408)
+    calls, learn = [], rangecoder.Model.learn
+    monkeypatch.setattr(rangecoder.Model, "learn", lambda *a: calls.append(1) or learn(*a))
+    if code == "encode_block":
+        assert rangecoder.encode_block(np.array([1]), np.array([len(ids)]), ids, 49_408) == block
+    else:
+        assert (rangecoder.decode_block(block)[2] == ids).all()
+    # each round costs tables of the size of the vocabulary, whatever it learns
+    assert 0 < len(calls) <= 32
+
+
+@pytest.mark.parametrize(("vocabulary", "n"), [(1, 100), (2, 3_000), (70_000, 90_000), (1 << 20, 40_000)])
+def test_vocabularies_of_any_size(vocabulary, n):
+    ids = np.random.default_rng(n).integers(0, vocabulary, n)
+    block = rangecoder.encode_block(np.array([1]), np.array([n]), ids, vocabulary)
+    assert (rangecoder.decode_block(block)[2] == ids).all()
+
+
 def test_repetition_is_learned():
     ids = np.tile(np.random.default_rng(0).integers(0, 49_000, 500), 200)
     assert len(rangecoder.encode_block(np.array([1]), np.array([len(ids)]), ids, 49_408)) < 0.5 * 2 * len(ids)
