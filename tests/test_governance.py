@@ -116,6 +116,25 @@ def test_patterns_that_begin_alike_are_known_by_other_text(spark):
                    if int(f"{i}{j}") < 10 * n and str(int(f"{i}{j}")) == f"{i}{j}"}
 
 
+def test_no_side_of_patterns_as_rows_is_gathered_on_the_driver(spark):
+    from tidemark.operators.policy import _pattern_keys, resolve_policy_rows
+    t = spark.createDataFrame([(f"crm.{k}_{i}",) for i in range(40) for k in ("deals", "visits")], "table string")
+    out = spark.createDataFrame([(f"crm.deals_{i}",) for i in range(0, 40, 4)] + [("crm.*_1?",)], "pattern string")
+    tags = spark.createDataFrame([(f"t{i % 3}", f"crm.v*_{i}") for i in range(40)], "tag string, pattern string")
+    decided = resolve_policy_rows(t, out, tags, {"t1": "exclude"})
+    want = {}
+    for i in range(40):
+        gone = (False, "explicit exclude", [])
+        want[f"crm.deals_{i}"] = gone if i % 4 == 0 or 10 <= i < 20 else (True, "", [])
+        want[f"crm.visits_{i}"] = gone if 10 <= i < 20 else (i % 3 != 1, "policy:t1" if i % 3 == 1 else "", [f"t{i % 3}"])
+    assert {r["table"]: (r["included"], r["reason"], list(r["tags"])) for r in decided.collect()} == want
+    keys = _pattern_keys(tags)
+    assert keys.count() == 40
+    for frame in (decided, keys):       # these frames are small: by its estimates Spark would broadcast them
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_exclusions_and_tags_as_rows(spark):
     from tidemark.operators.policy import resolve_policy_rows
     t = spark.createDataFrame([(x,) for x in TABLES], "table string")

@@ -12,6 +12,7 @@ resolution is a map-only stage (no join, no shuffle) at any table count.
 Patterns that are many are rows of a frame (``match_patterns``).  They meet the tables in
 an equi-join on literal text that a match must have: the beginning and the end, or
 text from inside, whichever the fewest patterns share; only what meets is matched.
+No side of these joins passes through the driver.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.glob import MARKS, glob_keys, glob_to_regex, is_glob
@@ -56,6 +57,16 @@ def resolve_policy(tables: DataFrame, exclude: list[str] | None = None,
     return _decide(tables.withColumn("__tags", tag_array(t, tags)), explicit_exclusion(t, exclude), policy, tables.columns)
 
 
+def _merge_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """An equi-join by sorting both sides, never by a broadcast, whatever their estimated sizes:
+    estimates leave out that rows were exploded, and a broadcast gathers a side on the driver."""
+    return left.join(right.hint("merge"), on, how)
+
+
+#: Parts that the patterns of one key are counted in.
+_PARTS = 256
+
+
 def _pattern_keys(patterns: DataFrame) -> DataFrame:
     """Each different pattern with its regular expression and the literal text to join on: of
     all that it could be found by, the one that the fewest patterns share."""
@@ -64,11 +75,14 @@ def _pattern_keys(patterns: DataFrame) -> DataFrame:
     keyed = F.pandas_udf(keys, "keys array<struct<kind:string,head:string,tail:string>>, regex string")
     found = patterns.select("pattern").where("pattern IS NOT NULL").distinct().withColumn("__k", keyed("pattern")) \
         .select("pattern", "__k.regex", F.inline("__k.keys"))
-    shared = found.groupBy("kind", "head", "tail").agg(F.count(F.lit(1)).alias("n"))
+    # many patterns may share a key: its rows are counted and joined in parts, so no task gets them all
+    found = found.withColumn("part", F.pmod(F.xxhash64("pattern"), F.lit(_PARTS)))
+    shared = found.groupBy("kind", "head", "tail", "part").agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("n", F.sum("n").over(Window.partitionBy("kind", "head", "tail")))
     # of several the kind with the fewest keys to a table, and the shortest, so that few lengths occur
     order = F.struct("n", F.col("kind") != "mark", F.length("head") + F.length("tail"), "kind", "head", "tail")
     best = F.min(F.struct(order.alias("order"), "kind", "head", "tail")).alias("__b")
-    return found.join(shared, ["kind", "head", "tail"]).groupBy("pattern", "regex").agg(best) \
+    return _merge_join(found, shared, ["kind", "head", "tail", "part"]).groupBy("pattern", "regex").agg(best) \
         .select("pattern", "regex", "__b.kind", "__b.head", "__b.tail")
 
 
@@ -103,8 +117,8 @@ def match_patterns(tables: DataFrame, patterns: DataFrame, table_col: str = "tab
     # a name's key comes once, so a pattern, which has one key, meets it once
     sides = tables.select(*tables.columns, F.explode(F.array_distinct(F.concat(none, *keys))).alias("__key"))
     mine = [c for c in patterns.columns if c != "pattern"]
-    keyed = patterns.join(chosen.select("pattern", "regex", F.xxhash64("kind", "head", "tail").alias("__key")), "pattern")
-    return (sides.join(keyed, "__key").where(F.rlike(F.col(table_col), F.col("regex")))
+    keyed = _merge_join(patterns, chosen.select("pattern", "regex", F.xxhash64("kind", "head", "tail").alias("__key")), "pattern")
+    return (_merge_join(sides, keyed, "__key").where(F.rlike(F.col(table_col), F.col("regex")))
             .select(*tables.columns, "pattern", *mine))
 
 
@@ -120,7 +134,7 @@ def resolve_policy_rows(tables: DataFrame, exclude: DataFrame, tags: DataFrame,
            .agg(F.max("__ex").alias("__out"), F.array_sort(F.collect_set(F.when(~F.col("__ex"), F.col("tag")))).alias("__tags")))
     exact = exclude.select(F.col("pattern").alias(table_col)).where(F.col(table_col).isNotNull()).distinct() \
         .withColumn("__exact", F.lit(True))
-    j = tables.join(exact, table_col, "left").join(met, table_col, "left")
+    j = _merge_join(_merge_join(tables, exact, table_col, "left"), met, table_col, "left")
     j = j.withColumn("__tags", F.coalesce("__tags", F.array().cast("array<string>")))
     return _decide(j, F.coalesce("__exact", "__out", F.lit(False)), policy or {}, tables.columns)
 
